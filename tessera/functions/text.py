@@ -66,8 +66,12 @@ def html_unescape(s: pd.Series) -> pd.Series:
     return s.map(lambda v: None if v is None else html.unescape(v))
 
 
+# Python's Unicode whitespace, spelled out so every regex engine agrees on it
+WHITESPACE = r"\t\n\x0B\f\r\x1C-\x1F\x{85}\p{Z}"
+
+
 def letters_only_words(text: Column) -> Column:
     """L2 core: lower, keep ASCII letters and whitespace, split on whitespace runs."""
-    kept = F.regexp_replace(F.lower(text), r"(?U)[^a-zA-Z\s]", "")
-    parts = F.split(F.trim(F.regexp_replace(kept, r"(?U)\s+", " ")), " ")
+    kept = F.regexp_replace(F.lower(text), "[^a-zA-Z" + WHITESPACE + "]", "")
+    parts = F.split(F.trim(F.regexp_replace(kept, "[" + WHITESPACE + "]+", " ")), " ")
     return F.filter(parts, lambda w: w != "")
