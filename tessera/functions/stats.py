@@ -6,61 +6,10 @@ per group; only this closed-form tail runs in Python, once per result row.
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-
-def _betacf(a: float, b: float, x: float) -> float:
-    """Continued fraction for the incomplete beta function (modified Lentz)."""
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 400):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < 1e-15:
-            break
-    return h
-
-
-def reg_inc_beta(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta I_x(a, b)."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    ln_front = (math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-                + a * math.log(x) + b * math.log1p(-x))
-    front = math.exp(ln_front)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return front * _betacf(a, b, x) / a
-    return 1.0 - front * _betacf(b, a, 1.0 - x) / b
-
-
-def t_two_sided_p(t: float, dof: float) -> float:
-    """P(|T| >= |t|) for Student's t with ``dof`` degrees of freedom."""
-    if t is None or dof is None or not np.isfinite(dof) or dof <= 0 or np.isnan(t):
-        return float("nan") if t is not None and not np.isnan(dof or np.nan) else None
-    if np.isinf(t):
-        return 0.0
-    return reg_inc_beta(dof / 2.0, 0.5, dof / (dof + t * t))
+from tessera.functions.tdist import reg_inc_beta, t_two_sided_p  # noqa: F401
 
 
 @F.pandas_udf("double")
