@@ -102,9 +102,11 @@ def histogram(df: DataFrame, cols, bins: int = 10) -> DataFrame:
     for c in cols:
         lo = df.select(F.min(F.col(c).cast("double"))).scalar()
         hi = df.select(F.max(F.col(c).cast("double"))).scalar()
-        b = F.width_bucket(F.col(c).cast("double"), lo, hi, F.lit(bins))
-        counted = (df.filter(F.col(c).isNotNull())
-                   .groupBy(F.least(b, F.lit(bins)).alias("bin")).agg(F.count(F.lit(1)).alias("count")))
+        x = F.col(c).cast("double")
+        b = F.floor((x - lo) * bins / F.nullif(hi - lo, F.lit(0.0))) + 1
+        counted = (df.filter(x.isNotNull())
+                   .groupBy(F.least(F.coalesce(b, F.lit(1)), F.lit(bins)).cast("long").alias("bin"))
+                   .agg(F.count(F.lit(1)).alias("count")))
         all_bins = (df.sparkSession.range(1, bins + 1).select(F.col("id").cast("long").alias("bin")))
         width = (hi - lo) / F.lit(bins)
         parts.append(all_bins.join(counted, "bin", "left").select(
