@@ -58,7 +58,8 @@ def polyline_centroid(line: Column) -> Column:
         F.get(line, i - 1).alias("a"), F.coalesce(F.get(line, i), F.get(line, i - 1)).alias("b")))
 
     def seg_len(s):
-        return F.sqrt((s["b"]["x"] - s["a"]["x"]) ** 2 + (s["b"]["y"] - s["a"]["y"]) ** 2)
+        dx, dy = s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"]
+        return F.sqrt(dx * dx + dy * dy)
 
     tot = F.aggregate(segs, F.lit(0.0), lambda acc, s: acc + seg_len(s))
     sx = F.aggregate(segs, F.lit(0.0), lambda acc, s: acc + seg_len(s) * (s["a"]["x"] + s["b"]["x"]) / 2)
