@@ -28,7 +28,7 @@ def load(spark, sf_dir: str, name: str):
 
 def _register_all():
     from tessera.catalog import (  # noqa: F401
-        trips, relational, aggregation, windows, text, stats, explore, quality, spatial, html, changes,
+        trips, relational, aggregation, windows, text, stats, explore, quality, spatial, html, changes, io,
     )
 
 

@@ -100,33 +100,40 @@ def union_by_name(dfs) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
+def _exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a Hadoop path glob matches anything (works on any file system)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def read_mixed(spark: SparkSession, directory: str, pattern: str,
                csv_schema: T.StructType | None = None) -> DataFrame:
-    """All files matching ``pattern`` in a directory, parquet and CSV merged by name.
+    """Every ``{pattern}.parquet`` and ``{pattern}.csv`` (files or written
+    directories) in a folder, merged by column name (A8).
 
-    Uses ``pathGlobFilter`` so discovery runs on any Hadoop file system (not a
-    driver-side ``glob``). Raises when neither format yields a file.
+    Discovery is a Hadoop path glob, so it works on any file system (not a
+    driver-local ``glob``). The CSV side is typed to the parquet side's schema.
+    Raises ``FileNotFoundError`` when neither format matches.
     """
+    pq_glob, csv_glob = f"{directory}/{pattern}.parquet", f"{directory}/{pattern}.csv"
     frames = []
-    for fmt in ("parquet", "csv"):
-        reader = spark.read.option("pathGlobFilter", f"{pattern}.{fmt}")
-        try:
-            if fmt == "csv":
-                reader = reader.option("header", True)
-                reader = reader.schema(csv_schema) if csv_schema is not None else reader.option("inferSchema", True)
-            frames.append(reader.format(fmt).load(directory))
-        except Exception as exc:  # no matching file for this format
-            if "UNABLE_TO_INFER_SCHEMA" in str(exc) or "PATH_NOT_FOUND" in str(exc) or "empty" in str(exc).lower():
-                continue
-            raise
+    if _exists(spark, pq_glob):
+        frames.append(spark.read.parquet(pq_glob))
+    if _exists(spark, csv_glob):
+        reader = spark.read.option("header", True)
+        reader = reader.schema(csv_schema) if csv_schema is not None else reader.option("inferSchema", True)
+        frames.append(reader.csv(csv_glob))
     if not frames:
         raise FileNotFoundError(f"no {pattern}.parquet / {pattern}.csv under {directory}")
     if len(frames) == 2:
-        # the CSV side is typed to the parquet side's schema before merging
         pq, csv = frames
         typed = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in csv.columns else
                  F.lit(None).cast(f.dataType).alias(f.name) for f in pq.schema.fields]
-        frames = [pq, csv.select(*typed)]
+        extra = [c for c in csv.columns if c not in pq.columns]
+        frames = [pq, csv.select(*typed, *extra)]
     return union_by_name(frames)
 
 
