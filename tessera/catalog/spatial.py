@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from tessera.catalog import load, query
 from tessera.catalog.trips import cleaned, demand_gap_sql
-from tessera.functions.geometry import polyline_centroid
 from tessera.operators.spatial import within
 from tessera.plans import roads as R
 from tessera.plans.demand_gap import demand_gap
@@ -116,8 +115,8 @@ def lookup_df(spark, sf):
 @query("spatial_within", f"""
   SELECT w.LocationID, p.px, p.py, p.StreetWidth_Min FROM ({WITHIN_SQL}) w JOIN ({POINTS_SQL}) p ON w.pid = p.pid""")
 def q_spatial_within(spark, sf):
-    r = R.drivable(roads(spark, sf)).withColumn("_c", polyline_centroid(F.col("geometry")))
-    pts = r.select(F.col("_c.x").alias("px"), F.col("_c.y").alias("py"), "StreetWidth_Min")
+    r = R.with_centroid(R.drivable(roads(spark, sf)).select("geometry", "StreetWidth_Min"), "geometry")
+    pts = r.select("px", "py", "StreetWidth_Min")
     return within(pts, "px", "py", zones(spark), "ring", 10.0).select("LocationID", "px", "py", "StreetWidth_Min")
 
 

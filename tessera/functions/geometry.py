@@ -36,11 +36,16 @@ def _crosses(e, px, py):
 
 
 def strictly_within(px: Column, py: Column, ring: Column) -> Column:
-    """Point strictly inside the polygon: even-odd rule, border points excluded."""
-    es = edges(ring)
-    crossings = F.aggregate(es, F.lit(0), lambda acc, e: acc + F.when(_crosses(e, px, py), 1).otherwise(0))
-    on_border = F.exists(es, lambda e: _on_edge(e, px, py))
-    return ((crossings % 2) == 1) & ~on_border
+    """Point strictly inside the polygon: even-odd rule, border points excluded.
+    One pass over the edges accumulates (crossings, on_border)."""
+    init = F.struct(F.lit(0).alias("n"), F.lit(False).alias("border"))
+
+    def step(acc, e):
+        return F.struct((acc["n"] + F.when(_crosses(e, px, py), 1).otherwise(0)).alias("n"),
+                        (acc["border"] | F.coalesce(_on_edge(e, px, py), F.lit(False))).alias("border"))
+
+    res = F.aggregate(edges(ring), init, step)
+    return ((res["n"] % 2) == 1) & ~res["border"]
 
 
 def bbox(ring: Column) -> Column:
@@ -51,19 +56,20 @@ def bbox(ring: Column) -> Column:
 
 
 def polyline_centroid(line: Column) -> Column:
-    """Length-weighted mean of segment midpoints: struct<x, y>. A zero-length
-    line falls back to its first vertex."""
+    """Length-weighted mean of segment midpoints: struct<x, y>, from one pass
+    over the segments. A zero-length line falls back to its first vertex."""
     n = F.size(line)
-    segs = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.struct(
-        F.get(line, i - 1).alias("a"), F.coalesce(F.get(line, i), F.get(line, i - 1)).alias("b")))
+    init = F.struct(F.lit(0.0).alias("l"), F.lit(0.0).alias("sx"), F.lit(0.0).alias("sy"))
 
-    def seg_len(s):
-        dx, dy = s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"]
-        return F.sqrt(dx * dx + dy * dy)
+    def step(acc, i):
+        a, b = F.get(line, i - 1), F.get(line, i)
+        dx, dy = b["x"] - a["x"], b["y"] - a["y"]
+        seg = F.sqrt(dx * dx + dy * dy)
+        return F.struct((acc["l"] + seg).alias("l"),
+                        (acc["sx"] + seg * (a["x"] + b["x"]) / 2).alias("sx"),
+                        (acc["sy"] + seg * (a["y"] + b["y"]) / 2).alias("sy"))
 
-    tot = F.aggregate(segs, F.lit(0.0), lambda acc, s: acc + seg_len(s))
-    sx = F.aggregate(segs, F.lit(0.0), lambda acc, s: acc + seg_len(s) * (s["a"]["x"] + s["b"]["x"]) / 2)
-    sy = F.aggregate(segs, F.lit(0.0), lambda acc, s: acc + seg_len(s) * (s["a"]["y"] + s["b"]["y"]) / 2)
+    tot = F.aggregate(F.filter(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: i < n), init, step)
     first = F.get(line, 0)
-    return F.struct(F.when(tot > 0, sx / tot).otherwise(first["x"]).alias("x"),
-                    F.when(tot > 0, sy / tot).otherwise(first["y"]).alias("y"))
+    return F.struct(F.when(tot["l"] > 0, tot["sx"] / tot["l"]).otherwise(first["x"]).alias("x"),
+                    F.when(tot["l"] > 0, tot["sy"] / tot["l"]).otherwise(first["y"]).alias("y"))

@@ -26,11 +26,35 @@ def zone_cells(zones: DataFrame, ring: str, cell: float) -> DataFrame:
              .drop("_bb"))
 
 
-def within(points: DataFrame, x: str, y: str, zones: DataFrame, ring: str = "ring", cell: float = 10.0) -> DataFrame:
+def _within_batches(batches, x, y, ring, keep):
+    import pyarrow as pa
+
+    from tessera.functions.geometry_arrow import strictly_within_np
+    for b in batches:
+        px = b.column(x).to_numpy(zero_copy_only=False).astype("float64")
+        py = b.column(y).to_numpy(zero_copy_only=False).astype("float64")
+        mask = strictly_within_np(px, py, b.column(ring))
+        out = b.filter(pa.array(mask))
+        yield out.select(keep)
+
+
+def within(points: DataFrame, x: str, y: str, zones: DataFrame, ring: str = "ring", cell: float = 10.0,
+           vectorized: bool = True) -> DataFrame:
     """Inner join of points with the polygons that strictly contain them
-    (points on a border belong to no polygon, like a 'within' predicate)."""
+    (points on a border belong to no polygon, like a 'within' predicate).
+
+    ``vectorized`` runs the exact test with numpy over Arrow batches of
+    candidate pairs (``mapInArrow``); otherwise as a Spark lambda expression.
+    Both use the same floating-point formula."""
     cells = zone_cells(zones, ring, cell)
-    pts = (points.withColumn("cell_x", F.floor(F.col(x) / cell).cast("long"))
-                 .withColumn("cell_y", F.floor(F.col(y) / cell).cast("long")))
-    cand = pts.join(cells, ["cell_x", "cell_y"])
-    return cand.filter(strictly_within(F.col(x), F.col(y), F.col(ring))).drop("cell_x", "cell_y", ring)
+    # points without coordinates get a cell no polygon has; keys stay non-null,
+    # so the optimizer infers no null filter that would re-evaluate x and y
+    no_cell = F.lit(-(2 ** 62))
+    pts = (points.withColumn("cell_x", F.coalesce(F.floor(F.col(x) / cell).cast("long"), no_cell))
+                 .withColumn("cell_y", F.coalesce(F.floor(F.col(y) / cell).cast("long"), no_cell)))
+    cand = pts.join(cells, ["cell_x", "cell_y"]).drop("cell_x", "cell_y")
+    if not vectorized:
+        return cand.filter(strictly_within(F.col(x), F.col(y), F.col(ring))).drop(ring)
+    keep = [c for c in cand.columns if c != ring]
+    schema = cand.select(*keep).schema
+    return cand.mapInArrow(lambda it: _within_batches(it, x, y, ring, keep), schema)

@@ -34,6 +34,29 @@ def roads_from_lineitem(li: DataFrame) -> DataFrame:
         (F.col("l_discount") * 300 + 10).alias("StreetWidth_Min"))
 
 
+def _centroid_batches(batches, geom, xname, yname):
+    import numpy as np
+    import pyarrow as pa
+
+    from tessera.functions.geometry_arrow import polyline_centroid_np
+    for b in batches:
+        cx, cy = polyline_centroid_np(b.column(geom))
+        yield (b.append_column(xname, pa.array(cx, mask=np.isnan(cx)))
+                .append_column(yname, pa.array(cy, mask=np.isnan(cy))))
+
+
+def with_centroid(df: DataFrame, geom: str, xname: str = "px", yname: str = "py",
+                  vectorized: bool = True) -> DataFrame:
+    """Add the polyline centroid (vectorised over Arrow batches by default)."""
+    if not vectorized:
+        c = polyline_centroid(F.col(geom))
+        return df.withColumn(xname, c["x"]).withColumn(yname, c["y"])
+    from pyspark.sql import types as T
+    schema = T.StructType(df.schema.fields + [T.StructField(xname, T.DoubleType()),
+                                              T.StructField(yname, T.DoubleType())])
+    return df.mapInArrow(lambda it: _centroid_batches(it, geom, xname, yname), schema)
+
+
 def grid_zones(spark: SparkSession, nx: int = 9, ny: int = 11, w: float = 6.0, h: float = 10.0) -> DataFrame:
     """Zone layer built by rule: an nx x ny grid of concave pentagons (each cell
     with a notch cut into its top edge), ids 0..nx*ny-1."""
@@ -57,9 +80,9 @@ def drivable(roads: DataFrame) -> DataFrame:
 def road_suitability(roads: DataFrame, zones: DataFrame, min_segments: int = MIN_ROAD_SEGMENTS,
                      cell: float = 10.0) -> DataFrame:
     """Segment midpoints joined to zones, profiled per zone, every zone kept."""
-    r = drivable(roads).withColumn("_c", polyline_centroid(F.col("geometry")))
-    pts = r.select(F.col("_c.x").alias("px"), F.col("_c.y").alias("py"), "is_one_way",
-                   "StreetWidth_Min", "travel_lanes")
+    r = with_centroid(drivable(roads).select("geometry", "is_one_way", "StreetWidth_Min", "travel_lanes"),
+                      "geometry", "px", "py").drop("geometry")
+    pts = r.select("px", "py", "is_one_way", "StreetWidth_Min", "travel_lanes")
     joined = within(pts, "px", "py", zones.select("LocationID", "ring"), "ring", cell)
     prof = joined.groupBy("LocationID").agg(
         F.count(F.lit(1)).alias("segment_count"),
