@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.tdist import reg_inc_beta, t_two_sided_p  # noqa: F401
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_pvalue(t: pd.Series, dof: pd.Series) -> pd.Series:
     out = []
     for tv, dv in zip(t, dof):

@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Python's ``\w`` is Unicode letters, digits (incl. other numbers like '½') and
 # '_'; Java's is ASCII only, so the class is spelled with Unicode properties.
@@ -60,7 +61,7 @@ def count_members(arr: Column, words) -> Column:
     return F.size(F.filter(arr, lambda x: F.array_contains(lit, x)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def html_unescape(s: pd.Series) -> pd.Series:
     """HTML entities to characters (Arrow batches; the one text step Spark lacks)."""
     return s.map(lambda v: None if v is None else html.unescape(v))
