@@ -181,12 +181,12 @@ def q_topn_avg(spark, sf):
 
 @query("topn_avg_rank", """
   SELECT n_regionkey, round(avg(c_acctbal), 6) AS avg_top FROM (
-    SELECT c.*, n.n_regionkey, rank() OVER (PARTITION BY n.n_regionkey ORDER BY round(c.c_acctbal, -3) DESC) AS r
+    SELECT c.*, n.n_regionkey, rank() OVER (PARTITION BY n.n_regionkey ORDER BY floor(c.c_acctbal / 1000) DESC) AS r
     FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey) x WHERE r <= 5 GROUP BY 1""")
 def q_topn_avg_rank(spark, sf):
     # RANK keeps ties at the cut (values rounded to thousands so ties exist)
     c, n = t(spark, sf, "customer"), t(spark, sf, "nation")
-    j = c.join(n, c.c_nationkey == n.n_nationkey).withColumn("bal_k", F.round("c_acctbal", -3))
+    j = c.join(n, c.c_nationkey == n.n_nationkey).withColumn("bal_k", F.floor(F.col("c_acctbal") / 1000))
     from tessera.operators.windows import topn
     top = topn(j, "n_regionkey", [F.col("bal_k").desc()], 5, "rank")
     return top.groupBy("n_regionkey").agg(F.round(F.avg("c_acctbal"), 6).alias("avg_top"))

@@ -12,11 +12,12 @@ def t(spark, sf, name):
 
 @query("topn_rank", """
   SELECT c_custkey, c_nationkey, bal_k, rank_in_group FROM (
-    SELECT c_custkey, c_nationkey, round(c_acctbal, -3) AS bal_k,
-           rank() OVER (PARTITION BY c_nationkey ORDER BY round(c_acctbal, -3) DESC) AS rank_in_group
+    SELECT c_custkey, c_nationkey, CAST(floor(c_acctbal / 1000) AS BIGINT) AS bal_k,
+           rank() OVER (PARTITION BY c_nationkey ORDER BY floor(c_acctbal / 1000) DESC) AS rank_in_group
     FROM customer) x WHERE rank_in_group <= 3""")
 def q_topn_rank(spark, sf):
-    c = t(spark, sf, "customer").select("c_custkey", "c_nationkey", F.round("c_acctbal", -3).alias("bal_k"))
+    c = t(spark, sf, "customer").select("c_custkey", "c_nationkey",
+                                        F.floor(F.col("c_acctbal") / 1000).cast("long").alias("bal_k"))
     return W.topn(c, "c_nationkey", [F.col("bal_k").desc()], 3, "rank")
 
 
