@@ -22,8 +22,17 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def load(spark, sf_dir: str, name: str):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# tables whose rows carry long texts: CPU-heavy per row, so a scan that feeds
+# too few tasks is spread over the cores first (no-op on large inputs)
+TEXT_TABLES = {"documents", "conversations", "pages"}
+
+
+def load(spark, sf_dir: str, name: str, spread: bool | None = None):
+    from tessera.sources.files import spread as _spread
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if spread if spread is not None else name in TEXT_TABLES:
+        df = _spread(df)
+    return df
 
 
 def _register_all():

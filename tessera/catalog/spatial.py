@@ -93,7 +93,7 @@ SCORE_SQL = f"""
 
 
 def roads(spark, sf):
-    return R.roads_from_lineitem(load(spark, sf, "lineitem"))
+    return R.roads_from_lineitem(load(spark, sf, "lineitem", spread=True))
 
 
 def zones(spark):

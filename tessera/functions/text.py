@@ -75,4 +75,4 @@ def letters_only_words(text: Column) -> Column:
     """L2 core: lower, keep ASCII letters and whitespace, split on whitespace runs."""
     kept = F.regexp_replace(F.lower(text), "[^a-zA-Z" + WHITESPACE + "]", "")
     parts = F.split(F.trim(F.regexp_replace(kept, "[" + WHITESPACE + "]+", " ")), " ")
-    return F.filter(parts, lambda w: w != "")
+    return F.array_remove(parts, "")

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import cut_lineage
 from tessera.functions.text import (
     NEGATIVE_WORDS, POSITIVE_WORDS, SENTIMENT_TOKEN, WORDCOUNT_TOKEN, count_members,
     html_unescape, letters_only_words, tokens,
@@ -66,23 +67,31 @@ def _ll(k: Column, n: Column, x: Column) -> Column:
 
 
 def collocations(df: DataFrame, id_col: str, words: str, min_count: int = 2,
-                 min_llr: float = 30.0) -> DataFrame:
+                 min_llr: float = 30.0, materialize: bool = True) -> DataFrame:
     """L4: adjacent word pairs scored by Dunning's log-likelihood ratio.
 
-    ``words`` is an array column. Pairs come from a higher-order transform over
-    each text (no window, no self join); pair and word counts are partial
-    aggregates; the corpus size is a scalar subquery.
+    ``words`` is an array column. One explode emits every position as
+    (word, next word or null); a single partial aggregate over those pairs is
+    the only pass over the texts. Unigram counts, the corpus size and the
+    bigram counts are all derived from that aggregate, which is checkpointed
+    once (``materialize``) into the shared checkpoint folder so the three
+    consumers do not each re-run the text pipeline.
     """
     arr = F.col(words)
-    pairs = df.filter(F.size(arr) >= 2).select(F.explode(F.transform(
-        F.sequence(F.lit(1), F.size(arr) - 1),
-        lambda i: F.struct(F.get(arr, i - 1).alias("w1"), F.get(arr, i).alias("w2")))).alias("p"))
-    bigrams = pairs.groupBy(F.col("p.w1").alias("w1"), F.col("p.w2").alias("w2")).agg(
-        F.count(F.lit(1)).alias("c12")).filter(F.col("c12") >= min_count)
-    unigrams = df.select(F.explode(arr).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c"))
+    # (w[i], w[i+1]) for every position, the last with a null partner; a
+    # built-in zip instead of a per-element lambda
+    nxt = F.slice(arr, 2, F.greatest(F.size(arr), F.lit(1)))
+    grams = df.select(F.explode(F.arrays_zip(arr.alias("w1"), nxt.alias("w2"))).alias("p"))
+    pairs = (grams.filter(F.col("p.w1").isNotNull())
+             .groupBy(F.col("p.w1").alias("w1"), F.col("p.w2").alias("w2"))
+             .agg(F.count(F.lit(1)).alias("c12")))
+    if materialize:
+        pairs = cut_lineage(pairs)
+    unigrams = pairs.groupBy("w1").agg(F.sum("c12").alias("c"))
     n = unigrams.select(F.sum("c")).scalar()
-    u1 = unigrams.select(F.col("w").alias("w1"), F.col("c").alias("c1"))
-    u2 = unigrams.select(F.col("w").alias("w2"), F.col("c").alias("c2"))
+    bigrams = pairs.filter(F.col("w2").isNotNull() & (F.col("c12") >= min_count))
+    u1 = unigrams.select(F.col("w1"), F.col("c").alias("c1"))
+    u2 = unigrams.select(F.col("w1").alias("w2"), F.col("c").alias("c2"))
     j = bigrams.join(u1, "w1").join(u2, "w2")
     c12, c1, c2 = F.col("c12").cast("double"), F.col("c1").cast("double"), F.col("c2").cast("double")
     p, p1, p2 = c2 / n, c12 / c1, (c2 - c12) / (n - c1)
