@@ -55,6 +55,14 @@ def tokens(text, pattern: str = WORDCOUNT_TOKEN) -> Column:
     return F.regexp_extract_all(F.lower(t), F.lit("(" + pattern + ")"), 1)
 
 
+def explode_words(df, arr: Column, name: str = "word", keep=()):
+    """One row per array element. ``explode_outer`` + a null filter after the
+    generator: a plain ``explode`` makes the optimizer infer ``size(arr) > 0``
+    and push it below the projection, evaluating the whole text pipeline twice."""
+    return (df.select(*keep, F.explode_outer(arr).alias(name))
+              .filter(F.col(name).isNotNull()))
+
+
 def count_members(arr: Column, words) -> Column:
     """How many elements of ``arr`` are in ``words`` (duplicates count)."""
     lit = F.array(*[F.lit(w) for w in words])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import cut_lineage
 from tessera.functions.text import (
-    NEGATIVE_WORDS, POSITIVE_WORDS, SENTIMENT_TOKEN, WORDCOUNT_TOKEN, count_members,
+    NEGATIVE_WORDS, POSITIVE_WORDS, SENTIMENT_TOKEN, WORDCOUNT_TOKEN, count_members, explode_words,
     html_unescape, letters_only_words, tokens,
 )
 
@@ -21,7 +21,7 @@ def tokenize(df: DataFrame, text: str, pattern: str = WORDCOUNT_TOKEN, name: str
 
 def word_count(df: DataFrame, text: str, pattern: str = WORDCOUNT_TOKEN) -> DataFrame:
     """(word, count) over all texts."""
-    words = df.select(F.explode(tokens(text, pattern)).alias("word"))
+    words = explode_words(df, tokens(text, pattern))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -81,7 +81,7 @@ def collocations(df: DataFrame, id_col: str, words: str, min_count: int = 2,
     # (w[i], w[i+1]) for every position, the last with a null partner; a
     # built-in zip instead of a per-element lambda
     nxt = F.slice(arr, 2, F.greatest(F.size(arr), F.lit(1)))
-    grams = df.select(F.explode(F.arrays_zip(arr.alias("w1"), nxt.alias("w2"))).alias("p"))
+    grams = explode_words(df, F.arrays_zip(arr.alias("w1"), nxt.alias("w2")), "p")
     pairs = (grams.filter(F.col("p.w1").isNotNull())
              .groupBy(F.col("p.w1").alias("w1"), F.col("p.w2").alias("w2"))
              .agg(F.count(F.lit(1)).alias("c12")))
@@ -132,5 +132,5 @@ def sentiment_counts(df: DataFrame, text: str, pos=POSITIVE_WORDS, neg=NEGATIVE_
 
 def class_words(df: DataFrame, cls: str, words: str) -> DataFrame:
     """Word frequency per class from an array column (no driver-side string)."""
-    return (df.select(cls, F.explode(words).alias("word"))
+    return (explode_words(df, F.col(words), "word", keep=[cls])
             .groupBy(cls, "word").agg(F.count(F.lit(1)).alias("count")))

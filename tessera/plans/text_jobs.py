@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import EXTRA_STOP_WORDS, english_stop_words, letters_only_words
+from tessera.functions.text import EXTRA_STOP_WORDS, english_stop_words, explode_words, letters_only_words
 from tessera.operators.ordering import sample_n
 from tessera.operators.text import add_clean_words, class_words, sentiment_counts, word_count
 from tessera.operators.windows import topn
@@ -32,7 +32,7 @@ def corpus_stop_words(docs: DataFrame, text: str, n: int = 50, extra=EXTRA_STOP_
     """A stop list derived by rule from the corpus itself: its n most frequent
     cleaned words (ties by word) plus the extra words. Used when no general
     English list is supplied; bounded at n + len(extra) rows."""
-    words = docs.select(F.explode(letters_only_words(F.col(text))).alias("word"))
+    words = explode_words(docs, letters_only_words(F.col(text)))
     top = (words.groupBy("word").agg(F.count(F.lit(1)).alias("c"))
            .orderBy(F.col("c").desc(), F.col("word")).limit(n).select("word"))
     extra_df = docs.sparkSession.createDataFrame([(w,) for w in extra], "word string")
