@@ -37,7 +37,7 @@ def load(spark, sf_dir: str, name: str, spread: bool | None = None):
 
 def _register_all():
     from tessera.catalog import (  # noqa: F401
-        trips, relational, aggregation, windows, text, stats, explore, quality, spatial, html, changes, io,
+        trips, relational, aggregation, windows, text, stats, explore, quality, spatial, html, changes, io, scalars,
     )
 
 

@@ -36,9 +36,13 @@ def delete_where(df: DataFrame, cond=None) -> DataFrame:
     return df.filter(~F.coalesce(cond, F.lit(False)))
 
 
-def create_as(df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame:
-    """Save a query result as a table and return the table."""
-    df.write.mode(mode).saveAsTable(name)
+def create_as(df: DataFrame, name: str, mode: str = "overwrite", path: str | None = None) -> DataFrame:
+    """Save a query result as a table and return the table. With ``path``
+    the table's files live there (e.g. the shared checkpoint folder)."""
+    w = df.write.mode(mode)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
     return df.sparkSession.table(name)
 
 
