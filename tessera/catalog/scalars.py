@@ -61,7 +61,7 @@ def q_scalar_date(spark, sf):
     return e.select(
         "event_id", F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz").alias("parsed"),
         F.try_to_timestamp(F.lit("not a time")).cast("timestamp_ntz").alias("bad"),
-        F.hour("ts").alias("hour"), F.date_trunc("hour", "ts").alias("hour_start"),
+        F.hour("ts").alias("hour"), S.hour_start("ts").alias("hour_start"),
         F.date_format("ts", "yyyy-MM-dd-HH-mm-ss").alias("formatted"),
         S.minutes_between(F.col("ts"), F.col("ts") + F.expr("INTERVAL 90 MINUTES")).alias("minutes"))
 

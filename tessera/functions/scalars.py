@@ -33,6 +33,13 @@ def minutes_between(start, end) -> Column:
     return (F.unix_timestamp(col_(end)) - F.unix_timestamp(col_(start))) / 60.0
 
 
+def hour_start(ts) -> Column:
+    """Timestamp truncated to the hour, as a zone-free (NTZ) wall-clock
+    value. ``date_trunc`` on an NTZ input returns a session-zone timestamp;
+    casting back keeps results independent of the session time zone."""
+    return F.date_trunc("hour", col_(ts)).cast("timestamp_ntz")
+
+
 def day_night(ts, night_start: int = 22, night_end: int = 6) -> Column:
     """J26: 'night' for hours in [night_start, 24) u [0, night_end), else 'day'."""
     h = F.hour(col_(ts))
@@ -71,4 +78,4 @@ def integer_temperature(c) -> Column:
 
 
 __all__ = ["tolerant_number", "marker_to_null", "strip_chars", "minutes_between", "day_night",
-           "bands", "safe_ratio", "precipitation", "integer_temperature", "DECIMAL_RE"]
+           "bands", "safe_ratio", "hour_start", "precipitation", "integer_temperature", "DECIMAL_RE"]

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.scalars import safe_ratio  # noqa: F401  (re-exported, E28)
+from tessera.functions.scalars import hour_start, safe_ratio  # noqa: F401  (safe_ratio re-exported, E28)
 
 
 def agg(df: DataFrame, keys, exprs: dict, having: Column | None = None, order=None) -> DataFrame:
@@ -34,7 +34,7 @@ def hourly_profile(df: DataFrame, ts: str, name: str = "pickup_hour", count: str
 
 def hourly_counts(df: DataFrame, ts: str, name: str = "obs_hour", count: str = "trip_count") -> DataFrame:
     """Rows per calendar hour."""
-    return df.groupBy(F.date_trunc("hour", F.col(ts)).alias(name)).agg(F.count(F.lit(1)).alias(count))
+    return df.groupBy(hour_start(ts).alias(name)).agg(F.count(F.lit(1)).alias(count))
 
 
 def percentile_by(df: DataFrame, keys, col: str, p: float, name: str = "pct",

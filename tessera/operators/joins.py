@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.scalars import hour_start
+
 
 def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast hint only if the frame has at most ``max_rows`` rows.
@@ -111,8 +113,8 @@ def above_scalar(df: DataFrame, col: str, agg: Column, source: DataFrame | None
 def join_on_hour(left: DataFrame, ts: str, right: DataFrame, ts2: str, how: str = "inner",
                  name: str = "obs_hour") -> DataFrame:
     """Equi join on both timestamps truncated to the hour."""
-    l = left.withColumn(name, F.date_trunc("hour", F.col(ts)))
-    r = right.withColumn(name, F.date_trunc("hour", F.col(ts2)))
+    l = left.withColumn(name, hour_start(ts))
+    r = right.withColumn(name, hour_start(ts2))
     return l.join(r, name, how)
 
 

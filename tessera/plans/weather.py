@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.scalars import integer_temperature, precipitation
+from tessera.functions.scalars import hour_start, integer_temperature, precipitation
 from tessera.operators.aggregates import hourly_counts
 from tessera.functions.stats import t_pvalue
 
@@ -31,7 +31,7 @@ def hourly_weather(raw: DataFrame, blank_as_zero: bool = False) -> DataFrame:
     obs = raw.filter(F.col("REPORT_TYPE").contains("FM-15")).select(
         integer_temperature("HourlyDryBulbTemperature").alias("temperature_f"),
         precipitation("HourlyPrecipitation", blank_as_zero).alias("precipitation_in"),
-        F.date_trunc("hour", F.to_timestamp("DATE")).alias("obs_hour"))
+        hour_start(F.to_timestamp_ntz("DATE")).alias("obs_hour"))
     return obs.groupBy("obs_hour").agg(F.avg("temperature_f").alias("temperature_f"),
                                        F.sum("precipitation_in").alias("precipitation_in"))
 
