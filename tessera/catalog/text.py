@@ -34,7 +34,7 @@ def stop(spark, sf):
          array_to_string(regexp_extract_all(lower(text), {TOK}), ' ') AS tokens FROM documents""")
 def q_tokenize(spark, sf):
     d = L.tokenize(docs(spark, sf), "text")
-    return d.select("doc_id", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
+    return d.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
 
 
 @query("word_count", f"""

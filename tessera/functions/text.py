@@ -66,7 +66,7 @@ def explode_words(df, arr: Column, name: str = "word", keep=()):
 def count_members(arr: Column, words) -> Column:
     """How many elements of ``arr`` are in ``words`` (duplicates count)."""
     lit = F.array(*[F.lit(w) for w in words])
-    return F.size(F.filter(arr, lambda x: F.array_contains(lit, x)))
+    return F.size(F.filter(arr, lambda x: F.array_contains(lit, x))).cast("long")
 
 
 @F.pandas_udf(T.StringType())

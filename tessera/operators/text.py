@@ -108,7 +108,7 @@ def word_weight(counts: DataFrame, scaling: float = 0.5, word: str = "word", cou
     """
     mx = counts.select(F.max(count)).scalar()
     n = counts.select(F.count(F.lit(1))).scalar()
-    rank = F.row_number().over(Window.orderBy(F.col(count).desc(), F.col(word)))
+    rank = F.row_number().over(Window.orderBy(F.col(count).desc(), F.col(word))).cast("long")
     return (counts.withColumn("rank", rank)
             .withColumn("weight", F.lit(scaling) * F.col(count) / mx
                         + F.lit(1 - scaling) * (1 - (F.col("rank") - 1) / n)))

@@ -28,7 +28,7 @@ def topn(df: DataFrame, keys, order, n: int, ties: str = "rank", name: str = "ra
     then end with a unique tie-break column)."""
     w = Window.partitionBy(*_cols(keys)).orderBy(*_cols(order))
     fn = F.rank() if ties == "rank" else F.row_number()
-    return df.withColumn(name, fn.over(w)).filter(F.col(name) <= n)
+    return df.withColumn(name, fn.over(w)).filter(F.col(name) <= n).withColumn(name, F.col(name).cast("long"))
 
 
 def lag_gap(df: DataFrame, keys, ts: str, slice_unit: str = "day", out: str = "gap_minutes",
