@@ -64,21 +64,32 @@ def zscore(df: DataFrame, cols, suffix: str = "_z", names: dict | None = None) -
 
 def global_rank(df: DataFrame, order, name: str = "rank", partitions: int | None = None) -> DataFrame:
     """1-based position in a global order (``order`` should be unique, add a
-    tie-break). Range partitioning keeps every partition bounded; per-partition
-    counts (one row per partition) give each partition its offset."""
+    tie-break). Range partitioning keeps every partition bounded; rows are
+    numbered in place after a sort within each partition
+    (``monotonically_increasing_id`` = partition id in the high bits, position
+    in the low 33 bits), so there is no second shuffle. Per-partition counts
+    (one row per partition) give each partition its offset.
+
+    The explicit partition count keeps AQE from coalescing the range
+    partitions, so both branches see the same layout."""
     order = _cols(order)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
-    offsets = (ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    low = (1 << 33) - 1
+    mid = F.monotonically_increasing_id()
+    ranged = df.repartitionByRange(n, *order)
+    numbered = (ranged.sortWithinPartitions(*order)
+                .withColumn("_mid", mid)
+                .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
+                .withColumn("_local", F.col("_mid").bitwiseAND(F.lit(low)) + 1))
+    # counted straight off the same range exchange (reused at runtime), no sort
+    offsets = (ranged.groupBy(F.spark_partition_id().cast("long").alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
                .withColumn("_off", F.coalesce(F.sum("_n").over(
                    Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                .drop("_n"))
-    local = F.row_number().over(Window.partitionBy("_pid").orderBy(*order))
     # offsets has one row per partition: a proven bound, safe to broadcast
-    return (ranged.withColumn("_local", local)
-            .join(F.broadcast(offsets), "_pid")
+    return (numbered.join(F.broadcast(offsets), "_pid")
             .withColumn(name, (F.col("_local") + F.col("_off")).cast("long"))
-            .drop("_pid", "_local", "_off"))
+            .drop("_pid", "_local", "_off", "_mid"))
 
 
 def flag_max(df: DataFrame, value: str, tie_break: str, name: str = "is_max") -> DataFrame:
