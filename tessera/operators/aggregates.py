@@ -97,27 +97,30 @@ def corr_matrix(df: DataFrame, cols) -> DataFrame:
 
 def histogram(df: DataFrame, cols, bins: int = 10) -> DataFrame:
     """Equal-width bins per column between its min and max; the max value
-    falls in the last bin; empty bins are listed with count 0."""
-    parts = []
-    for c in cols:
-        lo = df.select(F.min(F.col(c).cast("double"))).scalar()
-        hi = df.select(F.max(F.col(c).cast("double"))).scalar()
+    falls in the last bin; empty bins are listed with count 0.
+
+    One scan: min/max of every column come from one merged scalar-subquery
+    aggregate; each row emits one (column, bin) pair per column and a single
+    grouped count follows."""
+    lo = {c: df.select(F.min(F.col(c).cast("double"))).scalar() for c in cols}
+    hi = {c: df.select(F.max(F.col(c).cast("double"))).scalar() for c in cols}
+
+    def bin_of(c):
         x = F.col(c).cast("double")
-        b = F.floor((x - lo) * bins / F.nullif(hi - lo, F.lit(0.0))) + 1
-        counted = (df.filter(x.isNotNull())
-                   .groupBy(F.least(F.coalesce(b, F.lit(1)), F.lit(bins)).cast("long").alias("bin"))
-                   .agg(F.count(F.lit(1)).alias("count")))
-        all_bins = (df.sparkSession.range(1, bins + 1).select(F.col("id").cast("long").alias("bin")))
-        width = (hi - lo) / F.lit(bins)
-        parts.append(all_bins.join(counted, "bin", "left").select(
-            F.lit(c).alias("column"), "bin",
-            (lo + (F.col("bin") - 1) * width).alias("lower"),
-            (lo + F.col("bin") * width).alias("upper"),
-            F.coalesce("count", F.lit(0)).alias("count")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        b = F.floor((x - lo[c]) * bins / F.nullif(hi[c] - lo[c], F.lit(0.0))) + 1
+        return F.when(x.isNotNull(), F.least(F.coalesce(b, F.lit(1)), F.lit(bins)).cast("long"))
+
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), bin_of(c).alias("bin")) for c in cols])
+    counted = (df.select(F.inline(pairs)).filter(F.col("bin").isNotNull())
+               .groupBy("column", "bin").agg(F.count(F.lit(1)).alias("count")))
+    spark = df.sparkSession
+    grid = spark.createDataFrame([(c, b) for c in cols for b in range(1, bins + 1)], "column string, bin long")
+    lo_col = F.coalesce(*[F.when(F.col("column") == c, lo[c]) for c in cols])
+    hi_col = F.coalesce(*[F.when(F.col("column") == c, hi[c]) for c in cols])
+    width = (hi_col - lo_col) / F.lit(bins)
+    return grid.join(counted, ["column", "bin"], "left").select(
+        "column", "bin", (lo_col + (F.col("bin") - 1) * width).alias("lower"),
+        (lo_col + F.col("bin") * width).alias("upper"), F.coalesce("count", F.lit(0)).alias("count"))
 
 
 def min_sample(df: DataFrame, count_cols, n: int, name: str = "has_enough_data") -> DataFrame:

@@ -56,8 +56,16 @@ def anti(left: DataFrame, right: DataFrame, on) -> DataFrame:
 def not_in(left: DataFrame, col: str, right: DataFrame, col2: str) -> DataFrame:
     """SQL ``NOT IN (subquery)`` with its null rules: one null in the list
     empties the result; a null probe value passes only when the list is empty.
-    Planned by Spark as a null-aware anti join."""
-    return left.filter(~F.col(col).isin(right.select(col2)))
+
+    Built from an ordinary anti join (hash or sort-merge, chosen by size at
+    runtime) plus two scalar counts, instead of the null-aware anti join that
+    Spark can only plan when the list side is broadcastable (otherwise it
+    falls back to a nested-loop join)."""
+    keys = right.select(F.col(col2).alias("_k"))
+    n_list = keys.select(F.count(F.lit(1))).scalar()
+    n_null = keys.select(F.count_if(F.col("_k").isNull())).scalar()
+    unmatched = left.join(keys.filter(F.col("_k").isNotNull()).distinct(), F.col(col) == F.col("_k"), "left_anti")
+    return unmatched.filter((n_null == 0) & (F.col(col).isNotNull() | (n_list == 0)))
 
 
 _OPS = {"=": lambda a, b: a == b, "<>": lambda a, b: a != b, ">": lambda a, b: a > b,

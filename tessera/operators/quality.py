@@ -13,14 +13,13 @@ from pyspark.sql import functions as F
 
 
 def check_pk(df: DataFrame, key) -> DataFrame:
-    """Key values that are null or not unique: (key..., n, problem)."""
+    """Key values that are null or not unique: (key..., n, problem), from
+    one grouped count."""
     keys = [key] if isinstance(key, str) else list(key)
     null_any = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    dup = (df.filter(~null_any).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-           .filter(F.col("n") > 1).withColumn("problem", F.lit("duplicate")))
-    nulls = (df.filter(null_any).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-             .withColumn("problem", F.lit("null key")))
-    return dup.unionByName(nulls)
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return (per_key.filter(null_any | (F.col("n") > 1))
+            .withColumn("problem", F.when(null_any, F.lit("null key")).otherwise(F.lit("duplicate"))))
 
 
 def check_fk(child: DataFrame, col: str, parent: DataFrame, key: str) -> DataFrame:
