@@ -217,3 +217,15 @@ def q_daily_summary(spark, sf):
     from tessera.operators.quality import daily_summary
     return daily_summary(t(spark, sf, "orders"), "o_orderdate",
                          {"orders": F.count(F.lit(1)), "revenue": F.round(F.sum("o_totalprice"), 2)})
+
+
+@query("first_per_key", """
+  SELECT c_nationkey, c_custkey, c_name FROM (
+    SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS r FROM customer) x
+  WHERE r = 1""")
+def q_first_per_key(spark, sf):
+    # One row per key, chosen by an explicit order (dropDuplicates keeps an arbitrary row)
+    from tessera.operators.windows import topn
+    c = t(spark, sf, "customer")
+    return topn(c, "c_nationkey", [F.col("c_acctbal").desc(), F.col("c_custkey")], 1, "row").select(
+        "c_nationkey", "c_custkey", "c_name")
