@@ -225,3 +225,32 @@ def test_checkpoint_dir_respects_session(spark):
     from tessera.session import checkpoint_dir
     d = checkpoint_dir(spark)
     assert d and checkpoint_dir(spark) == d
+
+
+def test_mixed_files_injection_adds_exactly_500(spark, tmp_path, tiny):
+    from tessera.sources.files import read_mixed
+    trips = TR.trips_from_events(spark.read.parquet(f"{tiny}/events.parquet"))
+    base = str(tmp_path / "trips")
+    trips.write.parquet(f"{base}/yellow_tripdata_2024-01.parquet")
+    before = read_mixed(spark, base, "yellow_tripdata_*").count()
+    extra = trips.limit(500)
+    extra.select(*reversed(extra.columns)).write.option("header", True).csv(f"{base}/yellow_tripdata_2024-02.csv")
+    spark.range(3).write.option("header", True).csv(f"{base}/weather_2024_central_park.csv")
+    after = read_mixed(spark, base, "yellow_tripdata_*")
+    assert after.count() == before + 500
+    assert dict(after.dtypes)["tpep_pickup_datetime"] == "timestamp_ntz"
+
+
+def test_any_over_empty_set_is_false(spark):
+    left = spark.createDataFrame([(1,), (2,)], "k int")
+    empty = spark.createDataFrame([], "k2 int")
+    assert D.any_of(left, "k", ">", empty, "k2").count() == 0
+    assert D.any_of(left, "k", "=", empty, "k2").count() == 0
+
+
+def test_gdp_unknown_country_kept(spark):
+    from tessera.plans.gdp import transform_gdp
+    raw = spark.createDataFrame([("Aland", 2500.0), ("Nowhere", 1234.0)], "Country string, GDP_USD_millions double")
+    regions = spark.createDataFrame([("Aland", "Europe")], "Country string, Region string")
+    got = {r.Country: (r.Region, r.GDP_USD_billion) for r in transform_gdp(raw, regions).collect()}
+    assert got == {"Aland": ("Europe", 2.5), "Nowhere": ("not found", 1.23)}
