@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tessera.catalog import load, query
-from tessera.catalog.trips import CLEAN_SQL, HOURLY_TRIPS_SQL, cleaned
+from tessera.catalog.trips import HOURLY_TRIPS_SQL, cleaned
 from tessera.operators.stats import pearson, welch
 from tessera.plans import weather as WX
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tessera.catalog import load, query
 from tessera.plans import trips as T
-from tessera.plans.demand_gap import demand_gap, excluded_zones, pickup_gaps
+from tessera.plans.demand_gap import demand_gap, excluded_zones
 
 # Shared SQL fragments: the same stand-in mapping and cleaning as the Spark side.
 TRIPS_SQL = """

@@ -1,7 +1,6 @@
 """Hand-made rows for the semantics the reference pins down (FIXTURES.md §2)."""
 
 import datetime as dt
-import math
 
 import pytest
 from pyspark.sql import Row
