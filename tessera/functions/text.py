@@ -70,11 +70,18 @@ def count_members(arr: Column, words) -> Column:
 
 
 @F.pandas_udf(T.StringType())
-def html_unescape(s: pd.Series) -> pd.Series:
-    """HTML entities to characters (Arrow batches; the one text step Spark lacks)."""
+def _unescape_batch(s: pd.Series) -> pd.Series:
     return s.map(lambda v: None if v is None else html.unescape(v))
 
 
+def html_unescape(text) -> Column:
+    """HTML entities to characters (Arrow batches; the one text step Spark
+    lacks). Only texts containing '&' can change, so only those are shipped to
+    Python; the others pass as nulls and are restored by ``coalesce``."""
+    t = F.col(text) if isinstance(text, str) else text
+    return F.coalesce(_unescape_batch(F.when(t.contains("&"), t)), t)
+
+
 # Python's Unicode whitespace, spelled out so every regex engine agrees on it
 WHITESPACE = r"\t\n\x0B\f\r\x1C-\x1F\x{85}\p{Z}"
 
@@ -82,5 +89,5 @@ WHITESPACE = r"\t\n\x0B\f\r\x1C-\x1F\x{85}\p{Z}"
 def letters_only_words(text: Column) -> Column:
     """L2 core: lower, keep ASCII letters and whitespace, split on whitespace runs."""
     kept = F.regexp_replace(F.lower(text), "[^a-zA-Z" + WHITESPACE + "]", "")
-    parts = F.split(F.trim(F.regexp_replace(kept, "[" + WHITESPACE + "]+", " ")), " ")
-    return F.array_remove(parts, "")
+    # what is left is letters and whitespace: the words are the letter runs
+    return F.regexp_extract_all(kept, F.lit("([a-zA-Z]+)"), 1)
