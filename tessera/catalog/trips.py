@@ -105,7 +105,7 @@ def q_gap_minutes(spark, sf):
     from tessera.functions.scalars import day_night
     from tessera.operators.windows import lag_gap
     t = t.withColumn("time_bucket", day_night(T.PICKUP))
-    return lag_gap(t, ["service", "time_bucket"], T.PICKUP, "day", out="gap_minutes", prev="prev_pickup")
+    return lag_gap(t, ["service", "time_bucket"], T.PICKUP, out="gap_minutes", prev="prev_pickup")
 
 
 def demand_gap_sql(zone_expr: str, min_trips: int) -> str:

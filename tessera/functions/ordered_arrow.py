@@ -1,0 +1,59 @@
+"""Vectorised scan of a sorted partition for ``mapInArrow``: the previous row's
+value when it belongs to the same key. Rows arrive in the partition's sort
+order; the last row of each batch is carried into the next batch, so the
+result does not depend on batch boundaries.
+
+No Spark objects are created at import time (executors import this module).
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+
+def _same_as_previous(col: pa.Array) -> pa.Array:
+    """Row i (i >= 1) has the same value as row i - 1; nulls equal nulls and
+    NaN equals NaN, as in Spark's grouping. Length ``len(col) - 1``."""
+    cur, prv = col.slice(1), col.slice(0, len(col) - 1)
+    same = pc.fill_null(pc.equal(cur, prv), False)
+    same = pc.or_(same, pc.and_(pc.is_null(cur), pc.is_null(prv)))
+    if pa.types.is_floating(col.type):
+        nan = pc.and_(pc.fill_null(pc.is_nan(cur), False), pc.fill_null(pc.is_nan(prv), False))
+        same = pc.or_(same, nan)
+    return same
+
+
+def previous_in_key(batches, keys: list[str], value: str, prev_name: str, first_name: str,
+                    last_name: str):
+    """For each row: ``prev_name`` = ``value`` of the previous row of the same
+    key in this partition (null for a key's first row here); ``first_name`` /
+    ``last_name`` = True only on the partition's first / last row (the rows
+    that link a partition to its neighbours). One batch is held back so the
+    last row can be flagged."""
+    cols = keys + [value]
+    carry = None                     # last row of the previous batch
+    pending = None                   # finished batch not yet yielded
+    for batch in batches:
+        n = batch.num_rows
+        if n == 0:
+            continue
+        lead = carry if carry is not None else pa.RecordBatch.from_arrays(
+            [pa.nulls(1, batch.column(c).type) for c in cols], names=cols)
+        ext = {c: pa.concat_arrays([lead.column(c), batch.column(c)]) for c in cols}
+        head = np.zeros(n, dtype=bool)
+        head[0] = carry is None
+        same = pa.array(~head)
+        for k in keys:
+            same = pc.and_(same, _same_as_previous(ext[k]))
+        prev_vals = ext[value].slice(0, n)
+        prev = pc.if_else(same, prev_vals, pa.nulls(n, prev_vals.type))
+        if pending is not None:
+            yield pending.append_column(last_name, pa.array(np.zeros(pending.num_rows, dtype=bool)))
+        pending = batch.append_column(prev_name, prev).append_column(first_name, pa.array(head))
+        carry = batch.select(cols).slice(n - 1, 1)
+    if pending is not None:
+        tail = np.zeros(pending.num_rows, dtype=bool)
+        tail[-1] = True
+        yield pending.append_column(last_name, pa.array(tail))

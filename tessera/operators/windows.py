@@ -2,9 +2,9 @@
 
 * ``topn`` filters on ``rank``/``row_number`` so Spark inserts a partial
   ``WindowGroupLimit`` before the shuffle: each task ships at most n rows per group.
-* ``lag_gap`` splits every key by a time slice, so a key holding a third of all
-  rows is spread over many tasks; the first row of each slice gets its
-  predecessor from a small per-(key, slice) table.
+* ``lag_gap`` range-partitions on (key, ts), so a key holding a third of all
+  rows is spread over many tasks; each partition's first row gets its
+  predecessor from a one-row-per-partition edge table.
 * ``zscore`` and ``flag_max`` use scalar subqueries (a one-row aggregate
   inlined as a value), not a global window or a cross join.
 * ``global_rank`` range-partitions, counts per partition and adds offsets.
@@ -14,6 +14,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tessera.functions.ordered_arrow import previous_in_key
 
 
 def _cols(xs):
@@ -31,10 +34,61 @@ def topn(df: DataFrame, keys, order, n: int, ties: str = "rank", name: str = "ra
     return df.withColumn(name, fn.over(w)).filter(F.col(name) <= n).withColumn(name, F.col(name).cast("long"))
 
 
-def lag_gap(df: DataFrame, keys, ts: str, slice_unit: str = "day", out: str = "gap_minutes",
-            prev: str = "prev_ts") -> DataFrame:
+def lag_gap(df: DataFrame, keys, ts: str, out: str = "gap_minutes", prev: str = "prev_ts",
+            partitions: int | None = None) -> DataFrame:
     """previous row's timestamp per key (ordered by ``ts``) and the gap in
-    whole-second minutes. Equal to ``lag(ts) over (partition by keys order by ts)``.
+    whole-second minutes. Equal to ``lag(ts) over (partition by keys order by ts)``,
+    with no key, and no busy hour of a key, ever held by one task:
+
+    1. one range exchange on (keys, ts) cuts the sort order into bounded
+       partitions; a key holding a third of all rows spans many of them;
+    2. each sorted partition is scanned once over Arrow batches
+       (``mapInArrow``): a row's predecessor is the row before it when that
+       row has the same key; the partition's first and last rows are flagged;
+    3. a partition is a contiguous stretch of the order, so only its first
+       key can continue from an earlier partition, and only at its first row.
+       That row takes the last (key, ts) of the nearest earlier non-empty
+       partition when the key matches. The edge table has one row per
+       partition - a proven bound - and is broadcast.
+
+    The edge table is built from the flagged rows of the same scan, so both
+    branches end in the identical range exchange and Spark reuses it: the
+    data is sampled and shuffled once, and both branches see one set of range
+    boundaries (two separate range exchanges may sample different bounds).
+    """
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        raise ValueError("lag_gap needs spark.sql.exchange.reuse=true (both branches must read one range exchange)")
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(k) for k in keys] + [F.col(ts)]
+    ranged = (df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+              .sortWithinPartitions(*order))
+    schema = (StructType(list(ranged.schema.fields)).add("_local_prev", ranged.schema[ts].dataType)
+              .add("_first", "boolean").add("_last", "boolean"))
+    scanned = ranged.mapInArrow(
+        lambda it: previous_in_key(it, keys, ts, "_local_prev", "_first", "_last"), schema)
+    key = F.struct(*[F.col(k) for k in keys])
+    edges = (scanned.filter(F.col("_first") | F.col("_last"))
+             .groupBy("_pid")
+             .agg(F.max(F.when(F.col("_first"), key)).alias("_first_key"),
+                  F.max(F.when(F.col("_last"), F.struct(key.alias("k"), F.col(ts).alias("t")))).alias("_end"))
+             .withColumn("_before", F.lag("_end").over(Window.orderBy("_pid")))
+             .select("_pid", F.when(F.col("_before.k").eqNullSafe(F.col("_first_key")),
+                                    F.col("_before.t")).alias("_carry")))
+    # edges: one row per partition, safe to broadcast
+    out_df = (scanned.join(F.broadcast(edges), "_pid", "left")
+              .withColumn(prev, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_local_prev")))
+              .drop("_pid", "_local_prev", "_first", "_last", "_carry"))
+    return out_df.withColumn(out, (F.unix_timestamp(F.col(ts)) - F.unix_timestamp(F.col(prev))) / 60.0)
+
+
+def lag_gap_sliced(df: DataFrame, keys, ts: str, slice_unit: str = "day", out: str = "gap_minutes",
+                   prev: str = "prev_ts") -> DataFrame:
+    """F3 without the range exchange's sampling pass, for data whose volume per
+    (key, time slice) is known to be bounded: the window runs per (key, slice)
+    and each slice's first row takes the previous non-empty slice's last
+    timestamp from a small per-(key, slice) table. Same result as ``lag_gap``.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     sl = "_slice"

@@ -7,21 +7,25 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scalars import day_night, safe_ratio
 from tessera.operators.joins import bucket_pivot
-from tessera.operators.windows import lag_gap
+from tessera.operators.windows import lag_gap, lag_gap_sliced
 
 MIN_TRIPS_PER_BUCKET = 500
 
 
 def pickup_gaps(trips: DataFrame, zone: str = "PULocationID", ts: str = "tpep_pickup_datetime",
-                slice_unit: str = "day") -> DataFrame:
+                slice_unit: str | None = None) -> DataFrame:
     """F3 per (zone, day/night bucket). The gap of a bucket's first pickup of a
-    night is measured from the previous night's last pickup, as in the source."""
+    night is measured from the previous night's last pickup, as in the source.
+    ``slice_unit`` (e.g. ``'day'``) picks the time-sliced window instead of the
+    range exchange, for data with a known bound per (zone, slice)."""
     df = trips.select(zone, ts).withColumn("time_bucket", day_night(ts))
-    return lag_gap(df, [zone, "time_bucket"], ts, slice_unit, out="gap_minutes", prev="prev_pickup")
+    if slice_unit:
+        return lag_gap_sliced(df, [zone, "time_bucket"], ts, slice_unit, out="gap_minutes", prev="prev_pickup")
+    return lag_gap(df, [zone, "time_bucket"], ts, out="gap_minutes", prev="prev_pickup")
 
 
 def demand_gap(trips: DataFrame, zone: str = "PULocationID", min_trips: int = MIN_TRIPS_PER_BUCKET,
-               p: float = 0.9, accuracy: int = 10000, slice_unit: str = "day") -> DataFrame:
+               p: float = 0.9, accuracy: int = 10000, slice_unit: str | None = None) -> DataFrame:
     """Per zone: trip counts and p90 gap for day and night, sample flag, ratio."""
     gaps = pickup_gaps(trips, zone, slice_unit=slice_unit)
 

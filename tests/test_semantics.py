@@ -75,12 +75,49 @@ def test_demand_gap_buckets_and_flags(spark):
 def test_lag_gap_across_slices_equals_plain_lag(spark):
     rows = [(k, ts("2024-01-01 00:00:00") + dt.timedelta(minutes=37 * i + 5 * k)) for k in (1, 2) for i in range(200)]
     df = spark.createDataFrame(rows, "k int, t timestamp_ntz")
-    split = W.lag_gap(df, ["k"], "t", "hour").select("k", "t", "prev_ts")
+    split = W.lag_gap_sliced(df, ["k"], "t", "hour").select("k", "t", "prev_ts")
     from pyspark.sql import Window
     plain = df.withColumn("prev_ts", F.lag("t").over(Window.partitionBy("k").orderBy("t")))
     assert sorted(split.collect()) == sorted(plain.collect())
 
 
+def _plain_lag(df, keys, t):
+    from pyspark.sql import Window
+    return df.withColumn("prev_ts", F.lag(t).over(Window.partitionBy(*keys).orderBy(t)))
+
+
+def _key(r):
+    return tuple((x is None, x) for x in r)
+
+
+@pytest.mark.parametrize("parts", [1, 3, 16, 64])
+def test_lag_gap_range_equals_plain_lag(spark, parts):
+    # one hot key (a third of the rows spread over many partitions), a null key,
+    # repeated timestamps, null timestamps, keys with a single row
+    base = ts("2024-01-01 00:00:00")
+    rows = [(1, "a", base + dt.timedelta(seconds=7 * i)) for i in range(600)]
+    rows += [(k, "b", base + dt.timedelta(minutes=(k * 13 + i * 29) % 500)) for k in range(2, 40) for i in range(30)]
+    rows += [(None, "b", base + dt.timedelta(minutes=i)) for i in range(20)]
+    rows += [(5, "b", base), (5, "b", base), (7, "c", None), (7, "c", None), (7, "c", base), (99, None, base)]
+    df = spark.createDataFrame(rows, "k int, s string, t timestamp_ntz")
+    got = W.lag_gap(df, ["k", "s"], "t", partitions=parts).select("k", "s", "t", "prev_ts", "gap_minutes")
+    want = _plain_lag(df, ["k", "s"], "t").withColumn(
+        "gap_minutes", (F.unix_timestamp("t") - F.unix_timestamp("prev_ts")) / 60.0)
+    assert sorted(got.collect(), key=_key) == sorted(want.collect(), key=_key)
+
+
+def test_lag_gap_range_across_arrow_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        base = ts("2024-03-01 00:00:00")
+        rows = [(i % 3, base + dt.timedelta(minutes=i * 11 % 997)) for i in range(400)]
+        df = spark.createDataFrame(rows, "k int, t timestamp")
+        got = W.lag_gap(df, "k", "t", partitions=4).select("k", "t", "prev_ts")
+        assert sorted(got.collect(), key=_key) == sorted(_plain_lag(df, ["k"], "t").collect(), key=_key)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_tokens_unicode_and_apostrophes(spark):
     df = spark.createDataFrame([("Don't don’t UPPER Émile 42 snake_case ½",)], "text string")
     wc = df.select(tokens("text", WORDCOUNT_TOKEN).alias("t")).first().t
