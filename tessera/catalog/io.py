@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from tessera.catalog import load, query
 from tessera.catalog.html import GDP_SQL, gdp
-from tessera.catalog.trips import CLEAN_SQL, TRIPS_SQL
+from tessera.catalog.trips import CLEAN_SQL, PEAK_SQL, TRIPS_SQL, q_peak_hours
 from tessera.catalog.text import TOK
 from tessera.plans import ratings as P11
 from tessera.plans import trips as TR
@@ -36,10 +36,21 @@ def q_csv_roundtrip(spark, sf):
 def q_csv_raw(spark, sf):
     c = load(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     path = scratch(spark, "customer_raw")
-    K.write_csv(c, path, single=True)
+    # a whole table grows with the data: part files, written in parallel
+    K.write_csv(c, path, single=False)
     return S.read_csv_raw(spark, path)
 
 
+@query("csv_single", f"SELECT * FROM ({PEAK_SQL}) p")
+def q_csv_single(spark, sf):
+    # A result bounded by construction (one row per hour of the day)
+    # written as one CSV file, then read back with its schema
+    peak = q_peak_hours(spark, sf)
+    path = scratch(spark, "peak_csv")
+    K.write_csv(peak, path, single=True)
+    return S.read_csv(spark, path, peak.schema)
+
+
 @query("headerless_latin1", """
   SELECT conv_id, turn, role, replace(text, chr(10), ' ') AS text FROM conversations""")
 def q_headerless_latin1(spark, sf):

@@ -23,10 +23,17 @@ def write_parquet(df: DataFrame, path: str, partition_by=None, mode: str = "over
     w.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, single: bool = False, mode: str = "overwrite") -> None:
-    """CSV with header. ``single=True`` only for results of bounded size
-    (a zone table, a one-row summary): it funnels the data through one task."""
-    out = df.coalesce(1) if single else df
+def write_csv(df: DataFrame, path: str, single: bool = False, mode: str = "overwrite",
+              max_single_rows: int = 1_000_000) -> None:
+    """CSV with header. ``single=True`` writes one file for a result
+    of bounded size (a zone table, a one-row summary). The bound is checked:
+    ``limit(n + 1).count()`` stops reading once it is exceeded, and a larger
+    frame is written whole as part files instead. ``repartition(1)`` (not
+    ``coalesce(1)``) keeps the stages that compute the result parallel; only
+    the final, bounded write runs in one task."""
+    out = df
+    if single and df.limit(max_single_rows + 1).count() <= max_single_rows:
+        out = df.repartition(1)
     out.write.mode(mode).option("header", True).csv(path)
 
 

@@ -54,3 +54,20 @@ def test_update_null_condition_keeps_value(spark):
     out = I.update_where(df, F.col("v") > 3, {"v": F.lit(0)})
     assert {r.id: r.v for r in out.collect()} == {1: None, 2: 0}
     assert I.delete_where(df, F.col("v") > 3).count() == 1       # null condition keeps the row
+
+
+def test_single_csv_only_for_bounded_results(spark):
+    import glob
+
+    from tessera.sources import sinks as K
+    df = spark.range(0, 500, 1, 6).withColumn("v", F.col("id") * 2)
+    small = f"{checkpoint_dir(spark)}/t-single-{uuid.uuid4().hex}"
+    K.write_csv(df, small, single=True)
+    def files(p):
+        return glob.glob(f"{p.removeprefix('file:')}/part-*.csv")
+    assert len(files(small)) == 1
+    big = f"{checkpoint_dir(spark)}/t-parts-{uuid.uuid4().hex}"
+    K.write_csv(df, big, single=True, max_single_rows=100)      # over the bound: part files, all rows kept
+    assert len(files(big)) > 1
+    back = spark.read.option("header", True).schema("id long, v long").csv(big)
+    assert back.count() == 500 and back.agg(F.sum("v")).first()[0] == 2 * sum(range(500))
