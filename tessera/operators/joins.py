@@ -90,19 +90,21 @@ def any_of(left: DataFrame, col: str, op: str, right: DataFrame, col2: str) -> D
     if op in ("<", "<="):
         return left.filter(_OPS[op](x, hi))
     if op == "<>":
-        return left.filter((lo != hi) | (x != lo))
+        # a null probe compares as unknown with every member: never true
+        return left.filter(x.isNotNull() & ((lo != hi) | (x != lo)))
     raise ValueError(op)
 
 
 def all_of(left: DataFrame, col: str, op: str, right: DataFrame, col2: str) -> DataFrame:
     """``col op ALL (subquery)``: true on an empty set; a null in the set
     makes the predicate unknown (row dropped) unless a counter-example exists."""
+    if op == "<>":
+        # differs from every member: exactly NOT IN, with its null rules
+        return not_in(left, col, right, col2)
     n, n_null, lo, hi = _set_stats(right, col2)
     x = F.col(col)
     if op == "=":
         holds = (lo == hi) & (x == lo)
-    elif op == "<>":
-        holds = (x < lo) | (x > hi)
     elif op in (">", ">="):
         holds = _OPS[op](x, hi)
     elif op in ("<", "<="):

@@ -71,3 +71,24 @@ def test_single_csv_only_for_bounded_results(spark):
     assert len(files(big)) > 1
     back = spark.read.option("header", True).schema("id long, v long").csv(big)
     assert back.count() == 500 and back.agg(F.sum("v")).first()[0] == 2 * sum(range(500))
+
+
+def test_any_all_match_exists_rewrites(spark):
+    # x op ANY (S) == EXISTS (s in S where x op s); x op ALL (S) == NOT EXISTS (s where NOT (x op s) or unknown)
+    left = spark.createDataFrame([(1,), (2,), (3,), (None,)], "x int")
+    sets = {"two": [(1,), (3,)], "one": [(2,)], "nulls": [(2,), (None,)], "empty": []}
+    left.createOrReplaceTempView("l")
+    for name, rows in sets.items():
+        right = spark.createDataFrame(rows, "s int")
+        right.createOrReplaceTempView("r")
+        for op in ("=", "<>", ">", ">=", "<", "<="):
+            got_any = sorted(r.x for r in D.any_of(left, "x", op, right, "s").collect())
+            want_any = sorted(r.x for r in spark.sql(
+                f"SELECT x FROM l WHERE EXISTS (SELECT 1 FROM r WHERE l.x {op} r.s)").collect())
+            assert got_any == want_any, (name, op, "any")
+            got_all = sorted((r.x for r in D.all_of(left, "x", op, right, "s").collect()), key=lambda v: (v is None, v))
+            want_all = sorted((r.x for r in spark.sql(
+                f"SELECT x FROM l WHERE NOT EXISTS (SELECT 1 FROM r WHERE NOT coalesce(l.x {op} r.s, false))"
+                f" AND (NOT EXISTS (SELECT 1 FROM r WHERE (l.x {op} r.s) IS NULL) OR NOT EXISTS (SELECT 1 FROM r))").collect()),
+                key=lambda v: (v is None, v))
+            assert got_all == want_all, (name, op, "all")
