@@ -7,7 +7,7 @@ MERGE support where available).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -23,7 +23,7 @@ def update_where(df: DataFrame, cond, changes: dict) -> DataFrame:
     ``cond=None`` updates every row."""
     out = {}
     for c, expr in changes.items():
-        new = expr if not isinstance(expr, (int, float, str)) or isinstance(expr, bool) else F.lit(expr)
+        new = expr if isinstance(expr, Column) else F.lit(expr)
         new = new.cast(df.schema[c].dataType)
         out[c] = new if cond is None else F.when(F.coalesce(cond, F.lit(False)), new).otherwise(F.col(c))
     return df.withColumns(out)

@@ -28,16 +28,7 @@ def char_class(col, chars: str, negate: bool = False) -> Column:
 def range_guard(df: DataFrame, bounds: dict, not_null=()) -> DataFrame:
     """For each column ``(low, low_open, high)``: low < x (or <=) and x <= high,
     plus not-null checks, as one filter."""
-    cond = F.lit(True)
-    for c, (low, low_open, high) in bounds.items():
-        col = F.col(c)
-        if low is not None:
-            cond = cond & ((col > low) if low_open else (col >= low))
-        if high is not None:
-            cond = cond & (col <= high)
-    for c in not_null:
-        cond = cond & F.col(c).isNotNull()
-    return df.filter(cond)
+    return df.filter(guard_condition(bounds, not_null))
 
 
 def guard_condition(bounds: dict, not_null=()) -> Column:

@@ -92,3 +92,10 @@ def test_any_all_match_exists_rewrites(spark):
                 f" AND (NOT EXISTS (SELECT 1 FROM r WHERE (l.x {op} r.s) IS NULL) OR NOT EXISTS (SELECT 1 FROM r))").collect()),
                 key=lambda v: (v is None, v))
             assert got_all == want_all, (name, op, "all")
+
+
+def test_update_where_literals_of_every_kind(spark):
+    df = spark.createDataFrame([(1, "a", 1.0, False), (2, "b", 2.0, False)], "k int, s string, x double, f boolean")
+    out = I.update_where(df, F.col("k") == 2, {"s": "z", "x": 5, "f": True, "k": F.col("k") * 10})
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "a", 1.0, False), (20, "z", 5.0, True)]
+    assert out.schema == df.schema
