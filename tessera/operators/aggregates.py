@@ -4,7 +4,7 @@ costs one row per task, not its whole group."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import hour_start, safe_ratio  # noqa: F401  (safe_ratio re-exported, E28)
@@ -72,18 +72,69 @@ def nonnull_by_key(df: DataFrame, key: str, cols=None) -> DataFrame:
     return df.groupBy(key).agg(*[F.count(c).alias(c) for c in cols])
 
 
-def describe(df: DataFrame, cols, accuracy: int = 1_000_000) -> DataFrame:
-    """Per column count, mean, std (n-1), min, 25/50/75 % (approximate,
-    mergeable sketch, exact for inputs under ``accuracy`` rows), max, long format."""
-    exprs = []
+def exact_quantiles(df: DataFrame, cols, probs, partitions: int | None = None) -> DataFrame:
+    """Exact discrete quantiles of several columns: (column, p, value), where
+    value is the one at 1-based position ``max(1, ceil(p * n))`` of the sorted
+    non-null values (SQL ``quantile_disc``). Nothing is held whole:
+
+    * values become long (column, value) rows and are counted per distinct
+      value (a partial aggregate, so repeated values collapse before the shuffle);
+    * the counts are range-partitioned on (column, value); a running count
+      within each (partition, column) runs over one bounded range partition;
+    * each (column, partition) pair gets the counts of the column's earlier
+      partitions from an offsets table with at most partitions + columns rows
+      (a proven bound, broadcast); the column size n comes from the same table.
+
+    Both branches read one range exchange (reused at runtime), so they see the
+    same range bounds.
+    """
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        raise ValueError("exact_quantiles needs spark.sql.exchange.reuse=true")
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
+    counts = (df.select(F.inline(pairs)).filter(F.col("value").isNotNull())
+              .groupBy("column", "value").agg(F.count(F.lit(1)).alias("w")))
+    ranged = counts.repartitionByRange(n_parts, "column", "value").withColumn("_pid", F.spark_partition_id())
+    before = Window.partitionBy("column").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy("column", "_pid").agg(F.sum("w").alias("_tot"))
+               .withColumn("_off", F.coalesce(F.sum("_tot").over(before), F.lit(0)))
+               .withColumn("_n", F.sum("_tot").over(Window.partitionBy("column")))
+               .drop("_tot"))
+    upto = Window.partitionBy("_pid", "column").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    cum = (ranged.withColumn("_local", F.sum("w").over(upto))
+           .join(F.broadcast(offsets), ["column", "_pid"])
+           .withColumn("_cum", F.col("_local") + F.col("_off")))
+    hits = []
+    for p in probs:
+        k = F.greatest(F.ceil(F.lit(float(p)) * F.col("_n")), F.lit(1))
+        hits.append(F.when((F.col("_cum") >= k) & (F.col("_cum") - F.col("w") < k), F.lit(float(p))))
+    picked = F.filter(F.array(*hits), lambda x: x.isNotNull())
+    return cum.select("column", F.explode(picked).alias("p"), "value")
+
+
+def describe(df: DataFrame, cols, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
+    """Per column count, mean, std (n-1), min, 25/50/75 %, max, long format.
+
+    Quartiles are exact discrete quantiles by default (``exact_quantiles``: a
+    distributed running count, no group held whole). ``exact=False`` uses the
+    mergeable ``percentile_approx`` sketch at ``accuracy`` instead (one pass)."""
+    moments = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy)
-        exprs.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"),
-                              F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                              F.min(x).alias("min"), q[0].alias("p25"), q[1].alias("p50"),
-                              q[2].alias("p75"), F.max(x).alias("max")))
-    return df.agg(F.array(*exprs).alias("r")).select(F.inline("r"))
+        fields = [F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
+                  F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")]
+        if not exact:
+            q = F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy)
+            fields += [q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75")]
+        moments.append(F.struct(*fields))
+    out = df.agg(F.array(*moments).alias("r")).select(F.inline("r"))
+    if exact:
+        q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+        wide = q.groupBy("column").agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(name)
+                                         for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+        out = out.join(wide, "column", "left")
+    return out.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def corr_matrix(df: DataFrame, cols) -> DataFrame:

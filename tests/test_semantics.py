@@ -290,3 +290,25 @@ def test_gdp_unknown_country_kept(spark):
     regions = spark.createDataFrame([("Aland", "Europe")], "Country string, Region string")
     got = {r.Country: (r.Region, r.GDP_USD_billion) for r in transform_gdp(raw, regions).collect()}
     assert got == {"Aland": ("Europe", 2.5), "Nowhere": ("not found", 1.23)}
+
+
+@pytest.mark.parametrize("parts", [1, 4, 32])
+def test_exact_quantiles_equal_sorted_positions(spark, parts):
+    import math
+
+    from tessera.operators.aggregates import exact_quantiles
+    rows = [(float(i % 7), float(i) * 0.5 if i % 5 else None, 3.0, None) for i in range(1, 203)]
+    rows[0] = (1.0, -4.0, 3.0, None)
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    probs = [0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    got = {(r.column, r.p): r.value for r in exact_quantiles(df, ["a", "b", "c", "d"], probs, partitions=parts).collect()}
+    for ci, c in enumerate("abcd"):
+        vals = sorted(r[ci] for r in rows if r[ci] is not None)
+        for p in probs:
+            if not vals:
+                assert (c, p) not in got
+                continue
+            k = max(1, math.ceil(p * len(vals)))
+            assert got[(c, p)] == vals[k - 1], (c, p)
+    one = spark.createDataFrame([(5.0,)], "x double")
+    assert {r.p: r.value for r in exact_quantiles(one, ["x"], [0.25, 0.75]).collect()} == {0.25: 5.0, 0.75: 5.0}
