@@ -65,3 +65,19 @@ def test_range_exchange_read_once(spark, tiny, name):
     executed = df._jdf.queryExecution().executedPlan().toString()
     assert executed.count("rangepartitioning") >= 1
     assert "ReusedExchange" in executed
+
+
+def test_partitioned_write_one_file_per_small_day(spark, tiny):
+    import glob
+    import uuid
+
+    from tessera.plans import trips as TR
+    from tessera.session import checkpoint_dir
+    root = f"{checkpoint_dir(spark)}/t-clean-{uuid.uuid4().hex}"
+    src, out = f"{root}/raw", f"{root}/out"
+    TR.trips_from_events(spark.read.parquet(f"{tiny}/events.parquet")).write.parquet(f"{src}/yellow_tripdata_x.parquet")
+    back = TR.run_clean(spark, src, out)
+    days = glob.glob(f"{out.removeprefix('file:')}/pickup_date=*")
+    files = glob.glob(f"{out.removeprefix('file:')}/pickup_date=*/*.parquet")
+    assert back.count() > 0 and len(days) > 1
+    assert len(files) == len(days)          # small days: one file each, not one per scan task
