@@ -16,11 +16,14 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
 
 
 def write_parquet(df: DataFrame, path: str, partition_by=None, mode: str = "overwrite") -> None:
-    """Parquet, many files, optionally partitioned for pruning."""
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-    w.parquet(path)
+    """Parquet, many files, optionally partitioned for pruning. With
+    partition columns the rows are rebalanced on them first, so each folder
+    gets a few large files (AQE splits a heavy value over several tasks)."""
+    if not partition_by:
+        df.write.mode(mode).parquet(path)
+        return
+    cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    df.hint("rebalance", *cols).write.mode(mode).partitionBy(*cols).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, single: bool = False, mode: str = "overwrite",

@@ -99,3 +99,13 @@ def test_update_where_literals_of_every_kind(spark):
     out = I.update_where(df, F.col("k") == 2, {"s": "z", "x": 5, "f": True, "k": F.col("k") * 10})
     assert sorted(tuple(r) for r in out.collect()) == [(1, "a", 1.0, False), (20, "z", 5.0, True)]
     assert out.schema == df.schema
+
+
+def test_write_parquet_partitioned_round_trip(spark):
+    from tessera.sources import sinks as K
+    df = spark.range(0, 300, 1, 5).select((F.col("id") % 4).alias("part"), F.col("id"))
+    path = f"{checkpoint_dir(spark)}/t-pq-{uuid.uuid4().hex}"
+    K.write_parquet(df, path, partition_by="part")
+    back = spark.read.parquet(path)
+    assert back.filter(F.col("part") == 2).count() == 75
+    assert sorted(r.id for r in back.select("id").collect()) == list(range(300))
