@@ -312,3 +312,22 @@ def test_exact_quantiles_equal_sorted_positions(spark, parts):
             assert got[(c, p)] == vals[k - 1], (c, p)
     one = spark.createDataFrame([(5.0,)], "x double")
     assert {r.p: r.value for r in exact_quantiles(one, ["x"], [0.25, 0.75]).collect()} == {0.25: 5.0, 0.75: 5.0}
+
+
+def test_sample_n_large_n_path_equals_small_n_path(spark):
+    from tessera.operators.ordering import sample_n
+    rows = [(i, "hot" if i % 3 else ("b" if i % 2 else "c")) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, cls string")
+    small = sorted(tuple(r) for r in sample_n(df, "cls", "id", 400, seed=7).collect())
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
+    try:
+        large = sorted(tuple(r) for r in sample_n(df, "cls", "id", 400, seed=7, rows_per_bucket=97).collect())
+        p = sample_n(df, "cls", "id", 400, seed=7, rows_per_bucket=97)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    assert large == small
+    counts = {}
+    for _, c in small:
+        counts[c] = counts.get(c, 0) + 1
+    assert counts == {"hot": 400, "b": 400, "c": 400}
+    assert "_b" in p                          # the bucketed path ran
