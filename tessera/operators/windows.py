@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StructType
 
 from tessera.functions.ordered_arrow import previous_in_key
 
@@ -61,7 +61,11 @@ def lag_gap(df: DataFrame, keys, ts: str, out: str = "gap_minutes", prev: str =
         raise ValueError("lag_gap needs spark.sql.exchange.reuse=true (both branches must read one range exchange)")
     keys = [keys] if isinstance(keys, str) else list(keys)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(k) for k in keys] + [F.col(ts)]
+    # last ordering key: a hash of the row, so a burst of rows with one (key, ts)
+    # is spread too, and ties are ordered the same way on every task attempt
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    df = df.withColumn("_tb", F.xxhash64(*[F.col(c) for c in hashable]))
+    order = [F.col(k) for k in keys] + [F.col(ts), F.col("_tb")]
     ranged = (df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
               .sortWithinPartitions(*order))
     schema = (StructType(list(ranged.schema.fields)).add("_local_prev", ranged.schema[ts].dataType)
@@ -79,7 +83,7 @@ def lag_gap(df: DataFrame, keys, ts: str, out: str = "gap_minutes", prev: str =
     # edges: one row per partition, safe to broadcast
     out_df = (scanned.join(F.broadcast(edges), "_pid", "left")
               .withColumn(prev, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_local_prev")))
-              .drop("_pid", "_local_prev", "_first", "_last", "_carry"))
+              .drop("_pid", "_local_prev", "_first", "_last", "_carry", "_tb"))
     return out_df.withColumn(out, (F.unix_timestamp(F.col(ts)) - F.unix_timestamp(F.col(prev))) / 60.0)
 
 

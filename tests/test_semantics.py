@@ -331,3 +331,20 @@ def test_sample_n_large_n_path_equals_small_n_path(spark):
         counts[c] = counts.get(c, 0) + 1
     assert counts == {"hot": 400, "b": 400, "c": 400}
     assert "_b" in p                          # the bucketed path ran
+
+
+def test_lag_gap_range_spreads_one_timestamp_burst(spark):
+    # a third of the rows share one (key, ts): they may span partitions and
+    # still get the same gaps as a plain lag (0 after the first)
+    base = ts("2024-05-01 08:00:00")
+    rows = [(1, base, i) for i in range(300)] + [(1, base + dt.timedelta(minutes=i + 1), 1000 + i) for i in range(300)]
+    rows += [(2, base + dt.timedelta(minutes=i), 2000 + i) for i in range(300)]
+    df = spark.createDataFrame(rows, "k int, t timestamp_ntz, id int")
+    got = W.lag_gap(df, "k", "t", partitions=12)
+    assert got.columns == ["k", "t", "id", "prev_ts", "gap_minutes"]
+    want = _plain_lag(df, ["k"], "t")
+    strip = lambda d: sorted(((r.k, r.t, r.prev_ts) for r in d.collect()), key=_key)
+    assert strip(got) == strip(want)
+    spread = (df.withColumn("_tb", F.xxhash64("k", "t", "id")).repartitionByRange(12, "k", "t", "_tb")
+              .filter((F.col("k") == 1) & (F.col("t") == base)).select(F.spark_partition_id()).distinct().count())
+    assert spread > 1
