@@ -128,22 +128,25 @@ def read_mixed(spark: SparkSession, directory: str, pattern: str,
     Raises ``FileNotFoundError`` when neither format matches.
     """
     pq_glob, csv_glob = f"{directory}/{pattern}.parquet", f"{directory}/{pattern}.csv"
-    frames = []
-    if _exists(spark, pq_glob):
-        frames.append(spark.read.parquet(pq_glob))
+    pq = spark.read.parquet(pq_glob) if _exists(spark, pq_glob) else None
+    csv = None
     if _exists(spark, csv_glob):
         reader = spark.read.option("header", True)
-        reader = reader.schema(csv_schema) if csv_schema is not None else reader.option("inferSchema", True)
-        frames.append(reader.csv(csv_glob))
-    if not frames:
+        if csv_schema is not None:
+            reader = reader.schema(csv_schema)
+        elif pq is None:
+            reader = reader.option("inferSchema", True)
+        # with a parquet side and no schema the CSV stays text and is typed by
+        # column name below: no inference pass over the CSV files
+        csv = reader.csv(csv_glob)
+    if pq is None and csv is None:
         raise FileNotFoundError(f"no {pattern}.parquet / {pattern}.csv under {directory}")
-    if len(frames) == 2:
-        pq, csv = frames
-        typed = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in csv.columns else
-                 F.lit(None).cast(f.dataType).alias(f.name) for f in pq.schema.fields]
-        extra = [c for c in csv.columns if c not in pq.columns]
-        frames = [pq, csv.select(*typed, *extra)]
-    return union_by_name(frames)
+    if pq is None or csv is None:
+        return pq if csv is None else csv
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) if f.name in csv.columns else
+             F.lit(None).cast(f.dataType).alias(f.name) for f in pq.schema.fields]
+    extra = [c for c in csv.columns if c not in pq.columns]
+    return union_by_name([pq, csv.select(*typed, *extra)])
 
 
 def read_lookup(spark: SparkSession, path, schema: T.StructType | str | None = None) -> DataFrame:

@@ -270,11 +270,15 @@ def test_mixed_files_injection_adds_exactly_500(spark, tmp_path, tiny):
     trips.write.parquet(f"{base}/yellow_tripdata_2024-01.parquet")
     before = read_mixed(spark, base, "yellow_tripdata_*").count()
     extra = trips.limit(500)
-    extra.select(*reversed(extra.columns)).write.option("header", True).csv(f"{base}/yellow_tripdata_2024-02.csv")
+    extra.select(*reversed(extra.columns)).write.option("header", True).option(
+        "timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(f"{base}/yellow_tripdata_2024-02.csv")
     spark.range(3).write.option("header", True).csv(f"{base}/weather_2024_central_park.csv")
     after = read_mixed(spark, base, "yellow_tripdata_*")
     assert after.count() == before + 500
     assert dict(after.dtypes)["tpep_pickup_datetime"] == "timestamp_ntz"
+    # the CSV rows come back with their values, typed by column name
+    added = after.exceptAll(spark.read.parquet(f"{base}/yellow_tripdata_2024-01.parquet"))
+    assert sorted(map(tuple, added.collect())) == sorted(map(tuple, extra.select(*after.columns).collect()))
 
 
 def test_any_over_empty_set_is_false(spark):
