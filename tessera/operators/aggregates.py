@@ -79,11 +79,12 @@ def exact_quantiles(df: DataFrame, cols, probs, partitions: int | None = None) -
 
     * values become long (column, value) rows and are counted per distinct
       value (a partial aggregate, so repeated values collapse before the shuffle);
-    * the counts are range-partitioned on (column, value); a running count
-      within each (partition, column) runs over one bounded range partition;
-    * each (column, partition) pair gets the counts of the column's earlier
-      partitions from an offsets table with at most partitions + columns rows
-      (a proven bound, broadcast); the column size n comes from the same table.
+    * the counts are range-partitioned on (column, value); per (column,
+      partition) totals give each partition its offset within the column and
+      the column size n (a table of at most partitions + columns rows);
+    * only the partitions holding a wanted position (at most columns x probs,
+      picked by a broadcast join - no shuffle of the rest) get a running
+      count, over one bounded range partition each.
 
     Both branches read one range exchange (reused at runtime), so they see the
     same range bounds.
@@ -99,16 +100,21 @@ def exact_quantiles(df: DataFrame, cols, probs, partitions: int | None = None) -
     before = Window.partitionBy("column").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (ranged.groupBy("column", "_pid").agg(F.sum("w").alias("_tot"))
                .withColumn("_off", F.coalesce(F.sum("_tot").over(before), F.lit(0)))
-               .withColumn("_n", F.sum("_tot").over(Window.partitionBy("column")))
-               .drop("_tot"))
-    upto = Window.partitionBy("_pid", "column").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    cum = (ranged.withColumn("_local", F.sum("w").over(upto))
-           .join(F.broadcast(offsets), ["column", "_pid"])
-           .withColumn("_cum", F.col("_local") + F.col("_off")))
-    hits = []
+               .withColumn("_n", F.sum("_tot").over(Window.partitionBy("column"))))
+
+    def position(p):
+        return F.greatest(F.ceil(F.lit(float(p)) * F.col("_n")), F.lit(1))
+
+    holds = F.lit(False)
     for p in probs:
-        k = F.greatest(F.ceil(F.lit(float(p)) * F.col("_n")), F.lit(1))
-        hits.append(F.when((F.col("_cum") >= k) & (F.col("_cum") - F.col("w") < k), F.lit(float(p))))
+        holds = holds | ((F.col("_off") < position(p)) & (position(p) <= F.col("_off") + F.col("_tot")))
+    # at most columns x probs rows: a proven bound, broadcast
+    targets = offsets.filter(holds).select("column", "_pid", "_off", "_n")
+    upto = Window.partitionBy("_pid", "column").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    cum = (ranged.join(F.broadcast(targets), ["column", "_pid"])
+           .withColumn("_cum", F.col("_off") + F.sum("w").over(upto)))
+    hits = [F.when((F.col("_cum") >= position(p)) & (F.col("_cum") - F.col("w") < position(p)), F.lit(float(p)))
+            for p in probs]
     picked = F.filter(F.array(*hits), lambda x: x.isNotNull())
     return cum.select("column", F.explode(picked).alias("p"), "value")
 
