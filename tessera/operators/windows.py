@@ -25,15 +25,57 @@ def _cols(xs):
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def topn(df: DataFrame, keys, order, n: int, ties: str = "rank", name: str = "rank_in_group") -> DataFrame:
+def topn(df: DataFrame, keys, order, n: int, ties: str = "rank", name: str = "rank_in_group",
+         partitions: int | None = None) -> DataFrame:
     """top n rows per group. ``ties='rank'`` keeps all rows tied at the cut
     (may return more than n); ``ties='row'`` returns exactly n (``order`` must
-    then end with a unique tie-break column)."""
+    then end with a unique tie-break column).
+
+    Up to Spark's group-limit threshold (1000) the filter on the rank lets
+    Spark run a partial group limit before the shuffle. Beyond it a hot group
+    would be ranked in one task, so the ranked path below is used."""
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n > threshold:
+        return _topn_ranged(df, keys, order, n, ties, name, partitions)
     w = Window.partitionBy(*_cols(keys)).orderBy(*_cols(order))
     fn = F.rank() if ties == "rank" else F.row_number()
     return df.withColumn(name, fn.over(w)).filter(F.col(name) <= n).withColumn(name, F.col(name).cast("long"))
 
 
+def _topn_ranged(df: DataFrame, keys, order, n: int, ties: str, name: str, partitions: int | None) -> DataFrame:
+    """Top n per group for large n without a group in one task: a range
+    exchange on (group, order) spreads a hot group over many partitions (equal
+    order values never split, so a local rank plus the group's row count in
+    earlier partitions is the exact rank); only partitions that can hold one of
+    a group's first n rows are ranked. The count branch references every
+    column, so column pruning leaves both branches on the identical exchange
+    (reused at runtime: one sampling, one set of bounds)."""
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        raise ValueError("topn with large n needs spark.sql.exchange.reuse=true")
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    if not all(isinstance(k, str) for k in keys):
+        raise TypeError("topn with large n takes group keys as column names")
+    cols = df.columns
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *_cols(keys), *_cols(order)).withColumn("_pid", F.spark_partition_id())
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    targets = (ranged.groupBy(*keys, "_pid")
+               .agg(F.count(F.lit(1)).alias("_c"), F.max(F.xxhash64(*[F.col(c) for c in hashable])).alias("_all"))
+               .withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0)))
+               # _all is never null for a non-empty group; testing it keeps the
+               # hash (and so every column) in the plan
+               .filter((F.col("_off") < n) & F.col("_all").isNotNull())
+               .select(*keys, "_pid", "_off"))
+    fn = F.rank() if ties == "rank" else F.row_number()
+    local = fn.over(Window.partitionBy("_pid", *keys).orderBy(*_cols(order)))
+    return (ranged.join(targets, keys + ["_pid"])
+            .withColumn(name, (local + F.col("_off")).cast("long"))
+            .filter(F.col(name) <= n)
+            .select(*cols, name))
+
+
 def lag_gap(df: DataFrame, keys, ts: str, out: str = "gap_minutes", prev: str = "prev_ts",
             partitions: int | None = None) -> DataFrame:
     """previous row's timestamp per key (ordered by ``ts``) and the gap in

@@ -352,3 +352,25 @@ def test_lag_gap_range_spreads_one_timestamp_burst(spark):
     spread = (df.withColumn("_tb", F.xxhash64("k", "t", "id")).repartitionByRange(12, "k", "t", "_tb")
               .filter((F.col("k") == 1) & (F.col("t") == base)).select(F.spark_partition_id()).distinct().count())
     assert spread > 1
+
+
+@pytest.mark.parametrize("ties", ["rank", "row"])
+def test_topn_large_n_equals_plain_window(spark, ties):
+    from pyspark.sql import Window
+    # one hot group, tied values, groups smaller than n
+    rows = [("hot", i % 97, i) for i in range(1500)] + [(f"g{i % 5}", i % 13, 5000 + i) for i in range(200)]
+    df = spark.createDataFrame(rows, "g string, v int, id int")
+    order = [F.col("v").desc(), F.col("id")] if ties == "row" else [F.col("v").desc()]
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "5")
+    try:
+        got = W.topn(df, "g", order, 300, ties, partitions=16)
+        got_rows = sorted(tuple(r) for r in got.collect())
+        got.collect()
+        executed = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    fn = F.rank() if ties == "rank" else F.row_number()
+    want = (df.withColumn("rank_in_group", fn.over(Window.partitionBy("g").orderBy(*order)).cast("long"))
+            .filter(F.col("rank_in_group") <= 300))
+    assert got_rows == sorted(tuple(r) for r in want.collect())
+    assert "ReusedExchange" in executed and "rangepartitioning" in executed
