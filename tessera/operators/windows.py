@@ -25,6 +25,20 @@ def _cols(xs):
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def _identity_batches(batches):
+    yield from batches
+
+
+def _range_exchange(df: DataFrame, n: int, order) -> DataFrame:
+    """A range exchange that every consumer reads whole. Operators here read
+    one range exchange from two branches (rows and per-partition counts); if
+    column pruning gave the branches different columns they would get two
+    exchanges, and two exchanges sample different range bounds. An identity
+    pass over Arrow batches consumes every column, so both branches keep the
+    identical exchange and Spark reuses it."""
+    return df.repartitionByRange(n, *order).mapInArrow(_identity_batches, df.schema)
+
+
 def topn(df: DataFrame, keys, order, n: int, ties: str = "rank", name: str = "rank_in_group",
          partitions: int | None = None) -> DataFrame:
     """top n rows per group. ``ties='rank'`` keeps all rows tied at the cut
@@ -47,9 +61,8 @@ def _topn_ranged(df: DataFrame, keys, order, n: int, ties: str, name: str, parti
     exchange on (group, order) spreads a hot group over many partitions (equal
     order values never split, so a local rank plus the group's row count in
     earlier partitions is the exact rank); only partitions that can hold one of
-    a group's first n rows are ranked. The count branch references every
-    column, so column pruning leaves both branches on the identical exchange
-    (reused at runtime: one sampling, one set of bounds)."""
+    a group's first n rows are ranked. Both branches read one range exchange
+    (``_range_exchange``: reused at runtime, one sampling, one set of bounds)."""
     spark = df.sparkSession
     if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
         raise ValueError("topn with large n needs spark.sql.exchange.reuse=true")
@@ -58,15 +71,11 @@ def _topn_ranged(df: DataFrame, keys, order, n: int, ties: str, name: str, parti
         raise TypeError("topn with large n takes group keys as column names")
     cols = df.columns
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *_cols(keys), *_cols(order)).withColumn("_pid", F.spark_partition_id())
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    ranged = _range_exchange(df, parts, [*_cols(keys), *_cols(order)]).withColumn("_pid", F.spark_partition_id())
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    targets = (ranged.groupBy(*keys, "_pid")
-               .agg(F.count(F.lit(1)).alias("_c"), F.max(F.xxhash64(*[F.col(c) for c in hashable])).alias("_all"))
+    targets = (ranged.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_c"))
                .withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-               # _all is never null for a non-empty group; testing it keeps the
-               # hash (and so every column) in the plan
-               .filter((F.col("_off") < n) & F.col("_all").isNotNull())
+               .filter(F.col("_off") < n)
                .select(*keys, "_pid", "_off"))
     fn = F.rank() if ties == "rank" else F.row_number()
     local = fn.over(Window.partitionBy("_pid", *keys).orderBy(*_cols(order)))
@@ -164,7 +173,8 @@ def zscore(df: DataFrame, cols, suffix: str = "_z", names: dict | None = None) -
 
 def global_rank(df: DataFrame, order, name: str = "rank", partitions: int | None = None) -> DataFrame:
     """1-based position in a global order (``order`` should be unique, add a
-    tie-break). Range partitioning keeps every partition bounded; rows are
+    tie-break). Range partitioning (``_range_exchange``, read by both
+    branches) keeps every partition bounded; rows are
     numbered in place after a sort within each partition
     (``monotonically_increasing_id`` = partition id in the high bits, position
     in the low 33 bits), so there is no second shuffle. Per-partition counts
@@ -176,7 +186,7 @@ def global_rank(df: DataFrame, order, name: str = "rank", partitions: int | None
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     low = (1 << 33) - 1
     mid = F.monotonically_increasing_id()
-    ranged = df.repartitionByRange(n, *order)
+    ranged = _range_exchange(df, n, order)
     numbered = (ranged.sortWithinPartitions(*order)
                 .withColumn("_mid", mid)
                 .withColumn("_pid", F.shiftright(F.col("_mid"), 33))

@@ -56,7 +56,7 @@ def test_lag_gap_spreads_hot_keys_by_range(spark, tiny):
     assert "BroadcastHashJoin" in p or "BroadcastExchange" in p
 
 
-@pytest.mark.parametrize("name", ["gap_minutes", "global_rank", "describe"])
+@pytest.mark.parametrize("name", ["gap_minutes", "global_rank", "describe", "priority_score", "top_percent"])
 def test_range_exchange_read_once(spark, tiny, name):
     # both branches must see one set of range bounds: the second reads the
     # first's shuffle output instead of sampling its own
