@@ -375,3 +375,27 @@ def test_topn_large_n_equals_plain_window(spark, ties):
             .filter(F.col("rank_in_group") <= 300))
     assert got_rows == sorted(tuple(r) for r in want.collect())
     assert "ReusedExchange" in executed and "rangepartitioning" in executed
+
+
+def test_streaming_sentiment_totals_survive_restart(spark, tmp_path, tiny):
+    # two file drops, two runs from one checkpoint: the running totals equal
+    # the batch totals over everything (state is kept in the checkpoint folder)
+    from tessera.operators.text import sentiment_counts
+    from tessera.streaming.jobs import stream_files, streaming_sentiment_counts
+    conv = spark.read.parquet(f"{tiny}/conversations.parquet").select("conv_id", "turn", "text")
+    src, ck = str(tmp_path / "src"), str(tmp_path / "ck")
+    conv.filter("turn % 2 = 0").write.parquet(src)
+
+    def run(name):
+        q = (streaming_sentiment_counts(stream_files(spark, src, conv.schema), "text")
+             .writeStream.outputMode("complete").format("memory").queryName(name)
+             .option("checkpointLocation", ck).trigger(availableNow=True).start())
+        q.awaitTermination(120)
+        return {r.sentiment: r.n for r in spark.table(name).collect()}
+
+    first = run("sent_first")
+    conv.filter("turn % 2 = 1").write.mode("append").parquet(src)
+    second = run("sent_second")
+    want = {r.sentiment: r.n for r in sentiment_counts(conv, "text").collect()}
+    assert second == want
+    assert sum(first.values()) == conv.filter("turn % 2 = 0").count()
