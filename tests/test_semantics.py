@@ -3,6 +3,8 @@
 import datetime as dt
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -399,3 +401,32 @@ def test_streaming_sentiment_totals_survive_restart(spark, tmp_path, tiny):
     want = {r.sentiment: r.n for r in sentiment_counts(conv, "text").collect()}
     assert second == want
     assert sum(first.values()) == conv.filter("turn % 2 = 0").count()
+
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.sampled_from([None, 1, 2, 3]), st.integers(0, 40)), min_size=1, max_size=120),
+       parts=st.sampled_from([1, 3, 7]))
+def test_property_lag_gap_range_equals_lag(spark, rows, parts):
+    base = ts("2024-01-01 00:00:00")
+    data = [(k, base + dt.timedelta(minutes=m), i) for i, (k, m) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k int, t timestamp_ntz, id int")
+    got = W.lag_gap(df, "k", "t", partitions=parts)
+    want = _plain_lag(df, ["k"], "t")
+    strip = lambda d: sorted(((r.k, r.t, r.prev_ts) for r in d.collect()), key=_key)
+    assert strip(got) == strip(want)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(vals=st.lists(st.one_of(st.none(), st.integers(-5, 5)), min_size=1, max_size=150),
+       parts=st.sampled_from([1, 4, 9]))
+def test_property_exact_quantiles_equal_sorted_positions(spark, vals, parts):
+    import math
+
+    from tessera.operators.aggregates import exact_quantiles
+    df = spark.createDataFrame([(None if v is None else float(v),) for v in vals], "x double")
+    probs = [0.01, 0.25, 0.5, 0.9, 1.0]
+    got = {r.p: r.value for r in exact_quantiles(df, ["x"], probs, partitions=parts).collect()}
+    srt = sorted(v for v in vals if v is not None)
+    want = {p: float(srt[max(1, math.ceil(p * len(srt))) - 1]) for p in probs} if srt else {}
+    assert got == want
