@@ -89,9 +89,9 @@ def exact_quantiles(df: DataFrame, cols, probs, partitions: int | None = None) -
     Both branches read one range exchange (reused at runtime), so they see the
     same range bounds.
     """
+    from tessera.operators.windows import require_exchange_reuse
     spark = df.sparkSession
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        raise ValueError("exact_quantiles needs spark.sql.exchange.reuse=true")
+    require_exchange_reuse(spark, "exact_quantiles")
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
     counts = (df.select(F.inline(pairs)).filter(F.col("value").isNotNull())

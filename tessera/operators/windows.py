@@ -1,10 +1,11 @@
 """Window operators (F1-F6), written so no window runs over one unbounded partition.
 
 * ``topn`` filters on ``rank``/``row_number`` so Spark inserts a partial
-  ``WindowGroupLimit`` before the shuffle: each task ships at most n rows per group.
-* ``lag_gap`` range-partitions on (key, ts), so a key holding a third of all
-  rows is spread over many tasks; each partition's first row gets its
-  predecessor from a one-row-per-partition edge table.
+  ``WindowGroupLimit`` before the shuffle: each task ships at most n rows per
+  group; above Spark's threshold it ranks range partitions instead.
+* ``lag_gap`` range-partitions on (key, ts, row hash), so a key holding a
+  third of all rows is spread over many tasks; each partition's first row
+  gets its predecessor from a one-row-per-partition edge table.
 * ``zscore`` and ``flag_max`` use scalar subqueries (a one-row aggregate
   inlined as a value), not a global window or a cross join.
 * ``global_rank`` range-partitions, counts per partition and adds offsets.
@@ -25,6 +26,13 @@ def _cols(xs):
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def require_exchange_reuse(spark, what: str) -> None:
+    """Operators that read one range exchange from two branches are only
+    correct when Spark reuses it (Spark's default)."""
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        raise ValueError(f"{what} needs spark.sql.exchange.reuse=true (both branches must read one range exchange)")
+
+
 def _identity_batches(batches):
     yield from batches
 
@@ -64,8 +72,7 @@ def _topn_ranged(df: DataFrame, keys, order, n: int, ties: str, name: str, parti
     a group's first n rows are ranked. Both branches read one range exchange
     (``_range_exchange``: reused at runtime, one sampling, one set of bounds)."""
     spark = df.sparkSession
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        raise ValueError("topn with large n needs spark.sql.exchange.reuse=true")
+    require_exchange_reuse(spark, "topn with large n")
     keys = [keys] if isinstance(keys, str) else list(keys)
     if not all(isinstance(k, str) for k in keys):
         raise TypeError("topn with large n takes group keys as column names")
@@ -108,8 +115,7 @@ def lag_gap(df: DataFrame, keys, ts: str, out: str = "gap_minutes", prev: str =
     boundaries (two separate range exchanges may sample different bounds).
     """
     spark = df.sparkSession
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        raise ValueError("lag_gap needs spark.sql.exchange.reuse=true (both branches must read one range exchange)")
+    require_exchange_reuse(spark, "lag_gap")
     keys = [keys] if isinstance(keys, str) else list(keys)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # last ordering key: a hash of the row, so a burst of rows with one (key, ts)
@@ -182,6 +188,7 @@ def global_rank(df: DataFrame, order, name: str = "rank", partitions: int | None
 
     The explicit partition count keeps AQE from coalescing the range
     partitions, so both branches see the same layout."""
+    require_exchange_reuse(df.sparkSession, "global_rank")
     order = _cols(order)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     low = (1 << 33) - 1
