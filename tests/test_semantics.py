@@ -430,3 +430,19 @@ def test_property_exact_quantiles_equal_sorted_positions(spark, vals, parts):
     srt = sorted(v for v in vals if v is not None)
     want = {p: float(srt[max(1, math.ceil(p * len(srt))) - 1]) for p in probs} if srt else {}
     assert got == want
+
+
+@pytest.mark.parametrize("desc", [True, False])
+def test_topn_large_n_with_null_order_values(spark, desc):
+    from pyspark.sql import Window
+    rows = [("hot", None if i % 4 == 0 else i % 50, i) for i in range(900)] + [("cold", None, 5000 + i) for i in range(30)]
+    df = spark.createDataFrame(rows, "g string, v int, id int")
+    order = [F.col("v").desc() if desc else F.col("v").asc(), F.col("id")]
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "5")
+    try:
+        got = sorted((tuple(r) for r in W.topn(df, "g", order, 400, "row", partitions=8).collect()), key=_key)
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    want = (df.withColumn("rank_in_group", F.row_number().over(Window.partitionBy("g").orderBy(*order)).cast("long"))
+            .filter(F.col("rank_in_group") <= 400))
+    assert got == sorted((tuple(r) for r in want.collect()), key=_key)
