@@ -446,3 +446,19 @@ def test_topn_large_n_with_null_order_values(spark, desc):
     want = (df.withColumn("rank_in_group", F.row_number().over(Window.partitionBy("g").orderBy(*order)).cast("long"))
             .filter(F.col("rank_in_group") <= 400))
     assert got == sorted((tuple(r) for r in want.collect()), key=_key)
+
+
+def test_lag_gap_range_zone_aware_timestamps_other_session_zone(spark):
+    # zone-aware timestamps cross the Arrow pass with a time zone attached
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        base = dt.datetime(2024, 3, 10, 1, 0, 0)          # the spring-forward night
+        rows = [(i % 3, base + dt.timedelta(minutes=13 * i)) for i in range(120)]
+        df = spark.createDataFrame(rows, "k int, t timestamp")
+        got = W.lag_gap(df, "k", "t", partitions=5).select("k", "t", "prev_ts", "gap_minutes")
+        want = _plain_lag(df, ["k"], "t").withColumn(
+            "gap_minutes", (F.unix_timestamp("t") - F.unix_timestamp("prev_ts")) / 60.0)
+        assert sorted(got.collect(), key=_key) == sorted(want.collect(), key=_key)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
