@@ -462,3 +462,17 @@ def test_lag_gap_range_zone_aware_timestamps_other_session_zone(spark):
         assert sorted(got.collect(), key=_key) == sorted(want.collect(), key=_key)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_global_rank_keeps_nested_and_timestamp_columns(spark):
+    rows = [(i, float(i % 17), [i, i + 1], (str(i), i * 2), dt.datetime(2024, 1, 1) + dt.timedelta(hours=i))
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, v double, arr array<long>, s struct<a:string,b:long>, t timestamp")
+    got = W.global_rank(df, [F.col("v").desc(), F.col("id")], "rank", partitions=7)
+    out = sorted(got.collect(), key=lambda r: r["rank"])
+    assert [r["rank"] for r in out] == list(range(1, 301))
+    assert [(r.v, r.id) for r in out] == sorted(((r[1], r[0]) for r in rows), key=lambda x: (-x[0], x[1]))
+    assert {(r.id, tuple(r.arr), r.s.a, r.s.b, r.t) for r in out} == {(a, tuple(b), c[0], c[1], d) for a, _, b, c, d in rows}
+    # a caller keeping fewer columns gets the same ranks
+    narrow = {r.id: r["rank"] for r in got.select("id", "rank").collect()}
+    assert narrow == {r.id: r["rank"] for r in out}
