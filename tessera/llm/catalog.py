@@ -43,3 +43,19 @@ comp AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id)
 SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, c.doc_id = c.component_id AS kept
 FROM comp c LEFT JOIN n ON n.doc_id = c.doc_id
 """
+
+
+@_query
+def op3_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; rows with crc32 % 4 = 2 teach nothing."""
+    from pyspark.sql import functions as F
+
+    from tessera.llm import toxicity
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    model = toxicity.fit(docs, labels.where(~held_out))
+    scored = toxicity.score(docs.select("doc_id", "text", "lang"), model)
+    limit = toxicity.language_threshold(model)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+                         limit.alias("lang_threshold"), (F.col("score") >= limit).cast("int").alias("predicted_by_lang"))

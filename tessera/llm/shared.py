@@ -88,12 +88,17 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offs[0]:offs[-1]], offs - offs[0]
 
 
-def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte start and end of each word (runs without 0x20, 0x09-0x0D) and the
+def word_spans(data: np.ndarray, offs: np.ndarray, letters: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte start and end of each word (runs without 0x20, 0x09-0x0D; with
+    ``letters`` runs of ASCII letters, digits and bytes from 0x80) and the
     word count before each text (n + 1 numbers)."""
     if len(data) == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offs), np.int64)
-    solid = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    if letters:
+        low = data | 32
+        solid = (data >= 128) | ((low >= 97) & (low <= 122)) | ((data >= 48) & (data <= 57))
+    else:
+        solid = ~((data == 32) | ((data >= 9) & (data <= 13)))
     first = np.zeros(len(data) + 1, bool)
     first[offs] = True
     starts = solid.copy()
@@ -105,8 +110,8 @@ def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: int = 1 << 20) -> np.ndarray:
-    """64-bit hash of each byte span with A-Z lower-cased. Spans are ascending
-    and disjoint; the prefix sums cover about ``window`` bytes at a time."""
+    """64-bit hash of each byte span with A-Z lower-cased. Spans ascend and
+    do not overlap; the prefix sums cover about ``window`` bytes at a time."""
     out = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):
