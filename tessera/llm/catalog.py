@@ -59,3 +59,14 @@ def op3_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
                          limit.alias("lang_threshold"), (F.col("score") >= limit).cast("int").alias("predicted_by_lang"))
+
+
+@_query
+def op7_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document: label-model posterior, scorer, decision."""
+    from pyspark.sql import functions as F
+
+    from tessera.llm import weak_label
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = weak_label.score(docs, weak_label.fit(docs), posterior="posterior")
+    return scored.select("doc_id", "posterior", "score", (F.col("score") >= weak_label.KEEP).alias("kept"))
