@@ -70,3 +70,13 @@ def op7_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = weak_label.score(docs, weak_label.fit(docs), posterior="posterior")
     return scored.select("doc_id", "posterior", "score", (F.col("score") >= weak_label.KEEP).alias("kept"))
+
+
+@_query
+def op6_entropy_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes from every document."""
+    from pyspark.sql import functions as F
+
+    from tessera.llm.balance import mixed
+    return mixed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "rate", "copies")
