@@ -80,3 +80,15 @@ def op6_entropy_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.balance import mixed
     return mixed(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "rate", "copies")
+
+
+@_query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids, spans and decoded text."""
+    import public_tokenizers
+    from pyspark.sql import functions as F
+
+    from tessera.llm.pieces import encode
+    rows = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.select("doc_id", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"), F.crc32(F.concat("begins", "ends")).alias("spans_crc32"))
