@@ -1,7 +1,92 @@
-"""Corpus pipeline (filled in stage by stage)."""
-STAGES = []
+"""Corpus pipeline: toxicity, quality, near-duplicates, mixing, tokens.
+
+``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir),
+works on every row its predecessor kept and returns a DataFrame with the
+columns of ``documents`` (the last one: the encoded rows). ``run`` applies them
+to the documents table, each stage written as Parquet to the shared folder and
+read back as the next one's docs.
+
+Rows survive as rows: null ids, null texts and repeated rows pass the filters
+by the rules of the operator's own module; the mixing stage repeats a row as
+often as the mix takes it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.llm import balance, near_dup, pieces, toxicity, weak_label
+from tessera.llm.shared import free_name, table, written
+
+SHINGLE_WORDS = 5
+SIMILARITY = 80
+#: Below this many toxic labels of a language the common threshold holds.
+TOXIC_AT = toxicity.THRESHOLD
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the convolutional scorer accepts."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    name = free_name(docs, "toxic_score")
+    return toxicity.score(docs, model, name=name).where(F.col(name) < TOXIC_AT).drop(name)
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weakly labelled scorer keeps."""
+    model = weak_label.fit(docs)
+    name = free_name(docs, "quality_score")
+    return weak_label.score(docs, model, name=name).where(F.col(name) >= weak_label.KEEP).drop(name)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group: the smallest id, once."""
+    groups = near_dup.near_duplicates(docs, k=SHINGLE_WORDS, percent=SIMILARITY)
+    gone = groups.where("not kept").select("doc_id")
+    left = docs.join(gone, "doc_id", "left_anti")
+    twice = groups.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    # rows that repeat one id: equal texts are one document
+    once = left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(twice, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as many times as the mix to target weights takes it."""
+    taken = balance.mixed(docs).groupBy("doc_id", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    size, n = free_name(docs, "mix_size"), free_name(docs, "mix_copies")
+    words = F.coalesce(F.regexp_count(F.col("text"), F.lit(balance.WORDS)), F.lit(0)).cast("long")
+    d, t = docs.withColumn(size, words).alias("d"), taken.alias("t")
+    joined = d.join(t, F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col(f"d.{size}") == F.col("t.size")))
+    copies = F.round(F.col("t.copies") / F.col("t.rows")).cast("int")
+    return (joined.select("d.*", copies.alias(n)).where(F.col(n) > 0)
+            .withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns))
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids and byte spans of every row, with digests of both directions."""
+    import public_tokenizers
+    rows = pieces.encode(docs.select("doc_id", "source", "lang", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.select("doc_id", "source", "lang", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"), "ids",
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+                       F.crc32(F.concat("begins", "ends")).alias("spans_crc32"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality classifier", keep_quality),
+    ("MinHash near-dedup", drop_near_duplicates),
+    ("mixing sources to target weights", mix_sources),
+    ("SentencePiece encoding and decoding", encode_pieces),
+]
+
+#: Trained classifiers and a tokenizer: SQL cannot express the rows of ``run``.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = written(docs, "pipeline-stage")
+    return docs
