@@ -92,3 +92,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
     return rows.select("doc_id", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"), F.crc32(F.concat("begins", "ends")).alias("spans_crc32"))
+
+
+@_query
+def op5_phrase_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edit, and their likeness."""
+    from tessera.llm.lz_print import compare_next
+    return compare_next(table(spark, sf_dir, "documents"))

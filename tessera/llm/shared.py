@@ -109,16 +109,18 @@ def word_spans(data: np.ndarray, offs: np.ndarray, letters: bool = False) -> tup
     return s, np.flatnonzero(ends) + 1, np.searchsorted(s, offs)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: int = 1 << 20) -> np.ndarray:
-    """64-bit hash of each byte span with A-Z lower-cased. Spans ascend and
-    do not overlap; the prefix sums cover about ``window`` bytes at a time."""
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: int = 1 << 20, fold: bool = True) -> np.ndarray:
+    """64-bit hash of each span of ``data`` (bytes, or code points), with A-Z
+    lower-cased if ``fold``. Spans ascend and do not overlap; the prefix sums
+    cover about ``window`` places at a time."""
     out = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):
         to = max(at + 1, int(np.searchsorted(ends, starts[at] + window, "right")))
         lo, hi = int(starts[at]), int(ends[to - 1])
         part = data[lo:hi].astype(np.uint64)
-        part += np.uint64(32) * ((part >= 65) & (part <= 90))
+        if fold:
+            part += np.uint64(32) * ((part >= 65) & (part <= 90))
         p, inv = _power(hi - lo + 1)
         sums = np.zeros(hi - lo + 1, np.uint64)
         np.cumsum((part + np.uint64(1)) * p[:hi - lo], out=sums[1:])
