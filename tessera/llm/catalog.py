@@ -99,3 +99,10 @@ def op5_phrase_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and its edit, and their likeness."""
     from tessera.llm.lz_print import compare_next
     return compare_next(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards 0 to 39 of all documents, equal texts together."""
+    from tessera.llm.packing import pack
+    return pack(table(spark, sf_dir, "documents"), 40)
