@@ -106,3 +106,14 @@ def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards 0 to 39 of all documents, equal texts together."""
     from tessera.llm.packing import pack
     return pack(table(spark, sf_dir, "documents"), 40)
+
+
+@_query
+def op8_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and ids, read back from the record files."""
+    import public_tokenizers
+    from pyspark.sql import functions as F
+
+    from tessera.llm import records
+    folder, summary = records.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return records.read(spark, folder, summary).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
