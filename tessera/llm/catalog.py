@@ -117,3 +117,12 @@ def op8_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm import records
     folder, summary = records.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return records.read(spark, folder, summary).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@_query
+def op9_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page at its host's winning path."""
+    from pyspark.sql import functions as F
+
+    from tessera.llm.host_paths import extract
+    return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "path")
