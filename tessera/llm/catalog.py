@@ -126,3 +126,29 @@ def op9_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from tessera.llm.host_paths import extract
     return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "path")
+
+
+@_query
+def op10_pivot_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and decision of every vector, cosine 0.98 or more."""
+    from tessera.llm.pivots import links
+    return links(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op10_pivot_permutation"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM v),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM u x JOIN u y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+          WHERE list_dot_product(x.e, y.e) / (x.norm * y.norm) >= 0.98),
+reach(vec_id, root) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.vec_id),
+comp AS (SELECT vec_id, min(root) AS component_id FROM reach GROUP BY vec_id),
+deg AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT c.vec_id, coalesce(d.n, 0) AS n_links, c.component_id, c.vec_id = c.component_id AS kept
+FROM comp c LEFT JOIN deg d ON d.a = c.vec_id
+"""
