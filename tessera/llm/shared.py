@@ -49,6 +49,12 @@ def free_name(df: DataFrame, want: str) -> str:
     return want
 
 
+def without(df: DataFrame, names: list[str], needed: str) -> DataFrame:
+    """``df`` less the columns that new columns of these names replace."""
+    gone = [c for c in df.columns if c.lower() in names and c != needed]
+    return df.drop(*gone) if gone else df
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """SplitMix64 finaliser over uint64 (wraps silently)."""
     x = x ^ (x >> np.uint64(30))
@@ -80,6 +86,8 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     n = len(column)
     if n == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    if pa.types.is_null(column.type):
+        return np.zeros(0, np.uint8), np.zeros(n + 1, np.int64)
     wide = pa.types.is_large_string(column.type)
     buffers = column.buffers()
     offs = np.frombuffer(buffers[1], dtype=np.int64 if wide else np.int32)[column.offset:column.offset + n + 1]
@@ -88,6 +96,24 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offs[0]:offs[-1]], offs - offs[0]
 
 
+def row_runs(column: pa.Array, size: int = 1 << 21):
+    """(first row, rows) of slices of a string column of about ``size`` bytes
+    (one text at least), so that what is made from them stays small whatever a
+    batch holds."""
+    _, offs = text_bytes(column)
+    at, rows = 0, len(offs) - 1
+    while at < rows:
+        to = max(at + 1, int(np.searchsorted(offs, offs[at] + size, "right")) - 1)
+        yield at, to - at
+        at = to
+
+
+def runs(column: pa.Array):
+    """The slices of ``row_runs``."""
+    for at, n in row_runs(column):
+        yield column.slice(at, n)
+
+
 def word_spans(data: np.ndarray, offs: np.ndarray, letters: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte start and end of each word (runs without 0x20, 0x09-0x0D; with
     ``letters`` runs of ASCII letters, digits and bytes from 0x80) and the
@@ -133,20 +159,21 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, window:
 def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
     """Per text the sorted distinct hashes of its k-word shingles (A-Z lower-
     cased); 1..k-1 words: the whole sequence as one; no words: empty."""
-    data, offs = text_bytes(column)
-    starts, ends, count = word_spans(data, offs)
-    words = span_hashes(data, starts, ends)
     out = []
-    for lo, hi in zip(count[:-1].tolist(), count[1:].tolist()):
-        n = hi - lo
-        if n == 0:
-            out.append(np.zeros(0, np.uint64))
-            continue
-        width = min(n, k)
-        h = words[lo:hi - width + 1] + np.uint64(width)
-        for j in range(1, width):
-            h = mix(h * _M2 + words[lo + j:hi - width + 1 + j])
-        out.append(np.unique(mix(h)))
+    for part in runs(column):
+        data, offs = text_bytes(part)
+        starts, ends, count = word_spans(data, offs)
+        words = span_hashes(data, starts, ends)
+        for lo, hi in zip(count[:-1].tolist(), count[1:].tolist()):
+            n = hi - lo
+            if n == 0:
+                out.append(np.zeros(0, np.uint64))
+                continue
+            width = min(n, k)
+            h = words[lo:hi - width + 1] + np.uint64(width)
+            for j in range(1, width):
+                h = mix(h * _M2 + words[lo + j:hi - width + 1 + j])
+            out.append(np.unique(mix(h)))
     return out
 
 

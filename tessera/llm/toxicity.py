@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tessera.llm.shared import span_hashes, text_bytes, word_spans, written
+from tessera.llm.shared import runs, span_hashes, text_bytes, without, word_spans, written
 
 SAMPLE = 20_000
 NET_ROWS = 4_000
@@ -108,8 +108,7 @@ def _responses(model: Model, tokens: np.ndarray, offs: np.ndarray, slice_size: i
 def scores(model: Model, column: pa.Array) -> np.ndarray:
     if model.constant is not None:
         return np.full(len(column), model.constant)
-    tokens, offs = token_buckets(column)
-    return _responses(model, tokens, offs)
+    return np.concatenate([np.zeros(0), *(_responses(model, *token_buckets(part)) for part in runs(column))])
 
 
 def train(texts: list[np.ndarray], y: np.ndarray, odds: np.ndarray, epochs: int = 6, seed: int = 7) -> Model:
@@ -174,10 +173,12 @@ def train(texts: list[np.ndarray], y: np.ndarray, odds: np.ndarray, epochs: int
 
 def _features(batches):
     for batch in batches:
-        tokens, offs = token_buckets(batch.column(1))
+        words = []
+        for part in runs(batch.column(1)):
+            tokens, offs = token_buckets(part)
+            words += [tokens[a:b].tobytes() for a, b in zip(offs[:-1], offs[1:])]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([tokens[a:b].tobytes() for a, b in zip(offs[:-1], offs[1:])], pa.binary()),
-             *batch.columns[2:]], names=["id", "words", "toxic", "part", "lang"])
+            [batch.column(0), pa.array(words, pa.binary()), *batch.columns[2:]], names=["id", "words", "toxic", "part", "lang"])
 
 
 def _bucket_counts(batches):
@@ -244,11 +245,11 @@ def _thresholds(rows: DataFrame, model: Model, steps: int = 100) -> dict:
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with a double column ``name``, 0 to 1 (higher: toxic likelier)."""
+    """``docs`` with a double column ``name``, 0 to 1 (higher: toxic likelier);
+    a column of that name is replaced."""
+    docs = without(docs, [name], text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     columns = docs.columns
-    if name in columns:
-        raise ValueError(f"{name} is a column already")
 
     def run(batches):
         for batch in batches:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from tessera.llm.shared import mix, span_hashes, text_bytes, word_spans, written
+from tessera.llm.shared import mix, runs, span_hashes, text_bytes, without, word_spans, written
 
 LABELLERS = ("symbols", "symbol_tails", "capitals", "shouting", "letterless", "stutter", "variety",
              "sentences", "word_length", "one_word")
@@ -80,6 +80,10 @@ class _Words:
 
 def vote_patterns(column: pa.Array) -> np.ndarray:
     """Base-3 pattern of the labellers' votes on each text."""
+    return np.concatenate([np.zeros(0, np.int64), *(_votes_of(part) for part in runs(column))])
+
+
+def _votes_of(column: pa.Array) -> np.ndarray:
     w = _Words(column)
     d, n, words = w.data, np.maximum(w.n, 1), len(w.hashes)
     votes = np.zeros((len(w.n), len(LABELLERS)), np.int64)
@@ -189,11 +193,12 @@ def train(owner: np.ndarray, dim: np.ndarray, value: np.ndarray, target: np.ndar
 
 def votes(docs: DataFrame, text_col: str = "text", name: str = "pattern") -> DataFrame:
     """``docs`` with the long column ``name``: base-3 votes of ``LABELLERS``."""
+    docs = without(docs, [name], text_col)
     columns = docs.columns
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(vote_patterns(batch.column(columns.index(text_col))))], names=[*columns, name])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(vote_patterns(batch.column(columns.index(text_col))), pa.int64())], names=[*columns, name])
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
 
 
@@ -209,13 +214,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mode
     def sample(batches):
         for batch in batches:
             good = model.posterior(vote_patterns(batch.column(1)))
-            owner, dim, value = features(batch.column(1))
-            cut = np.searchsorted(owner, np.arange(len(good) + 1))
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(good),
-                pa.array([dim[a:b].astype(np.uint16).tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary()),
-                pa.array([value[a:b].astype(np.float32).tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())],
-                names=["id", "good", "dims", "parts"])
+            dims, parts = [], []
+            for run in runs(batch.column(1)):
+                owner, dim, value = features(run)
+                cut = np.searchsorted(owner, np.arange(len(run) + 1))
+                dims += [dim[a:b].astype(np.uint16).tobytes() for a, b in zip(cut[:-1], cut[1:])]
+                parts += [value[a:b].astype(np.float32).tobytes() for a, b in zip(cut[:-1], cut[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(good), pa.array(dims, pa.binary()), pa.array(parts, pa.binary())],
+                                             names=["id", "good", "dims", "parts"])
     # at most SAMPLE ids: a bounded broadcast
     rows = (written(slim.join(F.broadcast(ids), "id").mapInArrow(sample, "id long, good double, dims binary, parts binary"), "quality-sample")
             .orderBy(F.xxhash64("id"), "id", "dims").limit(SAMPLE).toPandas())
@@ -229,18 +235,18 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mode
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", posterior: str | None = None, name: str = "score") -> DataFrame:
     """``docs`` with the scorer's probability of good (and, if ``posterior`` is
-    named, the label model's)."""
-    columns, shared = docs.columns, docs.sparkSession.sparkContext.broadcast(model)
+    named, the label model's); columns of these names are replaced."""
     added = [name] + ([posterior] if posterior else [])
-    if set(added) & set(columns):
-        raise ValueError(f"{added}: a column has such a name already")
+    docs = without(docs, added, text_col)
+    columns, shared = docs.columns, docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         m = shared.value
         weights = m.weights if m.weights is not None else np.zeros(DIMS)
         for batch in batches:
             text = batch.column(columns.index(text_col))
-            out = [pa.array(_probability(features(text), len(text), weights, m.bias))]
+            each = [_probability(features(part), len(part), weights, m.bias) for part in runs(text)]
+            out = [pa.array(np.concatenate([np.zeros(0), *each]))]
             if posterior:
                 out.append(pa.array(m.posterior(vote_patterns(text))))
             yield pa.RecordBatch.from_arrays([*batch.columns, *out], names=[*columns, *added])
