@@ -33,6 +33,8 @@ SILENT, BAD, GOOD = 0, 1, 2
 SAMPLE = 20_000
 KEEP = 0.5
 DIMS = 1 << 13
+#: Pseudo-counts (class, vote): a labeller is rather right than wrong.
+_PRIOR = np.array([[1.0, 2.0, 0.5], [1.0, 0.5, 2.0]])
 
 
 @dataclass
@@ -160,9 +162,8 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> Mod
         votes = np.empty((len(LABELLERS), 2, 3))
         for i in range(len(LABELLERS)):
             for v in range(3):
-                votes[i, :, v] = mass[:, each[:, i] == v].sum(axis=1) + 0.5
-            votes[i, 1, BAD] *= 0.5  # weak prior: a labeller is right more often than wrong
-            votes[i, 0, GOOD] *= 0.5
+                votes[i, :, v] = mass[:, each[:, i] == v].sum(axis=1)
+        votes += _PRIOR
         model.votes = votes / votes.sum(axis=2, keepdims=True)
         model.prior = float((mass[1].sum() + 1) / (counts.sum() + 2))
         new = model.posterior(patterns)
