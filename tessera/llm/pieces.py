@@ -29,8 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
+from tessera.llm.shared import row_runs, without
+
 SPACE = "▁"
-CACHE = 400_000
+CACHE = 200_000
 _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 2, 3, 4, 5, 6
 
 
@@ -229,7 +231,7 @@ class Encoder:
                 pass
         return np.array(self.bare.encode(normal), "<u4").tobytes()
 
-    def encode_all(self, texts: list[str], slice_size: int = 1 << 22):
+    def encode_all(self, texts: list[str], slice_size: int = 1 << 21):
         """``encode`` of each text, words learnt for some texts at a time."""
         at = 0
         while at < len(texts):
@@ -270,24 +272,24 @@ class Encoder:
 
 
 def encode(df: DataFrame, model_path: str, text_col: str = "text", spans: bool = True) -> DataFrame:
-    """``df`` with ``ids``, ``decoded`` and (``spans``) ``begins``, ``ends``."""
+    """``df`` with ``ids``, ``decoded`` and (``spans``) ``begins``, ``ends``;
+    columns of these names are replaced."""
     model = df.sparkSession.sparkContext.broadcast(Path(model_path).read_bytes())  # a vocabulary file, under a few MB
-    columns = df.columns
     names = ["ids", "decoded"] + ["begins", "ends"] * spans
-    if set(names) & set(columns):
-        raise ValueError(f"{names}: a column has such a name already")
+    df = without(df, names, text_col)
+    columns = df.columns
 
     def run(batches):
         encoder = Encoder(model.value)
-        for batch in batches:
-            out = []
-            texts = [t or "" for t in batch.column(columns.index(text_col)).to_pylist()]
-            for ids, begin, end in encoder.encode_all(texts):
-                row = (ids.tobytes(), encoder.decode(ids), begin.tobytes(), end.tobytes())
-                out.append(row[:len(names)])
-            added = list(zip(*out)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *(pa.array(a, pa.string() if n == "decoded" else pa.binary()) for n, a in zip(names, added))],
-                names=[*columns, *names])
+        for whole in batches:
+            for at, n in row_runs(whole.column(columns.index(text_col))):
+                batch, out = whole.slice(at, n), []
+                texts = [t or "" for t in batch.column(columns.index(text_col)).to_pylist()]
+                for ids, begin, end in encoder.encode_all(texts):
+                    row = (ids.tobytes(), encoder.decode(ids), begin.tobytes(), end.tobytes())
+                    out.append(row[:len(names)])
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, *(pa.array(a, pa.string() if name == "decoded" else pa.binary()) for name, a in zip(names, zip(*out)))],
+                    names=[*columns, *names])
     added = [StructField(n, StringType() if n == "decoded" else BinaryType()) for n in names]
     return df.mapInArrow(run, StructType([*df.schema.fields, *added]))
