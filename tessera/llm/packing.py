@@ -39,7 +39,7 @@ CELL = 20_000
 SLOT_CELL = 200_000
 DIMENSIONS = ("size", "words", "rows")
 #: Part of each dimension in the dot product: bytes first (the law that holds), then words, then rows.
-PARTS = np.array([1.0, 0.5, 0.02])
+PARTS = np.array([1.0, 0.5, 0.005])
 
 
 def place(items: np.ndarray, capacity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -81,29 +81,30 @@ def pack(df: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str
     cut = (salted.join(F.broadcast(hot.select("key")), "key", "left_semi").groupBy("key", "salt")
            .agg(F.sum("size").alias("size"), F.sum("words").alias("words"), F.count("*").alias("rows")))
     units = groups.where(load <= 1).withColumn("salt", F.lit(0)).select("key", "salt", *DIMENSIONS).unionByName(cut)
-    scaled = [F.col(c) / share[c] for c in DIMENSIONS]
-    units = units.select("key", "salt", "rows", F.array(*scaled).alias("vector"), sum((c * float(p) for c, p in zip(scaled, PARTS)), F.lit(0.0)).alias("weight"), F.greatest(*scaled).alias("load"))
-    units = written(units, "shard-units")
+    weight = sum((F.col(c) * (float(p) / share[c]) for c, p in zip(DIMENSIONS, PARTS)), F.lit(0.0))
+    units = written(units.select("key", "salt", *DIMENSIONS, weight.alias("weight"), load.alias("load")), "shard-units")
+    shares = np.array([share[c] for c in DIMENSIONS])
 
     # the large units: at most 3 * FINE * shards, one bounded task
     large = units.where(F.col("load") > 1 / FINE)
 
     def pack_large(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = _ordered(pdf)
-        return pdf.assign(shard=place(np.array(pdf["vector"].tolist()), np.ones((shards, len(DIMENSIONS))))[0])[["key", "salt", "shard"]]
+        items = pdf[list(DIMENSIONS)].to_numpy(float) / shares
+        return pdf.assign(shard=place(items, np.ones((shards, len(DIMENSIONS))))[0])[["key", "salt", "shard"]]
     head = written(large.withColumn("cell", F.lit(0)).groupBy("cell").applyInPandas(pack_large, "key binary, salt int, shard int"), "shard-large")
     used = large.join(F.broadcast(head), ["key", "salt"]).groupBy("shard").agg(
-        *(F.sum(F.col("vector")[i]).alias(c) for i, c in enumerate(DIMENSIONS))).collect()  # a row per shard at most
+        *(F.sum(c).alias(c) for c in DIMENSIONS)).collect()  # a row per shard at most
     left = np.ones((shards, len(DIMENSIONS)))
     for r in used:
-        left[r["shard"]] -= [r[c] for c in DIMENSIONS]
+        left[r["shard"]] -= np.array([r[c] for c in DIMENSIONS]) / shares
 
     # each cell fills its part of what is left; shards that the large units overfilled get less or none
     cells = max(1, -(-int(total["n"]) // CELL))
 
     def pack_cell(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = _ordered(pdf)
-        items = np.array(pdf["vector"].tolist())
+        items = pdf[list(DIMENSIONS)].to_numpy(float) / shares
         part = items.sum(axis=0) / np.maximum(left.sum(axis=0), 1e-12)
         return pdf.assign(shard=place(items, left * part)[0])[["key", "salt", "shard"]]
     tail = (units.where(F.col("load") <= 1 / FINE)
