@@ -39,8 +39,8 @@ def q_nonnull_by_key(spark, sf):
 
 @query("describe", " UNION ALL ".join(f"""
   SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
-         min({c}) AS min, quantile_disc({c}, 0.25) AS p25, quantile_disc({c}, 0.5) AS p50,
-         quantile_disc({c}, 0.75) AS p75, max({c}) AS max FROM lineitem""" for c in NUM))
+         min({c}) AS min, quantile_cont({c}, 0.25) AS p25, quantile_cont({c}, 0.5) AS p50,
+         quantile_cont({c}, 0.75) AS p75, max({c}) AS max FROM lineitem""" for c in NUM))
 def q_describe(spark, sf):
     d = E.describe(li(spark, sf), NUM)
     return d.withColumns({"mean": F.round("mean", 6), "std": F.round("std", 6)})

@@ -130,24 +130,3 @@ def q_tsv_parts(spark, sf):
     path = scratch(spark, "wc_tsv")
     K.write_tsv(word_count(load(spark, sf, "documents"), "text"), path, 4, "word")
     return spark.read.schema("word string, count long").option("sep", "\t").csv(path)
-
-
-# rows per generated partition at most; the partition count grows with the
-# table (8 at the test scales, as in the tally job)
-RANGE_ROWS_PER_PARTITION = 50_000_000
-
-
-@query("range_partitions", f"""
-  WITH n AS (SELECT count(*) AS n FROM lineitem),
-  k AS (SELECT CAST(greatest(8, ceil(n / {RANGE_ROWS_PER_PARTITION})) AS BIGINT) AS k FROM n),
-  p AS (SELECT range AS partition FROM range(0, (SELECT k FROM k)))
-  SELECT CAST(partition AS INT) AS partition,
-         CAST(floor((partition + 1) * n / k) - floor(partition * n / k) AS BIGINT) AS rows
-  FROM p, n, k""")
-def q_range_partitions(spark, sf):
-    # one id per lineitem row, spread over at least 8 partitions of bounded
-    # size; rows per partition
-    from tessera.operators.aggregates import partition_profile
-    n = load(spark, sf, "lineitem").count()
-    k = max(8, -(-n // RANGE_ROWS_PER_PARTITION))
-    return partition_profile(S.partitioned_range(spark, n, k))

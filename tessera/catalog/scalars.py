@@ -140,15 +140,15 @@ def q_gap_p90(spark, sf):
 
 
 @query("join_hourly", """
-  SELECT v.obs_hour, v.views, c.clicks FROM
+  SELECT v.obs_hour, v.views, c.others FROM
     (SELECT date_trunc('hour', ts) AS obs_hour, count(*) AS views FROM events WHERE event_type = 'view' GROUP BY 1) v
-  JOIN (SELECT date_trunc('hour', ts) AS obs_hour, count(*) AS clicks FROM events WHERE event_type = 'click' GROUP BY 1) c
+  JOIN (SELECT date_trunc('hour', ts) AS obs_hour, count(*) AS others FROM events WHERE event_type <> 'view' GROUP BY 1) c
   ON v.obs_hour = c.obs_hour""")
 def q_join_hourly(spark, sf):
     e = load(spark, sf, "events")
     views = E.hourly_counts(e.filter(F.col("event_type") == "view"), "ts", "h", "views")
-    clicks = E.hourly_counts(e.filter(F.col("event_type") == "click"), "ts", "h", "clicks")
-    return join_on_hour(views, "h", clicks, "h").select("obs_hour", "views", "clicks")
+    others = E.hourly_counts(e.filter(F.col("event_type") != "view"), "ts", "h", "others")
+    return join_on_hour(views, "h", others, "h").select("obs_hour", "views", "others")
 
 
 @query("zone_profile", """

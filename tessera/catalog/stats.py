@@ -16,7 +16,7 @@ WEATHER_RAW_SQL = """
          CASE WHEN k % 5 = 0 THEN 'T' WHEN k % 13 = 0 THEN ''
               WHEN k % 3 = 0 THEN '0.' || lpad(CAST(CAST(floor(value) AS INT) % 100 AS VARCHAR), 2, '0') || 's'
               ELSE '0.' || lpad(CAST(CAST(floor(value) AS INT) % 100 AS VARCHAR), 2, '0') END AS HourlyPrecipitation
-  FROM (SELECT *, CAST(regexp_extract(props, '(\\d+)', 1) AS INT) AS k FROM events WHERE event_type = 'view') e"""
+  FROM (SELECT *, CAST(regexp_extract(props, '(\\d+)', 1) AS INT) AS k FROM events) e"""
 HOURLY_WEATHER_SQL = f"""
   SELECT obs_hour, avg(temperature_f) AS temperature_f, sum(precipitation_in) AS precipitation_in FROM (
     SELECT CASE WHEN regexp_matches(HourlyDryBulbTemperature, '^-?\\d+$')

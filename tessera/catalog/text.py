@@ -65,7 +65,7 @@ LLR_SQL = f"""
   WITH w AS (SELECT doc_id, {CLEAN_NOSTOP} AS words FROM {DOCS_STOP} d),
   p AS (SELECT words[i] AS w1, words[i + 1] AS w2 FROM (
           SELECT words, unnest(range(1, len(words))) AS i FROM w WHERE len(words) >= 2) x),
-  b AS (SELECT w1, w2, count(*) AS c12 FROM p GROUP BY 1, 2 HAVING count(*) >= 2),
+  b AS (SELECT w1, w2, count(*) AS c12 FROM p GROUP BY 1, 2),
   u AS (SELECT w, count(*) AS c FROM (SELECT unnest(words) AS w FROM w) y GROUP BY 1),
   n AS (SELECT sum(c)::DOUBLE AS n FROM u),
   j AS (SELECT b.w1, b.w2, b.c12, u1.c AS c1, u2.c AS c2, n.n,
@@ -83,7 +83,7 @@ LLR_SQL = f"""
 @query("collocations", LLR_SQL)
 def q_collocations(spark, sf):
     d = L.add_clean_words(docs(spark, sf).select("doc_id", "text"), "text", stop(spark, sf))
-    return L.collocations(d, "doc_id", "words", 2, 30.0).withColumn("llr", F.round("llr", 6))
+    return L.collocations(d, "doc_id", "words", 30.0).withColumn("llr", F.round("llr", 6))
 
 
 @query("word_weight", f"""
@@ -152,8 +152,19 @@ def q_cloud_weights(spark, sf):
     return out.withColumn("weight", F.round("weight", 9))
 
 
-@query("cloud_table")
+@query("cloud_table", f"""
+  WITH s AS (SELECT doc_id FROM (
+      SELECT d.doc_id, row_number() OVER (PARTITION BY quality ORDER BY md5(d.doc_id || '|42'), d.doc_id) AS r
+      FROM documents d JOIN labels l ON d.doc_id = l.doc_id) x WHERE r <= 50000),
+  c AS (SELECT quality, word, count(*) AS count FROM (
+      SELECT l.quality, unnest({CLEAN_NOSTOP}) AS word FROM {DOCS_STOP} d JOIN labels l ON d.doc_id = l.doc_id
+      JOIN s ON s.doc_id = d.doc_id) x GROUP BY 1, 2),
+  r AS (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY count DESC, word) AS rank FROM c),
+  t AS (SELECT *, max(count) OVER (PARTITION BY quality) AS mx, count(*) OVER (PARTITION BY quality) AS n
+        FROM r WHERE rank <= 200)
+  SELECT quality, word, count, rank, round(0.5 * count / mx + 0.5 * (1 - (rank - 1) / n), 9) AS weight FROM t""")
 def q_cloud_table(spark, sf):
-    # seeded hash sample of 100 labelled documents per class (hash has no SQL twin: row check)
+    # seeded sample of up to 50,000 labelled documents per class (the feature), then as above
     d = docs(spark, sf).join(load(spark, sf, "labels"), "doc_id")
-    return P.cloud_table(d, "quality", "doc_id", "text", stop(spark, sf), per_class=100)
+    out = P.cloud_table(d, "quality", "doc_id", "text", stop(spark, sf))
+    return out.withColumn("weight", F.round("weight", 9))

@@ -38,17 +38,6 @@ EXTRA_STOP_WORDS = ["lol", "think", "im", "today"]
 # ---- end of fixed values ----
 
 
-def english_stop_words():
-    """The general English stop list is a parameter: taken from scikit-learn when
-    it is installed, otherwise callers pass their own (a list or a one-column
-    DataFrame). Returns None when no list is available."""
-    try:  # optional dependency, not required by the library
-        from sklearn.feature_extraction.text import ENGLISH_STOP_WORDS
-    except Exception:
-        return None
-    return sorted(ENGLISH_STOP_WORDS)
-
-
 def tokens(text, pattern: str = WORDCOUNT_TOKEN) -> Column:
     """L1: lower-cased regex tokens as array<string>."""
     t = F.col(text) if isinstance(text, str) else text

@@ -37,12 +37,21 @@ def hourly_counts(df: DataFrame, ts: str, name: str = "obs_hour", count: str = "
     return df.groupBy(hour_start(ts).alias(name)).agg(F.count(F.lit(1)).alias(count))
 
 
-def percentile_by(df: DataFrame, keys, col: str, p: float, name: str = "pct",
+def percentile_by(df: DataFrame, keys, col: str, p: float, name: str = "pct", exact: bool = True,
                   accuracy: int = 10000) -> DataFrame:
-    """Approximate percentile per group (a mergeable sketch of bounded
-    size, so a hot group never has to be held whole)."""
+    """Percentile per group: the value at position ``max(1, ceil(p * n))``
+    of the group's sorted non-null values (``exact_quantiles``: no group is held
+    whole). ``exact=False`` uses the mergeable sketch at ``accuracy`` instead.
+    Groups without a value get null."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.groupBy(*keys).agg(F.percentile_approx(col, p, accuracy).alias(name))
+    if not exact:
+        return df.groupBy(*keys).agg(F.percentile_approx(col, p, accuracy).alias(name))
+    found = exact_quantiles(df, [col], [p], keys=keys).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                                                              F.col("value").cast(df.schema[col].dataType).alias(name))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return df.select(*keys).distinct().join(found, same, "left").select(*keys, name)
 
 
 def mean_by_key(df: DataFrame, key: str, value: str, digits: int = 1, name: str = "mean") -> DataFrame:
@@ -72,59 +81,79 @@ def nonnull_by_key(df: DataFrame, key: str, cols=None) -> DataFrame:
     return df.groupBy(key).agg(*[F.count(c).alias(c) for c in cols])
 
 
-def exact_quantiles(df: DataFrame, cols, probs, partitions: int | None = None) -> DataFrame:
-    """Exact discrete quantiles of several columns: (column, p, value), where
-    value is the one at 1-based position ``max(1, ceil(p * n))`` of the sorted
-    non-null values (SQL ``quantile_disc``). Nothing is held whole:
-
-    * values become long (column, value) rows and are counted per distinct
-      value (a partial aggregate, so repeated values collapse before the shuffle);
-    * the counts are range-partitioned on (column, value); per (column,
-      partition) totals give each partition its offset within the column and
-      the column size n (a table of at most partitions + columns rows);
-    * only the partitions holding a wanted position (at most columns x probs,
-      picked by a broadcast join - no shuffle of the rest) get a running
-      count, over one bounded range partition each.
-
-    Both branches read one range exchange (reused at runtime), so they see the
-    same range bounds.
-    """
-    from tessera.operators.windows import require_exchange_reuse
-    spark = df.sparkSession
-    require_exchange_reuse(spark, "exact_quantiles")
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+def exact_quantiles(df: DataFrame, cols, probs, keys=(), interpolate: bool = False, levels: int = 2, bins: int = 4096) -> DataFrame:
+    """Exact quantiles of several columns, per group of ``keys``:
+    (keys..., column, p, value). ``value`` is the one at 1-based position
+    ``max(1, ceil(p * n))`` of the sorted non-null values (SQL
+    ``quantile_disc``), or with ``interpolate`` the straight line between the
+    two values around position ``1 + p * (n - 1)`` (``quantile_cont``).
+
+    Nothing is held whole and no order over all rows is built. Values are
+    counted per distinct value (a partial aggregate). Each level cuts the value
+    range that holds a wanted position into ``bins`` equal bins (the bin of a
+    value is a fixed expression, so every branch and every retry agrees),
+    counts them, and narrows to the one bin with the position; the next level
+    starts from that bin's own smallest and largest value, so outliers cost one
+    level, not the result. Last, a running count over the distinct values of
+    the final bins finds the position. Windows hold at most ``bins`` rows per
+    range, and the distinct values of a final bin. NaN is not a value here."""
+    keys = list(keys)
+    group = [*keys, "column"]
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
-    counts = (df.select(F.inline(pairs)).filter(F.col("value").isNotNull())
-              .groupBy("column", "value").agg(F.count(F.lit(1)).alias("w")))
-    ranged = counts.repartitionByRange(n_parts, "column", "value").withColumn("_pid", F.spark_partition_id())
-    before = Window.partitionBy("column").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (ranged.groupBy("column", "_pid").agg(F.sum("w").alias("_tot"))
-               .withColumn("_off", F.coalesce(F.sum("_tot").over(before), F.lit(0)))
-               .withColumn("_n", F.sum("_tot").over(Window.partitionBy("column"))))
-
-    def position(p):
-        return F.greatest(F.ceil(F.lit(float(p)) * F.col("_n")), F.lit(1))
-
-    holds = F.lit(False)
-    for p in probs:
-        holds = holds | ((F.col("_off") < position(p)) & (position(p) <= F.col("_off") + F.col("_tot")))
-    # at most columns x probs rows: a proven bound, broadcast
-    targets = offsets.filter(holds).select("column", "_pid", "_off", "_n")
-    upto = Window.partitionBy("_pid", "column").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    cum = (ranged.join(F.broadcast(targets), ["column", "_pid"])
-           .withColumn("_cum", F.col("_off") + F.sum("w").over(upto)))
-    hits = [F.when((F.col("_cum") >= position(p)) & (F.col("_cum") - F.col("w") < position(p)), F.lit(float(p)))
-            for p in probs]
-    picked = F.filter(F.array(*hits), lambda x: x.isNotNull())
-    return cum.select("column", F.explode(picked).alias("p"), "value")
+    counts = (df.select(*keys, F.inline(pairs)).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+              .groupBy(*group, "value").agg(F.count(F.lit(1)).alias("w")))
+
+    def matched(left, right, on):
+        r = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+        same = F.lit(True)
+        for c in on:
+            same = same & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+        return left.join(r, same).drop(*[f"_r_{c}" for c in on])
+
+    def places(p):
+        at = 1 + F.lit(float(p)) * (F.col("n") - 1) if interpolate else F.greatest(F.ceil(F.lit(float(p)) * F.col("n")), F.lit(1))
+        low = F.floor(at).cast("long")
+        share = (at - F.floor(at)).cast("double")
+        one = F.struct(F.lit(float(p)).alias("p"), low.alias("pos"), (1 - share).alias("share"))
+        if not interpolate:
+            return [one]
+        return [one, F.struct(F.lit(float(p)).alias("p"), F.least(low + 1, F.col("n")).alias("pos"), share.alias("share"))]
+    whole = counts.groupBy(*group).agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("w").alias("n"))
+    wanted = whole.select(*group, "lo", "hi", F.lit(0).cast("long").alias("before"), F.inline(F.array(*[s for p in probs for s in places(p)])))
+    cell = [*group, "lo", "hi", "before"]
+
+    def in_cells():
+        """The counted values inside the ranges still wanted."""
+        ranges = wanted.select(*cell).distinct()
+        return matched(counts, ranges, group).filter((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
+
+    for _ in range(levels):
+        width = F.col("hi") - F.col("lo")
+        bin_ = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("lo")) / width * bins), F.lit(bins - 1))).otherwise(0)
+        table = in_cells().groupBy(*cell, bin_.cast("int").alias("bin")).agg(
+            F.sum("w").alias("w"), F.min("value").alias("first"), F.max("value").alias("last"))
+        upto = F.sum("w").over(Window.partitionBy(*cell).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
+        table = table.withColumn("upto", F.col("before") + upto)
+        wanted = (matched(wanted, table, cell).filter((F.col("pos") <= F.col("upto")) & (F.col("pos") > F.col("upto") - F.col("w")))
+                  .select(*group, F.col("first").alias("lo"), F.col("last").alias("hi"), (F.col("upto") - F.col("w")).alias("before"), "p", "pos", "share"))
+    upto = F.sum("w").over(Window.partitionBy(*cell).orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    table = in_cells().withColumn("upto", F.col("before") + upto)
+    hit = matched(wanted, table, cell).filter((F.col("pos") <= F.col("upto")) & (F.col("pos") > F.col("upto") - F.col("w")))
+    if not interpolate:
+        return hit.select(*group, "p", "value")
+    # the upper neighbour (the larger position) carries the share of the way to it
+    ends = hit.groupBy(*group, "p").agg(F.min("value").alias("a"), F.max("value").alias("b"),
+                                        F.min("pos").alias("first"), F.max(F.struct("pos", "share")).alias("upper"))
+    way = F.when(F.col("upper.pos") > F.col("first"), F.col("upper.share")).otherwise(0.0)
+    return ends.select(*group, "p", (F.col("a") + (F.col("b") - F.col("a")) * way).alias("value"))
 
 
 def describe(df: DataFrame, cols, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """Per column count, mean, std (n-1), min, 25/50/75 %, max, long format.
 
-    Quartiles are exact discrete quantiles by default (``exact_quantiles``: a
-    distributed running count, no group held whole). ``exact=False`` uses the
-    mergeable ``percentile_approx`` sketch at ``accuracy`` instead (one pass)."""
+    Quartiles are exact and interpolated by default (``exact_quantiles``: no
+    group held whole). ``exact=False`` uses the mergeable ``percentile_approx``
+    sketch at ``accuracy`` instead (one pass)."""
     moments = []
     for c in cols:
         x = F.col(c).cast("double")
@@ -136,7 +165,7 @@ def describe(df: DataFrame, cols, exact: bool = True, accuracy: int = 10_000) ->
         moments.append(F.struct(*fields))
     out = df.agg(F.array(*moments).alias("r")).select(F.inline("r"))
     if exact:
-        q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+        q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], interpolate=True)
         wide = q.groupBy("column").agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(name)
                                          for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
         out = out.join(wide, "column", "left")

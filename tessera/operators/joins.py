@@ -3,7 +3,6 @@
 Small sides are never broadcast blindly: dimension/lookup joins are planned
 as ordinary joins and AQE switches them to broadcast when the runtime size of
 the small side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
-``checked_broadcast`` adds an explicit hint only after a bounded size probe.
 Subquery operators use scalar subqueries (one-row aggregates inlined as
 values), never cross joins.
 """
@@ -16,17 +15,6 @@ from pyspark.sql import functions as F
 from tessera.functions.scalars import hour_start
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only if the frame has at most ``max_rows`` rows.
-
-    The probe is ``limit(max_rows + 1).count()``: it stops reading as soon as
-    the bound is exceeded, so it is cheap even on a huge input. Above the bound
-    the frame is returned unhinted (shuffle join, or AQE's runtime choice).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
     """Equi joins. With ``on`` as a list of names, full joins coalesce the key."""
     return left.join(right, on, how)
@@ -128,12 +116,10 @@ def join_on_hour(left: DataFrame, ts: str, right: DataFrame, ts2: str, how: str
     return l.join(r, name, how)
 
 
-def lookup(df: DataFrame, dim: DataFrame, on, default: dict | None = None,
-           max_broadcast_rows: int | None = None) -> DataFrame:
+def lookup(df: DataFrame, dim: DataFrame, on, default: dict | None = None) -> DataFrame:
     """Enrich from a lookup table, keeping unmatched rows; missing
     attributes get ``default`` values (e.g. 'not found')."""
-    side = checked_broadcast(dim, max_broadcast_rows) if max_broadcast_rows else dim
-    out = df.join(side, on, "left")
+    out = df.join(dim, on, "left")
     return out.na.fill(default) if default else out
 
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.windows import _cols, global_rank
+from tessera.operators.windows import _cols, global_rank, topn
 
 
 def sort(df: DataFrame, order) -> DataFrame:
@@ -26,35 +26,9 @@ def top_percent(df: DataFrame, order, pct: float, name: str = "rank") -> DataFra
     return ranked.filter(F.col(name) <= F.ceil(n * F.lit(pct) / F.lit(100.0)))
 
 
-def sample_n(df: DataFrame, key: str, id_col: str, n: int, seed: int = 42, name: str = "_pick",
-             rows_per_bucket: int = 1_000_000) -> DataFrame:
-    """N rows per class, repeatable under any partitioning: the n smallest
-    ``(xxhash64(id, seed), id)`` per class.
-
-    Small n (up to Spark's group-limit threshold): ``row_number <= n`` per class,
-    and Spark runs a partial group limit before the shuffle. Larger n (the
-    tweet job samples 50,000 per class, and a class may hold half the rows):
-    the hash range is cut into B equal buckets (B grows with the table, about
-    ``rows_per_bucket`` rows each); per-(class, bucket) counts and their running
-    sums per class tell which buckets hold a class's first n rows; only those
-    rows are numbered, per (class, bucket). Same rows as the small-n path, and
-    no task ever holds more than one bucket of a class."""
-    h = F.xxhash64(F.col(id_col), F.lit(seed))
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n <= threshold:
-        w = Window.partitionBy(key).orderBy(h, F.col(id_col))
-        return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= n).drop(name)
-    total = df.select(F.count(F.lit(1))).scalar()
-    buckets = F.greatest(F.ceil(total / F.lit(float(rows_per_bucket))), F.lit(1))
-    # position of the hash in [0, 1): monotone in the hash, so bucket order = hash order
-    u = (h.cast("double") + F.lit(2.0 ** 63)) / F.lit(2.0 ** 64)
-    base = df.withColumn("_h", h).withColumn("_b", F.least(F.floor(u * buckets), buckets - 1).cast("long"))
-    before = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    kept = (base.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_c"))
-            .withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-            .filter(F.col("_off") < n).drop("_c"))
-    local = F.row_number().over(Window.partitionBy(key, "_b").orderBy("_h", F.col(id_col)))
-    return (base.join(kept, [key, "_b"])
-            .withColumn(name, local + F.col("_off"))
-            .filter(F.col(name) <= n)
-            .select(*df.columns))
+def sample_n(df: DataFrame, key: str, id_col: str, n: int, seed: int = 42, name: str = "_pick") -> DataFrame:
+    """N rows per class, repeatable under any partitioning and in any
+    engine: the n smallest ``(md5('id|seed'), id)`` per class (``topn``, so a
+    class holding half the rows is cut down in many tasks)."""
+    h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"|{seed}")).cast("binary"))
+    return topn(df, key, [h, F.col(id_col)], n, "row", name).drop(name)

@@ -56,9 +56,11 @@ def fk_delete(parent_deleted: DataFrame, key: str, child: DataFrame, col: str, m
 
 
 def check_fd(df: DataFrame, x, y: str) -> DataFrame:
-    """Determinant values mapping to more than one ``y`` (X -> Y violated)."""
+    """Determinant values mapping to more than one ``y`` (X -> Y violated);
+    a missing ``y`` counts as a value."""
     xs = [x] if isinstance(x, str) else list(x)
-    return (df.groupBy(*xs).agg(F.countDistinct(y).alias("n_values"))
+    missing = F.max(F.when(F.col(y).isNull(), 1).otherwise(0))
+    return (df.groupBy(*xs).agg((F.countDistinct(y) + missing).alias("n_values"))
             .filter(F.col("n_values") > 1))
 
 
@@ -143,10 +145,11 @@ def banned_words(columns, banned) -> list:
     return [c for c in columns if any(w in bad for w in c.lower().replace("-", "_").split("_"))]
 
 
-def with_audit_columns(df: DataFrame, user: str) -> DataFrame:
-    """created/updated timestamp and user columns."""
-    return df.withColumns({"created_at": F.current_timestamp(), "created_by": F.lit(user),
-                           "updated_at": F.current_timestamp(), "updated_by": F.lit(user)})
+def with_audit_columns(df: DataFrame, user: str, at=None) -> DataFrame:
+    """created/updated timestamp and user columns; ``at``: the load time
+    (a timestamp column), else the query's own."""
+    at = F.current_timestamp() if at is None else at
+    return df.withColumns({"created_at": at, "created_by": F.lit(user), "updated_at": at, "updated_by": F.lit(user)})
 
 
 def bridge_join(left: DataFrame, bridge: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -156,7 +159,14 @@ def bridge_join(left: DataFrame, bridge: DataFrame, right: DataFrame, left_key:
 
 
 def surrogate_key(df: DataFrame, natural, name: str = "sk") -> DataFrame:
-    """Stable surrogate key per distinct natural key: a 64-bit hash, no
-    global numbering pass (collisions are checked with ``check_pk``)."""
+    """Surrogate key 1..n, one per distinct natural key (missing parts are
+    values too), numbered in natural order over a range exchange - no global
+    window - and joined back to the rows."""
+    from tessera.operators.windows import global_rank
     keys = [natural] if isinstance(natural, str) else list(natural)
-    return df.withColumn(name, F.xxhash64(*keys))
+    numbered = global_rank(df.select(*keys).distinct(), [F.asc_nulls_first(k) for k in keys], name)
+    n = numbered.select(*[F.col(k).alias(f"_n{i}") for i, k in enumerate(keys)], name)
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_n{i}"))
+    return df.join(n, same).select(*df.columns, name)

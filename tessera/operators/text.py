@@ -66,9 +66,10 @@ def _ll(k: Column, n: Column, x: Column) -> Column:
     return k * F.ln(F.greatest(x, eps)) + (n - k) * F.ln(F.greatest(1 - x, eps))
 
 
-def collocations(df: DataFrame, id_col: str, words: str, min_count: int = 2,
-                 min_llr: float = 30.0, materialize: bool = True) -> DataFrame:
-    """L4: adjacent word pairs scored by Dunning's log-likelihood ratio.
+def collocations(df: DataFrame, id_col: str, words: str, min_llr: float = 30.0, materialize: bool = True) -> DataFrame:
+    """L4: adjacent word pairs scored by Dunning's log-likelihood ratio; the
+    score is the only rule (two words seen once, together, pass it in a large
+    corpus).
 
     ``words`` is an array column. One explode emits every position as
     (word, next word or null); a single partial aggregate over those pairs is
@@ -89,7 +90,7 @@ def collocations(df: DataFrame, id_col: str, words: str, min_count: int = 2,
         pairs = cut_lineage(pairs)
     unigrams = pairs.groupBy("w1").agg(F.sum("c12").alias("c"))
     n = unigrams.select(F.sum("c")).scalar()
-    bigrams = pairs.filter(F.col("w2").isNotNull() & (F.col("c12") >= min_count))
+    bigrams = pairs.filter(F.col("w2").isNotNull())
     u1 = unigrams.select(F.col("w1"), F.col("c").alias("c1"))
     u2 = unigrams.select(F.col("w1").alias("w2"), F.col("c").alias("c2"))
     j = bigrams.join(u1, "w1").join(u2, "w2")

@@ -1,8 +1,8 @@
 """Window operators (F1-F6), written so no window runs over one unbounded partition.
 
-* ``topn`` filters on ``rank``/``row_number`` so Spark inserts a partial
-  ``WindowGroupLimit`` before the shuffle: each task ships at most n rows per
-  group; above Spark's threshold it ranks range partitions instead.
+* ``topn`` cuts each group down within hash slices of its rows before the
+  final rank; the filters on ``rank``/``row_number`` let Spark insert a partial
+  ``WindowGroupLimit`` before the shuffles.
 * ``lag_gap`` range-partitions on (key, ts, row hash), so a key holding a
   third of all rows is spread over many tasks; each partition's first row
   gets its predecessor from a one-row-per-partition edge table.
@@ -53,43 +53,20 @@ def topn(df: DataFrame, keys, order, n: int, ties: str = "rank", name: str = "ra
     (may return more than n); ``ties='row'`` returns exactly n (``order`` must
     then end with a unique tie-break column).
 
-    Up to Spark's group-limit threshold (1000) the filter on the rank lets
-    Spark run a partial group limit before the shuffle. Beyond it a hot group
-    would be ranked in one task, so the ranked path below is used."""
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n > threshold:
-        return _topn_ranged(df, keys, order, n, ties, name, partitions)
+    One plan for every n: each group is first cut down within ``partitions``
+    hash slices of its rows (a row of the group's first n is among the first n
+    of its slice), so a hot group is ranked by many tasks; the final rank sees
+    at most n rows per slice, and the rows tied at the cut. For n up to Spark's
+    group-limit threshold both ranks also get a partial limit before their
+    shuffle."""
+    fn = F.rank if ties == "rank" else F.row_number
+    slices = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    slice_ = F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), F.lit(slices))
+    local = Window.partitionBy(*_cols(keys), "_slice").orderBy(*_cols(order))
     w = Window.partitionBy(*_cols(keys)).orderBy(*_cols(order))
-    fn = F.rank() if ties == "rank" else F.row_number()
-    return df.withColumn(name, fn.over(w)).filter(F.col(name) <= n).withColumn(name, F.col(name).cast("long"))
-
-
-def _topn_ranged(df: DataFrame, keys, order, n: int, ties: str, name: str, partitions: int | None) -> DataFrame:
-    """Top n per group for large n without a group in one task: a range
-    exchange on (group, order) spreads a hot group over many partitions (equal
-    order values never split, so a local rank plus the group's row count in
-    earlier partitions is the exact rank); only partitions that can hold one of
-    a group's first n rows are ranked. Both branches read one range exchange
-    (``_range_exchange``: reused at runtime, one sampling, one set of bounds)."""
-    spark = df.sparkSession
-    require_exchange_reuse(spark, "topn with large n")
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    if not all(isinstance(k, str) for k in keys):
-        raise TypeError("topn with large n takes group keys as column names")
-    cols = df.columns
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = _range_exchange(df, parts, [*_cols(keys), *_cols(order)]).withColumn("_pid", F.spark_partition_id())
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    targets = (ranged.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_c"))
-               .withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-               .filter(F.col("_off") < n)
-               .select(*keys, "_pid", "_off"))
-    fn = F.rank() if ties == "rank" else F.row_number()
-    local = fn.over(Window.partitionBy("_pid", *keys).orderBy(*_cols(order)))
-    return (ranged.join(targets, keys + ["_pid"])
-            .withColumn(name, (local + F.col("_off")).cast("long"))
-            .filter(F.col(name) <= n)
-            .select(*cols, name))
+    cut = df.withColumn("_slice", slice_).withColumn("_local", fn().over(local)).filter(F.col("_local") <= n).drop("_slice", "_local")
+    return cut.withColumn(name, fn().over(w)).filter(F.col(name) <= n).withColumn(name, F.col(name).cast("long"))
 
 
 def lag_gap(df: DataFrame, keys, ts: str, out: str = "gap_minutes", prev: str = "prev_ts",

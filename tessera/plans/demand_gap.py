@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import day_night, safe_ratio
+from tessera.operators.aggregates import percentile_by
 from tessera.operators.joins import bucket_pivot
 from tessera.operators.windows import lag_gap, lag_gap_sliced
 
+PICKUP = "tpep_pickup_datetime"
 MIN_TRIPS_PER_BUCKET = 500
 
 
-def pickup_gaps(trips: DataFrame, zone: str = "PULocationID", ts: str = "tpep_pickup_datetime",
+def pickup_gaps(trips: DataFrame, zone: str = "PULocationID", ts: str = PICKUP,
                 slice_unit: str | None = None) -> DataFrame:
     """F3 per (zone, day/night bucket). The gap of a bucket's first pickup of a
     night is measured from the previous night's last pickup, as in the source.
@@ -25,15 +27,16 @@ def pickup_gaps(trips: DataFrame, zone: str = "PULocationID", ts: str = "tpep_pi
 
 
 def demand_gap(trips: DataFrame, zone: str = "PULocationID", min_trips: int = MIN_TRIPS_PER_BUCKET,
-               p: float = 0.9, accuracy: int = 10000, slice_unit: str | None = None) -> DataFrame:
-    """Per zone: trip counts and p90 gap for day and night, sample flag, ratio."""
+               p: float = 0.9, exact: bool = True, slice_unit: str | None = None) -> DataFrame:
+    """Per zone: trip counts and p90 gap for day and night, sample flag, ratio.
+    Percentiles are exact (``percentile_by``; ``exact=False``: the sketch)."""
     gaps = pickup_gaps(trips, zone, slice_unit=slice_unit)
-
-    def p90(m):
-        return F.round(F.percentile_approx(F.when(m, F.col("gap_minutes")), p, accuracy), 2)
-
-    zones = bucket_pivot(gaps, F.col(zone).alias("LocationID"), "time_bucket", ["day", "night"],
-                         {"trip_count": lambda m: F.count_if(m), "gap_p90_minutes": p90})
+    counts = bucket_pivot(trips.select(zone, day_night(PICKUP).alias("time_bucket")), F.col(zone).alias("LocationID"),
+                          "time_bucket", ["day", "night"], {"trip_count": lambda m: F.count_if(m)})
+    found = percentile_by(gaps, [zone, "time_bucket"], "gap_minutes", p, "p90", exact)
+    p90 = bucket_pivot(found, F.col(zone).alias("_zone"), "time_bucket", ["day", "night"],
+                       {"gap_p90_minutes": lambda m: F.round(F.max(F.when(m, F.col("p90"))), 2)})
+    zones = counts.join(p90, F.col("LocationID").eqNullSafe(F.col("_zone")), "left").drop("_zone")
     enough = (F.col("day_trip_count") >= min_trips) & (F.col("night_trip_count") >= min_trips)
     return (zones.withColumn("has_enough_data", enough)
             .withColumn("night_day_gap_ratio",

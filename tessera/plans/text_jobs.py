@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import EXTRA_STOP_WORDS, english_stop_words, explode_words, letters_only_words
+from tessera.functions.text import EXTRA_STOP_WORDS, explode_words, html_unescape, letters_only_words
 from tessera.operators.ordering import sample_n
 from tessera.operators.text import add_clean_words, class_words, sentiment_counts, word_count
 from tessera.operators.windows import topn
@@ -32,21 +32,13 @@ def corpus_stop_words(docs: DataFrame, text: str, n: int = 50, extra=EXTRA_STOP_
     """A stop list derived by rule from the corpus itself: its n most frequent
     cleaned words (ties by word) plus the extra words. Used when no general
     English list is supplied; bounded at n + len(extra) rows."""
-    words = explode_words(docs, letters_only_words(F.col(text)))
+    words = explode_words(docs, letters_only_words(html_unescape(F.col(text))))
     top = (words.groupBy("word").agg(F.count(F.lit(1)).alias("c"))
            .orderBy(F.col("c").desc(), F.col("word")).limit(n).select("word"))
     extra_df = docs.sparkSession.createDataFrame([(w,) for w in extra], "word string")
     return top.union(extra_df).distinct()
 
 
-def default_stop(docs: DataFrame, text: str):
-    """The general English list plus extras when available, else the corpus rule."""
-    general = english_stop_words()
-    if general is not None:
-        return sorted(set(general) | set(EXTRA_STOP_WORDS))
-    return corpus_stop_words(docs, text)
-
-
 def class_word_weights(counts: DataFrame, cls: str, k: int = 200, scaling: float = 0.5) -> DataFrame:
     """L3+L5 per class: top k words of each class and their relative weight.
     Windows run over at most k rows per class (group limit before the shuffle)."""

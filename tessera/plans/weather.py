@@ -10,14 +10,14 @@ from tessera.operators.aggregates import hourly_counts
 from tessera.functions.stats import t_pvalue
 
 
-def weather_from_events(events: DataFrame, event_type: str = "view") -> DataFrame:
-    """Stand-in weather CSV rows (all strings, like the raw file) derived from one
-    event type: report type, temperature and precipitation text with the
+def weather_from_events(events: DataFrame) -> DataFrame:
+    """Stand-in weather CSV rows (all strings, like the raw file), one per event:
+    report type, temperature and precipitation text with the
     file's markers ('*', blank, 'T', trailing 's')."""
     k = F.regexp_extract("props", r"(\d+)", 1).cast("int")
     temp = (F.floor(F.col("value") / 5) - 10).cast("int").cast("string")
     precip = F.concat(F.lit("0."), F.lpad((F.floor(F.col("value")).cast("int") % 100).cast("string"), 2, "0"))
-    return events.filter(F.col("event_type") == event_type).select(
+    return events.select(
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("DATE"),
         F.when(k % 10 == 1, "SOD").when(k % 10 == 2, "FM-16").when(k % 10 == 3, "SOM")
          .otherwise("FM-15").alias("REPORT_TYPE"),
@@ -27,11 +27,12 @@ def weather_from_events(events: DataFrame, event_type: str = "view") -> DataFram
 
 
 def hourly_weather(raw: DataFrame, blank_as_zero: bool = False) -> DataFrame:
-    """Hourly (FM-15) observations, markers cleaned, averaged/summed per hour."""
+    """Hourly (FM-15) observations, markers cleaned, averaged/summed per hour;
+    a row whose DATE is no timestamp is dropped."""
     obs = raw.filter(F.col("REPORT_TYPE").contains("FM-15")).select(
         integer_temperature("HourlyDryBulbTemperature").alias("temperature_f"),
         precipitation("HourlyPrecipitation", blank_as_zero).alias("precipitation_in"),
-        hour_start(F.to_timestamp_ntz("DATE")).alias("obs_hour"))
+        hour_start(F.col("DATE").try_cast("timestamp_ntz")).alias("obs_hour")).filter(F.col("obs_hour").isNotNull())
     return obs.groupBy("obs_hour").agg(F.avg("temperature_f").alias("temperature_f"),
                                        F.sum("precipitation_in").alias("precipitation_in"))
 

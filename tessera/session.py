@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -38,7 +37,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     The cluster's setting always wins. Only when it is unset (tests, local
-    runs) a fresh scratch folder is created and registered with the context.
+    runs) a fresh scratch folder is created and registered with the context;
+    on a cluster an unset folder is an error, since a machine-local one would
+    lose what other machines write.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -46,6 +47,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
@@ -55,7 +58,3 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
-
-
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local") or bool(os.environ.get("TESSERA_LOCAL"))

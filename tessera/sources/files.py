@@ -22,15 +22,6 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
-def spread(df: DataFrame, factor: int = 2) -> DataFrame:
-    """Round-robin repartition only when the scan yields fewer partitions than
-    ``factor`` x the cluster's cores (e.g. one large row group feeding a single
-    task before CPU-heavy text work). On a large input the scan already has
-    many splits and this is a no-op, so no extra shuffle is added at scale."""
-    target = df.sparkSession.sparkContext.defaultParallelism * factor
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def read_csv(spark: SparkSession, path, schema: T.StructType | str, header: bool = True,
              **options) -> DataFrame:
     """A1: CSV with header and a declared schema (no inference pass over the data)."""
@@ -135,7 +126,7 @@ def read_mixed(spark: SparkSession, directory: str, pattern: str,
         if csv_schema is not None:
             reader = reader.schema(csv_schema)
         elif pq is None:
-            reader = reader.option("inferSchema", True)
+            raise ValueError("CSV files alone need csv_schema (types are declared, never inferred)")
         # with a parquet side and no schema the CSV stays text and is typed by
         # column name below: no inference pass over the CSV files
         csv = reader.csv(csv_glob)
@@ -149,11 +140,9 @@ def read_mixed(spark: SparkSession, directory: str, pattern: str,
     return union_by_name([pq, csv.select(*typed, *extra)])
 
 
-def read_lookup(spark: SparkSession, path, schema: T.StructType | str | None = None) -> DataFrame:
-    """Small lookup CSV (callers broadcast it after a size check)."""
-    reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+def read_lookup(spark: SparkSession, path, schema: T.StructType | str) -> DataFrame:
+    """Small lookup CSV with its declared schema."""
+    return read_csv(spark, path, schema)
 
 
 def table_of(spark: SparkSession, rows, schema) -> DataFrame:
@@ -161,11 +150,6 @@ def table_of(spark: SparkSession, rows, schema) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def partitioned_range(spark: SparkSession, n: int, partitions: int) -> DataFrame:
-    """Ids 0..n-1 spread over ``partitions`` partitions."""
-    return spark.range(0, n, 1, partitions)
-
-
-def read_parts(spark: SparkSession, directory: str, schema=None) -> DataFrame:
+def read_parts(spark: SparkSession, directory: str, schema: T.StructType | str) -> DataFrame:
     """Read back a directory of CSV part files as one table."""
     return read_lookup(spark, directory, schema)

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tessera.session import cut_lineage
-
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON lines, UTF-8."""
@@ -28,20 +26,11 @@ def write_parquet(df: DataFrame, path: str, partition_by=None, mode: str = "over
     df.hint("rebalance", *cols).write.mode(mode).partitionBy(*cols).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, single: bool = False, mode: str = "overwrite",
-              max_single_rows: int = 1_000_000) -> None:
-    """CSV with header. ``single=True`` writes one file for a result
-    of bounded size (a zone table, a one-row summary). The result is computed
-    once into the shared checkpoint folder; the bound is checked on that copy
-    (``limit(n + 1).count()``), and a larger frame is written whole as part
-    files instead. ``repartition(1)`` (not ``coalesce(1)``) leaves only the
-    final, bounded write in one task."""
-    out = df
-    if single:
-        out = cut_lineage(df)
-        if out.limit(max_single_rows + 1).count() <= max_single_rows:
-            out = out.repartition(1)
-    out.write.mode(mode).option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, single: bool = False, mode: str = "overwrite") -> None:
+    """CSV with header. ``single=True`` writes one file: the caller
+    declares a result of bounded size (a zone table, a one-row summary).
+    ``repartition(1)`` (not ``coalesce(1)``) leaves only the write in one task."""
+    (df.repartition(1) if single else df).write.mode(mode).option("header", True).csv(path)
 
 
 def write_tsv(df: DataFrame, path: str, n_files: int, key: str, mode: str = "overwrite") -> None:

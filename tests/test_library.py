@@ -1,3 +1,4 @@
+import pytest
 """Library functions not exercised by the registered queries."""
 
 import uuid
@@ -29,16 +30,6 @@ def test_subtype_rolldown_and_banned_words(spark):
     assert N.standard_name("Customer Number", {"customer": "cust", "number": "no"}) == "cust_no"
 
 
-def test_checked_broadcast_probe(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    hinted = D.checked_broadcast(small, 100)
-    assert hinted is not small
-    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
-    # above the bound the frame comes back unhinted
-    assert D.checked_broadcast(big, 100) is big
-
-
 def test_fk_delete_modes(spark):
     parent = spark.createDataFrame([(1,), (2,)], "pk int")
     child = spark.createDataFrame([(10, 1), (11, 2), (12, 3), (13, None)], "id int, fk int")
@@ -56,7 +47,7 @@ def test_update_null_condition_keeps_value(spark):
     assert I.delete_where(df, F.col("v") > 3).count() == 1       # null condition keeps the row
 
 
-def test_single_csv_only_for_bounded_results(spark):
+def test_single_csv_and_part_files(spark):
     import glob
 
     from tessera.sources import sinks as K
@@ -67,10 +58,11 @@ def test_single_csv_only_for_bounded_results(spark):
         return glob.glob(f"{p.removeprefix('file:')}/part-*.csv")
     assert len(files(small)) == 1
     big = f"{checkpoint_dir(spark)}/t-parts-{uuid.uuid4().hex}"
-    K.write_csv(df, big, single=True, max_single_rows=100)      # over the bound: part files, all rows kept
+    K.write_csv(df, big)
     assert len(files(big)) > 1
-    back = spark.read.option("header", True).schema("id long, v long").csv(big)
-    assert back.count() == 500 and back.agg(F.sum("v")).first()[0] == 2 * sum(range(500))
+    for path in (small, big):
+        back = spark.read.option("header", True).schema("id long, v long").csv(path)
+        assert back.count() == 500 and back.agg(F.sum("v")).first()[0] == 2 * sum(range(500))
 
 
 def test_any_all_match_exists_rewrites(spark):
@@ -109,3 +101,42 @@ def test_write_parquet_partitioned_round_trip(spark):
     back = spark.read.parquet(path)
     assert back.filter(F.col("part") == 2).count() == 75
     assert sorted(r.id for r in back.select("id").collect()) == list(range(300))
+
+
+def test_check_fd_counts_a_missing_value(spark):
+    df = spark.createDataFrame([(1, "a"), (1, None), (2, "b"), (2, "b"), (3, None)], "x int, y string")
+    assert [(r.x, r.n_values) for r in N.check_fd(df, "x", "y").collect()] == [(1, 2)]
+
+
+def test_surrogate_keys_are_unique(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), (None, None), ("a", "a"), (None, "a")], "x string, y string").repartition(3)
+    rows = [tuple(r) for r in N.surrogate_key(df, ["x", "y"]).collect()]
+    keys = {(x, y): sk for x, y, sk in rows}
+    assert len(rows) == 5 and sorted(keys.values()) == [1, 2, 3, 4] and all(keys[(x, y)] == sk for x, y, sk in rows)
+
+
+def test_bad_times_are_dropped(spark):
+    from tessera.plans.trips import clean_audit, clean_trips
+    rows = [("2024-01-01 10:00:00", "2024-01-01 10:20:00", 2.0, 1.0), ("oops", "2024-01-01 10:20:00", 2.0, 1.0), ("2024-01-01 10:00:00", None, 2.0, 1.0)]
+    raw = spark.createDataFrame(rows, "tpep_pickup_datetime string, tpep_dropoff_datetime string, trip_distance double, passenger_count double")
+    assert clean_trips(raw).count() == 1
+    assert tuple(clean_audit(raw).first())[:2] == (3, 1)
+
+
+def test_cluster_needs_a_shared_folder(spark):
+    from tessera import session
+
+    class Unset:
+        def isDefined(self):
+            return False
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+        _jsc = type("J", (), {"sc": staticmethod(lambda: type("S", (), {"getCheckpointDir": staticmethod(Unset)}))})
+        getConf = staticmethod(Conf)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(type("Spark", (), {"sparkContext": Context})())

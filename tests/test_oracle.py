@@ -5,10 +5,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tessera.catalog import all_oracles, all_queries
 from tools.check_oracle import TABLES, rows
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = all_queries()
+ORACLE = all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +37,7 @@ def test_query_without_oracle_runs(spark, tiny, name):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):

@@ -6,6 +6,7 @@ import io
 import pytest
 
 import __spark_entry__ as E
+from tessera.catalog import all_queries
 
 
 def plan(df) -> str:
@@ -35,8 +36,7 @@ def test_scalar_subqueries_not_cross_joins(spark, tiny):
     assert "Subquery" in p and "CartesianProduct" not in p and "NestedLoopJoin" not in p
 
 
-@pytest.mark.parametrize("name", sorted(n for n in E.queries()
-                                        if n not in ("priority_score", "zone_compare")))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_no_pairwise_join(spark, tiny, name):
     p = plan(E.queries()[name](spark, tiny))
     assert "CartesianProduct" not in p
@@ -56,7 +56,7 @@ def test_lag_gap_spreads_hot_keys_by_range(spark, tiny):
     assert "BroadcastHashJoin" in p or "BroadcastExchange" in p
 
 
-@pytest.mark.parametrize("name", ["gap_minutes", "global_rank", "describe", "priority_score", "top_percent"])
+@pytest.mark.parametrize("name", ["gap_minutes", "global_rank", "priority_score", "top_percent"])
 def test_range_exchange_read_once(spark, tiny, name):
     # both branches must see one set of range bounds: the second reads the
     # first's shuffle output instead of sampling its own
