@@ -3,7 +3,7 @@
 Parsing runs inside ``mapInPandas`` with the standard library's
 ``html.parser``, one page at a time, so pages are spread over all tasks and
 no page passes through the driver. Choosing the table and the cells is then
-ordinary DataFrame work (aggregates and joins), not Python.
+ordinary DataFrame work (windows over a page), not Python.
 """
 
 from __future__ import annotations
@@ -11,11 +11,11 @@ from __future__ import annotations
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 CELL_SCHEMA = ("page long, table_idx int, row_idx int, cell_idx int, is_data boolean, "
-               "text string, has_link boolean, table_class string")
+               "text string, has_link boolean, table_class string, header_text string")
 LINK_SCHEMA = "page long, link_idx int, href string, text string"
 
 
@@ -91,7 +91,7 @@ class _LinkParser(HTMLParser):
 
 
 def _cells(batches, id_col, html_col):
-    cols = ["page", "table_idx", "row_idx", "cell_idx", "is_data", "text", "has_link", "table_class"]
+    cols = ["page", "table_idx", "row_idx", "cell_idx", "is_data", "text", "has_link", "table_class", "header_text"]
     for pdf in batches:
         rows = []
         for pid, doc in zip(pdf[id_col], pdf[html_col]):
@@ -101,13 +101,19 @@ def _cells(batches, id_col, html_col):
             p.feed(doc)
             p.close()
             p._close_cell()
-            rows.extend((int(pid),) + r for r in p.out)
+            head = {}
+            for t, r, _, _, text, _, _ in p.out:
+                if r == 0:
+                    head[t] = head.get(t, "") + text
+            rows.extend((int(pid),) + r + (head.get(r[0]),) for r in p.out)
         yield pd.DataFrame(rows, columns=cols)
 
 
 def extract_html_tables(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
     """Every table cell of every page: (page, table_idx, row_idx, cell_idx,
-    is_data, text, has_link, table_class)."""
+    is_data, text, has_link, table_class, header_text); ``header_text`` is the
+    text of the table's first row. One parse per page: what follows are
+    windows over the cells of a page."""
     src = df.select(F.col(id_col).cast("long").alias(id_col), html_col)
     return src.mapInPandas(lambda it: _cells(it, id_col, html_col), CELL_SCHEMA)
 
@@ -117,36 +123,26 @@ def pick_table(cells: DataFrame, header_words, table_class: str | None = None) -
 
     ``table_class`` keeps only tables whose class attribute lists that class.
     """
-    cand = cells
+    ok = F.col("header_text").isNotNull()
     if table_class:
-        cand = cand.filter(F.array_contains(F.split(F.col("table_class"), r"\s+"), table_class))
-    header = (cand.filter(F.col("row_idx") == 0)
-              .groupBy("page", "table_idx")
-              .agg(F.concat_ws("", F.sort_array(F.collect_list(
-                  F.struct("cell_idx", "text"))).getField("text")).alias("header_text")))
-    ok = F.lit(True)
+        ok = ok & F.array_contains(F.split(F.col("table_class"), r"\s+"), table_class)
     for w in header_words:
         ok = ok & F.col("header_text").contains(w)
-    chosen = header.filter(ok).groupBy("page").agg(F.min("table_idx").alias("table_idx"))
-    return cand.join(chosen, ["page", "table_idx"], "left_semi")
+    first = F.min("table_idx").over(Window.partitionBy("page"))
+    return cells.filter(ok).withColumn("_first", first).filter(F.col("table_idx") == F.col("_first")).drop("_first")
 
 
 def link_value_pairs(cells: DataFrame, min_cells: int = 3) -> DataFrame:
     """Per data row with at least ``min_cells`` data cells: the first cell holding
     a link (``name``) and the cell after it (``value_text``)."""
-    data = cells.filter(F.col("is_data"))
-    per_row = (data.groupBy("page", "table_idx", "row_idx")
-               .agg(F.count("*").alias("n_cells"),
-                    F.min(F.when(F.col("has_link"), F.col("cell_idx"))).alias("link_idx")))
-    per_row = per_row.filter((F.col("n_cells") >= min_cells) & F.col("link_idx").isNotNull())
-    name = data.select("page", "table_idx", "row_idx", F.col("cell_idx").alias("link_idx"),
-                       F.col("text").alias("name"))
-    value = data.select("page", "table_idx", "row_idx",
-                        (F.col("cell_idx") - 1).alias("link_idx"), F.col("text").alias("value_text"))
-    keys = ["page", "table_idx", "row_idx", "link_idx"]
-    # the row must have a cell after the link cell: inner join drops it otherwise
-    return per_row.join(name, keys).join(value, keys).select(
-        "page", "table_idx", "row_idx", "name", "value_text")
+    row = Window.partitionBy("page", "table_idx", "row_idx")
+    order = row.orderBy("cell_idx")
+    data = cells.filter(F.col("is_data")).withColumns({
+        "_n": F.count(F.lit(1)).over(row), "_link": F.min(F.when(F.col("has_link"), F.col("cell_idx"))).over(row),
+        "_next_idx": F.lead("cell_idx").over(order), "value_text": F.lead("text").over(order)})
+    # a row without a cell after the link cell is dropped
+    hit = data.filter((F.col("_n") >= min_cells) & (F.col("cell_idx") == F.col("_link")) & (F.col("_next_idx") == F.col("cell_idx") + 1))
+    return hit.select("page", "table_idx", "row_idx", F.col("text").alias("name"), "value_text")
 
 
 def _links(batches, id_col, html_col):

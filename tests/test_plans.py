@@ -43,6 +43,12 @@ def test_no_pairwise_join(spark, tiny, name):
     assert "BroadcastNestedLoopJoin" not in p
 
 
+@pytest.mark.parametrize("name", ["html_tables", "gdp_topn"])
+def test_pages_are_parsed_once(spark, tiny, name):
+    tree = plan(E.queries()[name](spark, tiny)).split("\n\n")[0]
+    assert tree.count("MapInPandas") == 1
+
+
 def test_aggregates_are_partial(spark, tiny):
     p = plan(E.queries()["word_count"](spark, tiny))
     assert "partial_count" in p
