@@ -1,5 +1,10 @@
+import os
+import sys
+
 import pytest
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 
 
 @pytest.fixture(scope="session")
@@ -29,15 +34,3 @@ def odd_docs(spark):
 @pytest.fixture(scope="session")
 def no_docs(odd_docs):
     return odd_docs.where("doc_id = -1")
-
-
-def words(n, seed, vocabulary=4000):
-    import random
-    r = random.Random(seed)
-    return [f"{r.choice('bcdfgklmnprst')}{r.choice('aeiou')}{r.randrange(vocabulary)}" for _ in range(n)]
-
-
-import os  # noqa: E402
-import sys  # noqa: E402
-
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))

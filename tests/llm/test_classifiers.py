@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import words
+from conftest_llm import words
 
 from tessera.llm import toxicity, weak_label
 

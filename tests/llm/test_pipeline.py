@@ -4,7 +4,7 @@ import corpus_pipeline as P
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import words
+from conftest_llm import words
 
 from tessera.llm.pieces import Encoder
 
