@@ -53,6 +53,7 @@ MAGIC = b"TSREC1"
 CACHE = 250_000
 #: a letter whose lower case is one letter, then marks up to a blank
 _TAIL = re.compile(r"([A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f])([.,;:!?|$%&#*]+(?= |$))")
+_LETTERS = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
 _MASK_ADD = 0xA282EAD8
 _HEAD, _HEAD_SIZE = "<QI", 12
 _ID, _ID_SIZE = "<Bq", 9
@@ -87,6 +88,14 @@ def storage(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.LocalFileSystem(), re.sub(r"^file:/+", "/", uri)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the
+    others, in order, for the characters from 256."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
+
+
 class Encoder:
     """Ids of texts as packed bytes; words learnt for some texts at a time."""
 
@@ -102,6 +111,13 @@ class Encoder:
         self.by_word = ("\\\\s" in pre and '"Removed"' in pre and spec.get("post_processor") is None and model.get("dropout") is None
                         and not any(a["lstrip"] or a["rstrip"] or a["single_word"] or re.search(r"\s", a["content"]) for a in added))
         self.code, self.end = f"<u{self.width}", struct.pack("<H" if self.width == 2 else "<I", end_id)
+        # words of letters only are one token before the merges: the merges alone are needed
+        norm, steps = (spec.get(k) or {} for k in ("normalizer", "pre_tokenizer"))
+        steps = steps.get("pretokenizers", [])
+        self.direct = (self.by_word and [n["type"] for n in norm.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+                       and [p["type"] for p in steps] == ["Split", "ByteLevel"] and r"|[\p{L}]+|" in steps[0]["pattern"].get("Regex", "")
+                       and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"])
+        self.alphabet = _byte_letters()
         self.folds = '"Lowercase"' in json.dumps(spec.get("normalizer"))
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -134,7 +150,13 @@ class Encoder:
                     young[w] = old[w]
                 else:
                     new.append(w)
-        young.update(zip(new, self._packed(new)))
+        whole = [w for w in new if not (self.direct and _LETTERS.fullmatch(w))]
+        young.update(zip(whole, self._packed(whole)))
+        kind, merges, alphabet = "H" if self.width == 2 else "I", self.library.model.tokenize, self.alphabet
+        for w in new:
+            if w not in young:
+                ids = [t.id for t in merges(w.lower().encode().decode("latin-1").translate(alphabet))]
+                young[w] = struct.pack(f"<{len(ids)}{kind}", *ids)
         return young
 
     def encode_all(self, texts: list[str], slice_size: int = 1 << 22):

@@ -35,6 +35,15 @@ def test_equals_the_library(library, encoder, monkeypatch):
     assert [np.frombuffer(b, encoder.code).tolist() for b in encoder.encode_all(texts, slice_size=500)] == want
 
 
+def test_letter_words_need_the_merges_alone(library, encoder):
+    r = random.Random(8)
+    letters = [chr(c) for c in [*range(65, 91), *range(97, 123), *range(0xC0, 0x180)] if chr(c).isalpha() and c != 0x130]
+    texts = ["".join(r.choices(letters, k=r.randrange(1, 14))) for _ in range(4000)]
+    assert encoder.direct
+    assert [np.frombuffer(b, encoder.code).tolist()[:-1] for b in encoder.encode_all(texts)] == [
+        e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_frames_find_damage():
     data = frame(b"some payload") + frame(b"")
     payload, at = unframe(data, 0)
