@@ -47,10 +47,10 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import scratch
+from tessera.llm.shared import row_runs, scratch
 
 MAGIC = b"TSREC1"
-CACHE = 250_000
+CACHE = 125_000
 #: a letter whose lower case is one letter, then marks up to a blank
 _TAIL = re.compile(r"([A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f])([.,;:!?|$%&#*]+(?= |$))")
 _LETTERS = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
@@ -159,7 +159,7 @@ class Encoder:
                 young[w] = struct.pack(f"<{len(ids)}{kind}", *ids)
         return young
 
-    def encode_all(self, texts: list[str], slice_size: int = 1 << 22):
+    def encode_all(self, texts: list[str], slice_size: int = 1 << 21):
         at = 0
         while at < len(texts):
             to, size = at, 0
@@ -193,9 +193,11 @@ def write(df: DataFrame, tokenizer_path: str, end_id: int, folder: str | None =
 
     def encode(batches):
         encoder = Encoder(tokenizer.value, end_id)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(encoder.encode_all(texts)), pa.binary())], names=["doc_id", "ids"])
+        for whole in batches:
+            for at, n in row_runs(whole.column(1)):
+                batch = whole.slice(at, n)
+                texts = [t or "" for t in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(encoder.encode_all(texts)), pa.binary())], names=["doc_id", "ids"])
 
     width = Encoder(tokenizer.value, end_id).width
 
