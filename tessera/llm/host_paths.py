@@ -5,9 +5,17 @@ path: the tags from the body down, each with its classes, digits replaced.
 ``extract(df)`` scores the paths of each page by the share of the page's
 non-boilerplate, non-link text below them, sums the shares per (host, path) in
 Spark, takes for each host the deepest path whose votes come within ``NEAR`` of
-the best, and reads every page again at its host's path. A page where that path
-covers less than ``LEAST`` of the text uses the rule on its own paths (other
-template, rare host).
+the best, and reads every page again around its host's path. A page where that
+path covers less than ``LEAST`` of the text, or where more than ``MUCH`` of the
+non-link text would be left out, uses the rule on its own paths (other template,
+rare host).
+
+The path finds the article; it does not bound it. All blocks below it are read,
+and of the blocks elsewhere on the page (title, lead, a second body) all but link
+lists and labels. A label is text outside paragraphs, headings, lists, quotations
+and preformatted text, without a sentence end, in a container that no word names
+as a part of an article and that has fewer than ``WORDS`` such words on the page:
+side boxes, bylines, dates.
 
 Only votes are shuffled, pre-aggregated per task; a host's paths are few
 however many pages it has. Winners (one row per host) are joined by host; Spark
@@ -38,6 +46,8 @@ from tessera.llm.shared import written
 
 NEAR = 0.9
 LEAST = 0.3
+MUCH = 0.6
+WORDS = 20
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)(?:>|\Z)", re.S)
@@ -62,36 +72,42 @@ _SKIP_WORD = frozenset(
     "widget widgets nav navbar navigation menu menus breadcrumb breadcrumbs masthead topbar toolbar footer comment comments disqus reply "
     "replies respond share sharing social related recommended recommendations cookie cookies consent gdpr notice notices popup modal overlay "
     "newsletter subscribe subscription signup login register pagination pager form".split())
+_PROSE_TAG = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt blockquote pre article main".split())
+_PROSE_WORD = frozenset("title headline heading subtitle subtitles intro introduction lead lede standfirst summary abstract teaser content article "
+                        "post entry story text body more part section chapter conclusion caption".split())
+_SENTENCE = re.compile(r"[.!?\u2026\u3002\uff01\uff1f\u0964\u061f][\"'\u201d\u2019\u00bb)\]]*\Z")
 
 
 class Page:
-    """Blocks of a page: ``blocks`` (node, text, share of non-link text) and
-    ``nodes`` (parent, generalised path)."""
+    """Blocks of a page: ``blocks`` (node, text, share of non-link text, marked
+    as prose) and ``nodes`` (parent, generalised path)."""
 
     def __init__(self, html: str):
         self.nodes: list[tuple[int, str]] = [(-1, "")]
-        self.blocks: list[tuple[int, str, float]] = []
-        self._stack: list[tuple[str, int, bool, bool]] = []  # tag, node, skipped, in a header
+        self.blocks: list[tuple[int, str, float, bool]] = []
+        self._stack: list[tuple[str, int, bool, bool, bool]] = []  # tag, node, skipped, in a header, named as prose
         self._text: list[str] = []
         self._links = self._length = 0
         self._read(html)
 
-    def _top(self) -> tuple[str, int, bool, bool]:
-        return self._stack[-1] if self._stack else ("", 0, False, False)
+    def _top(self) -> tuple[str, int, bool, bool, bool]:
+        return self._stack[-1] if self._stack else ("", 0, False, False, False)
 
     def _flush(self) -> None:
         if self._text:
             words = unescape("".join(self._text)).split()
             if words:
                 free = 1 - self._links / self._length if self._length else 1.0
-                self.blocks.append((self._top()[1], " ".join(words), free))
+                nearest = next((t[4] for t in reversed(self._stack) if t[0] in _CONTAINER), False)
+                prose = nearest or any(t[0] in _PROSE_TAG for t in self._stack) or _SENTENCE.search(words[-1]) is not None
+                self.blocks.append((self._top()[1], " ".join(words), free, prose))
             self._text = []
         self._links = self._length = 0
 
     def _add(self, text: str) -> None:
         if not text:
             return
-        _, _, skipped, header = self._top()
+        _, _, skipped, header, _ = self._top()
         if skipped or header and not any(_HEADING.match(t[0]) for t in self._stack):
             return
         self._text.append(text)
@@ -125,8 +141,9 @@ class Page:
             self._flush()
         if tag in _VOID:
             return
-        _, node, skipped, header = self._top()
+        _, node, skipped, header, _ = self._top()
         classes: list[str] = []
+        prose = False
         if not skipped:
             skipped = tag in _SKIP_TAG
             if attributes.strip():
@@ -138,7 +155,9 @@ class Page:
                         skipped = True
                     elif name == "role":
                         skipped = skipped or value in _SKIP_ROLE
-                    elif name in ("class", "id") and tag not in ("body", "html", "article", "main") and not _SKIP_WORD.isdisjoint(_WORD.findall(value)):
+                    if name in ("class", "id") and tag != "body":
+                        prose = prose or not _PROSE_WORD.isdisjoint(_WORD.findall(value))
+                    if name in ("class", "id") and tag not in ("body", "html", "article", "main") and not _SKIP_WORD.isdisjoint(_WORD.findall(value)):
                         skipped = True
         if tag == "header":
             header = True
@@ -149,7 +168,7 @@ class Page:
                 step = ".".join([tag, *sorted(set(re.sub(r"\d+", "#", c) for c in classes))])
                 self.nodes.append((node, f"{parent}>{step}" if parent else step))
                 node = len(self.nodes) - 1
-        self._stack.append((tag, node, skipped, header))
+        self._stack.append((tag, node, skipped, header, prose))
 
     def _close(self, tag: str) -> None:
         for i in range(len(self._stack) - 1, -1, -1):
@@ -189,7 +208,7 @@ class Page:
         """Share of the page's non-link text below each path."""
         out: dict[str, float] = {}
         total = 0.0
-        for node, text, free in self.blocks:
+        for node, text, free, _ in self.blocks:
             weight = len(text) * free
             total += weight
             seen = set()
@@ -201,11 +220,26 @@ class Page:
                 node = parent
         return {p: w / total for p, w in out.items()} if total > 0 else {}
 
-    def text(self, path: str) -> str:
+    def _kept(self, path: str) -> list[bool]:
+        """Per block: below ``path``, or part of the article elsewhere."""
         inside: list[bool] = []
         for parent, own in self.nodes:  # parents come first
             inside.append(own == path or parent >= 0 and inside[parent])
-        return " ".join(t for node, t, _ in self.blocks if inside[node])
+        bare: dict[str, int] = {}
+        for node, text, free, prose in self.blocks:
+            if not prose and free >= 0.5:
+                own = self.nodes[node][1]
+                bare[own] = bare.get(own, 0) + text.count(" ") + 1
+        return [inside[node] or free >= 0.5 and (prose or bare[self.nodes[node][1]] >= WORDS) for node, _, free, prose in self.blocks]
+
+    def text(self, path: str) -> str:
+        return " ".join(b[1] for b, kept in zip(self.blocks, self._kept(path)) if kept)
+
+    def left_out(self, path: str) -> float:
+        """Share of the page's non-link text that ``text(path)`` leaves out."""
+        weights = [len(text) * free for _, text, free, _ in self.blocks]
+        total = sum(weights)
+        return sum(w for w, kept in zip(weights, self._kept(path)) if not kept) / total if total > 0 else 0.0
 
 
 def best_path(shares: dict[str, float]) -> str:
@@ -231,7 +265,7 @@ def _texts(batches):
         for html, path in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
             page = Page(html or "")
             shares = page.shares()
-            if path is None or shares.get(path, 0.0) < LEAST:
+            if path is None or shares.get(path, 0.0) < LEAST or page.left_out(path) > MUCH:
                 path = best_path(shares)
             out.append(page.text(path))
             used.append(path)

@@ -65,6 +65,27 @@ def test_hosts_agree_on_a_path(spark):
     assert any(main_text(html) != want for _, _, html, want in rows)
 
 
+def test_an_article_of_several_containers(spark):
+    r = random.Random(5)
+    rows = []
+    for i in range(60):
+        word = lambda n: " ".join(f"w{r.randrange(9999)}" for _ in range(n))  # noqa: E731, B023
+        title, intro, end = word(5), word(12) + ".", word(9)
+        body, more = (word(60), word(140)) if i % 20 == 0 else (word(400), word(4) + "!")
+        html = (f"<body><div class=page><div class=post><h1>{title}</h1><div class=intro>{intro}</div><div class=body><p>{body}</p></div>"
+                f"<div class=more>{more}</div><div class=x><p>{end}</p></div></div><div class=box>by me</div><div><a href=x>{word(30)}</a></div></div>")
+        rows.append((i, f"http://h/{i}", html, " ".join([title, intro, body, more, end])))
+    got = {x["page_id"]: x["text"] for x in extract(spark.createDataFrame(rows, "page_id long, url string, html string, want string")).collect()}
+    assert all(got[i] == want for i, _, _, want in rows)
+
+
+def test_much_text_outside_paragraphs_is_kept():
+    lines = [f"line {i} of it" for i in range(8)]
+    page = Page("<div class=a><p>" + "long text " * 100 + "</p></div>" + "".join(f"<div class=l>{x}</div>" for x in lines) + "<div class=b>by me</div>")
+    assert page.text("div.a") == " ".join([*["long text"] * 100, *lines])
+    assert page.left_out("div.a") < 0.01
+
+
 def test_odd_rows(spark):
     long = "<article>" + "".join(f"<p>par {i} of text</p>" for i in range(20_000))
     rows = [(1, None, None), (1, None, None), (None, "http://x/", ""), (2, "no url", "<p>a"), (3, "http://x/1", long), (3, "http://x/1", long), (4, "", "plain")]
