@@ -3,23 +3,28 @@
 Per page, every container (article, main, section, div, ...) has a generalised
 path: the tags from the body down, each with its classes, digits replaced.
 ``extract(df)`` scores the paths of each page by the share of the page's
-non-boilerplate, non-link text below them, sums the shares per (host, path) in
-Spark, takes for each host the deepest path whose votes come within ``NEAR`` of
-the best, and reads every page again around its host's path. A page where that
-path covers less than ``LEAST`` of the text, or where more than ``MUCH`` of the
-non-link text would be left out, uses the rule on its own paths (other template,
-rare host).
+non-boilerplate, non-link text below them. Each page votes for its deepest path
+whose share comes within ``NEAR`` of its best; the root is no candidate while
+any container holds ``LEAST`` of the text. A host has one winning path per
+template: every path with ``VOTES`` votes or more, and ``FEW`` of all votes of
+the host. Each page is read again around the winning path with most votes among
+those that hold ``LEAST`` of its text. A page without one (rare host, rare
+template, only the root won), or where more than ``MUCH`` of the non-link text
+would be left out, uses the rule on its own paths.
 
 The path finds the article; it does not bound it. All blocks below it are read,
 and of the blocks elsewhere on the page (title, lead, a second body) all but link
 lists and labels. A label is text outside paragraphs, headings, lists, quotations
 and preformatted text, without a sentence end, in a container that no word names
 as a part of an article and that has fewer than ``WORDS`` such words on the page:
-side boxes, bylines, dates.
+side boxes, bylines, dates. Left out as well are containers beside the path whose
+text is the same on all pages of the host that have them (``SAME`` or more, and
+``FEW`` of the host's pages), unless the text at the path itself is.
 
-Only votes are shuffled, pre-aggregated per task; a host's paths are few
-however many pages it has. Winners (one row per host) are joined by host; Spark
-decides on a broadcast by size, and splits a hot host's pages otherwise.
+Only votes and text digests are shuffled, pre-aggregated per task; a host's paths
+are few however many pages it has. Winners (one row per host; ``FEW`` bounds its
+lists) are joined by host; Spark decides on a broadcast by size, and splits a hot
+host's pages otherwise.
 
 Text: character references decoded, white space inside a block made one space,
 blocks trimmed and joined by one space in page order. Menus, page headers,
@@ -35,6 +40,7 @@ rows are separate pages; extra columns are ignored; no rows: no rows.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from html import unescape
 
@@ -48,6 +54,9 @@ NEAR = 0.9
 LEAST = 0.3
 MUCH = 0.6
 WORDS = 20
+VOTES = 2
+SAME = 3
+FEW = 0.02
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)(?:>|\Z)", re.S)
@@ -220,26 +229,42 @@ class Page:
                 node = parent
         return {p: w / total for p, w in out.items()} if total > 0 else {}
 
-    def _kept(self, path: str) -> list[bool]:
-        """Per block: below ``path``, or part of the article elsewhere."""
+    def digests(self) -> dict[str, int]:
+        """Digest of the text below each path."""
+        texts: dict[str, list[str]] = {}
+        for node, text, _, _ in self.blocks:
+            seen = set()
+            while node >= 0:
+                node, path = self.nodes[node]
+                if path not in seen:
+                    seen.add(path)
+                    texts.setdefault(path, []).append(text)
+        return {p: int.from_bytes(hashlib.blake2b("\n".join(t).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True) for p, t in texts.items()}
+
+    def _kept(self, path: str, same: frozenset = frozenset()) -> list[bool]:
+        """Per block: below ``path``, or part of the article elsewhere and not
+        below a path in ``same``."""
         inside: list[bool] = []
+        repeated: list[bool] = []
         for parent, own in self.nodes:  # parents come first
             inside.append(own == path or parent >= 0 and inside[parent])
+            repeated.append(own in same or parent >= 0 and repeated[parent])
         bare: dict[str, int] = {}
         for node, text, free, prose in self.blocks:
             if not prose and free >= 0.5:
                 own = self.nodes[node][1]
                 bare[own] = bare.get(own, 0) + text.count(" ") + 1
-        return [inside[node] or free >= 0.5 and (prose or bare[self.nodes[node][1]] >= WORDS) for node, _, free, prose in self.blocks]
+        return [inside[node] or free >= 0.5 and not repeated[node] and (prose or bare[self.nodes[node][1]] >= WORDS)
+                for node, _, free, prose in self.blocks]
 
-    def text(self, path: str) -> str:
-        return " ".join(b[1] for b, kept in zip(self.blocks, self._kept(path)) if kept)
+    def text(self, path: str, same: frozenset = frozenset()) -> str:
+        return " ".join(b[1] for b, kept in zip(self.blocks, self._kept(path, same)) if kept)
 
-    def left_out(self, path: str) -> float:
-        """Share of the page's non-link text that ``text(path)`` leaves out."""
+    def left_out(self, path: str, same: frozenset = frozenset()) -> float:
+        """Share of the page's non-link text that ``text`` leaves out."""
         weights = [len(text) * free for _, text, free, _ in self.blocks]
         total = sum(weights)
-        return sum(w for w, kept in zip(weights, self._kept(path)) if not kept) / total if total > 0 else 0.0
+        return sum(w for w, kept in zip(weights, self._kept(path, same)) if not kept) / total if total > 0 else 0.0
 
 
 def best_path(shares: dict[str, float]) -> str:
@@ -250,24 +275,38 @@ def best_path(shares: dict[str, float]) -> str:
     return max((p for p, s in shares.items() if s >= NEAR * top), key=lambda p: (p.count(">") + (p != ""), shares[p], p))
 
 
+def vote(shares: dict[str, float]) -> str:
+    """The path a page votes for: the root only if no container holds ``LEAST``."""
+    below = {p: s for p, s in shares.items() if p}
+    return best_path(below) if max(below.values(), default=0.0) >= LEAST else ""
+
+
 def _votes(batches):
     for batch in batches:
         out = []
         for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            out += [(host, p, s) for p, s in Page(html or "").shares().items() if s >= LEAST]
-        host, path, share = zip(*out) if out else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(share, pa.float64())], names=["host", "path", "share"])
+            page = Page(html or "")
+            shares = page.shares()
+            chosen = vote(shares) if shares else None
+            out += [(host, p, int(p == chosen), d) for p, d in page.digests().items()]
+        host, path, mine, digest = zip(*out) if out else ((), (), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(mine, pa.int64()), pa.array(digest, pa.int64())],
+                                         names=["host", "path", "vote", "digest"])
 
 
 def _texts(batches):
     for batch in batches:
         out, used = [], []
-        for html, path in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+        for html, paths, same in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
             page = Page(html or "")
             shares = page.shares()
-            if path is None or shares.get(path, 0.0) < LEAST or page.left_out(path) > MUCH:
-                path = best_path(shares)
-            out.append(page.text(path))
+            path = next((p for p in paths or () if shares.get(p, 0.0) >= LEAST), None)
+            same = frozenset(same or ())
+            if path in same:
+                same = frozenset()
+            if path is None or page.left_out(path, same) > MUCH:
+                path, same = best_path(shares), frozenset()
+            out.append(page.text(path, same))
             used.append(path)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array(used, pa.string())],
                                          names=["page_id", "url", "text", "path"])
@@ -279,13 +318,18 @@ def host_of(url):
 
 
 def winners(pages: DataFrame) -> DataFrame:
-    """``host, path`` from ``host, html``: each host's winning path."""
-    votes = pages.select("host", "html").mapInArrow(_votes, "host string, path string, share double")
-    votes = votes.groupBy("host", "path").agg(F.round(F.sum("share"), 6).alias("votes"))
-    top = votes.groupBy("host").agg(F.max("votes").alias("top"))
-    depth = F.when(F.col("path") == "", 0).otherwise(F.size(F.split("path", ">")))
-    return (votes.join(top, "host").where(F.col("votes") >= NEAR * F.col("top"))
-            .groupBy("host").agg(F.max_by("path", F.struct(depth, "votes", "path")).alias("path")))
+    """``host, paths, same`` from ``host, html``: each host's winning paths, most
+    votes first, and the paths whose text is the same on all pages."""
+    votes = pages.select("host", "html").mapInArrow(_votes, "host string, path string, vote long, digest long")
+    votes = votes.groupBy("host", "path").agg(F.sum("vote").alias("votes"), F.count("*").alias("pages"),
+                                              F.min("digest").alias("low"), F.max("digest").alias("high"))
+    votes = written(votes, "host-votes")
+    every = votes.groupBy("host").agg(F.sum("votes").alias("all"))
+    wins = (F.col("path") != "") & (F.col("votes") >= F.greatest(F.lit(VOTES), F.col("all") * FEW))
+    same = (F.col("path") != "") & (F.col("low") == F.col("high")) & (F.col("pages") >= F.greatest(F.lit(SAME), F.col("all") * FEW))
+    rank = F.struct((-F.col("votes")).alias("votes"), (-F.size(F.split("path", ">"))).alias("depth"), "path")
+    return (votes.join(every, "host").where(wins | same).groupBy("host")
+            .agg(F.sort_array(F.collect_list(F.when(wins, rank)))["path"].alias("paths"), F.sort_array(F.collect_list(F.when(same, F.col("path")))).alias("same")))
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -294,4 +338,4 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
                       host_of(F.col(url_col)).alias("host"))
     won = written(winners(pages), "host-paths")
     schema = f"page_id {df.schema[id_col].dataType.simpleString()}, url string, text string, path string"
-    return (pages.join(won, "host", "left").select("page_id", F.col("url").cast("string"), "html", "path").mapInArrow(_texts, schema))
+    return (pages.join(won, "host", "left").select("page_id", F.col("url").cast("string"), "html", "paths", "same").mapInArrow(_texts, schema))

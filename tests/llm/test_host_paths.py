@@ -79,6 +79,25 @@ def test_an_article_of_several_containers(spark):
     assert all(got[i] == want for i, _, _, want in rows)
 
 
+def test_a_host_with_two_templates(spark):
+    r = random.Random(6)
+    rows = []
+    for i in range(100):
+        body = " ".join(f"w{r.randrange(9999)}" for _ in range(12 if i % 10 == 0 else 200))
+        side = f"<div class=box>{' '.join(f's{r.randrange(99)}' for _ in range(12 if i % 10 == 0 else 2))}</div><div class=y><p>Hosted by us.</p></div>"
+        html = (f"<body><div class=a><div class=b><p>{body}</p></div>{side}</div>" if i % 10 < 7 else
+                f"<body><div class=c>by me</div><div class=d><div class=e><p>{body}</p></div></div>{side}")
+        rows.append((i, f"http://h/{i}", html, body, "div.a>div.b" if i % 10 < 7 else "div.d>div.e"))
+    got = {x["page_id"]: x for x in extract(spark.createDataFrame(rows, "page_id long, url string, html string, want string, p string")).collect()}
+    assert all((got[i]["text"], got[i]["path"]) == (want, path) for i, _, _, want, path in rows)
+
+
+def test_pages_that_repeat_keep_their_text(spark):
+    html = "<body><div class=t><h1>Title</h1></div><div class=b><p>" + "word " * 200 + "</p></div>"
+    df = spark.createDataFrame([(i, "http://h/x", html) for i in range(5)], "page_id long, url string, html string")
+    assert {r["text"] for r in extract(df).collect()} == {" ".join(["Title", *["word"] * 200])}
+
+
 def test_much_text_outside_paragraphs_is_kept():
     lines = [f"line {i} of it" for i in range(8)]
     page = Page("<div class=a><p>" + "long text " * 100 + "</p></div>" + "".join(f"<div class=l>{x}</div>" for x in lines) + "<div class=b>by me</div>")
