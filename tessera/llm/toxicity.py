@@ -8,14 +8,17 @@ first 5 and 7 bytes (words share what their stems share); filters of widths 1,
 2 and 3 run over the whole text, each keeps its maximum (max pooling), and a
 logistic layer joins them. The first embedding component starts from the
 bucket's shrunken log-odds on one part of the sample, and the network trains on
-the other, so that no row teaches both. Only the text is an input of a score.
+another, so that no row teaches both. Only the text is an input of a score.
 
 Bounds: ``SAMPLE`` labelled rows (smallest id hash; 20,000), of which at most
 ``NET_ROWS`` (4,000) train the network; each such row's whole text counts.
 
 Thresholds by language: ``fit`` also returns one per language, where F1 is best
-on sample rows that the network did not train on; languages with fewer than
-``MIN_TOXIC`` toxic rows there keep ``THRESHOLD``.
+on all labelled rows that taught neither the log-odds nor the network: a part
+reserved by id hash (1 in ``RESERVED`` of the rows outside the network's part, at
+every size) and whatever the bounds above leave over. The scores of all documents
+are joined to the labels by id, counted per language and hundredth. Languages
+with fewer than ``MIN_TOXIC`` toxic rows there keep ``THRESHOLD``.
 
 Defined results: null and empty texts score like each other (the network's
 value without words); null ids are scored; repeated rows score alike; with no
@@ -39,6 +42,7 @@ SAMPLE = 20_000
 NET_ROWS = 4_000
 THRESHOLD = 0.3
 MIN_TOXIC = 20
+RESERVED = 3
 BUCKETS = 1 << 16
 DIM = 8
 FILTERS = 8
@@ -196,10 +200,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         lang_col: str | None = "lang") -> Model:
     """Train on a bounded sample of ``labels`` (see the module text)."""
     crc = F.crc32(F.col(id_col).cast("string"))
-    picked = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-              .select(F.col(id_col).cast("long").alias("id"), (F.col(label_col) > 0).cast("int").alias("toxic"),
-                      (F.pmod(crc, F.lit(4)) == 3).cast("int").alias("part"))
-              .orderBy(F.xxhash64("id"), "id", "toxic").limit(SAMPLE))
+    known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
+             .select(F.col(id_col).cast("long").alias("id"), (F.col(label_col) > 0).cast("int").alias("toxic"),
+                     (F.pmod(crc, F.lit(4)) == 3).cast("int").alias("part")))
+    reserved = (F.col("part") == 0) & (F.pmod(F.xxhash64(F.lit(17), "id"), F.lit(RESERVED)) == 0) if lang_col else F.lit(False)
+    picked = known.where(~reserved).orderBy(F.xxhash64("id"), "id", "toxic").limit(SAMPLE)
     lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), lang.alias("lang"))
     # at most SAMPLE rows of two numbers: a bounded broadcast, so texts stay where they were read
@@ -216,21 +221,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     net = half.orderBy("turn", "id", "toxic", "words").limit(NET_ROWS).select("words", "toxic", "turn").toPandas()  # bounded sample
     unpack = lambda b: np.frombuffer(b, np.uint16).reshape(-1, len(PARTS))
     model = train([unpack(b) for b in net.words], net.toxic.to_numpy(), odds)
-    if lang_col and model.constant is None and len(net) == NET_ROWS:
-        model.thresholds = _thresholds(half.where(F.col("turn") > int(net.turn.max())), model)
+    if lang_col and model.constant is None:
+        # at most SAMPLE ids: a bounded broadcast
+        taught = rows.where("part = 0").select("id").unionByName(half.where(F.col("turn") <= int(net.turn.max())).select("id"))
+        model.thresholds = _thresholds(texts, known.join(F.broadcast(taught.distinct()), "id", "left_anti"), model)
     return model
 
 
-def _thresholds(rows: DataFrame, model: Model, steps: int = 100) -> dict:
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+def _thresholds(texts: DataFrame, known: DataFrame, model: Model, steps: int = 100) -> dict:
+    """Threshold per language from the documents ``texts`` (id, text, lang) that
+    ``known`` (id, toxic) labels. Texts are scored where they are read."""
+    shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:
-            words = [np.frombuffer(w.as_buffer(), np.uint16).reshape(-1, len(PARTS)) for w in batch.column(0)]
-            offs = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
-            s = _responses(shared.value, np.concatenate(words) if words else np.zeros((0, len(PARTS)), np.uint16), offs)
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array((s * steps).astype(np.int64))], names=["lang", "toxic", "bin"])
-    hist = (rows.select("words", "lang", "toxic").mapInArrow(run, "lang string, toxic int, bin long")
+            s = scores(shared.value, batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array((s * steps).astype(np.int64))], names=["id", "lang", "bin"])
+    hist = (texts.select("id", "text", "lang").mapInArrow(run, "id long, lang string, bin long").join(known.select("id", "toxic"), "id")
             .groupBy("lang", "bin").agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).toPandas())
     out = {}
     for lang, part in hist.groupby("lang"):

@@ -39,6 +39,18 @@ def test_toxicity_held_out(spark, toxic_model):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_toxicity_thresholds_by_language(spark, toxic_model):
+    assert set(toxic_model.thresholds) == {"en", "de"} and all(0 <= t <= 1 for t in toxic_model.thresholds.values())
+
+
+def test_toxicity_threshold_of_a_rare_language(spark, monkeypatch):
+    """Labels beyond the sample count for the thresholds."""
+    monkeypatch.setattr(toxicity, "SAMPLE", 400)
+    rows = [(i, t, "xx" if i % 16 == 0 else lang, y) for i, t, lang, y in labelled(1600, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    assert "xx" in toxicity.fit(docs.drop("toxic"), docs.select("doc_id", "toxic")).thresholds
+
+
 def test_toxicity_long_text_equals_its_slices(toxic_model):
     text = " ".join(words(5000, 1)) + " idiot moron scum " + " ".join(words(300, 2))
     tokens, offs = toxicity.token_buckets(pa.array([text, "short text", "", None]))
