@@ -21,15 +21,14 @@ from tessera.llm.shared import free_name, table, written
 
 SHINGLE_WORDS = 5
 SIMILARITY = 80
-#: Below this many toxic labels of a language the common threshold holds.
-TOXIC_AT = toxicity.THRESHOLD
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the convolutional scorer accepts."""
+    """Documents that the convolutional scorer accepts at the threshold of their
+    language (the common one for a null language and for those not calibrated)."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     name = free_name(docs, "toxic_score")
-    return toxicity.score(docs, model, name=name).where(F.col(name) < TOXIC_AT).drop(name)
+    return toxicity.score(docs, model, name=name).where(F.col(name) < toxicity.language_threshold(model)).drop(name)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

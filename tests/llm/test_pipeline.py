@@ -79,6 +79,12 @@ def test_odd_rows(spark, folder, odd_docs, no_docs):
         docs.count()
 
 
+def test_toxicity_is_decided_by_language(spark, folder, monkeypatch):
+    monkeypatch.setattr(P.toxicity, "fit", lambda docs, labels: P.toxicity.Model(constant=0.5, thresholds={"en": 0.6, "de": 0.4}))
+    docs = spark.createDataFrame([(1, "a", "en"), (2, "b", "de"), (3, "c", "fr"), (4, "d", None)], "doc_id long, text string, lang string")
+    assert [r["doc_id"] for r in P.drop_toxic(spark, docs, folder).collect()] == [1]
+
+
 def test_repeated_rows_leave_one(spark):
     docs = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f"), (3, "other words of a text")], "doc_id long, text string")
     rows = sorted((r["doc_id"] or 0) for r in P.drop_near_duplicates(spark, docs, "").collect())
