@@ -13,10 +13,11 @@ correlated over the slots, and no step j past the largest slot value is run
 Links are found without pairing a whole bucket: first every class is compared
 with its bucket's smallest class; classes of one bucket that are still in
 different components are then compared in blocks of bounded size (size bound
-and signature estimate first, a ``SLACK`` of 0.08 below the threshold: more
-than 3.5 standard deviations of 256 slots), so no link between different texts
-is lost to a leader and no bucket is ever gathered into one task. All links
-are confirmed on full sets.
+and signature estimate first, at a cut that a link at the threshold misses with
+a chance below ``MISS``, like the bands), so no link between different texts is
+lost to a leader and no bucket is ever gathered into one task. All links are
+confirmed on full sets. A link at the threshold is missed with a chance below
+2 * ``MISS`` in all.
 
 Defined results: null or wordless text: ``n_shingles`` 0, a component of its
 own. A null id: ``component_id`` null, ``kept`` true, links with nothing.
@@ -27,6 +28,7 @@ document. Empty table: no rows. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +38,12 @@ from pyspark.sql import functions as F
 from tessera.llm.shared import connected, mix, shingle_sets, written
 
 SLOTS = 256
-SLACK = 0.08
+MISS = 1e-6
 BLOCK = 256
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def layout(percent: int, most: int = SLOTS // 2, miss: float = 1e-6) -> tuple[int, int]:
+def layout(percent: int, most: int = SLOTS // 2, miss: float = MISS) -> tuple[int, int]:
     """(bands, rows): the longest bands whose chance to miss a link at the
     threshold stays below ``miss`` with at most ``most`` slots."""
     s = percent / 100
@@ -52,6 +54,17 @@ def layout(percent: int, most: int = SLOTS // 2, miss: float = 1e-6) -> tuple[in
     return most, 1
 
 
+def fewest_slots(percent: int, m: int = SLOTS, miss: float = MISS) -> int:
+    """Largest n such that a pair at the threshold shares fewer than n of ``m``
+    slots with a chance of ``miss`` at most (binomial; SuperMinHash varies less)."""
+    s, below = percent / 100, 0.0
+    for n in range(m):
+        below += math.comb(m, n) * s ** n * (1 - s) ** (m - n)
+        if below > miss:
+            return n
+    return m
+
+
 def super_min_hash(sets: list[np.ndarray], m: int, slice_size: int = 1 << 15) -> np.ndarray:
     """Signature matrix (len(sets), m) of float64 ranks; no element: infinity."""
     sig = np.full((len(sets), m), np.inf)
@@ -160,7 +173,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
 def _block_pairs(percent: int, bands: int, rows: int):
     """Pairs of different components within the blocks of a bucket, each in the
     first band that both share. Input is sorted by (bucket, cell)."""
-    least = (percent / 100 - SLACK) * SLOTS
+    least = fewest_slots(percent)
 
     def pairs(group):
         side, ids, comp, n, band = (np.array(x) for x in zip(*(g[:5] for g in group)))

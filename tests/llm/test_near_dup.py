@@ -106,3 +106,14 @@ def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, i) for i in range(2, 60)] + [(5, 5)]
     got = {r["id"]: r["component"] for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(100, 161)}, **{i: 1 for i in range(1, 60)}}
+
+
+def test_block_stage_keeps_low_estimates():
+    """A link at the threshold whose signatures agree on few slots."""
+    a, b = np.arange(256, dtype=np.uint16), np.arange(256, dtype=np.uint16)
+    b[180:] += 1000
+    batch = pa.RecordBatch.from_pydict({"bucket": [1, 1], "cell": [0, 0], "side": [0, 0], "id": [1, 2], "comp": [1, 2], "n": [90, 90],
+                                        "band": [0, 0], "sig": [a.tobytes(), b.tobytes()]})
+    got = pa.Table.from_batches(near_dup._block_pairs(80, *layout(80))([batch])).to_pylist()
+    assert got == [{"a": 1, "b": 2}]
+    assert [near_dup.fewest_slots(p) for p in (0, 100)] == [0, 256]
