@@ -120,6 +120,32 @@ def q_subtype_rollup(spark, sf):
     return N.subtype_rollup({"customer": c, "supplier": s})
 
 
+def _parties(spark, sf):
+    c = t(spark, sf, "customer").select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("party"), F.col("c_name").alias("name"),
+                                        F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment"))
+    s = t(spark, sf, "supplier").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("party"), F.col("s_name").alias("name"),
+                                        F.col("s_acctbal").alias("balance"), F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("nation"))
+    return N.subtype_rollup({"customer": c, "supplier": s})
+
+
+@query("subtype_rolldown", """
+  SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS party, s_name AS name, s_acctbal AS balance, 'N' || CAST(s_nationkey AS VARCHAR) AS nation FROM supplier""")
+def q_subtype_rolldown(spark, sf):
+    return N.subtype_rolldown(_parties(spark, sf), "subtype", "supplier", ["party", "name", "balance", "nation"])
+
+
+@query("subtype_hacksaw", """
+  SELECT 'C' || CAST(c_custkey AS VARCHAR) AS party, c_name AS name, c_acctbal AS balance, c_mktsegment AS segment,
+         NULL::VARCHAR AS nation, 'customer' AS subtype FROM customer
+  UNION ALL
+  SELECT 'S' || CAST(s_suppkey AS VARCHAR), s_name, s_acctbal, NULL, 'N' || CAST(s_nationkey AS VARCHAR), 'supplier' FROM supplier""")
+def q_subtype_hacksaw(spark, sf):
+    rolled = _parties(spark, sf)
+    own = {"customer": N.subtype_rolldown(rolled, "subtype", "customer", ["party", "segment"]),
+           "supplier": N.subtype_rolldown(rolled, "subtype", "supplier", ["party", "nation"])}
+    return N.subtype_hacksaw(rolled.select("party", "name", "balance"), own, "party")
+
+
 @query("denormalize", """
   SELECT c.c_custkey, c.c_nationkey, n.n_name, n.n_regionkey
   FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""")

@@ -103,6 +103,13 @@ def subtype_rolldown(rolled: DataFrame, type_col: str, tag: str, cols) -> DataFr
     return rolled.filter(F.col(type_col) == tag).select(*cols)
 
 
+def subtype_hacksaw(supertype: DataFrame, subtypes: dict, key: str, type_col: str = "subtype") -> DataFrame:
+    """N8 hacksaw: the supertype's columns joined by ``key`` to each subtype's own
+    table; a row without a subtype keeps nulls, one in several gives a row each."""
+    typed = subtype_rollup(subtypes, type_col)
+    return supertype.join(typed, key, "left")
+
+
 def daily_summary(df: DataFrame, ts: str, aggs: dict, name: str = "day") -> DataFrame:
     """Summary table by calendar day."""
     return df.groupBy(F.to_date(F.col(ts)).alias(name)).agg(*[e.alias(n) for n, e in aggs.items()])

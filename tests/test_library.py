@@ -20,6 +20,13 @@ def test_create_and_drop_table(spark, tiny):
     assert not spark.catalog.tableExists(name)
 
 
+def test_subtype_hacksaw(spark):
+    top = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "id int, name string")
+    a, b = spark.createDataFrame([(1, 7)], "id int, a int"), spark.createDataFrame([(2, 0.5)], "id int, b double")
+    rows = {tuple(r) for r in N.subtype_hacksaw(top, {"A": a, "B": b}, "id").select("id", "name", "a", "b", "subtype").collect()}
+    assert rows == {(1, "x", 7, None, "A"), (2, "y", None, 0.5, "B"), (3, "z", None, None, None)}
+
+
 def test_subtype_rolldown_and_banned_words(spark):
     a = spark.createDataFrame([(1, "x")], "id int, a string")
     b = spark.createDataFrame([(2, 3.5)], "id int, b double")
