@@ -11,24 +11,25 @@ correlated over the slots, and no step j past the largest slot value is run
 (early stop). Signature bands are bucket keys.
 
 Links are found without pairing a whole bucket: first every class is compared
-with its bucket's smallest class; classes of one bucket that are still in
-different components are then compared in blocks of bounded size (size bound
-and signature estimate first, at a cut that a link at the threshold misses with
-a chance below ``MISS``, like the bands), so no link between different texts is
-lost to a leader and no bucket is ever gathered into one task. All links are
-confirmed on full sets. A link at the threshold is missed with a chance below
-2 * ``MISS`` in all.
+with its bucket's smallest class on full sets. Classes of one bucket that are
+still in different components then meet in blocks of bounded size, which carry
+the full sets: a task counts the common shingles of a class with its whole block
+at once, joins what links, skips what is joined already and returns only the
+links that joined two components (fewer than the classes of the block). So no
+link between different texts is lost to a leader, no bucket is gathered into one
+task, and no stage returns the pairs of a group. A link at the threshold is
+missed only if no band has it: a chance below ``MISS``.
 
 Defined results: null or wordless text: ``n_shingles`` 0, a component of its
 own. A null id: ``component_id`` null, ``kept`` true, links with nothing.
 Repeated rows and ties: same class; rows that share an id count as one
-document. Empty table: no rows. Extra columns are ignored.
+document. Very long texts are read whole (a block holds fewer of them). Empty
+table: no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,8 @@ from tessera.llm.shared import connected, mix, shingle_sets, written
 
 SLOTS = 256
 MISS = 1e-6
-BLOCK = 256
+BLOCK = 1024  # classes of a block
+BLOCK_SHINGLES = 1 << 20  # shingles of a block, about
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -54,17 +56,6 @@ def layout(percent: int, most: int = SLOTS // 2, miss: float = MISS) -> tuple[in
     return most, 1
 
 
-def fewest_slots(percent: int, m: int = SLOTS, miss: float = MISS) -> int:
-    """Largest n such that a pair at the threshold shares fewer than n of ``m``
-    slots with a chance of ``miss`` at most (binomial; SuperMinHash varies less)."""
-    s, below = percent / 100, 0.0
-    for n in range(m):
-        below += math.comb(m, n) * s ** n * (1 - s) ** (m - n)
-        if below > miss:
-            return n
-    return m
-
-
 def super_min_hash(sets: list[np.ndarray], m: int, slice_size: int = 1 << 15) -> np.ndarray:
     """Signature matrix (len(sets), m) of float64 ranks; no element: infinity."""
     sig = np.full((len(sets), m), np.inf)
@@ -119,6 +110,10 @@ def _band_keys(codes: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out
 
 
+def _digest(hashes: bytes) -> bytes | None:
+    return hashlib.blake2b(hashes, digest_size=16).digest() if hashes else None
+
+
 def _signer(k: int, bands: int, rows: int):
     def run(batches):
         for batch in batches:
@@ -126,22 +121,22 @@ def _signer(k: int, bands: int, rows: int):
             n = np.array([len(s) for s in sets], np.int64)
             codes = _codes(super_min_hash(sets, SLOTS)) if len(sets) else np.zeros((0, SLOTS), np.uint16)
             keys = _band_keys(codes, bands, rows).astype(np.int64) if len(sets) else np.zeros((0, bands), np.int64)
-            digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+            digest = [_digest(s.tobytes()) for s in sets]
             offsets = np.arange(0, (len(sets) + 1) * bands, bands, dtype=np.int32)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(n), pa.array(digest, pa.binary()),
                 pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1))),
-                pa.array([c.tobytes() for c in codes], pa.binary()),
-            ], names=["doc_id", "n_shingles", "shingle_key", "bands", "sig"])
+            ], names=["doc_id", "n_shingles", "shingle_key", "bands"])
     return run
 
 
 def _setter(k: int):
     def run(batches):
         for batch in batches:
+            sets = [s.tobytes() for s in shingle_sets(batch.column(1), k)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1), k)], pa.large_binary()).cast(pa.binary())],
-                names=["id", "hashes"])
+                [batch.column(0), pa.array([_digest(s) for s in sets], pa.binary()), pa.array(sets, pa.large_binary()).cast(pa.binary())],
+                names=["id", "shingle_key", "hashes"])
     return run
 
 
@@ -159,55 +154,65 @@ def _verifier(percent: int):
     return run
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full shingle sets meet the threshold."""
-    pairs = written(pairs, "near-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = written(texts.join(ids, "id", "left_semi").mapInArrow(_setter(k), "id long, hashes binary"), "near-sets")
     x = sets.select(F.col("id").alias("a"), F.col("hashes").alias("x"))
     y = sets.select(F.col("id").alias("b"), F.col("hashes").alias("y"))
     joined = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
     return joined.mapInArrow(_verifier(percent), "a long, b long")
 
 
-def _block_pairs(percent: int, bands: int, rows: int):
-    """Pairs of different components within the blocks of a bucket, each in the
-    first band that both share. Input is sorted by (bucket, cell)."""
-    least = fewest_slots(percent)
-
-    def pairs(group):
-        side, ids, comp, n, band = (np.array(x) for x in zip(*(g[:5] for g in group)))
-        codes = np.stack([np.frombuffer(g[5], np.uint16) for g in group])
-        for i in range(len(group)):
-            if side[i] == 2:
-                continue
-            # inside one block (side 0) each pair once; across two blocks side 1 meets side 2
-            other = (comp != comp[i]) & ((ids > ids[i]) if side[i] == 0 else (side == 2))
-            other &= 100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])
-            hit = np.flatnonzero(other)
-            if len(hit):
-                same = codes[hit] == codes[i]
-                near = same.sum(axis=1) >= least
-                shared = same[near][:, :bands * rows].reshape(-1, bands, rows).all(axis=2)
-                for j in hit[near][shared.argmax(axis=1) == band[i]] if near.any() else ():
-                    yield min(ids[i], ids[j]), max(ids[i], ids[j])
+def _spanning(side: np.ndarray, ids: np.ndarray, comp: np.ndarray, sets: list[np.ndarray], percent: int):
+    """Links of a block's classes that join two components. Side 0: one block,
+    all meet; side 1 meets side 2 (two blocks of a bucket)."""
+    local = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    sizes = np.array([len(s) for s in sets])
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    mark = np.zeros(int(local.max()) + 1, np.int32)
+    root = np.unique(comp, return_inverse=True)[1]
+    # links inside the largest component add nothing; the others meet it in their own turns
+    for i in np.flatnonzero(root != np.bincount(root).argmax()):
+        open_ = root != root[i]
+        if side[i]:
+            open_ &= side != side[i]
+        if not open_.any():
+            continue
+        own = local[starts[i]:ends[i]]
+        mark[own] = 1
+        both = np.add.reduceat(mark[local], starts)
+        mark[own] = 0
+        hit = open_ & (100 * both >= percent * (sizes + sizes[i] - both))
+        for j in np.flatnonzero(hit):
+            if root[j] != root[i]:
+                yield int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))
+                root[root == root[j]] = root[i]
+
+
+def _block_links(percent: int):
+    """Spanning links of the blocks of a bucket. Input is sorted by (bucket, cell)."""
+    def links(group):
+        if len(group) < 2:
+            return []
+        side, ids, comp = (np.array(x) for x in zip(*(g[:3] for g in group)))
+        return list(_spanning(side, ids, comp, [np.frombuffer(g[3], np.uint64) for g in group], percent))
 
     def run(batches):
         group, key = [], None
         for batch in batches:
             out = []
-            for bucket, cell, *row in zip(*(batch.column(n).to_pylist() for n in range(8))):
+            for bucket, cell, *row in zip(*(batch.column(n).to_pylist() for n in range(6))):
                 if (bucket, cell) != key:
-                    out += pairs(group) if len(group) > 1 else ()
+                    out += links(group)
                     group, key = [], (bucket, cell)
                 group.append(row)
             yield _pair_batch(out)
-        yield _pair_batch(list(pairs(group)) if len(group) > 1 else [])
+        yield _pair_batch(links(group))
     return run
 
 
 def _pair_batch(out) -> pa.RecordBatch:
-    out = sorted(set((int(a), int(b)) for a, b in out))
+    out = sorted(set(out))
     return pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"])
 
 
@@ -216,39 +221,44 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     bands, rows = layout(percent)
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     signed = written(texts.mapInArrow(_signer(k, bands, rows),
-                                      "doc_id long, n_shingles long, shingle_key binary, bands array<long>, sig binary"), "near-sig")
+                                      "doc_id long, n_shingles long, shingle_key binary, bands array<long>"), "near-sig")
     live = signed.where("shingle_key is not null and doc_id is not null")
-    classes = live.groupBy("shingle_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"),
-                                             F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    classes = live.groupBy("shingle_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     classes = written(classes, "near-classes")
-    one_text = texts.join(classes.select("id"), "id", "left_semi")
 
-    members = classes.select("id", F.posexplode("bands").alias("band", "bucket"))
+    members = classes.select("id", "n", F.explode("bands").alias("bucket"))
     leaders = members.groupBy("bucket").agg(F.min("id").alias("leader"), F.max("id").alias("top")).where("leader < top")
-    shared = written(members.join(leaders, "bucket").select("bucket", "band", "id", "leader"), "near-buckets")
-    first = _confirm(shared.where("id > leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), one_text, k, percent)
+    shared = written(members.join(leaders, "bucket").select("bucket", "id", "n", "leader"), "near-buckets")
+    met = classes.join(shared.select("id").distinct(), "id", "left_semi").select("id", "shingle_key")
+    sets = texts.join(met.select("id").distinct(), "id", "left_semi").mapInArrow(_setter(k), "id long, shingle_key binary, hashes binary")
+    # an id may repeat, with this text or others: one set for each class
+    sets = written(sets.join(met, ["id", "shingle_key"], "left_semi").dropDuplicates(["id", "shingle_key"]).drop("shingle_key"), "near-sets")
+    first = _confirm(shared.where("id > leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), sets, percent)
     first = written(first, "near-links")
     comps = written(connected(first), "near-comps")
 
-    rest = shared.join(comps, "id", "left").select("bucket", "band", "id", F.coalesce("component", "id").alias("comp"))
-    mixed = (rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
-             .where("lo < hi").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    rest = shared.join(comps, "id", "left").select("bucket", "id", "n", F.coalesce("component", "id").alias("comp"))
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    mixed = (rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), blocks.alias("blocks"))
+             .where("lo < hi").select("bucket", "blocks"))
     rest = rest.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
         (F.least(F.col("block"), o).cast("long") * F.col("blocks") + F.greatest(F.col("block"), o)).alias("cell"),
         F.when(o == F.col("block"), 0).when(F.col("block") < o, 1).otherwise(2).alias("side")))
-    cells = (rest.select("bucket", "band", "id", "comp", F.explode(meet).alias("c")).select("bucket", "band", "c.cell", "c.side", "id", "comp")
-             .join(classes.select("id", "n", "sig"), "id"))
+    cells = (rest.select("bucket", "id", "comp", F.explode(meet).alias("c")).select("bucket", "c.cell", "c.side", "id", "comp")
+             .join(sets, "id"))
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells = cells.repartition(width, "bucket", "cell").sortWithinPartitions("bucket", "cell")
-    more = (cells.select("bucket", "cell", "side", "id", "comp", "n", "band", "sig")
-            .mapInArrow(_block_pairs(percent, bands, rows), "a long, b long").distinct())
-    links = written(first.unionByName(_confirm(more, one_text, k, percent)), "near-links")
+    more = cells.select("bucket", "cell", "side", "id", "comp", "hashes").mapInArrow(_block_links(percent), "a long, b long").distinct()
+    links = written(first.unionByName(more), "near-links")
 
     final = connected(links)
     named = classes.select("shingle_key", "id").join(final, "id").select("shingle_key", "component")
     alone = classes.select("shingle_key", "id").join(final.select("id"), "id", "left_anti").select("shingle_key", F.col("id").alias("component"))
+    found = signed.select("doc_id", "n_shingles", "shingle_key")
+    # texts without words share no key; kept out of the join, they are no hot key
+    keyed = found.where("shingle_key is not null").join(named.unionByName(alone), "shingle_key", "left").select(*found.columns, "component")
+    every = keyed.unionByName(found.where("shingle_key is null").withColumn("component", F.lit(None).cast("long")))
     comp = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return (signed.select("doc_id", "n_shingles", "shingle_key").join(named.unionByName(alone), "shingle_key", "left")
-            .select("doc_id", "n_shingles", comp.alias("component_id"),
-                    F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"), "shingle_key"))
+    return every.select("doc_id", "n_shingles", comp.alias("component_id"),
+                        F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"), "shingle_key")

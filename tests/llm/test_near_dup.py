@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from conftest_llm import components_of, shingle_set
+from conftest_llm import components_of, shingle_set, words
 from tessera.llm import near_dup
 from tessera.llm.near_dup import layout, near_duplicates, super_min_hash
 from tessera.llm.shared import connected, shingle_sets
@@ -108,12 +108,64 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert got == {**{i: 100 for i in range(100, 161)}, **{i: 1 for i in range(1, 60)}}
 
 
-def test_block_stage_keeps_low_estimates():
-    """A link at the threshold whose signatures agree on few slots."""
-    a, b = np.arange(256, dtype=np.uint16), np.arange(256, dtype=np.uint16)
-    b[180:] += 1000
-    batch = pa.RecordBatch.from_pydict({"bucket": [1, 1], "cell": [0, 0], "side": [0, 0], "id": [1, 2], "comp": [1, 2], "n": [90, 90],
-                                        "band": [0, 0], "sig": [a.tobytes(), b.tobytes()]})
-    got = pa.Table.from_batches(near_dup._block_pairs(80, *layout(80))([batch])).to_pylist()
-    assert got == [{"a": 1, "b": 2}]
-    assert [near_dup.fewest_slots(p) for p in (0, 100)] == [0, 256]
+def _sets_of(texts, k=3):
+    return [s.tobytes() for s in shingle_sets(pa.array(texts), k)]
+
+
+def _cells(side, comp, sets, bucket=1, cell=0):
+    n = len(sets)
+    return pa.RecordBatch.from_arrays([pa.array([bucket] * n), pa.array([cell] * n), pa.array(side), pa.array(range(n)), pa.array(comp), pa.array(sets, pa.binary())],
+                                      names=["bucket", "cell", "side", "id", "comp", "hashes"])
+
+
+def _links(batch, percent=85):
+    return [(r["a"], r["b"]) for r in pa.Table.from_batches(near_dup._block_links(percent)([batch])).to_pylist()]
+
+
+def test_block_returns_spanning_links_only():
+    """200 near copies in components of their own: 199 links, not 19,900."""
+    base = words(120, 1)
+    sets = _sets_of([" ".join(base[:60] + [f"x{i}"] + base[61:]) for i in range(200)])
+    got = _links(_cells([0] * 200, list(range(200)), sets))
+    assert len(got) == 199 and set(components_of(range(200), got).values()) == {0}
+    joined = [0] * 199 + [199]  # one component and one row that still has to join it
+    assert len(_links(_cells([0] * 200, joined, sets))) == 1
+    assert _links(_cells([0] * 200, [7] * 200, sets)) == []
+    # two blocks of a bucket: only rows of different sides meet
+    got = _links(_cells([1] * 100 + [2] * 100, list(range(200)), sets))
+    assert len(got) == 199 and all(a < 100 <= b for a, b in got)
+
+
+def test_many_texts_just_below_the_threshold(spark):
+    """2,000 texts that are 0.75 to 0.84 alike share buckets but link only where
+    the full sets say so; no stage returns more rows than it got members."""
+    r = random.Random(9)
+    base = words(150, 2)
+    texts = []
+    for _ in range(2000):
+        t = list(base)
+        for at in r.sample(range(0, 150, 5), 6):
+            t[at] = f"y{r.randrange(10 ** 6)}"
+        texts.append(" ".join(t))
+    rows = list(enumerate(texts))
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=3, percent=85).collect()
+    sets = [np.frombuffer(s, np.uint64) for s in _sets_of(texts)]
+    pairs = []  # brute force over all pairs
+    flat, sizes = np.unique(np.concatenate(sets), return_inverse=True)[1], np.array([len(s) for s in sets])
+    starts = np.cumsum(sizes) - sizes
+    for i in range(2000):
+        mark = np.zeros(flat.max() + 1, np.int64)
+        mark[flat[starts[i]:starts[i] + sizes[i]]] = 1
+        both = np.add.reduceat(mark[flat], starts)
+        pairs += [(i, int(j)) for j in np.flatnonzero(100 * both >= 85 * (sizes + sizes[i] - both)) if j > i]
+    want = components_of(range(2000), pairs)
+    assert {x["doc_id"]: x["component_id"] for x in got} == want
+    assert len(set(want.values())) > 500  # most texts are linked with nothing
+
+
+def test_one_id_with_two_texts(spark):
+    a, b = " ".join(words(40, 3)), " ".join(words(40, 4))
+    near = a + " tail"
+    rows = [(5, a), (5, b), (5, b), (6, near), (7, b + " end"), (8, "nothing like it at all")]
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=3, percent=85).collect()}
+    assert got == {5: 5, 6: 5, 7: 5, 8: 8}
