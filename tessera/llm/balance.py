@@ -15,7 +15,10 @@ Rates become copies by error feedback: documents are dealt by hash into blocks
 of about ``BLOCK`` rows of a source; in a block, from the largest document
 down, each takes floor or ceiling of its rate, whichever brings the block's
 words nearer to the words its rates ask for. The error of a block is about half
-of its small documents, and no source is gathered in one task.
+of its small documents, and no source is gathered in one task. Rows with the
+same source, id and size (null or repeated ids) are counted first and enter the
+blocks as slices of at most ``BLOCK`` rows: a slice takes copies for all its
+rows at once, which its rows then share as evenly as whole copies allow.
 
 Targets: sources in code-point order (null last) get weights 5, 2, 1 in turn
 and share 100 % of all words; a target stops at ``cap`` times its source's
@@ -24,7 +27,8 @@ sources: the share per weight t solves sum(min(cap * S, t * w)) = total).
 
 Defined results: null text: size 0, rate and copies 0 words; null source: a
 source of its own, last; sources without words: target 0; repeated rows are
-separate documents; extra columns stay; an empty table gives no rows.
+separate documents, and so are rows with a null id; very long texts are counted
+whole; other columns are not read and not returned; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -90,8 +94,8 @@ def tilts(counts: DataFrame, goal: DataFrame, cap: int = CAP, steps: int = STEPS
         now = now.withColumn("tilt", F.when(F.col("off") <= close, F.col("tilt")).otherwise(step))
         state = written(now.select("source", "rows", "source_size", "target", "mean", "tilt", "low", "high", "off"), "tilts")
         if (state.agg(F.max("off")).first()[0] or 0.0) <= close:
-            break
-    return state
+            return state
+    raise RuntimeError(f"the tilts did not settle in {steps} steps")
 
 
 def rated(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id", cap: int = CAP) -> DataFrame:
@@ -104,27 +108,35 @@ def rated(docs: DataFrame, text_col: str = "text", source_col: str = "source", i
     joined = x.join(s, F.col("x.source").eqNullSafe(F.col("s.source"))).select("x.*", "s.source_size", "s.target", "s.rows", "s.tilt", "s.mean")
     power = F.col("tilt") * F.col("size") / F.col("mean")
     rate = F.when(power >= F.log(F.lit(float(cap))), F.lit(float(cap))).otherwise(F.exp(power))
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("rows") / BLOCK)).cast("long")
-    return joined.select("id", "source", "size", "source_size", "target", F.when(F.col("target") > 0, rate).otherwise(0.0).alias("rate"),
-                         F.pmod(F.xxhash64(F.lit(6), "id", "size"), blocks).alias("block"))
+    rows = joined.select("id", "source", "size", "source_size", "target", F.when(F.col("target") > 0, rate).otherwise(0.0).alias("rate"),
+                         F.greatest(F.lit(1), F.ceil(F.col("rows") / BLOCK)).cast("long").alias("blocks"))
+    alike = rows.groupBy("source", "id", "size").agg(*[F.first(c).alias(c) for c in ("source_size", "target", "rate", "blocks")], F.count("*").alias("alike"))
+    sliced = alike.select("*", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("alike") / BLOCK) - 1).cast("int"))).alias("slice"))
+    return sliced.select("id", "source", "size", "source_size", "target", "rate",
+                         F.least(F.lit(BLOCK), F.col("alike") - F.col("slice") * BLOCK).cast("int").alias("alike"),
+                         F.pmod(F.xxhash64(F.col("slice") + 6, "id", "size"), F.col("blocks")).alias("block"))
 
 
 def mixed(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id", cap: int = CAP) -> DataFrame:
     """``doc_id, source, size, source_size, target, rate, copies`` per document."""
     rows = rated(docs, text_col, source_col, id_col, cap)
     # largest first; ties by id, then identical
-    row = F.struct((-F.col("size")).alias("neg"), "id", "rate")
+    row = F.struct((-F.col("size")).alias("neg"), "id", "rate", "alike")
     blocks = rows.groupBy("source", "block", "source_size", "target").agg(F.sort_array(F.collect_list(row)).alias("docs"))
     start = F.struct(F.lit(0.0).alias("owed"), F.expr("cast(array() as array<int>)").alias("copies"))
 
     def deal(state, d):
         size = -d["neg"]
-        want = state["owed"] + d["rate"] * size
+        want = state["owed"] + d["rate"] * size * d["alike"]
         floor = F.floor(d["rate"]).cast("int")
-        up = (d["rate"] > floor) & (want - floor * size >= size / 2) & (size > 0)
-        copies = F.least(floor + F.when(up, 1).otherwise(0), F.lit(cap)).cast("int")
+        most = F.least(F.when(d["rate"] > floor, floor + 1).otherwise(floor), F.lit(cap))
+        # copies of the slice: the number of words nearest to those asked for (a half goes up)
+        near = F.floor(want / F.greatest(size, F.lit(1)) + 0.5).cast("int")
+        copies = F.when(size > 0, F.greatest(floor * d["alike"], F.least(most * d["alike"], near))).otherwise(floor * d["alike"]).cast("int")
         return F.struct((want - copies * size).cast("double").alias("owed"), F.array_append(state["copies"], copies).alias("copies"))
     dealt = blocks.withColumn("copies", F.aggregate("docs", start, deal)["copies"])
     out = dealt.select("source", "source_size", "target", F.explode(F.arrays_zip("docs", "copies")).alias("z"))
-    return out.select(F.col("z.docs.id").alias("doc_id"), "source", (-F.col("z.docs.neg")).alias("size"), "source_size", "target",
-                      F.col("z.docs.rate").alias("rate"), F.col("z.copies").alias("copies"))
+    out = out.select("source", "source_size", "target", "z.docs.*", F.col("z.copies").alias("total"),
+                     F.explode(F.sequence(F.lit(1), F.col("z.docs.alike"))).alias("nth"))
+    own = F.floor(F.col("total") / F.col("alike")) + F.when(F.col("nth") <= F.pmod("total", "alike"), 1).otherwise(0)
+    return out.select(F.col("id").alias("doc_id"), "source", (-F.col("neg")).alias("size"), "source_size", "target", "rate", own.cast("int").alias("copies"))

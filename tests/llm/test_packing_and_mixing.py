@@ -4,6 +4,8 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tessera.llm import balance
 from tessera.llm.balance import mixed, targets
 from tessera.llm.packing import pack
@@ -117,6 +119,20 @@ def test_mix_odd_rows(odd_docs, no_docs):
     assert mixed(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("doc_id", [None, 3])
+def test_mix_of_one_id_fills_many_blocks(spark, doc_id):
+    """20,000 rows of one (source, id, size): slices of 256 rows, targets met."""
+    rows = [(doc_id, "w w w w", "a")] * 20_000 + [(i, "w " * (1 + i % 9), "b") for i in range(4000)] + [(doc_id, None, "c"), (doc_id, "", "c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    slices = balance.rated(df).where("source = 'a'").collect()
+    assert len(slices) == 79 and sum(r["alike"] for r in slices) == 20_000 and max(r["alike"] for r in slices) <= balance.BLOCK
+    assert len({r["block"] for r in slices}) > 40
+    out = mixed(df).groupBy("source").agg(F.count("*").alias("n"), F.sum(F.col("copies") * F.col("size")).alias("got"), F.first("target").alias("target"),
+                                          F.max("copies").alias("most")).collect()
+    assert {r["source"]: r["n"] for r in out} == {"a": 20_000, "b": 4000, "c": 2}
+    assert all(abs(r["got"] - r["target"]) <= 0.01 * r["target"] + 1 and r["most"] <= 3 for r in out)
+
+
 def test_mix_runs_no_python(spark, odd_docs):
     plan = mixed(odd_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

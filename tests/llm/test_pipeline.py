@@ -72,11 +72,29 @@ def test_run(spark, folder):
     assert rows and all(np.frombuffer(r["ids"], "<u4").tolist() == encoder.library.encode(text[r["doc_id"]], add_bos=True, add_eos=True) for r in rows)
 
 
-def test_odd_rows(spark, folder, odd_docs, no_docs):
-    for docs in (odd_docs.withColumn("n_chars", P.F.lit(1).cast("long")), no_docs):
-        for _, stage in P.STAGES:
-            docs = P.written(stage(spark, docs, folder), "test-stage")
-        docs.count()
+def test_odd_rows(spark, folder, odd_docs, no_docs, monkeypatch):
+    """Nulls, empty and very long texts, repeated rows, clashing columns: every
+    stage keeps the columns and loses no row but by its rule."""
+    monkeypatch.setattr(P.toxicity, "fit", lambda docs, labels: P.toxicity.Model(constant=0.1))
+    docs = odd_docs.withColumn("n_chars", P.F.lit(1).cast("long"))
+    columns, n = docs.columns, []
+    for _, stage in P.STAGES[:-1]:
+        docs = P.written(stage(spark, docs, folder), "test-stage")
+        assert docs.columns == columns
+        n.append(sorted((r["doc_id"] or 0, len(r["text"] or "")) for r in docs.collect()))
+    assert len(n[0]) == 12  # nothing is toxic
+    low = {r[0] for r in n[1]}
+    assert {1, 6, 7, 8, 9} >= low - {0, 2, 3, 4, 5} and len(n[1]) <= 12
+    groups = [r for r in n[2] if r[1] == 44]  # the same sentence under ids 1, 1 and 2
+    assert len(groups) == (1 if any(r[1] == 44 for r in n[1]) else 0)
+    assert len([r for r in n[2] if r[1] == 0]) == len([r for r in n[1] if r[1] == 0])  # wordless texts link with nothing
+    assert all(n[3].count(r) <= 3 * n[2].count(r) for r in n[3])
+    encoded = P.STAGES[-1][1](spark, docs, folder)
+    assert encoded.count() == len(n[3])
+    empty = no_docs.withColumn("n_chars", P.F.lit(1).cast("long"))
+    for _, stage in P.STAGES:
+        empty = P.written(stage(spark, empty, folder), "test-stage")
+    assert empty.count() == 0
 
 
 def test_toxicity_is_decided_by_language(spark, folder, monkeypatch):
@@ -87,5 +105,31 @@ def test_toxicity_is_decided_by_language(spark, folder, monkeypatch):
 
 def test_repeated_rows_leave_one(spark):
     docs = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f"), (3, "other words of a text")], "doc_id long, text string")
-    rows = sorted((r["doc_id"] or 0) for r in P.drop_near_duplicates(spark, docs, "").collect())
-    assert rows == [0, 1, 3]
+    assert sorted(r["doc_id"] for r in P.drop_near_duplicates(spark, docs, "").collect()) == [1, 3]
+
+
+def test_an_id_with_two_texts_keeps_the_unique_one(spark):
+    a, b = " ".join(words(60, 1)), " ".join(words(60, 2))
+    docs = spark.createDataFrame([(5, a), (5, b), (1, a), (None, b), (None, None), (None, None)], "doc_id long, text string")
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in P.drop_near_duplicates(spark, docs, "").collect()) == sorted(
+        [(1, a), (5, b), (0, ""), (0, "")])
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_mix_of_rows_without_ids_of_their_own(spark, doc_id):
+    """Rows that share a null (or one) id take the copies that the mix decides,
+    source by source."""
+    rows = [(doc_id, " ".join(["w"] * (1 + i % 5 if i % 2 else 4)), "abc"[i % 3], i) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n int").repartition(3)
+    got = P.mix_sources(spark, docs, "").collect()
+    size, taken, times = {}, {}, {}
+    for _, t, s, _ in rows:
+        size[s] = size.get(s, 0) + len(t.split())
+    for r in got:
+        taken[r["source"]] = taken.get(r["source"], 0) + len(r["text"].split())
+        times[r["n"]] = times.get(r["n"], 0) + 1
+    total = sum(size.values())
+    assert all(abs(taken[s] - w / 8 * total) <= 0.03 * total for s, w in zip("abc", (5, 2, 1)))
+    assert max(times.values()) <= 3
+    same = P.balance.mixed(docs).groupBy("source").agg(P.F.sum(P.F.col("copies") * P.F.col("size")).alias("t")).collect()
+    assert all(abs(r["t"] - taken[r["source"]]) <= 0.02 * total for r in same)
