@@ -6,9 +6,12 @@ columns of ``documents`` (the last one: the encoded rows). ``run`` applies them
 to the documents table, each stage written as Parquet to the shared folder and
 read back as the next one's docs.
 
-Rows survive as rows: null ids, null texts and repeated rows pass the filters
-by the rules of the operator's own module; the mixing stage repeats a row as
-often as the mix takes it.
+Rows survive as rows: a stage whose operator joins its decisions back writes its
+input once with a key of each row (``keyed``) and joins by that key, so null and
+repeated ids neither share a decision nor meet in one task. Null texts pass the
+filters by the rules of the operator's own module; rows with the same text and
+id are near duplicates like any others; the mixing stage repeats a row as often
+as the mix takes it. Extra columns stay, also those with the operators' names.
 """
 
 from __future__ import annotations
@@ -38,27 +41,28 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return weak_label.score(docs, model, name=name).where(F.col(name) >= weak_label.KEEP).drop(name)
 
 
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` written with a number of each row, and that column's name."""
+    key = free_name(docs, "row_key")
+    return written(docs.withColumn(key, F.monotonically_increasing_id()), "pipeline-keyed"), key
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the smallest id, once."""
-    groups = near_dup.near_duplicates(docs, k=SHINGLE_WORDS, percent=SIMILARITY)
-    gone = groups.where("not kept").select("doc_id")
-    left = docs.join(gone, "doc_id", "left_anti")
-    twice = groups.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    # rows that repeat one id: equal texts are one document
-    once = left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(twice, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+    """One row of each near-duplicate group: the smallest id (nulls last)."""
+    rows, key = keyed(docs)
+    groups = near_dup.near_duplicates(rows, id_col=key, k=SHINGLE_WORDS, percent=SIMILARITY).select(F.col("doc_id").alias(key), "component_id")
+    # one row for each group out of a partial aggregate; all joins are by the row's own key
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(key).alias("key"))
+    first = groups.join(rows.select(key, "doc_id"), key).groupBy("component_id").agg(F.min(order)["key"].alias(key)).select(key)
+    return rows.join(first, key, "left_semi").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix to target weights takes it."""
-    taken = balance.mixed(docs).groupBy("doc_id", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
-    size, n = free_name(docs, "mix_size"), free_name(docs, "mix_copies")
-    words = F.coalesce(F.regexp_count(F.col("text"), F.lit(balance.WORDS)), F.lit(0)).cast("long")
-    d, t = docs.withColumn(size, words).alias("d"), taken.alias("t")
-    joined = d.join(t, F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col(f"d.{size}") == F.col("t.size")))
-    copies = F.round(F.col("t.copies") / F.col("t.rows")).cast("int")
-    return (joined.select("d.*", copies.alias(n)).where(F.col(n) > 0)
-            .withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns))
+    """Each row as many times as the mix to target weights takes it."""
+    rows, key = keyed(docs)
+    n = free_name(docs, "mix_copies")
+    taken = balance.mixed(rows, id_col=key).where("copies > 0").select(F.col("doc_id").alias(key), F.col("copies").alias(n))
+    return rows.join(taken, key).withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
