@@ -152,3 +152,91 @@ deg AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT c.vec_id, coalesce(d.n, 0) AS n_links, c.component_id, c.vec_id = c.component_id AS kept
 FROM comp c LEFT JOIN deg d ON d.a = c.vec_id
 """
+
+
+@_query
+def op11_metric_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors: 8 parts, 16 entries, 6 rounds of k-means."""
+    from tessera.llm.metric_trees import codes
+    return codes(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def _op11_oracle(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Plain k-means: every part against every entry, round by round."""
+    def assign(r: int) -> str:
+        return f"""a{r} AS (
+  SELECT p.n, p.vec_id, p.label, p.part, p.v, min({{'d': list_sum(list_transform(range(1, len(p.v) + 1), lambda i: (p.v[i] - c.v[i]) * (p.v[i] - c.v[i])))::HUGEINT, 'e': c.entry}}) AS best
+  FROM p JOIN c{r} c ON c.part = p.part GROUP BY ALL)"""
+
+    def means(r: int) -> str:
+        return f"""m{r} AS (
+  SELECT part, entry, list(floor_mean ORDER BY i) AS v FROM (
+    SELECT part, best.e AS entry, i, (sum(v[i]) - ((sum(v[i]) % count(*)) + count(*)) % count(*)) // count(*) AS floor_mean
+    FROM a{r}, (SELECT unnest(range(1, (SELECT max(len(v)) FROM p) + 1)) AS i) GROUP BY part, best.e, i) GROUP BY part, entry),
+c{r + 1} AS (SELECT c.part, c.entry, coalesce(m.v::BIGINT[], c.v) AS v FROM c{r} c LEFT JOIN m{r} m ON m.part = c.part AND m.entry = c.entry)"""
+    steps = ",\n".join(f"{assign(r)},\n{means(r)}" for r in range(rounds))
+    return f"""
+WITH whole AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS e, row_number() OVER (ORDER BY vec_id NULLS LAST) AS n FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT n, vec_id, label, part, e[part * len(e) // {parts} + 1:(part + 1) * len(e) // {parts}] AS v FROM whole, (SELECT unnest(range({parts})) AS part)),
+c0 AS (SELECT part, n - 1 AS entry, v FROM p WHERE n <= {entries}),
+{steps},
+{assign(rounds)},
+coded AS (SELECT n, vec_id, label, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM a{rounds} GROUP BY ALL),
+books AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded, books
+"""
+
+
+ORACLE["op11_metric_trees"] = _op11_oracle()
+
+
+@_query
+def op12_head_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents drawn towards the benchmark's word runs."""
+    from tessera.llm.head_tail import resample
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op12_head_tail"] = r"""
+WITH polynomial AS (  -- the CRC of each byte value, bit by bit
+  SELECT list(list_reduce(list_prepend(b::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+  FROM range(256) r(b)),
+texts AS (
+  SELECT doc_id, 0 AS target, text FROM documents UNION ALL SELECT NULL, 1, text FROM benchmark),
+w AS (
+  SELECT doc_id, target, row_number() OVER () AS n, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS a FROM texts),
+f AS (
+  SELECT doc_id, target, n, unnest(list_concat(a, CASE WHEN len(a) < 2 THEN []::VARCHAR[] ELSE [a[i] || ' ' || a[i + 1] for i in range(1, len(a))] END)) AS g FROM w),
+g AS (SELECT n, target, g, count(*) AS c FROM f GROUP BY ALL),
+hashed AS (
+  SELECT g, xor(list_reduce(list_prepend(4294967295::BIGINT, [(position(hex[2 * i - 1] IN '0123456789ABCDEF') - 1) * 16 + position(hex[2 * i] IN '0123456789ABCDEF') - 1 for i in range(1, len(hex) // 2 + 1)]::BIGINT[]),
+    lambda s, b: xor(t[(xor(s, b) & 255) + 1], s >> 8)), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT g, hex(encode(g)) AS hex FROM g), polynomial),
+b AS (SELECT g.n, g.target, h.bucket, sum(g.c) AS c FROM g JOIN hashed h ON h.g = g.g GROUP BY ALL),
+total AS (SELECT bucket, sum(c) FILTER (target = 0) AS s, sum(c) FILTER (target = 1) AS t FROM b GROUP BY bucket),
+every AS (SELECT coalesce(sum(s), 0)::DOUBLE AS s_all, coalesce(sum(t), 0)::DOUBLE AS t_all FROM total),
+gain AS (
+  SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (s_all + 10000)) / ((coalesce(s, 0) + 1)::DOUBLE * (t_all + 10000))))::BIGINT AS gain FROM total, every),
+weighed AS (SELECT n, sum(c)::BIGINT AS n_features, floor(sum(c * gain)::DOUBLE / sum(c)::DOUBLE)::BIGINT AS weight FROM b JOIN gain ON gain.bucket = b.bucket WHERE b.target = 0 GROUP BY n),
+scored AS (
+  SELECT w.n, w.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(w.doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM w LEFT JOIN weighed x ON x.n = w.n WHERE w.target = 0),
+ranked AS (SELECT n, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank, 25 * count(*) OVER () // 100 AS draw FROM scored WHERE n_features >= 39)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= draw THEN rank END AS rank FROM scored s LEFT JOIN ranked r ON r.n = s.n
+"""
+
+
+@_query
+def op13_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts, digest and spans."""
+    from pyspark.sql import functions as F
+
+    from tessera.llm import anchors_pii
+    found = anchors_pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"), name="found")
+    counts = [F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in anchors_pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(anchors_pii.listed(F.col("found"), anchors_pii.BASE), 256).alias("base_sha256"),
+                        anchors_pii.listed(F.col("found")).alias("spans"))

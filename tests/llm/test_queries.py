@@ -19,6 +19,9 @@ COLUMNS = {
     "op7_": {"doc_id": "bigint", "score": "double", "kept": "boolean"},
     "op8_": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
     "op9_": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
+    "op11_": {"vec_id": "bigint", "code": "string", "error": "bigint", "label_error": "bigint", "codebooks_sha256": "string"},
+    "op12_": {"doc_id": "bigint", "n_features": "bigint", "weight": "bigint", "score": "bigint", "rank": "bigint"},
+    "op13_": {"doc_id": "bigint", "n_email": "bigint", "n_ip": "bigint", "n_card": "bigint", "n_phone": "bigint", "base_sha256": "string", "spans": "string"},
     "op10_": {"vec_id": "bigint", "n_links": "bigint", "component_id": "bigint", "kept": "boolean"},
 }
 
@@ -28,12 +31,13 @@ def test_columns_and_rows(spark, tiny, prefix):
     name, = [n for n in catalog.QUERIES if n.startswith(prefix)]
     df = E.queries()[name](spark, tiny)
     assert COLUMNS[prefix].items() <= dict(df.dtypes).items()
-    source = {"op9_": "pages", "op10_": "embeddings"}.get(prefix, "documents")
+    source = {"op9_": "pages", "op10_": "embeddings", "op11_": "embeddings"}.get(prefix, "documents")
     got = df.toPandas()
     assert len(got) == spark.read.parquet(f"{tiny}/{source}.parquet").count()
     if name in catalog.ORACLE:
         con = duckdb.connect()
-        con.execute(f"CREATE VIEW {source} AS SELECT * FROM read_parquet('{tiny}/{source}.parquet')")
+        for view in {source, "benchmark"}:
+            con.execute(f"CREATE VIEW {view} AS SELECT * FROM read_parquet('{tiny}/{view}.parquet')")
         want = con.execute(catalog.ORACLE[name]).df()
         assert sorted(got.columns) == sorted(want.columns) and rows(got, 9) == rows(want, 9)
 
