@@ -255,6 +255,11 @@ def listed(column, kinds=KINDS):
     return F.concat_ws(",", F.transform(mine, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
 
 
+def count_of(column, kind: str):
+    """Column: number of spans of a kind."""
+    return F.size(F.filter(column, lambda s: s["kind"] == kind)).cast("long")
+
+
 def masked(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``df`` with every span of ``text_col`` replaced by its kind in brackets.
     Overlapping spans become one, under the kind of the first."""

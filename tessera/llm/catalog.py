@@ -237,6 +237,6 @@ def op13_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from tessera.llm import anchors_pii
     found = anchors_pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"), name="found")
-    counts = [F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in anchors_pii.BASE]
+    counts = [anchors_pii.count_of(F.col("found"), kind).alias(f"n_{kind}") for kind in anchors_pii.BASE]
     return found.select("doc_id", *counts, F.sha2(anchors_pii.listed(F.col("found"), anchors_pii.BASE), 256).alias("base_sha256"),
                         anchors_pii.listed(F.col("found")).alias("spans"))

@@ -81,3 +81,19 @@ def test_odd_rows(odd_docs, no_docs):
 def test_masked(spark):
     docs = spark.createDataFrame([(1, "mail a.b@c.de or +1 (555) 010-9999 now"), (2, None), (3, "nothing")], "doc_id long, text string")
     assert [r["text"] for r in P.masked(docs).orderBy("doc_id").collect()] == ["mail [email] or [phone] now", None, "nothing"]
+
+
+def test_query_equals_the_patterns(spark, tiny):
+    import hashlib
+    from collections import Counter
+
+    from tessera.llm import catalog
+    text = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{tiny}/documents.parquet").collect()}
+    rows = catalog.QUERIES["op13_anchor_expansion"](spark, tiny).collect()
+    assert len(rows) == len(text)
+    for r in rows:
+        found = plain(text[r["doc_id"]])
+        n = Counter(k for k, _, _ in found)
+        listed = ",".join(f"{k}:{a}:{b}" for k, a, b in found)
+        assert tuple(r[f"n_{k}"] for k in P.BASE) == tuple(n[k] for k in P.BASE)
+        assert r["spans"] == listed and r["base_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
