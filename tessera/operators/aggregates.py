@@ -4,10 +4,11 @@ costs one row per task, not its whole group."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import hour_start, safe_ratio  # noqa: F401  (safe_ratio re-exported, E28)
+from tessera.operators.quantiles import exact_quantiles
 
 
 def agg(df: DataFrame, keys, exprs: dict, having: Column | None = None, order=None) -> DataFrame:
@@ -81,73 +82,6 @@ def nonnull_by_key(df: DataFrame, key: str, cols=None) -> DataFrame:
     return df.groupBy(key).agg(*[F.count(c).alias(c) for c in cols])
 
 
-def exact_quantiles(df: DataFrame, cols, probs, keys=(), interpolate: bool = False, levels: int = 2, bins: int = 4096) -> DataFrame:
-    """Exact quantiles of several columns, per group of ``keys``:
-    (keys..., column, p, value). ``value`` is the one at 1-based position
-    ``max(1, ceil(p * n))`` of the sorted non-null values (SQL
-    ``quantile_disc``), or with ``interpolate`` the straight line between the
-    two values around position ``1 + p * (n - 1)`` (``quantile_cont``).
-
-    Nothing is held whole and no order over all rows is built. Values are
-    counted per distinct value (a partial aggregate). Each level cuts the value
-    range that holds a wanted position into ``bins`` equal bins (the bin of a
-    value is a fixed expression, so every branch and every retry agrees),
-    counts them, and narrows to the one bin with the position; the next level
-    starts from that bin's own smallest and largest value, so outliers cost one
-    level, not the result. Last, a running count over the distinct values of
-    the final bins finds the position. Windows hold at most ``bins`` rows per
-    range, and the distinct values of a final bin. NaN is not a value here."""
-    keys = list(keys)
-    group = [*keys, "column"]
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
-    counts = (df.select(*keys, F.inline(pairs)).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-              .groupBy(*group, "value").agg(F.count(F.lit(1)).alias("w")))
-
-    def matched(left, right, on):
-        r = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
-        same = F.lit(True)
-        for c in on:
-            same = same & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-        return left.join(r, same).drop(*[f"_r_{c}" for c in on])
-
-    def places(p):
-        at = 1 + F.lit(float(p)) * (F.col("n") - 1) if interpolate else F.greatest(F.ceil(F.lit(float(p)) * F.col("n")), F.lit(1))
-        low = F.floor(at).cast("long")
-        share = (at - F.floor(at)).cast("double")
-        one = F.struct(F.lit(float(p)).alias("p"), low.alias("pos"), (1 - share).alias("share"))
-        if not interpolate:
-            return [one]
-        return [one, F.struct(F.lit(float(p)).alias("p"), F.least(low + 1, F.col("n")).alias("pos"), share.alias("share"))]
-    whole = counts.groupBy(*group).agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("w").alias("n"))
-    wanted = whole.select(*group, "lo", "hi", F.lit(0).cast("long").alias("before"), F.inline(F.array(*[s for p in probs for s in places(p)])))
-    cell = [*group, "lo", "hi", "before"]
-
-    def in_cells():
-        """The counted values inside the ranges still wanted."""
-        ranges = wanted.select(*cell).distinct()
-        return matched(counts, ranges, group).filter((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
-
-    for _ in range(levels):
-        width = F.col("hi") - F.col("lo")
-        bin_ = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("lo")) / width * bins), F.lit(bins - 1))).otherwise(0)
-        table = in_cells().groupBy(*cell, bin_.cast("int").alias("bin")).agg(
-            F.sum("w").alias("w"), F.min("value").alias("first"), F.max("value").alias("last"))
-        upto = F.sum("w").over(Window.partitionBy(*cell).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
-        table = table.withColumn("upto", F.col("before") + upto)
-        wanted = (matched(wanted, table, cell).filter((F.col("pos") <= F.col("upto")) & (F.col("pos") > F.col("upto") - F.col("w")))
-                  .select(*group, F.col("first").alias("lo"), F.col("last").alias("hi"), (F.col("upto") - F.col("w")).alias("before"), "p", "pos", "share"))
-    upto = F.sum("w").over(Window.partitionBy(*cell).orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
-    table = in_cells().withColumn("upto", F.col("before") + upto)
-    hit = matched(wanted, table, cell).filter((F.col("pos") <= F.col("upto")) & (F.col("pos") > F.col("upto") - F.col("w")))
-    if not interpolate:
-        return hit.select(*group, "p", "value")
-    # the upper neighbour (the larger position) carries the share of the way to it
-    ends = hit.groupBy(*group, "p").agg(F.min("value").alias("a"), F.max("value").alias("b"),
-                                        F.min("pos").alias("first"), F.max(F.struct("pos", "share")).alias("upper"))
-    way = F.when(F.col("upper.pos") > F.col("first"), F.col("upper.share")).otherwise(0.0)
-    return ends.select(*group, "p", (F.col("a") + (F.col("b") - F.col("a")) * way).alias("value"))
-
-
 def describe(df: DataFrame, cols, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """Per column count, mean, std (n-1), min, 25/50/75 %, max, long format.
 
