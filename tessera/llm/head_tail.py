@@ -187,8 +187,12 @@ def _tally(take):
 
 
 def _most(counts: DataFrame, n: int) -> list[int]:
-    top = counts.where("key <> 0").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(n)
-    return [r["key"] for r in top.select("key").collect()]
+    """The most frequent keys: all of the frequencies that ``n`` keys or fewer
+    reach. Only they come to the driver; the window has one row per frequency."""
+    counts = counts.where("key <> 0").groupBy("key").agg(F.sum("n").alias("n"))
+    per = counts.groupBy("n").agg(F.count("*").alias("keys"))
+    cut = per.select("n", F.sum("keys").over(Window.orderBy(F.desc("n"))).alias("upto")).where(F.col("upto") <= n).select(F.min("n")).scalar()
+    return [r["key"] for r in sorted(counts.where(F.col("n") >= cut).collect(), key=lambda r: (-r["n"], r["key"]))]
 
 
 def fit_head(texts: DataFrame, words: int = WORDS, pairs: int = PAIRS) -> Head:
