@@ -498,16 +498,18 @@ def q_topk(spark, sf):
     SELECT p_partkey, p_retailprice, row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) AS rank FROM part) x
   WHERE rank <= ceil((SELECT count(*) FROM part) * 5 / 100.0)""")
 def q_top_percent(spark, sf):
+    from tessera.operators.ranges import desc
     p = t(spark, sf, "part").select("p_partkey", "p_retailprice")
-    return G.top_percent(p, [F.col("p_retailprice").desc(), "p_partkey"], 5)
+    return G.top_percent(p, [desc("p_retailprice"), "p_partkey"], 5)
 
 
 @query("global_rank", """
   SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders""")
 def q_global_rank(spark, sf):
+    from tessera.operators.ranges import desc
     from tessera.operators.windows import global_rank
     o = t(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    return global_rank(o, [F.col("o_totalprice").desc(), "o_orderkey"], "rank").select("o_orderkey", "rank")
+    return global_rank(o, [desc("o_totalprice"), "o_orderkey"], "rank").select("o_orderkey", "rank")
 
 
 @query("sample_n", """

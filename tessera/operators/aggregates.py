@@ -39,15 +39,15 @@ def hourly_counts(df: DataFrame, ts: str, name: str = "obs_hour", count: str = "
 
 
 def percentile_by(df: DataFrame, keys, col: str, p: float, name: str = "pct", exact: bool = True,
-                  accuracy: int = 10000) -> DataFrame:
+                  accuracy: int = 10000, once: bool = False) -> DataFrame:
     """Percentile per group: the value at position ``max(1, ceil(p * n))``
     of the group's sorted non-null values (``exact_quantiles``: no group is held
     whole). ``exact=False`` uses the mergeable sketch at ``accuracy`` instead.
-    Groups without a value get null."""
+    Groups without a value get null. ``once``: see ``exact_quantiles``."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     if not exact:
         return df.groupBy(*keys).agg(F.percentile_approx(col, p, accuracy).alias(name))
-    found = exact_quantiles(df, [col], [p], keys=keys).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+    found = exact_quantiles(df, [col], [p], keys=keys, once=once).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
                                                               F.col("value").cast(df.schema[col].dataType).alias(name))
     same = F.lit(True)
     for i, k in enumerate(keys):

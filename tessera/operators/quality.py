@@ -171,7 +171,7 @@ def surrogate_key(df: DataFrame, natural, name: str = "sk") -> DataFrame:
     window - and joined back to the rows."""
     from tessera.operators.windows import global_rank
     keys = [natural] if isinstance(natural, str) else list(natural)
-    numbered = global_rank(df.select(*keys).distinct(), [F.asc_nulls_first(k) for k in keys], name)
+    numbered = global_rank(df.select(*keys).distinct(), keys, name)
     n = numbered.select(*[F.col(k).alias(f"_n{i}") for i, k in enumerate(keys)], name)
     same = F.lit(True)
     for i, k in enumerate(keys):

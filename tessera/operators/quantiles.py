@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import cut_lineage
+
 BITS = 16
 LEVELS = 64 // BITS
 _UNIT = float(1 << 52)
@@ -126,14 +128,16 @@ def radix_select(counts: DataFrame, group: list[str], probs, interpolate: bool =
     return ranges.select(*group, F.col("_range").alias("key"), F.inline("places")).drop("pos")
 
 
-def exact_quantiles(df: DataFrame, cols, probs, keys=(), interpolate: bool = False) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols, probs, keys=(), interpolate: bool = False, once: bool = False) -> DataFrame:
     """Exact quantiles of several columns, per group of ``keys``:
     (keys..., column, p, value). ``value`` is the one at 1-based position
     ``max(1, ceil(p * n))`` of the sorted non-null values (SQL
     ``quantile_disc``) in the column's type if all ``cols`` have one type (else a
     double), or with ``interpolate`` the straight line between the two values
     around position ``1 + p * (n - 1)`` (``quantile_cont``, a double). NaN is
-    not a value here; a decimal of over 18 digits is taken as a double."""
+    not a value here; a decimal of over 18 digits is taken as a double. ``once``
+    writes the counts to the shared checkpoint folder first: for a ``df`` that is
+    costly to compute and that Spark would compute again for each level."""
     keys = list(keys)
     types = {c: df.schema[c].dataType for c in cols}
     group = [*keys, "column"]
@@ -148,6 +152,7 @@ def exact_quantiles(df: DataFrame, cols, probs, keys=(), interpolate: bool = Fal
         rows = with_double_key(rows, "rough", "_key").withColumn("whole", F.coalesce("whole", "_key"))
     # never null from here on: a filter on the key would be moved down and compute it again
     counts = rows.groupBy(*group, F.coalesce("whole", F.lit(0)).alias("key")).agg(F.count(F.lit(1)).alias("w"))
+    counts = cut_lineage(counts) if once else counts
     found = radix_select(counts, group, probs, interpolate, bounded=not keys)
     one = len(set(map(str, types.values()))) == 1 and not interpolate
     values = {c: from_sort_key(F.col("key"), t) for c, t in types.items()}

@@ -3,48 +3,26 @@
 * ``topn`` cuts each group down within hash slices of its rows before the
   final rank; the filters on ``rank``/``row_number`` let Spark insert a partial
   ``WindowGroupLimit`` before the shuffles.
-* ``lag_gap`` range-partitions on (key, ts, row hash), so a key holding a
-  third of all rows is spread over many tasks; each partition's first row
-  gets its predecessor from a one-row-per-partition edge table.
+* ``lag_gap`` and ``global_rank`` deal rows into ranges of their order
+  (``ranges``), so a key holding a third of all rows is spread over many tasks;
+  what a range needs of the earlier ones comes from a table of one row per range.
 * ``zscore`` and ``flag_max`` use scalar subqueries (a one-row aggregate
   inlined as a value), not a global window or a cross join.
-* ``global_rank`` range-partitions, counts per partition and adds offsets.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, StructType
+from pyspark.sql.types import MapType
 
-from tessera.functions.ordered_arrow import previous_in_key
+from tessera.operators.ranges import By, asc, ordering, ranges_of, row_hash, with_range_id
 
 
 def _cols(xs):
-    if isinstance(xs, (str, Column)):
+    if isinstance(xs, (str, Column, By)):
         xs = [xs]
-    return [F.col(x) if isinstance(x, str) else x for x in xs]
-
-
-def require_exchange_reuse(spark, what: str) -> None:
-    """Operators that read one range exchange from two branches are only
-    correct when Spark reuses it (Spark's default)."""
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        raise ValueError(f"{what} needs spark.sql.exchange.reuse=true (both branches must read one range exchange)")
-
-
-def _identity_batches(batches):
-    yield from batches
-
-
-def _range_exchange(df: DataFrame, n: int, order) -> DataFrame:
-    """A range exchange that every consumer reads whole. Operators here read
-    one range exchange from two branches (rows and per-partition counts); if
-    column pruning gave the branches different columns they would get two
-    exchanges, and two exchanges sample different range bounds. An identity
-    pass over Arrow batches consumes every column, so both branches keep the
-    identical exchange and Spark reuses it."""
-    return df.repartitionByRange(n, *order).mapInArrow(_identity_batches, df.schema)
+    return [F.col(x) if isinstance(x, str) else x.column() if isinstance(x, By) else x for x in xs]
 
 
 def topn(df: DataFrame, keys, order, n: int, ties: str = "rank", name: str = "rank_in_group",
@@ -75,50 +53,31 @@ def lag_gap(df: DataFrame, keys, ts: str, out: str = "gap_minutes", prev: str =
     whole-second minutes. Equal to ``lag(ts) over (partition by keys order by ts)``,
     with no key, and no busy hour of a key, ever held by one task:
 
-    1. one range exchange on (keys, ts) cuts the sort order into bounded
-       partitions; a key holding a third of all rows spans many of them;
-    2. each sorted partition is scanned once over Arrow batches
-       (``mapInArrow``): a row's predecessor is the row before it when that
-       row has the same key; the partition's first and last rows are flagged;
-    3. a partition is a contiguous stretch of the order, so only its first
-       key can continue from an earlier partition, and only at its first row.
-       That row takes the last (key, ts) of the nearest earlier non-empty
-       partition when the key matches. The edge table has one row per
-       partition - a proven bound - and is broadcast.
-
-    The edge table is built from the flagged rows of the same scan, so both
-    branches end in the identical range exchange and Spark reuses it: the
-    data is sampled and shuffled once, and both branches see one set of range
-    boundaries (two separate range exchanges may sample different bounds).
+    1. rows are dealt into ranges of (keys, ts, row hash); a key holding a third
+       of all rows spans many of them, and so does one burst with one timestamp;
+    2. within a range ``lag`` gives each row the row before it;
+    3. a range's first row takes the last row of the nearest earlier range with
+       rows, from a table of the ranges' last rows: one row per range - a proven
+       bound - and broadcast. It is aggregated from the source rows by the same
+       range numbers, so it needs no exchange of the rows.
     """
-    spark = df.sparkSession
-    require_exchange_reuse(spark, "lag_gap")
     keys = [keys] if isinstance(keys, str) else list(keys)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # last ordering key: a hash of the row, so a burst of rows with one (key, ts)
-    # is spread too, and ties are ordered the same way on every task attempt
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
-    df = df.withColumn("_tb", F.xxhash64(*[F.col(c) for c in hashable]))
-    order = [F.col(k) for k in keys] + [F.col(ts), F.col("_tb")]
-    ranged = (df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
-              .sortWithinPartitions(*order))
-    schema = (StructType(list(ranged.schema.fields)).add("_local_prev", ranged.schema[ts].dataType)
-              .add("_first", "boolean").add("_last", "boolean"))
-    scanned = ranged.mapInArrow(
-        lambda it: previous_in_key(it, keys, ts, "_local_prev", "_first", "_last"), schema)
-    key = F.struct(*[F.col(k) for k in keys])
-    edges = (scanned.filter(F.col("_first") | F.col("_last"))
-             .groupBy("_pid")
-             .agg(F.max(F.when(F.col("_first"), key)).alias("_first_key"),
-                  F.max(F.when(F.col("_last"), F.struct(key.alias("k"), F.col(ts).alias("t")))).alias("_end"))
-             .withColumn("_before", F.lag("_end").over(Window.orderBy("_pid")))
-             .select("_pid", F.when(F.col("_before.k").eqNullSafe(F.col("_first_key")),
-                                    F.col("_before.t")).alias("_carry")))
-    # edges: one row per partition, safe to broadcast
-    out_df = (scanned.join(F.broadcast(edges), "_pid", "left")
-              .withColumn(prev, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_local_prev")))
-              .drop("_pid", "_local_prev", "_first", "_last", "_carry", "_tb"))
-    return out_df.withColumn(out, (F.unix_timestamp(F.col(ts)) - F.unix_timestamp(F.col(prev))) / 60.0)
+    n = ranges_of(df, partitions)
+    names = df.columns
+    order = [asc(k) for k in keys] + [asc(ts), asc("_tb")]
+    laid = with_range_id(df.withColumn("_tb", row_hash(df)), order, n, "_range")
+    here = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(ts).alias("t"), F.col("_tb").alias("h"))
+    ends = laid.groupBy("_range").agg(F.max(here).alias("_end"))
+    ends = ends.select("_range", F.lag("_end").over(Window.orderBy("_range")).alias("_carry"))
+    within = Window.partitionBy("_range").orderBy(*[o.column() for o in order])
+    rows = laid.repartitionById(n, F.col("_range")).withColumn("_before", F.lag(here).over(within))
+    rows = rows.join(F.broadcast(ends), "_range", "left").withColumn("_before", F.coalesce("_before", "_carry"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col("_before")[f"k{i}"].eqNullSafe(F.col(k))
+    rows = rows.withColumn(prev, F.when(F.col("_before").isNotNull() & same, F.col("_before")["t"]))
+    gap = (F.unix_timestamp(F.col(ts)) - F.unix_timestamp(F.col(prev))) / 60.0
+    return rows.select(*names, prev, gap.alias(out))
 
 
 def lag_gap_sliced(df: DataFrame, keys, ts: str, slice_unit: str = "day", out: str = "gap_minutes",
@@ -155,35 +114,20 @@ def zscore(df: DataFrame, cols, suffix: str = "_z", names: dict | None = None) -
 
 
 def global_rank(df: DataFrame, order, name: str = "rank", partitions: int | None = None) -> DataFrame:
-    """1-based position in a global order (``order`` should be unique, add a
-    tie-break). Range partitioning (``_range_exchange``, read by both
-    branches) keeps every partition bounded; rows are
-    numbered in place after a sort within each partition
-    (``monotonically_increasing_id`` = partition id in the high bits, position
-    in the low 33 bits), so there is no second shuffle. Per-partition counts
-    (one row per partition) give each partition its offset.
-
-    The explicit partition count keeps AQE from coalescing the range
-    partitions, so both branches see the same layout."""
-    require_exchange_reuse(df.sparkSession, "global_rank")
-    order = _cols(order)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    low = (1 << 33) - 1
-    mid = F.monotonically_increasing_id()
-    ranged = _range_exchange(df, n, order)
-    numbered = (ranged.sortWithinPartitions(*order)
-                .withColumn("_mid", mid)
-                .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
-                .withColumn("_local", F.col("_mid").bitwiseAND(F.lit(low)) + 1))
-    # counted straight off the same range exchange (reused at runtime), no sort
-    offsets = (ranged.groupBy(F.spark_partition_id().cast("long").alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-               .withColumn("_off", F.coalesce(F.sum("_n").over(
-                   Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .drop("_n"))
-    # offsets has one row per partition: a proven bound, safe to broadcast
-    return (numbered.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, (F.col("_local") + F.col("_off")).cast("long"))
-            .drop("_pid", "_local", "_off", "_mid"))
+    """1-based position in a global order (``order``: names, ``asc(...)``,
+    ``desc(...)``; add a tie-break, else ties are numbered by a hash of the row).
+    Rows are dealt into ranges of the order and numbered within them; the rows of
+    the earlier ranges (one count per range, a proven bound for a broadcast) are
+    added. Rows alike in every column stay in one range."""
+    n = ranges_of(df, partitions)
+    order = ordering(order) + [asc("_tb")]
+    laid = with_range_id(df.withColumn("_tb", row_hash(df)), order, n, "_range")
+    before = F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")
+    offsets = laid.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select("_range", before.alias("_off"))
+    within = Window.partitionBy("_range").orderBy(*[o.column() for o in order])
+    rows = laid.repartitionById(n, F.col("_range")).withColumn("_local", F.row_number().over(within))
+    return (rows.join(F.broadcast(offsets), "_range")
+            .select(*df.columns, (F.col("_local") + F.col("_off")).cast("long").alias(name)))
 
 
 def flag_max(df: DataFrame, value: str, tie_break: str, name: str = "is_max") -> DataFrame:

@@ -33,7 +33,7 @@ def demand_gap(trips: DataFrame, zone: str = "PULocationID", min_trips: int = MI
     gaps = pickup_gaps(trips, zone, slice_unit=slice_unit)
     counts = bucket_pivot(trips.select(zone, day_night(PICKUP).alias("time_bucket")), F.col(zone).alias("LocationID"),
                           "time_bucket", ["day", "night"], {"trip_count": lambda m: F.count_if(m)})
-    found = percentile_by(gaps, [zone, "time_bucket"], "gap_minutes", p, "p90", exact)
+    found = percentile_by(gaps, [zone, "time_bucket"], "gap_minutes", p, "p90", exact, once=True)
     p90 = bucket_pivot(found, F.col(zone).alias("_zone"), "time_bucket", ["day", "night"],
                        {"gap_p90_minutes": lambda m: F.round(F.max(F.when(m, F.col("p90"))), 2)})
     zones = counts.join(p90, F.col("LocationID").eqNullSafe(F.col("_zone")), "left").drop("_zone")

@@ -9,6 +9,7 @@ from tessera.functions.geometry import polyline_centroid
 from tessera.functions.scalars import safe_ratio
 from tessera.operators.joins import dense, lookup
 from tessera.operators.spatial import within
+from tessera.operators.ranges import desc
 from tessera.operators.windows import global_rank, zscore
 from tessera.session import cut_lineage
 
@@ -124,7 +125,7 @@ def priority_score(demand: DataFrame, road: DataFrame, lookup_df: DataFrame, wei
                      + weights["lanes"] * F.col("lanes_z") - weights["one_way"] * F.col("one_way_z"))
     s = zscore(s, ["road_suitability_score"], names={"road_suitability_score": "road_suitability_z"})
     s = s.withColumn("final_priority_score", weights["demand_gap"] * F.col("demand_gap_z") + F.col("road_suitability_z"))
-    ranked = global_rank(s, [F.col("final_priority_score").desc_nulls_last(), F.col("LocationID")], "priority_rank")
+    ranked = global_rank(s, [desc("final_priority_score"), "LocationID"], "priority_rank")
     return ranked.select("priority_rank", "LocationID", "Zone", "Borough", "final_priority_score",
                          "night_day_gap_ratio", "day_trip_count", "night_trip_count", "avg_street_width_ft",
                          "avg_travel_lanes", "one_way_ratio", "demand_gap_z", "road_suitability_z")

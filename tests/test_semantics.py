@@ -15,6 +15,7 @@ from tessera.functions.text import SENTIMENT_TOKEN, WORDCOUNT_TOKEN, tokens
 from tessera.operators import joins as D
 from tessera.operators import text as L
 from tessera.operators import windows as W
+from tessera.operators.ranges import asc, desc, with_range_id
 from tessera.plans import trips as TR
 from tessera.plans.demand_gap import demand_gap
 from tessera.plans.weather import hourly_weather
@@ -188,7 +189,7 @@ def test_topn_tie_rules(spark):
 
 def test_global_rank_is_a_permutation(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("v"), "id")
-    r = W.global_rank(df, [F.col("v").desc(), "id"], "rank", partitions=7)
+    r = W.global_rank(df, [desc("v"), "id"], "rank", partitions=7)
     got = sorted((row.rank, row.v) for row in r.collect())
     assert [x for x, _ in got] == list(range(1, 5001))
     assert [v for _, v in got] == sorted((v for _, v in got), reverse=True)
@@ -361,9 +362,8 @@ def test_lag_gap_range_spreads_one_timestamp_burst(spark):
     want = _plain_lag(df, ["k"], "t")
     strip = lambda d: sorted(((r.k, r.t, r.prev_ts) for r in d.collect()), key=_key)
     assert strip(got) == strip(want)
-    spread = (df.withColumn("_tb", F.xxhash64("k", "t", "id")).repartitionByRange(12, "k", "t", "_tb")
-              .filter((F.col("k") == 1) & (F.col("t") == base)).select(F.spark_partition_id()).distinct().count())
-    assert spread > 1
+    laid = with_range_id(df.withColumn("_tb", F.xxhash64("k", "t", "id")), [asc("k"), asc("t"), asc("_tb")], 12, "r")
+    assert laid.filter((F.col("k") == 1) & (F.col("t") == base)).select("r").distinct().count() > 1
 
 
 @pytest.mark.parametrize("ties", ["rank", "row"])
@@ -473,7 +473,7 @@ def test_global_rank_keeps_nested_and_timestamp_columns(spark):
     rows = [(i, float(i % 17), [i, i + 1], (str(i), i * 2), dt.datetime(2024, 1, 1) + dt.timedelta(hours=i))
             for i in range(300)]
     df = spark.createDataFrame(rows, "id long, v double, arr array<long>, s struct<a:string,b:long>, t timestamp")
-    got = W.global_rank(df, [F.col("v").desc(), F.col("id")], "rank", partitions=7)
+    got = W.global_rank(df, [desc("v"), F.col("id")], "rank", partitions=7)
     out = sorted(got.collect(), key=lambda r: r["rank"])
     assert [r["rank"] for r in out] == list(range(1, 301))
     assert [(r.v, r.id) for r in out] == sorted(((r[1], r[0]) for r in rows), key=lambda x: (-x[0], x[1]))
@@ -481,3 +481,36 @@ def test_global_rank_keeps_nested_and_timestamp_columns(spark):
     # a caller keeping fewer columns gets the same ranks
     narrow = {r.id: r["rank"] for r in got.select("id", "rank").collect()}
     assert narrow == {r.id: r["rank"] for r in out}
+
+
+def test_ranges_need_no_shared_exchange(spark):
+    """Same result with exchange reuse off, and with one range as with many."""
+    base = ts("2024-01-01 00:00:00")
+    rows = [(i % 3 if i % 7 else None, base + dt.timedelta(seconds=i * 37 % 5000), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k int, t timestamp, id long").repartition(6)
+    old = spark.conf.get("spark.sql.exchange.reuse", "true")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = W.lag_gap(df, "k", "t", partitions=9).select("k", "t", "prev_ts").collect()
+        ranks = {r.id: r.rank for r in W.global_rank(df, [desc("t"), "id"], partitions=9).collect()}
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)
+    assert sorted(got, key=_key) == sorted(_plain_lag(df, ["k"], "t").select("k", "t", "prev_ts").collect(), key=_key)
+    want = sorted(rows, key=lambda r: (-(r[1] - base).total_seconds(), r[2]))
+    assert ranks == {r[2]: n + 1 for n, r in enumerate(want)}
+
+
+def test_range_ids_follow_the_order(spark):
+    """Mixed directions, null places, NaN and strings: ranges ascend with the
+    order and hold about as many rows each."""
+    r = __import__("random").Random(4)
+    rows = [(r.choice([None, "a", "b", "é", "zz"]), r.choice([None, float("nan"), r.random(), 0.0]), i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "s string, x double, id long").repartition(5)
+    for order in ([desc("s"), asc("x"), "id"], [asc("s", nulls_first=False), desc("x", nulls_first=True), desc("id")]):
+        by = [o if not isinstance(o, str) else asc(o) for o in order]
+        laid = with_range_id(df, by, 12, "r").orderBy(*W._cols(order)).collect()
+        ids = [x.r for x in laid]
+        assert ids == sorted(ids) and set(ids) == set(range(12))
+        assert max(ids.count(i) for i in range(12)) < 1500
+    empty = W.global_rank(df.where("id < 0"), ["id"])
+    assert empty.count() == 0 and W.global_rank(df.where("id = 5"), ["id"]).first()["rank"] == 1
