@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.shared import runs, text_bytes, word_spans, written
+from tessera.operators.ranges import asc, desc
 from tessera.operators.windows import global_rank
 
 BUCKETS = 10_000
@@ -286,6 +287,6 @@ def resample(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_co
     if cut is None:
         return scored.select(*columns, F.lit(None).cast("long").alias("rank"))
     high = long_enough & (F.col("score") >= cut)
-    ranked = global_rank(scored.where(high), [F.col("score").desc(), F.col("doc_id").asc_nulls_last()], "rank")
+    ranked = global_rank(scored.where(high), [desc("score"), asc("doc_id", nulls_first=False)], "rank")
     ranked = ranked.select(*columns, F.when(F.col("rank") <= draw, F.col("rank")).alias("rank"))
     return ranked.unionByName(scored.where(~high).select(*columns, F.lit(None).cast("long").alias("rank")))
