@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import connected, mix, shingle_sets, written
+from tessera.llm.shared import connected, lean, mix, shingle_sets, written
 
 SLOTS = 256
 MISS = 1e-6
@@ -159,7 +159,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     x = sets.select(F.col("id").alias("a"), F.col("hashes").alias("x"))
     y = sets.select(F.col("id").alias("b"), F.col("hashes").alias("y"))
     joined = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-    return joined.mapInArrow(_verifier(percent), "a long, b long")
+    return joined.mapInArrow(lean(_verifier(percent)), "a long, b long")
 
 
 def _spanning(side: np.ndarray, ids: np.ndarray, comp: np.ndarray, sets: list[np.ndarray], percent: int):
@@ -220,7 +220,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """See the module text. Links: 100 * intersection >= percent * union."""
     bands, rows = layout(percent)
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    signed = written(texts.mapInArrow(_signer(k, bands, rows),
+    signed = written(texts.mapInArrow(lean(_signer(k, bands, rows)),
                                       "doc_id long, n_shingles long, shingle_key binary, bands array<long>"), "near-sig")
     live = signed.where("shingle_key is not null and doc_id is not null")
     classes = live.groupBy("shingle_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
@@ -230,7 +230,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     leaders = members.groupBy("bucket").agg(F.min("id").alias("leader"), F.max("id").alias("top")).where("leader < top")
     shared = written(members.join(leaders, "bucket").select("bucket", "id", "n", "leader"), "near-buckets")
     met = classes.join(shared.select("id").distinct(), "id", "left_semi").select("id", "shingle_key")
-    sets = texts.join(met.select("id").distinct(), "id", "left_semi").mapInArrow(_setter(k), "id long, shingle_key binary, hashes binary")
+    sets = texts.join(met.select("id").distinct(), "id", "left_semi").mapInArrow(lean(_setter(k)), "id long, shingle_key binary, hashes binary")
     # an id may repeat, with this text or others: one set for each class
     sets = written(sets.join(met, ["id", "shingle_key"], "left_semi").dropDuplicates(["id", "shingle_key"]).drop("shingle_key"), "near-sets")
     first = _confirm(shared.where("id > leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), sets, percent)
@@ -249,7 +249,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
              .join(sets, "id"))
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells = cells.repartition(width, "bucket", "cell").sortWithinPartitions("bucket", "cell")
-    more = cells.select("bucket", "cell", "side", "id", "comp", "hashes").mapInArrow(_block_links(percent), "a long, b long").distinct()
+    more = cells.select("bucket", "cell", "side", "id", "comp", "hashes").mapInArrow(lean(_block_links(percent)), "a long, b long").distinct()
     links = written(first.unionByName(more), "near-links")
 
     final = connected(links)

@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-from tessera.llm.shared import row_runs, without
+from tessera.llm.shared import lean, row_runs, without
 
 SPACE = "▁"
-CACHE = 200_000
+CACHE = 100_000
 _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 2, 3, 4, 5, 6
 
 
@@ -231,7 +231,7 @@ class Encoder:
                 pass
         return np.array(self.bare.encode(normal), "<u4").tobytes()
 
-    def encode_all(self, texts: list[str], slice_size: int = 1 << 21):
+    def encode_all(self, texts: list[str], slice_size: int = 1 << 20):
         """``encode`` of each text, words learnt for some texts at a time."""
         at = 0
         while at < len(texts):
@@ -292,4 +292,4 @@ def encode(df: DataFrame, model_path: str, text_col: str = "text", spans: bool =
                     [*batch.columns, *(pa.array(a, pa.string() if name == "decoded" else pa.binary()) for name, a in zip(names, zip(*out)))],
                     names=[*columns, *names])
     added = [StructField(n, StringType() if n == "decoded" else BinaryType()) for n in names]
-    return df.mapInArrow(run, StructType([*df.schema.fields, *added]))
+    return df.mapInArrow(lean(run), StructType([*df.schema.fields, *added]))

@@ -41,6 +41,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def lean(run):
+    """``run`` (batches to batches) that gives freed Arrow memory back to the
+    system after each batch: Python workers live on through later stages, and
+    what they keep counts against their executor."""
+    def released(batches):
+        for out in run(batches):
+            yield out
+            del out
+            pa.default_memory_pool().release_unused()
+        pa.default_memory_pool().release_unused()
+    return released
+
+
 def free_name(df: DataFrame, want: str) -> str:
     """``want``, or with underscores added until no column of ``df`` has it."""
     have = {c.lower() for c in df.columns}

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tessera.llm.shared import runs, span_hashes, text_bytes, without, word_spans, written
+from tessera.llm.shared import lean, runs, span_hashes, text_bytes, without, word_spans, written
 
 SAMPLE = 20_000
 NET_ROWS = 4_000
@@ -209,10 +209,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), lang.alias("lang"))
     # at most SAMPLE rows of two numbers: a bounded broadcast, so texts stay where they were read
     rows = written(texts.join(F.broadcast(picked), "id").select("id", "text", "toxic", "part", "lang")
-                   .mapInArrow(_features, "id long, words binary, toxic int, part int, lang string"), "toxic-sample")
+                   .mapInArrow(lean(_features), "id long, words binary, toxic int, part int, lang string"), "toxic-sample")
     total, bad = rows.where("part = 0").agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     rate = (bad + 0.5) / (total + 1)
-    counts = (rows.where("part = 0").select("words", "toxic").mapInArrow(_bucket_counts, "bucket long, t long, n long")
+    counts = (rows.where("part = 0").select("words", "toxic").mapInArrow(lean(_bucket_counts), "bucket long, t long, n long")
               .groupBy("bucket").agg(F.sum("t").alias("t"), F.sum("n").alias("n")).toPandas())  # BUCKETS rows at most
     odds = np.zeros(BUCKETS, np.float32)
     p = (counts.t.to_numpy() + 4 * rate) / (counts.n.to_numpy() + 4)
@@ -237,7 +237,7 @@ def _thresholds(texts: DataFrame, known: DataFrame, model: Model, steps: int = 1
         for batch in batches:
             s = scores(shared.value, batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array((s * steps).astype(np.int64))], names=["id", "lang", "bin"])
-    hist = (texts.select("id", "text", "lang").mapInArrow(run, "id long, lang string, bin long").join(known.select("id", "toxic"), "id")
+    hist = (texts.select("id", "text", "lang").mapInArrow(lean(run), "id long, lang string, bin long").join(known.select("id", "toxic"), "id")
             .groupBy("lang", "bin").agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).toPandas())
     out = {}
     for lang, part in hist.groupby("lang"):
@@ -262,7 +262,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
         for batch in batches:
             text = batch.column(columns.index(text_col))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores(shared.value, text), pa.float64())], names=[*columns, name])
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
+    return docs.mapInArrow(lean(run), StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
 def language_threshold(model: Model, lang_col: str = "lang"):

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from tessera.llm.shared import mix, runs, span_hashes, text_bytes, without, word_spans, written
+from tessera.llm.shared import lean, mix, runs, span_hashes, text_bytes, without, word_spans, written
 
 LABELLERS = ("symbols", "symbol_tails", "capitals", "shouting", "letterless", "stutter", "variety",
              "sentences", "word_length", "one_word")
@@ -200,7 +200,7 @@ def votes(docs: DataFrame, text_col: str = "text", name: str = "pattern") -> Dat
     def run(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(vote_patterns(batch.column(columns.index(text_col))), pa.int64())], names=[*columns, name])
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
+    return docs.mapInArrow(lean(run), StructType([*docs.schema.fields, StructField(name, LongType())]))
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
@@ -224,7 +224,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mode
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(good), pa.array(dims, pa.binary()), pa.array(parts, pa.binary())],
                                              names=["id", "good", "dims", "parts"])
     # at most SAMPLE ids: a bounded broadcast
-    rows = (written(slim.join(F.broadcast(ids), "id").mapInArrow(sample, "id long, good double, dims binary, parts binary"), "quality-sample")
+    rows = (written(slim.join(F.broadcast(ids), "id").mapInArrow(lean(sample), "id long, good double, dims binary, parts binary"), "quality-sample")
             .orderBy(F.xxhash64("id"), "id", "dims").limit(SAMPLE).toPandas())
     if len(rows):
         dims = [np.frombuffer(b, np.uint16) for b in rows.dims]
@@ -251,4 +251,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", posterior: str
             if posterior:
                 out.append(pa.array(m.posterior(vote_patterns(text))))
             yield pa.RecordBatch.from_arrays([*batch.columns, *out], names=[*columns, *added])
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, *(StructField(c, DoubleType()) for c in added)]))
+    return docs.mapInArrow(lean(run), StructType([*docs.schema.fields, *(StructField(c, DoubleType()) for c in added)]))
