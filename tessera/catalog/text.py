@@ -168,3 +168,24 @@ def q_cloud_table(spark, sf):
     d = docs(spark, sf).join(load(spark, sf, "labels"), "doc_id")
     out = P.cloud_table(d, "quality", "doc_id", "text", stop(spark, sf))
     return out.withColumn("weight", F.round("weight", 9))
+
+
+@query("cloud_phrases", f"""
+  WITH d AS (SELECT row_number() OVER () AS id, l.quality, {CLEAN_NOSTOP} AS words FROM {DOCS_STOP} d JOIN labels l ON d.doc_id = l.doc_id),
+  accepted AS ({LLR_SQL.replace(f"{CLEAN_NOSTOP} AS words FROM {DOCS_STOP} d)", f"{CLEAN_NOSTOP} AS words FROM {DOCS_STOP} d JOIN labels l ON d.doc_id = l.doc_id)").replace("SELECT doc_id, ", "SELECT d.doc_id, ")}),
+  hits AS (SELECT id, quality, i, words[i] AS w1, words[i + 1] AS w2, i - row_number() OVER (PARTITION BY id ORDER BY i) AS run
+           FROM (SELECT id, quality, words, unnest(range(1, len(words))) AS i FROM d WHERE len(words) >= 2) x
+           JOIN accepted a ON a.w1 = words[i] AND a.w2 = words[i + 1]),
+  taken AS (SELECT quality, w1, w2 FROM (SELECT *, row_number() OVER (PARTITION BY id, run ORDER BY i) AS nth FROM hits) y WHERE nth % 2 = 1),
+  c AS (SELECT quality, word, sum(n) AS count FROM (
+          SELECT quality, unnest(words) AS word, 1 AS n FROM d UNION ALL SELECT quality, w1, -1 FROM taken
+          UNION ALL SELECT quality, w2, -1 FROM taken UNION ALL SELECT quality, w1 || '_' || w2, 1 FROM taken) z
+        GROUP BY 1, 2 HAVING sum(n) > 0),
+  r AS (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY count DESC, word) AS rank FROM c),
+  t AS (SELECT *, max(count) OVER (PARTITION BY quality) AS mx, count(*) OVER (PARTITION BY quality) AS n
+        FROM r WHERE rank <= 200)
+  SELECT quality, word, count::BIGINT AS count, rank, round(0.5 * count / mx + 0.5 * (1 - (rank - 1) / n), 9) AS weight FROM t""")
+def q_cloud_phrases(spark, sf):
+    d = docs(spark, sf).join(load(spark, sf, "labels"), "doc_id")
+    out = P.cloud_table(d, "quality", "doc_id", "text", stop(spark, sf), per_class=None, min_llr=30.0)
+    return out.withColumn("weight", F.round("weight", 9))

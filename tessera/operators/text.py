@@ -135,3 +135,28 @@ def class_words(df: DataFrame, cls: str, words: str) -> DataFrame:
     """Word frequency per class from an array column (no driver-side string)."""
     return (explode_words(df, F.col(words), "word", keep=[cls])
             .groupBy(cls, "word").agg(F.count(F.lit(1)).alias("count")))
+
+
+def merged_phrase_counts(df: DataFrame, cls: str, words: str, pairs: DataFrame, joint: str = "_") -> DataFrame:
+    """Word frequency per class after accepted pairs became one token.
+
+    Each array is read from left to right: a word and its follower that are in
+    ``pairs`` (w1, w2) make one token ``w1_w2``, and reading goes on behind them.
+    So of a run of overlapping accepted pairs every second one is taken, from the
+    first. Only positions with an accepted pair are dealt by row, for that rule;
+    all other words stay a partial aggregate: word counts, less the words that
+    phrases took, plus the phrases."""
+    counts = class_words(df, cls, words)
+    arr = F.col(words)
+    grams = F.arrays_zip(arr.alias("w1"), F.slice(arr, 2, F.greatest(F.size(arr), F.lit(1))).alias("w2"))
+    placed = df.withColumn("_row", F.monotonically_increasing_id()).select(cls, "_row", F.posexplode_outer(grams).alias("_at", "_p"))
+    placed = placed.where(F.col("_p.w2").isNotNull()).select(cls, "_row", "_at", F.col("_p.w1").alias("w1"), F.col("_p.w2").alias("w2"))
+    hits = placed.join(pairs.select("w1", "w2").distinct(), ["w1", "w2"])
+    run = F.col("_at") - F.row_number().over(Window.partitionBy("_row").orderBy("_at"))
+    nth = F.row_number().over(Window.partitionBy("_row", "_run").orderBy("_at"))
+    taken = hits.withColumn("_run", run).withColumn("_nth", nth).where(F.col("_nth") % 2 == 1)
+    each = F.array(F.struct(F.col("w1").alias("word"), F.lit(-1).cast("long").alias("count")),
+                   F.struct(F.col("w2").alias("word"), F.lit(-1).cast("long").alias("count")),
+                   F.struct(F.concat_ws(joint, "w1", "w2").alias("word"), F.lit(1).cast("long").alias("count")))
+    changed = taken.select(cls, F.inline(each))
+    return counts.unionByName(changed).groupBy(cls, "word").agg(F.sum("count").alias("count")).where(F.col("count") > 0)

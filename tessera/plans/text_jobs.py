@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import EXTRA_STOP_WORDS, explode_words, html_unescape, letters_only_words
 from tessera.operators.ordering import sample_n
-from tessera.operators.text import add_clean_words, class_words, sentiment_counts, word_count
+from tessera.operators.text import add_clean_words, class_words, collocations, merged_phrase_counts, sentiment_counts, word_count
 from tessera.operators.windows import topn
 
 
@@ -51,11 +51,17 @@ def class_word_weights(counts: DataFrame, cls: str, k: int = 200, scaling: float
 
 
 def cloud_table(records: DataFrame, cls: str, id_col: str, text: str, stop, per_class: int | None = 50_000,
-                k: int = 200, scaling: float = 0.5, seed: int = 42) -> DataFrame:
+                k: int = 200, scaling: float = 0.5, seed: int = 42, min_llr: float | None = None) -> DataFrame:
     """Clean text, optional seeded sample of ``per_class`` records per
-    class, word counts per class, top k with weights."""
+    class, word counts per class, top k with weights. With ``min_llr`` the word
+    pairs whose log-likelihood ratio over these records reaches it become one
+    token ``w1_w2`` before counting."""
     recs = records
     if per_class is not None:
         recs = sample_n(recs, cls, id_col, per_class, seed)
     words = add_clean_words(recs.select(cls, text), text, stop, "words")
-    return class_word_weights(class_words(words, cls, "words"), cls, k, scaling)
+    if min_llr is None:
+        counts = class_words(words, cls, "words")
+    else:
+        counts = merged_phrase_counts(words, cls, "words", collocations(words, cls, "words", min_llr))
+    return class_word_weights(counts, cls, k, scaling)

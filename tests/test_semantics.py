@@ -514,3 +514,25 @@ def test_range_ids_follow_the_order(spark):
         assert max(ids.count(i) for i in range(12)) < 1500
     empty = W.global_rank(df.where("id < 0"), ["id"])
     assert empty.count() == 0 and W.global_rank(df.where("id = 5"), ["id"]).first()["rank"] == 1
+
+
+def test_phrases_merge_from_left_to_right(spark):
+    """Against a plain matcher: pending word and accepted pairs."""
+    r = __import__("random").Random(8)
+    pairs = {("a", "b"), ("b", "c"), ("c", "a"), ("a", "a"), ("d", "e")}
+    rows = [(r.choice(["x", "y", None]), r.choices("abcdefg", k=r.randrange(0, 30))) for _ in range(400)] + [("x", None), ("y", []), ("x", list("aaaaa")), ("x", list("aaaaa"))]
+    df = spark.createDataFrame(rows, "cls string, words array<string>").repartition(4)
+    got = {(x.cls, x.word): x["count"] for x in L.merged_phrase_counts(df, "cls", "words", spark.createDataFrame(sorted(pairs), "w1 string, w2 string")).collect()}
+    want = {}
+    for cls, words in rows:
+        out, pending = [], None
+        for w in words or []:
+            if pending is not None and (pending, w) in pairs:
+                out.append(f"{pending}_{w}")
+                pending = None
+            else:
+                out += [pending] if pending is not None else []
+                pending = w
+        for w in out + ([pending] if pending is not None else []):
+            want[(cls, w)] = want.get((cls, w), 0) + 1
+    assert got == want
