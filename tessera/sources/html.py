@@ -90,6 +90,14 @@ class _LinkParser(HTMLParser):
             self.open = None
 
 
+def _with_ids(rows, cols):
+    """Rows as a frame; page ids come as text, so that a null among them does not
+    turn the others into doubles, and stay null where they were."""
+    out = pd.DataFrame(rows, columns=cols)
+    out["page"] = pd.array([None if r[0] is None else int(r[0]) for r in rows], dtype="Int64")
+    return out
+
+
 def _cells(batches, id_col, html_col):
     cols = ["page", "table_idx", "row_idx", "cell_idx", "is_data", "text", "has_link", "table_class", "header_text"]
     for pdf in batches:
@@ -105,8 +113,8 @@ def _cells(batches, id_col, html_col):
             for t, r, _, _, text, _, _ in p.out:
                 if r == 0:
                     head[t] = head.get(t, "") + text
-            rows.extend((int(pid),) + r + (head.get(r[0]),) for r in p.out)
-        yield pd.DataFrame(rows, columns=cols)
+            rows.extend((pid, *r, head.get(r[0])) for r in p.out)
+        yield _with_ids(rows, cols)
 
 
 def extract_html_tables(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
@@ -114,7 +122,7 @@ def extract_html_tables(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
     is_data, text, has_link, table_class, header_text); ``header_text`` is the
     text of the table's first row. One parse per page: what follows are
     windows over the cells of a page."""
-    src = df.select(F.col(id_col).cast("long").alias(id_col), html_col)
+    src = df.select(F.col(id_col).cast("long").cast("string").alias(id_col), html_col)
     return src.mapInPandas(lambda it: _cells(it, id_col, html_col), CELL_SCHEMA)
 
 
@@ -154,11 +162,11 @@ def _links(batches, id_col, html_col):
             p = _LinkParser()
             p.feed(doc)
             p.close()
-            rows.extend((int(pid), i, h, t) for i, (h, t) in enumerate(p.links))
-        yield pd.DataFrame(rows, columns=["page", "link_idx", "href", "text"])
+            rows.extend((pid, i, h, t) for i, (h, t) in enumerate(p.links))
+        yield _with_ids(rows, ["page", "link_idx", "href", "text"])
 
 
 def extract_links(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
     """Every ``<a>`` of every page: (page, link_idx, href, text)."""
-    src = df.select(F.col(id_col).cast("long").alias(id_col), html_col)
+    src = df.select(F.col(id_col).cast("long").cast("string").alias(id_col), html_col)
     return src.mapInPandas(lambda it: _links(it, id_col, html_col), LINK_SCHEMA)

@@ -536,3 +536,12 @@ def test_phrases_merge_from_left_to_right(spark):
         for w in out + ([pending] if pending is not None else []):
             want[(cls, w)] = want.get((cls, w), 0) + 1
     assert got == want
+
+
+def test_pages_with_null_and_large_ids(spark):
+    from tessera.sources.html import extract_html_tables, extract_links
+    html = "<table><tr><td>a</td></tr></table><a href='x'>y</a>"
+    big = 2 ** 53 + 1
+    df = spark.createDataFrame([(None, html), (big, html), (3, None)], "page_id long, html string").coalesce(1)
+    assert sorted((r.page or 0, r.text) for r in extract_html_tables(df, "page_id", "html").collect()) == [(0, "a"), (big, "a")]
+    assert sorted((r.page or 0, r.href) for r in extract_links(df, "page_id", "html").collect()) == [(0, "x"), (big, "x")]
