@@ -30,7 +30,8 @@ Text: character references decoded, white space inside a block made one space,
 blocks trimmed and joined by one space in page order. Menus, page headers,
 footers, asides, forms, adverts, notices, comments, scripts, styles and hidden
 parts are left out by tag, role or class word; a header inside the article
-keeps its headings. Unclosed and misnested tags are tolerated; a page may end
+keeps its headings; inside an article, class words that also head chapters count
+only as whole names. Unclosed and misnested tags are tolerated; a page may end
 anywhere.
 
 Defined results: null or empty html: empty text; null or odd url: the host is
@@ -81,6 +82,8 @@ _SKIP_WORD = frozenset(
     "widget widgets nav navbar navigation menu menus breadcrumb breadcrumbs masthead topbar toolbar footer comment comments disqus reply "
     "replies respond share sharing social related recommended recommendations cookie cookies consent gdpr notice notices popup modal overlay "
     "newsletter subscribe subscription signup login register pagination pager form".split())
+#: Skip words that also head chapters ("social-history", "form-of-government"): inside an article only as a whole name.
+_CHAPTER_WORD = frozenset("social form notice notices reply promotion subscription register menu menus respond".split())
 _PROSE_TAG = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt blockquote pre article main".split())
 _PROSE_WORD = frozenset("title headline heading subtitle subtitles intro introduction lead lede standfirst summary abstract teaser content article "
                         "post entry story text body more part section chapter conclusion caption".split())
@@ -166,8 +169,11 @@ class Page:
                         skipped = skipped or value in _SKIP_ROLE
                     if name in ("class", "id") and tag != "body":
                         prose = prose or not _PROSE_WORD.isdisjoint(_WORD.findall(value))
-                    if name in ("class", "id") and tag not in ("body", "html", "article", "main") and not _SKIP_WORD.isdisjoint(_WORD.findall(value)):
-                        skipped = True
+                    if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
+                        found = _SKIP_WORD.intersection(_WORD.findall(value))
+                        if found and any(t[0] in ("article", "main") for t in self._stack):
+                            found -= _CHAPTER_WORD.difference(value.split())
+                        skipped = skipped or bool(found)
         if tag == "header":
             header = True
             skipped = skipped or not any(t[0] in ("article", "main") for t in self._stack)
@@ -191,7 +197,6 @@ class Page:
 
     def _read(self, html: str) -> None:
         at, end = 0, len(html)
-        lower = None
         while at < end:
             m = _TAG.search(html, at)
             if m is None:
@@ -205,9 +210,8 @@ class Page:
             if m[1]:
                 self._close(tag)
             elif tag in _RAW:
-                lower = html.lower() if lower is None else lower
-                at = lower.find(f"</{tag}", at)
-                at = end if at < 0 else max(lower.find(">", at), at) + 1 if lower.find(">", at) >= 0 else end
+                closing = re.compile(f"</{re.escape(tag)}[^>]*>", re.I | re.A).search(html, at)
+                at = closing.end() if closing else end
             else:
                 self._open(tag, m[3])
         self._stack.clear()

@@ -113,3 +113,18 @@ def test_odd_rows(spark):
     n = len(" ".join(f"par {i} of text" for i in range(20_000)))
     assert got == sorted([(1, None, 0), (1, None, 0), (0, "http://x/", 0), (2, "no url", 1), (3, "http://x/1", n), (3, "http://x/1", n), (4, "", 5)], key=str)
     assert extract(df.where("page_id = -1")).count() == 0
+
+
+def test_no_article_text_is_lost_to_a_word_or_a_letter():
+    from tessera.llm.host_paths import Page
+
+    def text(html):
+        return " ".join(b[1] for b in Page(html).blocks)
+    chapters = "<article><div class='social-history'><p>One.</p></div><section id='form-of-government'><p>Two.</p></section></article>"
+    assert text(chapters) == "One. Two."
+    boxes = "<article><p>One.</p><div class='social'>x</div><div class='related-posts'>x</div><div class='comment-list'>x</div><div class='ad-box'>x</div></article>"
+    assert text(boxes) == "One."
+    # 30 letters whose lower case is longer, before a script
+    page = "<p>" + "\u0130stanbul " * 30 + "</p><SCRIPT>if (a < b) {}</ScRiPt ><p>Hello world text here, all.</p>"
+    assert text(page).endswith("Hello world text here, all.")
+    assert text("<p>a</p><script>never closed <p>b</p>") == "a"
