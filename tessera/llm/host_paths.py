@@ -12,17 +12,23 @@ those that hold ``LEAST`` of its text. A page without one (rare host, rare
 template, only the root won), or where more than ``MUCH`` of the non-link text
 would be left out, uses the rule on its own paths.
 
-The path finds the article; it does not bound it. All blocks below it are read,
-and of the blocks elsewhere on the page (title, lead, a second body) all but link
-lists and labels. A label is text outside paragraphs, headings, lists, quotations
-and preformatted text, without a sentence end, in a container that no word names
-as a part of an article and that has fewer than ``WORDS`` such words on the page:
-side boxes, bylines, dates. Left out as well are containers beside the path whose
-text is the same on all pages of the host that have them (``SAME`` or more, and
-``FEW`` of the host's pages), unless the text at the path itself is.
-
-Only votes and text digests are shuffled, pre-aggregated per task; a host's paths
-are few however many pages it has. Winners (one row per host; ``FEW`` bounds its
+The path finds the article; everything below it is read. What lies elsewhere on
+the page (title, lead, a second body; side boxes, bylines, adverts) is decided by
+the host's second vote, on every path that ``VOTES`` pages or more, and ``FEW`` of
+the host's, hold text at. A page votes for a path as part of the article when most
+of the non-link text right there reads like one: it stands in paragraphs, headings,
+lists, quotations or preformatted text, ends as a sentence, lies in a container
+named as a part of an article, or has ``WORDS`` words or more. A path is read if
+more than half of its pages say so *and* its text varies between pages: it does not
+where each text comes ``SAME`` times or more on average, compared with the winning
+path of the host (so hosts whose pages are copied keep their text). One page's
+reading is thus overruled by the host's, both ways: a byline that ends in a full
+stop on some pages stays out, a short label-like lead of a path that is prose
+elsewhere stays in. Only paths without a vote (rare ones, hosts of one page) are
+judged by the page's own reading. Link lists outside the path are never read.
+
+Only votes and text digests are shuffled, pre-aggregated per task and counted first
+by digest; a host's paths are few however many pages it has. Winners (one row per host; ``FEW`` bounds its
 lists) are joined by host; Spark decides on a broadcast by size, and splits a hot
 host's pages otherwise.
 
@@ -245,30 +251,42 @@ class Page:
                     texts.setdefault(path, []).append(text)
         return {p: int.from_bytes(hashlib.blake2b("\n".join(t).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True) for p, t in texts.items()}
 
-    def _kept(self, path: str, same: frozenset = frozenset()) -> list[bool]:
-        """Per block: below ``path``, or part of the article elsewhere and not
-        below a path in ``same``."""
-        inside: list[bool] = []
-        repeated: list[bool] = []
-        for parent, own in self.nodes:  # parents come first
-            inside.append(own == path or parent >= 0 and inside[parent])
-            repeated.append(own in same or parent >= 0 and repeated[parent])
+    def _reads(self) -> list[bool]:
+        """Per block: reads like a part of an article."""
         bare: dict[str, int] = {}
         for node, text, free, prose in self.blocks:
             if not prose and free >= 0.5:
                 own = self.nodes[node][1]
                 bare[own] = bare.get(own, 0) + text.count(" ") + 1
-        return [inside[node] or free >= 0.5 and not repeated[node] and (prose or bare[self.nodes[node][1]] >= WORDS)
-                for node, _, free, prose in self.blocks]
+        return [free >= 0.5 and (prose or bare[self.nodes[node][1]] >= WORDS) for node, _, free, prose in self.blocks]
+
+    def parts(self) -> dict[str, bool]:
+        """Whether most of the non-link text right at each path reads like a part
+        of an article (paths with links alone: no entry)."""
+        weights: dict[str, list[float]] = {}
+        for (node, text, free, _), reads in zip(self.blocks, self._reads()):
+            if free >= 0.5:
+                weights.setdefault(self.nodes[node][1], [0.0, 0.0])[reads] += len(text) * free
+        return {p: yes > no for p, (no, yes) in weights.items()}
+
+    def _kept(self, path: str, votes: dict[str, bool] | None = None) -> list[bool]:
+        """Per block: below ``path``, or part of the article elsewhere. ``votes``
+        has the host's word on a path; without one the page's own reading counts."""
+        votes = votes or {}
+        inside: list[bool] = []
+        for parent, own in self.nodes:  # parents come first
+            inside.append(own == path or parent >= 0 and inside[parent])
+        return [inside[node] or free >= 0.5 and votes.get(self.nodes[node][1], reads)
+                for (node, _, free, _), reads in zip(self.blocks, self._reads())]
 
-    def text(self, path: str, same: frozenset = frozenset()) -> str:
-        return " ".join(b[1] for b, kept in zip(self.blocks, self._kept(path, same)) if kept)
+    def text(self, path: str, votes: dict[str, bool] | None = None) -> str:
+        return " ".join(b[1] for b, kept in zip(self.blocks, self._kept(path, votes)) if kept)
 
-    def left_out(self, path: str, same: frozenset = frozenset()) -> float:
+    def left_out(self, path: str, votes: dict[str, bool] | None = None) -> float:
         """Share of the page's non-link text that ``text`` leaves out."""
         weights = [len(text) * free for _, text, free, _ in self.blocks]
         total = sum(weights)
-        return sum(w for w, kept in zip(weights, self._kept(path, same)) if not kept) / total if total > 0 else 0.0
+        return sum(w for w, kept in zip(weights, self._kept(path, votes)) if not kept) / total if total > 0 else 0.0
 
 
 def best_path(shares: dict[str, float]) -> str:
@@ -285,6 +303,9 @@ def vote(shares: dict[str, float]) -> str:
     return best_path(below) if max(below.values(), default=0.0) >= LEAST else ""
 
 
+_VOTES = pa.schema([("host", pa.string()), ("path", pa.string()), ("vote", pa.int64()), ("part", pa.int64()), ("seen", pa.int64()), ("digest", pa.int64())])
+
+
 def _votes(batches):
     for batch in batches:
         out = []
@@ -292,25 +313,22 @@ def _votes(batches):
             page = Page(html or "")
             shares = page.shares()
             chosen = vote(shares) if shares else None
-            out += [(host, p, int(p == chosen), d) for p, d in page.digests().items()]
-        host, path, mine, digest = zip(*out) if out else ((), (), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(mine, pa.int64()), pa.array(digest, pa.int64())],
-                                         names=["host", "path", "vote", "digest"])
+            parts = page.parts()
+            out += [(host, p, int(p == chosen), int(parts.get(p, False)), int(p in parts), d) for p, d in page.digests().items()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [()] * len(_VOTES), _VOTES)], schema=_VOTES)
 
 
 def _texts(batches):
     for batch in batches:
         out, used = [], []
-        for html, paths, same in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
+        for html, paths, read, unread in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5))):
             page = Page(html or "")
             shares = page.shares()
-            path = next((p for p in paths or () if shares.get(p, 0.0) >= LEAST), None)
-            same = frozenset(same or ())
-            if path in same:
-                same = frozenset()
-            if path is None or page.left_out(path, same) > MUCH:
-                path, same = best_path(shares), frozenset()
-            out.append(page.text(path, same))
+            own = best_path(shares)
+            path = next((p for p in paths or () if shares.get(p, 0.0) >= LEAST), own)
+            votes = {**dict.fromkeys(read or (), True), **dict.fromkeys(unread or (), False)}
+            path, votes = next(((p, v) for p, v in ((path, votes), (own, votes)) if page.left_out(p, v) <= MUCH), (own, None))
+            out.append(page.text(path, votes))
             used.append(path)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array(used, pa.string())],
                                          names=["page_id", "url", "text", "path"])
@@ -322,18 +340,27 @@ def host_of(url):
 
 
 def winners(pages: DataFrame) -> DataFrame:
-    """``host, paths, same`` from ``host, html``: each host's winning paths, most
-    votes first, and the paths whose text is the same on all pages."""
-    votes = pages.select("host", "html").mapInArrow(_votes, "host string, path string, vote long, digest long")
-    votes = votes.groupBy("host", "path").agg(F.sum("vote").alias("votes"), F.count("*").alias("pages"),
-                                              F.min("digest").alias("low"), F.max("digest").alias("high"))
+    """``host, paths, read, unread`` from ``host, html``: each host's winning
+    paths, most votes first, and its word on the paths it voted on."""
+    votes = pages.select("host", "html").mapInArrow(_votes, "host string, path string, vote long, part long, seen long, digest long")
+    votes = (votes.groupBy("host", "path", "digest")
+             .agg(F.sum("vote").alias("votes"), F.sum("part").alias("part"), F.sum("seen").alias("seen"), F.count("*").alias("pages"))
+             .groupBy("host", "path")
+             .agg(*[F.sum(c).alias(c) for c in ("votes", "part", "seen", "pages")], F.count("*").alias("texts")))
     votes = written(votes, "host-votes")
+    enough = F.greatest(F.lit(VOTES), F.col("all") * FEW)
+    wins = (F.col("path") != "") & (F.col("votes") >= enough)
     every = votes.groupBy("host").agg(F.sum("votes").alias("all"))
-    wins = (F.col("path") != "") & (F.col("votes") >= F.greatest(F.lit(VOTES), F.col("all") * FEW))
-    same = (F.col("path") != "") & (F.col("low") == F.col("high")) & (F.col("pages") >= F.greatest(F.lit(SAME), F.col("all") * FEW))
+    votes = votes.join(every, "host").withColumn("wins", wins)
+    varied = votes.where("wins").groupBy("host").agg(F.min(F.col("texts") / F.col("pages")).alias("varied"))
+    votes = votes.join(varied, "host")
+    repeats = (F.col("path") != "") & (F.col("pages") >= F.greatest(F.lit(SAME), enough)) & (F.col("texts") * SAME <= F.col("pages") * F.col("varied"))
+    unread = (repeats | (F.col("seen") >= enough) & (F.col("part") * 2 <= F.col("seen"))) & ~F.col("wins")
+    read = ~repeats & (F.col("seen") >= enough) & (F.col("part") * 2 > F.col("seen"))
     rank = F.struct((-F.col("votes")).alias("votes"), (-F.size(F.split("path", ">"))).alias("depth"), "path")
-    return (votes.join(every, "host").where(wins | same).groupBy("host")
-            .agg(F.sort_array(F.collect_list(F.when(wins, rank)))["path"].alias("paths"), F.sort_array(F.collect_list(F.when(same, F.col("path")))).alias("same")))
+    paths = [F.sort_array(F.collect_list(F.when(which, F.col("path")))).alias(name) for name, which in (("read", read), ("unread", unread))]
+    return (votes.where(F.col("wins") | read | unread).groupBy("host")
+            .agg(F.sort_array(F.collect_list(F.when(F.col("wins"), rank)))["path"].alias("paths"), *paths))
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -342,4 +369,4 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
                       host_of(F.col(url_col)).alias("host"))
     won = written(winners(pages), "host-paths")
     schema = f"page_id {df.schema[id_col].dataType.simpleString()}, url string, text string, path string"
-    return (pages.join(won, "host", "left").select("page_id", F.col("url").cast("string"), "html", "paths", "same").mapInArrow(_texts, schema))
+    return (pages.join(won, "host", "left").select("page_id", F.col("url").cast("string"), "html", "paths", "read", "unread").mapInArrow(_texts, schema))

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from tessera.llm import host_paths as H
 from tessera.llm.host_paths import Page, best_path, extract, host_of
 
 
@@ -105,6 +106,94 @@ def test_much_text_outside_paragraphs_is_kept():
     assert page.left_out("div.a") < 0.01
 
 
+def words(r, n):
+    return " ".join(f"w{r.randrange(9999)}" for _ in range(n))
+
+
+def test_the_host_decides_on_paths_beside_the_article(spark):
+    """Side boxes, bylines and leads that only their host can tell apart."""
+    r = random.Random(7)
+    offers = [f"Buy our book {i} today. It is good." for i in range(3)]
+    rows = []
+    for i in range(60):
+        lead, body, end = words(r, 6) + ("" if i % 4 == 0 else "."), words(r, 150), words(r, 12)
+        byline = f"by {words(r, 2)}" + ("." if i % 3 == 0 else "")
+        html = (f"<body><div class=k>{lead}</div><div class=by>{byline}</div><div class=box><p>{offers[i % 3]}</p></div>"
+                f"<div class=post><p>{body}</p></div><div class=z><p>{end}</p></div>")
+        rows.append((i, html, " ".join([lead, body, end])))
+    together = spark.createDataFrame([(i, "http://one/", h, w) for i, h, w in rows], "page_id long, url string, html string, want string")
+    got = {x["page_id"]: x["text"] for x in extract(together).collect()}
+    assert [got[i] for i, _, _ in rows] == [w for _, _, w in rows]
+    # the same pages, each its own host: no votes, and most texts are wrong
+    apart = spark.createDataFrame([(i, f"http://h{i}/", h) for i, h, _ in rows], "page_id long, url string, html string")
+    alone = {x["page_id"]: x["text"] for x in extract(apart).collect()}
+    assert all(alone[i] != w for i, _, w in rows)
+
+
+def test_copied_pages_keep_their_second_body(spark):
+    r = random.Random(8)
+    rows = [(f"<body><div class=post><p>{b}</p></div><div class=z><p>{e}</p></div><div class=box><p>Buy this. It is good.</p></div>", f"{b} {e}")
+            for b, e in ((words(r, 90), words(r, 20)) for _ in range(10))] * 6
+    df = spark.createDataFrame([(i, "http://h/", *x) for i, x in enumerate(rows)], "page_id long, url string, html string, want string")
+    assert {(x["page_id"], x["text"]) for x in extract(df).collect()} == {(i, w) for i, (_, w) in enumerate(rows)}
+
+
+def plain(rows):
+    """The votes counted in dictionaries, one host after the other."""
+    hosts = {}
+    for i, host, html in rows:
+        hosts.setdefault(host, []).append((i, Page(html or "")))
+    out = {}
+    for pages in hosts.values():
+        votes, reads, digests = {}, {}, {}
+        for _, page in pages:
+            shares = page.shares()
+            if shares:
+                chosen = H.vote(shares)
+                votes[chosen] = votes.get(chosen, 0) + 1
+            for p, yes in page.parts().items():
+                reads.setdefault(p, []).append(yes)
+            for p, d in page.digests().items():
+                digests.setdefault(p, []).append(d)
+        enough = max(H.VOTES, sum(votes.values()) * H.FEW)
+        wins = sorted((p for p in votes if p and votes[p] >= enough), key=lambda p: (-votes[p], -p.count(">"), p))
+        words_on = {}
+        if wins:
+            varied = min(len(set(digests[p])) / len(digests[p]) for p in wins)
+            for p, ds in digests.items():
+                yes = reads.get(p, [])
+                if p and len(ds) >= max(H.SAME, enough) and len(set(ds)) * H.SAME <= len(ds) * varied:
+                    words_on[p] = False
+                elif len(yes) >= enough:
+                    words_on[p] = sum(yes) * 2 > len(yes)
+                if p in wins and words_on.get(p) is False:
+                    del words_on[p]
+        for i, page in pages:
+            shares = page.shares()
+            own = best_path(shares)
+            path = next((p for p in wins if shares.get(p, 0) >= H.LEAST), own)
+            tries = [(path, words_on), (own, words_on)]
+            path, heard = next((t for t in tries if page.left_out(*t) <= H.MUCH), (own, None))
+            out[i] = (page.text(path, heard), path)
+    return out
+
+
+def test_random_sites_equal_plain_counts(spark):
+    r = random.Random(9)
+    rows = []
+    for i in range(400):
+        host = r.choice(["a", "a", "a", "b", "c", f"x{r.randrange(40)}"])
+        blocks = []
+        for _ in range(r.randrange(6)):
+            name = r.choice(["post", "k", "z", "box", "lead", "q q1", "n"])
+            text = r.choice([words(r, r.choice([2, 5, 30])), "Same words here.", "Same label", "<a href=x>" + words(r, 4) + "</a>"])
+            inner = r.choice(["{}", "<p>{}</p>", "{}.", "<div class=in>{}</div>", "<h2>T</h2>{}"]).format(text)
+            blocks.append(f"<div class='{name}'>{inner}</div>")
+        rows.append((i, host, r.choice(["", "<h1>Head</h1>", "lone"]) + "".join(blocks)))
+    df = spark.createDataFrame([(i, f"http://{h}/{i}", html) for i, h, html in rows], "page_id long, url string, html string").repartition(5)
+    assert {x["page_id"]: (x["text"], x["path"]) for x in extract(df).collect()} == plain(rows)
+
+
 def test_odd_rows(spark):
     long = "<article>" + "".join(f"<p>par {i} of text</p>" for i in range(20_000))
     rows = [(1, None, None), (1, None, None), (None, "http://x/", ""), (2, "no url", "<p>a"), (3, "http://x/1", long), (3, "http://x/1", long), (4, "", "plain")]
@@ -116,8 +205,6 @@ def test_odd_rows(spark):
 
 
 def test_no_article_text_is_lost_to_a_word_or_a_letter():
-    from tessera.llm.host_paths import Page
-
     def text(html):
         return " ".join(b[1] for b in Page(html).blocks)
     chapters = "<article><div class='social-history'><p>One.</p></div><section id='form-of-government'><p>Two.</p></section></article>"
