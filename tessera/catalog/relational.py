@@ -264,9 +264,24 @@ def q_empty_like(spark, sf):
 
 @query("param_query", "SELECT c_custkey, c_name FROM customer WHERE c_nationkey = 5 AND c_mktsegment = 'MACHINERY'")
 def q_param_query(spark, sf):
-    c = t(spark, sf, "customer")
-    return spark.sql("SELECT c_custkey, c_name FROM {c} WHERE c_nationkey = :nation AND c_mktsegment = :seg",
-                     args={"nation": 5, "seg": "MACHINERY"}, c=c)
+    return C.param_query(spark, "SELECT c_custkey, c_name FROM {customer} WHERE c_nationkey = nation AND c_mktsegment = seg",
+                         {"nation": "INT", "seg": "STRING"}, {"nation": 5, "seg": "MACHINERY"}, {"customer": t(spark, sf, "customer")})
+
+
+@query("table_function_join", """
+  SELECT seg, nation, count(*) AS customers, round(sum(c_acctbal), 2) AS balance
+  FROM (SELECT * FROM (VALUES ('BUILDING', 1), ('MACHINERY', 5), ('MACHINERY', 7)) v(seg, nation)) a
+  JOIN customer ON c_mktsegment = seg AND c_nationkey = nation
+  JOIN nation n ON n_nationkey = c_nationkey GROUP BY 1, 2""")
+def q_table_function_join(spark, sf):
+    """One stored query, called with three sets of arguments."""
+    body = """SELECT c_mktsegment AS seg, c_nationkey AS nation, count(*) AS customers, round(sum(c_acctbal), 2) AS balance
+              FROM {customer} JOIN {nation} ON n_nationkey = c_nationkey WHERE c_mktsegment = segment AND c_nationkey = nation_key
+              GROUP BY c_mktsegment, c_nationkey"""
+    tables = {"customer": t(spark, sf, "customer"), "nation": t(spark, sf, "nation")}
+    with C.TableFunction(spark, body, {"segment": "STRING", "nation_key": "INT"}, tables) as call:
+        parts = [call(segment=s, nation_key=n) for s, n in (("BUILDING", 1), ("MACHINERY", 5), ("MACHINERY", 7))]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
 
 
 @query("code_filter", """

@@ -6,6 +6,7 @@ from tessera.catalog import load, query
 from tessera.functions.text import EXTRA_STOP_WORDS, NEGATIVE_WORDS, POSITIVE_WORDS
 from tessera.operators import text as L
 from tessera.plans import text_jobs as P
+from tessera.session import cut_lineage
 
 TOK = "'[\\p{L}\\p{N}_''’]+'"
 STOK = "'[\\p{L}\\p{N}_'']+'"
@@ -94,8 +95,20 @@ def q_collocations(spark, sf):
          round(0.5 * count / (SELECT max(count) FROM c) + 0.5 * (1 - (rank - 1) / (SELECT count(*) FROM c)), 9) AS weight
   FROM r""")
 def q_word_weight(spark, sf):
-    w = L.word_weight(L.top_words(docs(spark, sf), "text", 200), 0.5)
-    return w.withColumn("weight", F.round("weight", 9))
+    counts = cut_lineage(L.top_words(docs(spark, sf), "text", 200))
+    return L.word_weight(counts, 0.5).withColumn("weight", F.round("weight", 9))
+
+
+@query("vocabulary_weight", f"""
+  WITH c AS (SELECT word, count(*) AS count FROM (SELECT unnest(regexp_extract_all(lower(text), {TOK})) AS word
+             FROM documents) w GROUP BY word),
+  r AS (SELECT *, row_number() OVER (ORDER BY count DESC, word) AS rank FROM c)
+  SELECT word, count, rank,
+         round(0.25 * count / (SELECT max(count) FROM c) + 0.75 * (1 - (rank - 1) / (SELECT count(*) FROM c)), 9) AS weight
+  FROM r""")
+def q_vocabulary_weight(spark, sf):
+    counts = cut_lineage(L.word_count(docs(spark, sf), "text"))
+    return L.word_weight(counts, 0.25).withColumn("weight", F.round("weight", 9))
 
 
 def _hits(words):

@@ -3,6 +3,8 @@ into the parquet scan (``PushedFilters``)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,8 +67,53 @@ def empty_like(df: DataFrame) -> DataFrame:
     return df.limit(0)
 
 
-def param_query(spark: SparkSession, sql: str, args: dict, views: dict | None = None) -> DataFrame:
-    """Parametrised SQL (named markers ``:name``), the stored-procedure analogue."""
-    for name, frame in (views or {}).items():
-        frame.createOrReplaceTempView(name)
-    return spark.sql(sql, args=args)
+class TableFunction:
+    """A stored query with typed arguments, the procedure analogue: a temporary
+    SQL function of the session that returns a table.
+
+    ``body`` is a query that names its tables as ``{table}`` and its arguments as
+    plain names (an argument hides no column: columns win, so qualify or choose
+    other names); ``params`` gives the arguments' SQL types, in order. Arguments are
+    cast to these types (a value that does not fit raises) and may be null; in
+    grouped queries Spark takes them in WHERE and HAVING only. Function
+    and table names are the object's own, so functions made at the same time do not
+    collide and no view of the session is replaced. A call is planned at once: its
+    DataFrame stays good after ``drop`` (or the end of a ``with`` block).
+    """
+
+    def __init__(self, spark: SparkSession, body: str, params: dict[str, str], tables: dict[str, DataFrame]):
+        mark = uuid.uuid4().hex
+        self._spark, self._params, self._name = spark, params, f"fn_{mark}"
+        self._views = {name: f"t{i}_{mark}" for i, name in enumerate(tables)}
+        for name, df in tables.items():
+            df.createOrReplaceTempView(self._views[name])
+        query = body.format(**self._views)
+        arguments = ", ".join(f"{p} {t}" for p, t in params.items())
+        try:
+            spark.sql(f"CREATE TEMPORARY FUNCTION {self._name}({arguments}) RETURNS TABLE RETURN {query}")
+        except Exception:
+            self.drop()
+            raise
+
+    def __call__(self, **args) -> DataFrame:
+        if args.keys() != self._params.keys():
+            raise TypeError(f"arguments must be {list(self._params)}: {list(args)}")
+        marks = ", ".join(f"CAST(:{p} AS {t})" for p, t in self._params.items())
+        return self._spark.sql(f"SELECT * FROM {self._name}({marks})", args=args)
+
+    def drop(self) -> None:
+        self._spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {self._name}")
+        for view in self._views.values():
+            self._spark.catalog.dropTempView(view)
+
+    def __enter__(self) -> TableFunction:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop()
+
+
+def param_query(spark: SparkSession, sql: str, params: dict[str, str], args: dict, tables: dict[str, DataFrame]) -> DataFrame:
+    """C16, one call: a ``TableFunction`` made, called and dropped."""
+    with TableFunction(spark, sql, params, tables) as call:
+        return call(**args)

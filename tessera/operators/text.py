@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.ranges import asc, desc
+from tessera.operators.windows import global_rank
 from tessera.session import cut_lineage
 from tessera.functions.text import (
     NEGATIVE_WORDS, POSITIVE_WORDS, SENTIMENT_TOKEN, WORDCOUNT_TOKEN, count_members, explode_words,
@@ -102,15 +104,15 @@ def collocations(df: DataFrame, id_col: str, words: str, min_llr: float = 30.0,
 
 
 def word_weight(counts: DataFrame, scaling: float = 0.5, word: str = "word", count: str = "count") -> DataFrame:
-    """Relative weight of each word in a (bounded, top-k) frequency table:
-    ``s * c / max(c) + (1 - s) * (1 - (rank - 1) / n)`` (0 = rank only, 1 = ratio).
-
-    Only meant for a top-k table: the rank is a window over that small table.
-    """
+    """Relative weight of each word of a frequency table of any size:
+    ``s * c / max(c) + (1 - s) * (1 - (rank - 1) / n)`` (0 = rank only, 1 = ratio),
+    ranked by falling count, then word. The words are numbered by ``global_rank``,
+    so no window holds the vocabulary, and the words counted once, half of it,
+    are spread over many ranges. ``counts`` is read several times: hand over a
+    written table where it is costly."""
     mx = counts.select(F.max(count)).scalar()
     n = counts.select(F.count(F.lit(1))).scalar()
-    rank = F.row_number().over(Window.orderBy(F.col(count).desc(), F.col(word))).cast("long")
-    return (counts.withColumn("rank", rank)
+    return (global_rank(counts, [desc(count), asc(word)], "rank")
             .withColumn("weight", F.lit(scaling) * F.col(count) / mx
                         + F.lit(1 - scaling) * (1 - (F.col("rank") - 1) / n)))
 

@@ -1,8 +1,8 @@
 """Window operators (F1-F6), written so no window runs over one unbounded partition.
 
-* ``topn`` cuts each group down within hash slices of its rows before the
-  final rank; the filters on ``rank``/``row_number`` let Spark insert a partial
-  ``WindowGroupLimit`` before the shuffles.
+* ``topn`` cuts each group down in a tournament of hash slices; tied rows are
+  counted, not moved; the filters on ``rank``/``row_number`` let Spark insert a
+  partial ``WindowGroupLimit`` before the shuffles.
 * ``lag_gap`` and ``global_rank`` deal rows into ranges of their order
   (``ranges``), so a key holding a third of all rows is spread over many tasks;
   what a range needs of the earlier ones comes from a table of one row per range.
@@ -14,37 +14,78 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
 
 from tessera.operators.ranges import By, asc, ordering, ranges_of, row_hash, with_range_id
 
 
+#: Windows of a group that meet in one at each level of ``topn``.
+FAN = 16
+
+
+def _quoted(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
 def _cols(xs):
     if isinstance(xs, (str, Column, By)):
         xs = [xs]
     return [F.col(x) if isinstance(x, str) else x.column() if isinstance(x, By) else x for x in xs]
 
 
+def _groups_of_slices(slices: int) -> list[int]:
+    """How many slices meet in one window, level by level, until ``FAN`` windows
+    of a group or fewer are left."""
+    widths, width = [], 1
+    while -(-slices // width) > FAN:
+        width *= FAN
+        widths.append(width)
+    return widths
+
+
 def topn(df: DataFrame, keys, order, n: int, ties: str = "rank", name: str = "rank_in_group",
          partitions: int | None = None) -> DataFrame:
     """top n rows per group. ``ties='rank'`` keeps all rows tied at the cut
     (may return more than n); ``ties='row'`` returns exactly n (``order`` must
     then end with a unique tie-break column).
 
-    One plan for every n: each group is first cut down within ``partitions``
-    hash slices of its rows (a row of the group's first n is among the first n
-    of its slice), so a hot group is ranked by many tasks; the final rank sees
-    at most n rows per slice, and the rows tied at the cut. For n up to Spark's
-    group-limit threshold both ranks also get a partial limit before their
-    shuffle."""
-    fn = F.rank if ties == "rank" else F.row_number
-    slices = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
-    slice_ = F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), F.lit(slices))
-    local = Window.partitionBy(*_cols(keys), "_slice").orderBy(*_cols(order))
-    w = Window.partitionBy(*_cols(keys)).orderBy(*_cols(order))
-    cut = df.withColumn("_slice", slice_).withColumn("_local", fn().over(local)).filter(F.col("_local") <= n).drop("_slice", "_local")
-    return cut.withColumn(name, fn().over(w)).filter(F.col(name) <= n).withColumn(name, F.col(name).cast("long"))
+    One plan for every n, a tournament: each group is first cut down within
+    ``partitions`` hash slices of its rows (a row of the group's first n is among
+    the first n of its slice; for n up to Spark's group-limit threshold a partial
+    limit comes before that shuffle), then ``FAN`` slices meet at a time and are cut
+    again, until one window of at most n rows from each of ``FAN`` is left.
+
+    Tied rows do not travel: under ``ties='rank'`` the first row of each class of
+    equal order within a slice stands for its class, with the class's row count,
+    and a rank is 1 plus the rows counted before. The rows take their rank by
+    (group, slice, class), so a group whose rows all tie stays in many tasks. Rows
+    alike in every column share a slice."""
+    if ties not in ("rank", "row"):
+        raise ValueError(f"ties must be 'rank' or 'row': {ties!r}")
+    slices = ranges_of(df, partitions)
+    group = [f"_k{i}" for i in range(len(_cols(keys)))]
+    order = _cols(order)
+    held = df.withColumn("_slice", F.pmod(row_hash(df), F.lit(slices))).withColumns(dict(zip(group, _cols(keys))))
+    within = Window.partitionBy(*group, "_slice").orderBy(*order)
+    held = held.withColumn("_local", (F.rank if ties == "rank" else F.row_number)().over(within)).filter(F.col("_local") <= n)
+    meets = [[*group, F.floor(F.col("_slice") / width)] for width in _groups_of_slices(slices)] + [group]
+    if ties == "row":
+        for meet in meets:
+            held = held.withColumn("_local", F.row_number().over(Window.partitionBy(*meet).orderBy(*order))).filter(F.col("_local") <= n)
+        return held.select(*_quoted(df), F.col("_local").cast("long").alias(name))
+    peers = within.rangeBetween(Window.currentRow, Window.currentRow)
+    first = (held.withColumn("_nth", F.row_number().over(within)).withColumn("_rows", F.count(F.lit(1)).over(peers))
+             .filter(F.col("_nth") == F.col("_local")))
+    for meet in meets:
+        w = Window.partitionBy(*meet).orderBy(*order)
+        upto = F.sum("_rows").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        here = F.sum("_rows").over(w.rangeBetween(Window.currentRow, Window.currentRow))
+        first = first.withColumn("_before", upto - here).filter(F.col("_before") < n)
+    ranks = first.select(*[F.col(k).alias(f"{k}r") for k in group], F.col("_slice").alias("_slicer"), F.col("_local").alias("_localr"),
+                         (F.col("_before") + 1).cast("long").alias("_rank"))
+    on = (F.col("_slice") == F.col("_slicer")) & (F.col("_local") == F.col("_localr"))
+    for k in group:
+        on = on & F.col(k).eqNullSafe(F.col(f"{k}r"))
+    return held.join(ranks, on).select(*_quoted(df), F.col("_rank").alias(name))
 
 
 def lag_gap(df: DataFrame, keys, ts: str, out: str = "gap_minutes", prev: str = "prev_ts",

@@ -147,3 +147,32 @@ def test_cluster_needs_a_shared_folder(spark):
         getConf = staticmethod(Conf)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.checkpoint_dir(type("Spark", (), {"sparkContext": Context})())
+
+
+def test_table_function(spark):
+    from pyspark.errors import PySparkException
+
+    from tessera.operators.filters import TableFunction, param_query
+    a = spark.createDataFrame([(1, "x"), (2, "y"), (3, None)], "id int, v string")
+    b = spark.createDataFrame([(7, "x")], "id int, v string")
+    views, functions = len(spark.catalog.listTables()), len(spark.catalog.listFunctions())
+    body = "SELECT id, v FROM {t} WHERE v = word OR id >= least_id"
+    params = {"word": "STRING", "least_id": "INT"}
+    # two of one body at a time, over different tables
+    with TableFunction(spark, body, params, {"t": a}) as f, TableFunction(spark, body, params, {"t": b}) as g:
+        both = f(word="x", least_id=3), g(word="x", least_id=9)
+        assert f(word=None, least_id=None).count() == 0
+        assert [tuple(r) for r in f(least_id="2", word="' OR true --").orderBy("id").collect()] == [(2, "y"), (3, None)]
+        with pytest.raises(PySparkException):
+            f(word="x", least_id="many").collect()
+        with pytest.raises(TypeError):
+            f(word="x")
+        with pytest.raises(TypeError):
+            f(word="x", least_id=1, more=2)
+    # calls outlive the function, and nothing is left in the session
+    assert sorted(tuple(r) for r in both[0].collect()) == [(1, "x"), (3, None)]
+    assert [tuple(r) for r in both[1].collect()] == [(7, "x")]
+    with pytest.raises(PySparkException):
+        TableFunction(spark, "SELECT nothing FROM {t}", {}, {"t": a})
+    assert param_query(spark, "SELECT count(*) AS n FROM {t}", {}, {}, {"t": a}).first()["n"] == 3
+    assert (len(spark.catalog.listTables()), len(spark.catalog.listFunctions())) == (views, functions)

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import Row
+from pyspark.sql import Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -545,3 +545,46 @@ def test_pages_with_null_and_large_ids(spark):
     df = spark.createDataFrame([(None, html), (big, html), (3, None)], "page_id long, html string").coalesce(1)
     assert sorted((r.page or 0, r.text) for r in extract_html_tables(df, "page_id", "html").collect()) == [(0, "a"), (big, "a")]
     assert sorted((r.page or 0, r.href) for r in extract_links(df, "page_id", "html").collect()) == [(0, "x"), (big, "x")]
+
+
+@pytest.mark.parametrize("ties", ["rank", "row"])
+@pytest.mark.parametrize("slices", [1, 16, 17, 300])
+def test_topn_tournament_equals_plain_window(spark, ties, slices):
+    import random
+    r = random.Random(slices)
+    rows = [(r.choice([None, "a", "a", "a", "b"]), r.choice([None, *range(12)]), i, "x") for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v int, id int, `dotted.name` string")
+    order = [F.col("v").desc()] + (["id"] if ties == "row" else [])
+    w = Window.partitionBy("g").orderBy(*order)
+    fn = F.rank if ties == "rank" else F.row_number
+    for n in (1, 5, 700, 5000):
+        want = df.withColumn("rank_in_group", fn().over(w).cast("long")).filter(F.col("rank_in_group") <= n)
+        got = W.topn(df, "g", order, n, ties, partitions=slices)
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_topn_of_a_group_whose_rows_all_tie_runs_in_many_tasks(spark):
+    df = spark.range(20_000).withColumn("g", F.lit("a")).withColumn("v", F.lit(1))
+    top = W.topn(df, "g", [F.col("v").desc()], 3, "rank", partitions=64)
+    parts = top.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+    assert sum(r["count"] for r in parts) == 20_000
+    # windows that are not within a slice see counted classes, not rows
+    windows = [x for x in top._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in x]
+    assert len(windows) > 3 and all("_slice" in x or "sum(_rows" in x for x in windows)
+
+
+def test_topn_refuses_unknown_ties(spark):
+    with pytest.raises(ValueError):
+        W.topn(spark.range(3), "id", "id", 1, "dense")
+
+
+def test_word_weight_of_a_whole_vocabulary(spark):
+    counts = [(f"w{i:04d}", 1 if i % 2 else 1 + i % 7) for i in range(3000)] + [("top", 999)]
+    df = spark.createDataFrame(counts, "word string, count long").repartition(3)
+    weighed = L.word_weight(df, 0.25)
+    want = {w: (k, 0.25 * c / 999 + 0.75 * (1 - (k - 1) / 3001)) for k, (w, c) in enumerate(sorted(counts, key=lambda x: (-x[1], x[0])), 1)}
+    got = {r["word"]: (r["rank"], r["weight"]) for r in weighed.collect()}
+    assert got.keys() == want.keys()
+    assert all(got[w][0] == k and abs(got[w][1] - v) < 1e-12 for w, (k, v) in want.items())
+    assert L.word_weight(df.limit(0)).count() == 0
