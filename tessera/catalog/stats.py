@@ -93,10 +93,59 @@ def q_weather_stats(spark, sf):
     return s.withColumns({c: F.round(c, 9) for c in r9}).withColumn("ttest_dof", F.round("ttest_dof", 6))
 
 
-@query("weather_pvalues")
+def t_tail_sql(source: str, tests) -> str:
+    """DuckDB SQL for ``k, p`` of a relation: the two-sided Student-t tail of each
+    (key, t, degrees of freedom) by the continued fraction of the incomplete beta,
+    one recursion step per pair of its terms."""
+    rows = " UNION ALL ".join(f"SELECT {k} AS k, ({t})::DOUBLE AS t, ({dof})::DOUBLE AS dof FROM {source}" for k, t, dof in tests)
+    return f"""
+  (WITH RECURSIVE s AS (SELECT k, dof / 2 AS a, dof / (dof + t * t) AS x, t * t / (dof + t * t) AS y FROM ({rows}) r),
+  q AS (SELECT k, CASE WHEN flip THEN 0.5::DOUBLE ELSE a END AS a, CASE WHEN flip THEN a ELSE 0.5::DOUBLE END AS b,
+               CASE WHEN flip THEN y ELSE x END AS x, CASE WHEN flip THEN x ELSE y END AS y, flip
+        FROM (SELECT *, x >= (a + 1) / (a + 2.5) AS flip FROM s) f),
+  cf AS (SELECT k, 0 AS m, a, b, x, 1.0::DOUBLE AS c, 1 / (1 - (a + b) * x / (a + 1)) AS d,
+                1 / (1 - (a + b) * x / (a + 1)) AS h, 2.0::DOUBLE AS step FROM q
+         UNION ALL
+         SELECT k, m, a, b, x, c, d, h * half * c * d, c * d
+         FROM (SELECT k, m, a, b, x, h, c * d AS half, 1 + odd / c AS c, 1 / (1 + odd * d) AS d
+               FROM (SELECT k, m, a, b, x, h, 1 + even / c AS c, 1 / (1 + even * d) AS d,
+                            -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)) AS odd
+                     FROM (SELECT k, m + 1 AS m, a, b, x, c, d, h,
+                                  (m + 1) * (b - (m + 1)) * x / ((a - 1 + 2 * (m + 1)) * (a + 2 * (m + 1))) AS even
+                           FROM cf WHERE abs(step - 1) > 1e-15 AND m < 5000) u) v) w),
+  i AS (SELECT q.k, flip, exp(lgamma(q.a + q.b) - lgamma(q.a) - lgamma(q.b) + q.a * ln(q.x) + q.b * ln(q.y)) * h / q.a AS i
+        FROM q JOIN (SELECT k, arg_max(h, m) AS h FROM cf GROUP BY k) e ON e.k = q.k)
+  SELECT k, CASE WHEN flip THEN 1 - i ELSE i END AS p FROM i)"""
+
+
+WEATHER_TESTS_SQL = f"""
+  (SELECT *, temp_corr * sqrt((hours - 2) / (1 - temp_corr ^ 2)) AS temp_t, precip_corr * sqrt((hours - 2) / (1 - precip_corr ^ 2)) AS precip_t,
+          (m1 - m2) / sqrt(v1 / n1 + v2 / n2) AS t,
+          (v1 / n1 + v2 / n2) ^ 2 / ((v1 / n1) ^ 2 / (n1 - 1) + (v2 / n2) ^ 2 / (n2 - 1)) AS dof
+   FROM (SELECT count(*) AS hours, corr(temperature_f, trip_count) AS temp_corr,
+                corr(precipitation_in, trip_count) AS precip_corr,
+                avg(trip_count) FILTER (WHERE precipitation_in > 0) AS m1,
+                var_samp(trip_count) FILTER (WHERE precipitation_in > 0) AS v1,
+                count(trip_count) FILTER (WHERE precipitation_in > 0) AS n1,
+                avg(trip_count) FILTER (WHERE precipitation_in = 0) AS m2,
+                var_samp(trip_count) FILTER (WHERE precipitation_in = 0) AS v2,
+                count(trip_count) FILTER (WHERE precipitation_in = 0) AS n2
+         FROM ({JOINED_SQL}) j WHERE trip_count IS NOT NULL AND temperature_f IS NOT NULL AND precipitation_in IS NOT NULL) c) w"""
+WEATHER_TAILS_SQL = t_tail_sql(WEATHER_TESTS_SQL, [("'temp'", "temp_t", "hours - 2"), ("'precip'", "precip_t", "hours - 2"), ("'rain'", "t", "dof")])
+
+
+@query("weather_pvalues", f"""
+  SELECT hours, round(temp_corr, 9) AS temp_corr, round(precip_corr, 9) AS precip_corr,
+         round(m1, 9) AS rainy_hours_avg_trips, n1 AS rainy_hours, round(m2, 9) AS dry_hours_avg_trips, n2 AS dry_hours,
+         round(t, 9) AS ttest_statistic, round(dof, 6) AS ttest_dof, round(p1.p, 9) AS temp_pvalue,
+         round(p2.p, 9) AS precip_pvalue, round(p3.p, 9) AS ttest_pvalue
+  FROM {WEATHER_TESTS_SQL}
+  LEFT JOIN {WEATHER_TAILS_SQL} p1 ON p1.k = 'temp'
+  LEFT JOIN {WEATHER_TAILS_SQL} p2 ON p2.k = 'precip'
+  LEFT JOIN {WEATHER_TAILS_SQL} p3 ON p3.k = 'rain'""")
 def q_weather_pvalues(spark, sf):
-    # p-values need the Student-t tail, which the SQL oracle lacks: row check only
-    return WX.weather_stats(joined(spark, sf), with_p=True)
+    s = WX.weather_stats(joined(spark, sf), with_p=True)
+    return s.withColumns({c: F.round(c, 6 if c == "ttest_dof" else 9) for c, kind in s.dtypes if kind == "double"})
 
 
 @query("pearson", """
@@ -106,9 +155,18 @@ def q_pearson(spark, sf):
     return p.select("c_mktsegment", "n", F.round("r", 9).alias("r"))
 
 
-@query("pearson_p")
+PEARSON_TESTS_SQL = """
+  (SELECT *, r * sqrt((n - 2) / (1 - r ^ 2)) AS t FROM (
+     SELECT l_returnflag, count(*) AS n, corr(l_extendedprice, l_quantity) AS r FROM lineitem
+     WHERE l_extendedprice IS NOT NULL AND l_quantity IS NOT NULL GROUP BY 1) c) w"""
+
+
+@query("pearson_p", f"""
+  SELECT l_returnflag, n, round(r, 9) AS r, round(t, 6) AS t, round(p, 9) AS p
+  FROM {PEARSON_TESTS_SQL} LEFT JOIN {t_tail_sql(PEARSON_TESTS_SQL, [("l_returnflag", "t", "n - 2")])} p ON k = l_returnflag""")
 def q_pearson_p(spark, sf):
-    return pearson(load(spark, sf, "lineitem"), "l_extendedprice", "l_quantity", keys="l_returnflag")
+    p = pearson(load(spark, sf, "lineitem"), "l_extendedprice", "l_quantity", keys="l_returnflag")
+    return p.withColumns({"r": F.round("r", 9), "t": F.round("t", 6), "p": F.round("p", 9)})
 
 
 @query("welch_t", """
@@ -130,6 +188,23 @@ def q_welch_t(spark, sf):
                     F.round("dof", 6).alias("dof"))
 
 
-@query("welch_p")
+WELCH_TESTS_SQL = """
+  (SELECT *, (m1 - m2) / sqrt(v1 / n1 + v2 / n2) AS t,
+          (v1 / n1 + v2 / n2) ^ 2 / ((v1 / n1) ^ 2 / (n1 - 1) + (v2 / n2) ^ 2 / (n2 - 1)) AS dof
+   FROM (SELECT o_orderpriority,
+               avg(o_totalprice) FILTER (WHERE o_orderstatus = 'F') AS m1,
+               var_samp(o_totalprice) FILTER (WHERE o_orderstatus = 'F') AS v1,
+               count(o_totalprice) FILTER (WHERE o_orderstatus = 'F') AS n1,
+               avg(o_totalprice) FILTER (WHERE o_orderstatus <> 'F') AS m2,
+               var_samp(o_totalprice) FILTER (WHERE o_orderstatus <> 'F') AS v2,
+               count(o_totalprice) FILTER (WHERE o_orderstatus <> 'F') AS n2 FROM orders GROUP BY 1) a) w"""
+
+
+@query("welch_p", f"""
+  SELECT o_orderpriority, n1 AS n_true, round(m1, 6) AS mean_true, round(v1, 2) AS var_true, n2 AS n_false,
+         round(m2, 6) AS mean_false, round(v2, 2) AS var_false, round(t, 9) AS t, round(dof, 6) AS dof, round(p, 9) AS p
+  FROM {WELCH_TESTS_SQL} LEFT JOIN {t_tail_sql(WELCH_TESTS_SQL, [("o_orderpriority", "t", "dof")])} p ON k = o_orderpriority""")
 def q_welch_p(spark, sf):
-    return welch(load(spark, sf, "orders"), F.col("o_orderstatus") == "F", "o_totalprice", keys="o_orderpriority")
+    w = welch(load(spark, sf, "orders"), F.col("o_orderstatus") == "F", "o_totalprice", keys="o_orderpriority")
+    digits = {"mean_true": 6, "mean_false": 6, "var_true": 2, "var_false": 2, "t": 9, "dof": 6, "p": 9}
+    return w.withColumns({c: F.round(c, n) for c, n in digits.items()})
