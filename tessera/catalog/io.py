@@ -130,3 +130,23 @@ def q_tsv_parts(spark, sf):
     path = scratch(spark, "wc_tsv")
     K.write_tsv(word_count(load(spark, sf, "documents"), "text"), path, 4, "word")
     return spark.read.schema("word string, count long").option("sep", "\t").csv(path)
+
+
+@query("saved_table", "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1")
+def q_saved_table(spark, sf):
+    # saved twice: the second replaces the whole table
+    o, name = load(spark, sf, "orders"), f"orders_{uuid.uuid4().hex}"
+    path = scratch(spark, name)
+    K.save_table(o.select("o_orderkey"), name, path=path)
+    K.save_table(o.select("o_orderkey", "o_orderpriority"), name, path=path)
+    return spark.table(name).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("literal_rows", """
+  SELECT label, count(*) AS customers FROM customer
+  JOIN (VALUES ('BUILDING', 'construction'), ('MACHINERY', 'industry'), ('AUTOMOBILE', 'industry')) v(segment, label)
+    ON segment = c_mktsegment GROUP BY 1""")
+def q_literal_rows(spark, sf):
+    rows = [("BUILDING", "construction"), ("MACHINERY", "industry"), ("AUTOMOBILE", "industry")]
+    labels = S.table_of(spark, rows, "c_mktsegment string, label string")
+    return load(spark, sf, "customer").join(labels, "c_mktsegment").groupBy("label").agg(F.count(F.lit(1)).alias("customers"))

@@ -1,12 +1,17 @@
 """Spatial join (D17), road suitability (P6), priority score (P7), zone report."""
 
+import uuid
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.catalog import load, query
 from tessera.catalog.trips import cleaned, demand_gap_sql
 from tessera.operators.spatial import within
 from tessera.plans import roads as R
 from tessera.plans.demand_gap import demand_gap
+from tessera.session import checkpoint_dir
+from tessera.sources.sinks import write_csv
 
 NX, NY, W, H = 9, 11, 6.0, 10.0
 NOTCH = repr(H * 2 / 3)
@@ -146,3 +151,38 @@ def q_score_held_back(spark, sf):
 def q_zone_compare(spark, sf):
     scores = q_priority_score(spark, sf)
     return R.zone_compare(scores, lookup_df(spark, sf), ["NATION_3", "NATION_8", "NATION_20"])
+
+
+def score_files(spark, sf):
+    """The part files of both jobs and the zone names, each with lines that do not
+    fit: zones that are names, not numbers; a road line per region without a zone;
+    region names in the place of a zone number."""
+    at = f"{checkpoint_dir(spark)}/io/score-{uuid.uuid4().hex}"
+    n, r = load(spark, sf, "nation"), load(spark, sf, "region")
+    text = demand(spark, sf)
+    write_csv(text, f"{at}/demand")
+    write_csv(n.select(F.col("n_name").alias("LocationID"), F.col("n_nationkey").alias("day_trip_count"),
+                       *[F.lit(None).cast("string").alias(c) for c in text.columns[2:]]), f"{at}/demand", mode="append")
+    names = [f.name for f in T.StructType.fromDDL(R.ROAD_FILE).fields]
+    write_csv(road_profile(spark, sf).select(*names), f"{at}/road")
+    write_csv(r.select(F.lit(None).cast("string").alias("LocationID"), F.col("r_regionkey").alias("segment_count"),
+                       *[F.lit(None).cast("string").alias(c) for c in names[2:]]), f"{at}/road", mode="append")
+    zone_names = lookup_df(spark, sf)
+    write_csv(zone_names, f"{at}/lookup")
+    write_csv(r.select(F.col("r_name").alias("LocationID"), F.lit("x").alias("Borough"), F.lit("y, z").alias("Zone")),
+              f"{at}/lookup", mode="append")
+    return R.score_from_files(spark, f"{at}/demand", f"{at}/road", f"{at}/lookup")
+
+
+@query("score_from_files", SCORE_SQL)
+def q_score_from_files(spark, sf):
+    s = score_files(spark, sf)[0]
+    return s.withColumns({c: F.round(c, 6) for c in ("final_priority_score", "demand_gap_z", "road_suitability_z")})
+
+
+@query("score_rejects", """
+  SELECT 'demand' AS source, 'bad LocationID' AS reason, n_name || ',' || n_nationkey || ',,,,,' AS line FROM nation
+  UNION ALL SELECT 'road', 'no LocationID', ',' || r_regionkey || ',,,,' FROM region
+  UNION ALL SELECT 'lookup', 'bad LocationID', r_name || ',x,"y, z"' FROM region""")
+def q_score_rejects(spark, sf):
+    return score_files(spark, sf)[1]

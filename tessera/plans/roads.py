@@ -12,7 +12,9 @@ from tessera.operators.spatial import within
 from tessera.operators.ranges import desc
 from tessera.operators.windows import global_rank, zscore
 from tessera.session import cut_lineage
+from tessera.sources.files import read_lookup, read_parts
 
+# fixed values of the jobs: smallest sample of a zone, weights of the score
 MIN_ROAD_SEGMENTS = 15
 WEIGHTS = {"demand_gap": 1.0, "width": 1.0, "lanes": 1.0, "one_way": 0.5}
 
@@ -131,6 +133,27 @@ def priority_score(demand: DataFrame, road: DataFrame, lookup_df: DataFrame, wei
                          "avg_travel_lanes", "one_way_ratio", "demand_gap_z", "road_suitability_z")
 
 
+#: What the score reads of the two jobs' part files and the zone names.
+DEMAND_FILE = ("LocationID INT, day_trip_count LONG, day_gap_p90_minutes DOUBLE, night_trip_count LONG, "
+               "night_gap_p90_minutes DOUBLE, has_enough_data BOOLEAN, night_day_gap_ratio DOUBLE")
+ROAD_FILE = ("LocationID INT, segment_count LONG, avg_street_width_ft DOUBLE, avg_travel_lanes DOUBLE, "
+             "one_way_ratio DOUBLE, has_enough_road_data BOOLEAN")
+LOOKUP_FILE = "LocationID INT, Borough STRING, Zone STRING"
+
+
+def score_from_files(spark: SparkSession, demand_dir: str, road_dir: str, lookup_path: str,
+                     weights: dict = WEIGHTS) -> tuple[DataFrame, DataFrame]:
+    """P7 as a job of its own: the CSV part files that the demand and road jobs left
+    (A19) and the zone names (A9) are read under their declared schemas, good rows are
+    scored, and the others are listed as ``source, reason, line`` (second frame)."""
+    read = {"demand": read_parts(spark, demand_dir, DEMAND_FILE, "LocationID"),
+            "road": read_parts(spark, road_dir, ROAD_FILE, "LocationID"),
+            "lookup": read_lookup(spark, lookup_path, LOOKUP_FILE, "LocationID")}
+    scores = priority_score(read["demand"].good, read["road"].good, read["lookup"].good, weights)
+    rejected = [r.bad.select(F.lit(name).alias("source"), "reason", "line") for name, r in read.items()]
+    return scores, rejected[0].unionAll(rejected[1]).unionAll(rejected[2])
+
+
 def held_back(demand: DataFrame, road: DataFrame) -> DataFrame:
     """Zones with both layers, and how many are held back for too little data."""
     m = demand.join(road, "LocationID")

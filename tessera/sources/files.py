@@ -7,6 +7,7 @@ text is tolerant (``try_cast``) so one bad record never fails a job.
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,9 +141,47 @@ def read_mixed(spark: SparkSession, directory: str, pattern: str,
     return union_by_name([pq, csv.select(*typed, *extra)])
 
 
-def read_lookup(spark: SparkSession, path, schema: T.StructType | str) -> DataFrame:
-    """Small lookup CSV with its declared schema."""
-    return read_csv(spark, path, schema)
+class Declared(NamedTuple):
+    """Rows that fit their declared schema, and the others."""
+    good: DataFrame
+    bad: DataFrame
+
+
+def read_declared(spark: SparkSession, path, schema: T.StructType | str, required=(), **options) -> Declared:
+    """CSV with header under a declared schema, with a quarantine: ``good`` has the
+    schema's columns; ``bad`` lists each other line as ``file, reason, line``. The reason is
+    ``malformed`` (wrong number of fields; ``line`` as it stands in the file), ``bad
+    <column>`` (a text that is no value of its type) or ``no <column>`` (a ``required``
+    one is empty), the first in column order; ``line`` is rendered from the columns then.
+    A file whose header names other columns, or in another order, fails the read when it
+    runs.
+
+    Fields are read as text and cast here, with the parser's column pruning off: every
+    line is good or bad whatever columns a query reads, where the parser itself checks
+    only the fields it is asked for. Both frames read the files; nothing is cached."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    mark = "_malformed"
+    texts = [T.StructField(f.name, T.StringType()) for f in schema.fields]
+    reader = (spark.read.schema(T.StructType([*texts, T.StructField(mark, T.StringType())]))
+              .option("header", True).option("enforceSchema", False).option("columnPruning", False)
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", mark).options(**options))
+    required = [required] if isinstance(required, str) else list(required)
+    reason = F.when(F.col(mark).isNotNull(), F.lit("malformed"))
+    typed = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in schema.fields}
+    for c, value in typed.items():
+        reason = reason.when(F.col(f"`{c}`").isNotNull() & value.isNull(), F.lit(f"bad {c}"))
+    for c in required:
+        reason = reason.when(F.col(f"`{c}`").isNull(), F.lit(f"no {c}"))
+    rows = reader.csv(path).withColumn("_reason", reason)
+    bad = rows.filter(F.col("_reason").isNotNull()).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_reason").alias("reason"),
+        F.coalesce(F.col(mark), F.to_csv(F.struct(*[F.col(f"`{c}`") for c in typed]))).alias("line"))
+    return Declared(rows.filter(F.col("_reason").isNull()).select(*[v.alias(c) for c, v in typed.items()]), bad)
+
+
+def read_lookup(spark: SparkSession, path, schema: T.StructType | str, key=()) -> Declared:
+    """Lookup CSV with its declared schema; rows without a ``key`` go to ``bad``."""
+    return read_declared(spark, path, schema, key)
 
 
 def table_of(spark: SparkSession, rows, schema) -> DataFrame:
@@ -150,6 +189,6 @@ def table_of(spark: SparkSession, rows, schema) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def read_parts(spark: SparkSession, directory: str, schema: T.StructType | str) -> DataFrame:
+def read_parts(spark: SparkSession, directory: str, schema: T.StructType | str, required=()) -> Declared:
     """Read back a directory of CSV part files as one table."""
-    return read_lookup(spark, directory, schema)
+    return read_declared(spark, directory, schema, required)

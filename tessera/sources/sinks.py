@@ -10,9 +10,11 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("encoding", "UTF-8").json(path)
 
 
-def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
-    """Managed table, whole table replaced."""
-    df.write.mode(mode).saveAsTable(name)
+def save_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | None = None) -> None:
+    """Table of the catalog, whole table replaced: managed (in the
+    warehouse), or with its files under ``path``."""
+    writer = df.write.mode(mode)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by=None, mode: str = "overwrite") -> None:

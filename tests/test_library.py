@@ -176,3 +176,35 @@ def test_table_function(spark):
         TableFunction(spark, "SELECT nothing FROM {t}", {}, {"t": a})
     assert param_query(spark, "SELECT count(*) AS n FROM {t}", {}, {}, {"t": a}).first()["n"] == 3
     assert (len(spark.catalog.listTables()), len(spark.catalog.listFunctions())) == (views, functions)
+
+
+def test_declared_reader_puts_every_line_somewhere(spark, tmp_path):
+    from tessera.sources.files import read_declared, read_lookup, read_parts
+    (tmp_path / "parts").mkdir()
+    (tmp_path / "parts" / "a.csv").write_text('id,name,when\n1,"x, y",2024-01-02\n2,z,not a day\n,nobody,2024-01-03\n3,"",\n')
+    (tmp_path / "parts" / "b.csv").write_text("id,name,when\n4,w,2024-02-30,extra\n5\n99999999999,big,2024-01-01\n6,ok,2024-01-01\n")
+    (tmp_path / "parts" / "empty.csv").write_text("id,name,when\n")
+    schema = "id INT, name STRING, when DATE"
+    read = read_parts(spark, str(tmp_path / "parts"), schema, "id")
+    assert read.good.schema.simpleString() == "struct<id:int,name:string,when:date>"
+    assert sorted((r["id"], r["name"], str(r["when"])) for r in read.good.collect()) == [
+        (1, "x, y", "2024-01-02"), (3, None, "None"), (6, "ok", "2024-01-01")]
+    assert sorted((r["file"][-5:], r["reason"], r["line"]) for r in read.bad.collect()) == [
+        ("a.csv", "bad when", "2,z,not a day"), ("a.csv", "no id", ",nobody,2024-01-03"),
+        ("b.csv", "bad id", "99999999999,big,2024-01-01"), ("b.csv", "malformed", "4,w,2024-02-30,extra"), ("b.csv", "malformed", "5")]
+    # whatever columns are read, the same lines are good
+    assert read.good.count() == read.good.select("name").count() == 3 and read.bad.count() == 5
+    assert {r["name"] for r in read.good.select("name").collect()} == {"x, y", None, "ok"}
+    with pytest.raises(Exception, match="(?i)header"):
+        read_lookup(spark, str(tmp_path / "parts" / "b.csv"), "name STRING, id INT").good.collect()
+    nothing = read_declared(spark, str(tmp_path / "parts" / "empty.csv"), schema)
+    assert nothing.good.count() == nothing.bad.count() == 0
+
+
+def test_saved_table_is_replaced_whole(spark, tmp_path):
+    from tessera.sources.sinks import save_table
+    name = f"t_{tmp_path.name.replace('-', '_')}"
+    save_table(spark.range(5), name, path=str(tmp_path / "t"))
+    save_table(spark.range(2).withColumnRenamed("id", "k"), name, path=str(tmp_path / "t"))
+    assert spark.table(name).columns == ["k"] and spark.table(name).count() == 2
+    spark.sql(f"DROP TABLE {name}")
