@@ -27,29 +27,24 @@ def word_count(df: DataFrame, text: str, pattern: str = WORDCOUNT_TOKEN) -> Data
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
-def stop_array(stop) -> Column:
-    """Stop words as an array value: a Python list becomes a literal; a one-column
-    DataFrame (bounded, e.g. a word list table) becomes a scalar subquery."""
+def stop_pattern(stop) -> Column:
+    """Stop words joined by ``|``: a Python list becomes a literal, a one-column
+    DataFrame (bounded, e.g. a word list table) a scalar subquery. Only words of
+    lower-case letters can meet a cleaned word; the others are left out."""
     if isinstance(stop, DataFrame):
-        c = stop.columns[0]
-        return stop.select(F.collect_set(F.col(c))).scalar()
-    return F.array(*[F.lit(w) for w in stop])
+        word = F.col(f"`{stop.columns[0]}`")
+        return stop.filter(word.rlike("^[a-z]+$")).select(F.array_join(F.sort_array(F.collect_set(word)), "|")).scalar()
+    return F.lit("|".join(sorted(w for w in set(stop) if w and w.isascii() and w.isalpha() and w.islower())))
 
 
 def add_clean_words(df: DataFrame, text: str, stop, name: str = "words", unescape: bool = True) -> DataFrame:
     """L2 as an array column: unescape HTML, lower, keep ASCII letters and
-    whitespace, split, drop stop words (duplicates and order kept).
-
-    A DataFrame stop list is turned into one array value by a scalar subquery,
-    held in a helper column (subqueries may not sit inside lambdas)."""
+    whitespace, split, drop stop words (duplicates and order kept): built-in
+    functions, one regular expression over the cleaned text."""
     src = html_unescape(F.col(text)) if unescape else F.col(text)
-    if isinstance(stop, DataFrame):
-        df = df.withColumn("_stop", stop_array(stop))
-        arr = F.col("_stop")
-    else:
-        arr = stop_array(stop)
-    out = df.withColumn(name, F.filter(letters_only_words(src), lambda w: ~F.array_contains(arr, w)))
-    return out.drop("_stop")
+    # an empty list must not match the empty word: "0" is no letter
+    pattern = stop_pattern(stop)
+    return df.withColumn(name, letters_only_words(src, F.coalesce(F.nullif(pattern, F.lit("")), F.lit("0"))))
 
 
 def clean_text(df: DataFrame, text: str, stop, name: str | None = None, unescape: bool = True) -> DataFrame:

@@ -588,3 +588,34 @@ def test_word_weight_of_a_whole_vocabulary(spark):
     assert got.keys() == want.keys()
     assert all(got[w][0] == k and abs(got[w][1] - v) < 1e-12 for w, (k, v) in want.items())
     assert L.word_weight(df.limit(0)).count() == 0
+
+
+def test_html_unescape_equals_the_rules_of_html(spark):
+    import html
+    import random
+    from html.entities import html5
+
+    from tessera.functions.text import html_unescape
+    texts = [f"a &{n} b" for n in html5] + [f"&{n}x;y" for n in html5 if not n.endswith(";")]
+    numbers = [*range(0, 0x2100), 0xd7ff, 0xd800, 0xdfff, 0xe000, 0xfdcf, *range(0xfdd0, 0xfdf2), *range(0xfffb, 0x10003), 0x1f600, 0x1fffe,
+               0x1ffff, 0x10fffd, 0x10fffe, 0x10ffff, 0x110000, 10 ** 7, 10 ** 30]
+    texts += [f"&#{n};" for n in numbers] + [f"&#x{n:x}z" for n in numbers] + [f"&#X000{n:X};" for n in numbers]
+    texts += ["", "&", "&&", "a&", "&;", "&#;", "&#x;", "&#xg", "& amp;", "&amp;amp;", "&" + "a" * 40, "&notit;", "&notin;", "&ä;", "&\U0001f600;", "x", "&lt&gt",
+              "a\n&amp\nb", "&#65", "&#0065;&#x41;B"]
+    r = random.Random(1)
+    texts += ["".join(r.choice(["&", "#", "x", "1", "9", "a", "m", "p", ";", "lt", "not", " ", "\U0001f600", "\n", "copy", "frac12", "\r"]) for _ in range(r.randrange(14)))
+              for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string").select("t", html_unescape("t").alias("u"))
+    rows = df.collect()
+    assert [(r["t"], r["u"]) for r in rows if r["u"] != (None if r["t"] is None else html.unescape(r["t"]))] == []
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stop_words_of_any_kind(spark):
+    df = spark.createDataFrame([("The cat's  THE other the-end, aéb then",), ("the",), ("",), (None,)], "t string")
+    want = {(): ["the", "cats", "the", "other", "theend", "ab", "then"], ("the",): ["cats", "other", "theend", "ab", "then"],
+            ("the", "th", "ab", "The", "(", "a|b", ""): ["cats", "other", "theend", "then"]}
+    for words, left in want.items():
+        for stop in (list(words), spark.createDataFrame([(w,) for w in words] + [(None,)], "word string")):
+            got = [r["words"] for r in L.add_clean_words(df, "t", stop).collect()]
+            assert got == [left, [] if "the" in words else ["the"], [], None]
