@@ -122,7 +122,7 @@ def lookup_df(spark, sf):
 def q_spatial_within(spark, sf):
     r = R.with_centroid(R.drivable(roads(spark, sf)).select("geometry", "StreetWidth_Min"), "geometry")
     pts = r.select("px", "py", "StreetWidth_Min")
-    return within(pts, "px", "py", zones(spark), "ring", 10.0).select("LocationID", "px", "py", "StreetWidth_Min")
+    return within(pts, "px", "py", zones(spark), "ring").select("LocationID", "px", "py", "StreetWidth_Min")
 
 
 @query("road_suitability", ROAD_SQL)

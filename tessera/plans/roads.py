@@ -81,7 +81,7 @@ def drivable(roads: DataFrame) -> DataFrame:
 
 
 def road_suitability(roads: DataFrame, zones: DataFrame, min_segments: int = MIN_ROAD_SEGMENTS,
-                     cell: float = 10.0) -> DataFrame:
+                     cell: float | None = None) -> DataFrame:
     """Segment midpoints joined to zones, profiled per zone, every zone kept."""
     r = with_centroid(drivable(roads).select("geometry", "is_one_way", "StreetWidth_Min", "travel_lanes"),
                       "geometry", "px", "py").drop("geometry")

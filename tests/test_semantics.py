@@ -205,6 +205,7 @@ def test_t_tail_against_jvm(spark):
 
 
 def test_polygons(spark):
+    from tessera.functions.geometry import strictly_within
     from tessera.operators.spatial import within
     square = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)]
     concave = [(10.0, 0.0), (16.0, 0.0), (16.0, 6.0), (13.0, 2.0), (10.0, 6.0)]   # notch from the top
@@ -215,10 +216,92 @@ def test_polygons(spark):
     pts = spark.createDataFrame([(1, 2.0, 2.0), (2, 5.0, 2.0), (3, 4.0, 2.0), (4, 4.0, 4.0), (5, 13.0, 4.0),
                                  (6, 11.0, 1.0), (7, 15.5, 5.0), (8, 13.0, 2.0), (9, None, 1.0)],
                                 "pid int, x double, y double")
-    for vec in (True, False):
-        got = sorted((r.pid, r.zid) for r in within(pts, "x", "y", zones, "ring", 2.0, vectorized=vec).collect())
+    for cell in (None, 2.0, 0.7, 100.0):
+        got = sorted((r.pid, r.zid) for r in within(pts, "x", "y", zones, "ring", cell).collect())
         # inside square; outside; on edge; on vertex; in the notch; inside concave arms; notch vertex; null point
         assert got == [(1, 1), (6, 2), (7, 2)]
+    pairs = pts.crossJoin(zones).filter(strictly_within(F.col("x"), F.col("y"), F.col("ring")))
+    assert sorted((r.pid, r.zid) for r in pairs.collect()) == got
+
+
+def plainly_within(px, py, ring):
+    inside = False
+    for (ax, ay), (bx, by) in zip(ring, ring[-1:] + ring[:-1]):
+        if ((bx - ax) * (py - ay) - (by - ay) * (px - ax) == 0 and min(ax, bx) <= px <= max(ax, bx)
+                and min(ay, by) <= py <= max(ay, by)):
+            return False
+        if (ay > py) != (by > py) and px < (bx - ax) * (py - ay) / (by - ay) + ax:
+            inside = not inside
+    return inside
+
+
+def test_within_equals_the_plain_rule(spark):
+    """Random rings of many shapes (stars, self-crossing, closed, on the grid's own
+    lines, far from the origin), points among them, on vertices and on edges."""
+    import math
+    import random
+
+    from tessera.operators.spatial import within
+    rng = random.Random(7)
+    rings = []
+    for z in range(40):
+        cx, cy = rng.uniform(-40, 40), rng.uniform(-40, 40)
+        n = rng.randint(3, 40)
+        if z % 4 == 0:      # whole coordinates: vertices on cell borders, horizontal and vertical edges
+            ring = [(float(round(cx) + rng.randint(-9, 9)), float(round(cy) + rng.randint(-9, 9))) for _ in range(n)]
+        elif z % 4 == 1:    # a star
+            ring = [(cx + r * math.cos(2 * math.pi * k / n), cy + r * math.sin(2 * math.pi * k / n))
+                    for k in range(n) for r in [rng.uniform(1, 15)]]
+        elif z % 4 == 2:    # crosses itself, closing vertex given
+            ring = [(cx + rng.uniform(-20, 20), cy + rng.uniform(-20, 20)) for _ in range(n)]
+            ring.append(ring[0])
+        else:               # thin
+            ring = [(cx - 30, cy), (cx + 30, cy + 1e-7), (cx + 30, cy + 0.5), (cx - 30, cy + rng.uniform(0.1, 1))]
+        rings.append(ring)
+    pts = [(rng.uniform(-60, 60), rng.uniform(-60, 60)) for _ in range(1500)]
+    pts += [(float(rng.randint(-50, 50)), float(rng.randint(-50, 50))) for _ in range(500)]
+    pts += [rng.choice(rng.choice(rings)) for _ in range(200)]
+    for _ in range(200):
+        ring = rng.choice(rings)
+        k = rng.randrange(len(ring))
+        pts.append(((ring[k][0] + ring[k - 1][0]) / 2, (ring[k][1] + ring[k - 1][1]) / 2))
+    for far in (0.0, 1e6):
+        shift = lambda p: (p[0] + far, p[1] - far)
+        moved, at = [[shift(p) for p in r] for r in rings], [shift(p) for p in pts]
+        zones = spark.createDataFrame([(k, [Row(x=x, y=y) for x, y in r]) for k, r in enumerate(moved)],
+                                      "zid int, ring array<struct<x:double,y:double>>")
+        points = spark.createDataFrame([(k, x, y) for k, (x, y) in enumerate(at)], "pid int, x double, y double")
+        want = sorted((p, z) for z, r in enumerate(moved) for p, (x, y) in enumerate(at) if plainly_within(x, y, r))
+        assert len(want) > 1000
+        for cell in (None, 1.0):
+            got = sorted((r.pid, r.zid) for r in within(points, "x", "y", zones, "ring", cell).collect())
+            assert got == want
+
+
+def test_within_odd_rings_and_points(spark):
+    from tessera.operators.spatial import within, zone_cells
+    nan, inf = float("nan"), float("inf")
+    square = [(0.0, 0.0), (9.0, 0.0), (9.0, 9.0), (0.0, 9.0)]
+    rows = [(1, square), (2, square), (3, []), (4, None), (5, [(0.0, 0.0), (nan, 9.0), (9.0, 0.0)]),
+            (6, [(0.0, 0.0), (inf, 9.0), (9.0, 0.0)]), (7, [(1.0, 1.0)])]
+    zones = spark.createDataFrame([(z, r if r is None else [Row(x=x, y=y) for x, y in r]) for z, r in rows]
+                                  + [(8, [Row(x=0.0, y=0.0), None, Row(x=9.0, y=9.0)])],
+                                  "zid int, ring array<struct<x:double,y:double>>")
+    pts = spark.createDataFrame([(1, 4.0, 4.0), (1, 4.0, 4.0), (2, nan, 4.0), (3, 4.0, nan), (4, inf, 4.0), (5, -inf, -inf),
+                                 (6, None, None), (7, 1e300, 1e300)], "pid int, x double, y double")
+    for cell in (None, 1.0):
+        got = sorted((r.pid, r.zid) for r in within(pts, "x", "y", zones, "ring", cell).collect())
+        assert got == [(1, 1), (1, 1), (1, 2), (1, 2)]      # overlapping zones, repeated rows
+    assert within(pts, "x", "y", zones.limit(0)).count() == 0
+    assert within(pts.limit(0), "x", "y", zones).count() == 0
+    # inner cells hold no edge, cells keep few edges, no ring travels with a point
+    cells = zone_cells(zones.filter("zid = 1"), "ring", F.lit(1.0)).collect()
+    inner = [c for c in cells if not c["_near"]]
+    assert len(inner) >= 49 and all(c["_seed"] == 1 and not c["_steps"] for c in inner)
+    assert max(len(c["_near"]) for c in cells) <= 4
+    plan = within(pts, "x", "y", zones)._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan[:plan.index("Join ")]
+    assert "ring#" not in joined and "_slice#" in plan
 
 
 def test_headerless_csv_edges(spark, tmp_path):
