@@ -9,7 +9,11 @@ shard's residual capacity is highest.
 Scale. Groups are pre-aggregated (a hot text is one partial row per task). A
 group larger than a shard's share in any dimension is split by document hash
 into units of at most a quarter share; fewer than 3 * shards groups can be that
-large. Units above 1 / ``FINE`` of a share - at most 3 * FINE * shards of them -
+large. Rows alike in id and text that crowd (over a quarter share, or ``SLOT_CELL``
+rows: at most 12 * shards + rows / SLOT_CELL such pairs) are spread by a row number
+written once, in units and in slots, so null or repeated ids are no hot group either;
+they are the same row many times, so only their counts per shard depend on that
+number. Units above 1 / ``FINE`` of a share - at most 3 * FINE * shards of them -
 are packed first, in one task of bounded size. All others go by key hash into
 cells of about ``CELL`` units, each packed by its own task against its part of
 the residual capacities, so cells need no order among them and their small
@@ -67,7 +71,8 @@ def pack(df: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str
         (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD).cast("long").alias("size"),
         F.coalesce(F.crc32(F.encode(text, "UTF-8")), F.lit(0)).cast("long").alias("text_crc32"),
         F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long").alias("words"),
-        F.coalesce(F.unhex(F.sha2(text, 256)), F.lit(b"null")).alias("key"))
+        F.coalesce(F.unhex(F.sha2(text, 256)), F.lit(b"null")).alias("key"),
+        F.monotonically_increasing_id().alias("row"))
     docs = written(docs, "shard-sizes")
     groups = written(docs.groupBy("key").agg(F.sum("size").alias("size"), F.sum("words").alias("words"), F.count("*").alias("rows")), "shard-groups")
     total = groups.agg(*(F.sum(c).alias(c) for c in DIMENSIONS), F.count("*").alias("n")).first()
@@ -76,8 +81,17 @@ def pack(df: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str
 
     # hot groups: each holds over 1/shards of a dimension, so fewer than 3 * shards rows
     hot = groups.where(load > 1).select("key", F.ceil(load * 4).cast("int").alias("pieces"))
+    # pairs of id and text that crowd: counted in large groups only
+    many = groups.where((load > 1 / 4) | (F.col("rows") > SLOT_CELL)).select("key")
+    crowds = (docs.join(many, "key", "left_semi").groupBy("key", "doc_id")
+              .agg(F.sum("size").alias("size"), F.sum("words").alias("words"), F.count("*").alias("rows"))
+              .where((load > 1 / 4) | (F.col("rows") > SLOT_CELL)))
+    crowds = crowds.select(F.col("key").alias("crowd_key"), F.col("doc_id").alias("crowd_id"), F.lit(True).alias("crowd"))
+    docs = docs.join(F.broadcast(crowds), (F.col("key") == F.col("crowd_key")) & F.col("doc_id").eqNullSafe(F.col("crowd_id")), "left")
+    # the row number of a crowd's rows, else null, which the hash passes over
+    docs = docs.withColumn("spread", F.when(F.col("crowd"), F.col("row"))).drop("row", "crowd", "crowd_key", "crowd_id")
     salted = (docs.join(F.broadcast(hot), "key", "left")
-              .withColumn("salt", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("pieces")), F.lit(0)).cast("int")).drop("pieces"))
+              .withColumn("salt", F.coalesce(F.pmod(F.xxhash64("doc_id", "spread"), F.col("pieces")), F.lit(0)).cast("int")).drop("pieces"))
     cut = (salted.join(F.broadcast(hot.select("key")), "key", "left_semi").groupBy("key", "salt")
            .agg(F.sum("size").alias("size"), F.sum("words").alias("words"), F.count("*").alias("rows")))
     units = groups.where(load <= 1).withColumn("salt", F.lit(0)).select("key", "salt", *DIMENSIONS).unionByName(cut)
@@ -116,7 +130,7 @@ def pack(df: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str
               .join(tail, ["key", "salt"], "left").withColumn("shard", F.coalesce("large", "shard")))
     slot_cells = max(1, -(-int(total["rows"] or 0) // SLOT_CELL))
     placed = written(placed.select("doc_id", "size", "text_crc32", "words", "shard", "key",
-                                   F.pmod(F.xxhash64("doc_id", "key"), F.lit(slot_cells)).alias("part")), "shard-placed")
+                                   F.pmod(F.xxhash64("doc_id", "key", "spread"), F.lit(slot_cells)).alias("part")), "shard-placed")
     counts = placed.groupBy("shard", "part").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = counts.select("shard", "part", before.alias("start"))

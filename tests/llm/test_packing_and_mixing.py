@@ -1,3 +1,4 @@
+import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -60,6 +61,60 @@ def test_pack_odd_rows(odd_docs, no_docs):
     assert pack(no_docs, 3).count() == 0
 
 
+def replay(rows, shards, where):
+    """The rule by loops: groups from the heaviest down, each where the dot product of
+    its (bytes, words, rows) with what is left is highest. The given shard must reach
+    that highest product (equal ones differ by rounding) at every step."""
+    groups = {}
+    for _, t in rows:
+        size, words, n = groups.get(t, (0, 0, 0))
+        groups[t] = (size + len(t.encode()) + 16, words + len(t.split()), n + 1)
+    share = [sum(g[d] for g in groups.values()) / shards for d in range(3)]
+    parts = (1.0, 0.5, 0.005)
+    unit = {t: [g[d] / share[d] for d in range(3)] for t, g in groups.items()}
+    order = sorted(groups, key=lambda t: (-sum(u * p for u, p in zip(unit[t], parts)), hashlib.sha256(t.encode()).digest()))
+    large = [t for t in order if max(unit[t]) > 1 / 50]
+    left = [[1.0] * 3 for _ in range(shards)]
+
+    def put(names):
+        for t in names:
+            gain = [sum(p * f * u for p, f, u in zip(parts, free, unit[t])) for free in left]
+            k = where[t]
+            assert gain[k] >= max(gain) - 1e-12
+            left[k] = [f - u for f, u in zip(left[k], unit[t])]
+    put(large)
+    rest = [t for t in order if max(unit[t]) <= 1 / 50]
+    need, free = [sum(unit[t][d] for t in rest) for d in range(3)], [sum(f[d] for f in left) for d in range(3)]
+    left = [[f[d] * need[d] / free[d] for d in range(3)] for f in left]
+    put(rest)
+
+
+@pytest.mark.parametrize("n, shards", [(300, 4), (1500, 6), (2500, 40)])
+def test_pack_follows_the_plain_rule(spark, n, shards):
+    rows = rows_of(n, seed=n) + [(10_000 + i, "again " * 9 + str(i % 20)) for i in range(100)]
+    text = dict(rows)
+    out = pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), shards).collect()
+    where = {text[r["doc_id"]]: r["shard"] for r in out}
+    assert len(out) == len(rows) and all(r["shard"] == where[text[r["doc_id"]]] for r in out)
+    replay(rows, shards, where)
+
+
+@pytest.mark.parametrize("ids", ["none", "one"])
+def test_pack_spreads_one_id_of_one_text(spark, monkeypatch, ids):
+    from tessera.llm import packing
+    monkeypatch.setattr(packing, "SLOT_CELL", 500)
+    rows = rows_of(2000) + [(None if ids == "none" else 7, "the very same text " * 5)] * 3000
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = pack(df, 10).collect()
+    check_slots(out)
+    assert Counter((r["doc_id"], r["size"]) for r in out) == Counter((d, len(t) + 16) for d, t in rows)
+    load = Counter()
+    for r in out:
+        load[r["shard"]] += r["size"]
+    mean = sum(load.values()) / 10
+    assert len(load) == 10 and max(load.values()) < 1.05 * mean and min(load.values()) > 0.95 * mean
+
+
 def water_fill(sizes, cap=3.0):
     """The excess above the ceilings reshared by weight until none is above."""
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
