@@ -81,9 +81,9 @@ def pack(df: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str
 
     # hot groups: each holds over 1/shards of a dimension, so fewer than 3 * shards rows
     hot = groups.where(load > 1).select("key", F.ceil(load * 4).cast("int").alias("pieces"))
-    # pairs of id and text that crowd: counted in large groups only
+    # pairs of id and text that crowd: counted in large groups only (as few as the pairs at most)
     many = groups.where((load > 1 / 4) | (F.col("rows") > SLOT_CELL)).select("key")
-    crowds = (docs.join(many, "key", "left_semi").groupBy("key", "doc_id")
+    crowds = (docs.join(F.broadcast(many), "key", "left_semi").groupBy("key", "doc_id")
               .agg(F.sum("size").alias("size"), F.sum("words").alias("words"), F.count("*").alias("rows"))
               .where((load > 1 / 4) | (F.col("rows") > SLOT_CELL)))
     crowds = crowds.select(F.col("key").alias("crowd_key"), F.col("doc_id").alias("crowd_id"), F.lit(True).alias("crowd"))
