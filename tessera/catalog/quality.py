@@ -196,11 +196,11 @@ def q_standardize_columns(spark, sf):
   JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) b ON o.o_orderkey = b.l_orderkey
   JOIN part p ON b.l_partkey = p.p_partkey""")
 def q_bridge_join(spark, sf):
-    o = t(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
-    p = t(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    # both sides distinct, as the bridge's pairs are: so are the joined rows
+    o = t(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey")).distinct()
+    p = t(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name").distinct()
     out = N.bridge_join(o, t(spark, sf, "lineitem"), p, "l_orderkey", "l_partkey")
-    return out.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"),
-                      "p_name").distinct()
+    return out.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"), "p_name")
 
 
 @query("surrogate_key", """
