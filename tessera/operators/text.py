@@ -27,24 +27,25 @@ def word_count(df: DataFrame, text: str, pattern: str = WORDCOUNT_TOKEN) -> Data
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
-def stop_pattern(stop) -> Column:
-    """Stop words joined by ``|``: a Python list becomes a literal, a one-column
-    DataFrame (bounded, e.g. a word list table) a scalar subquery. Only words of
-    lower-case letters can meet a cleaned word; the others are left out."""
+def stop_list(stop) -> Column:
+    """Stop words joined by ``,``, with one before the first: a Python list becomes
+    a literal, a one-column DataFrame (bounded, e.g. a word list table) a scalar
+    subquery. Only words of lower-case letters can meet a cleaned word; the others
+    are left out."""
     if isinstance(stop, DataFrame):
         word = F.col(f"`{stop.columns[0]}`")
-        return stop.filter(word.rlike("^[a-z]+$")).select(F.array_join(F.sort_array(F.collect_set(word)), "|")).scalar()
-    return F.lit("|".join(sorted(w for w in set(stop) if w and w.isascii() and w.isalpha() and w.islower())))
+        return stop.filter(word.rlike("^[a-z]+$")).select(F.concat(F.lit(","), F.array_join(F.sort_array(F.collect_set(word)), ","))).scalar()
+    return F.lit("," + ",".join(sorted(w for w in set(stop) if w and w.isascii() and w.isalpha() and w.islower())))
 
 
 def add_clean_words(df: DataFrame, text: str, stop, name: str = "words", unescape: bool = True) -> DataFrame:
     """L2 as an array column: unescape HTML, lower, keep ASCII letters and
     whitespace, split, drop stop words (duplicates and order kept): built-in
-    functions, one regular expression over the cleaned text."""
+    functions."""
     src = html_unescape(F.col(text)) if unescape else F.col(text)
-    # an empty list must not match the empty word: "0" is no letter
-    pattern = stop_pattern(stop)
-    return df.withColumn(name, letters_only_words(src, F.coalesce(F.nullif(pattern, F.lit("")), F.lit("0"))))
+    # a column, since a subquery cannot stand in a lambda
+    held = df.withColumn("_stop", stop_list(stop))
+    return held.withColumn(name, letters_only_words(src, F.col("_stop"))).drop("_stop")
 
 
 def clean_text(df: DataFrame, text: str, stop, name: str | None = None, unescape: bool = True) -> DataFrame:
@@ -73,7 +74,8 @@ def collocations(df: DataFrame, id_col: str, words: str, min_llr: float = 30.0,
     the only pass over the texts. Unigram counts, the corpus size and the
     bigram counts are all derived from that aggregate, which is checkpointed
     once (``materialize``) into the shared checkpoint folder so the three
-    consumers do not each re-run the text pipeline.
+    consumers do not each re-run the text pipeline. The unigrams, far fewer than
+    the pairs, are the hashed side of both joins, so the pairs are not sorted.
     """
     arr = F.col(words)
     # (w[i], w[i+1]) for every position, the last with a null partner; a
@@ -90,7 +92,7 @@ def collocations(df: DataFrame, id_col: str, words: str, min_llr: float = 30.0,
     bigrams = pairs.filter(F.col("w2").isNotNull())
     u1 = unigrams.select(F.col("w1"), F.col("c").alias("c1"))
     u2 = unigrams.select(F.col("w1").alias("w2"), F.col("c").alias("c2"))
-    j = bigrams.join(u1, "w1").join(u2, "w2")
+    j = bigrams.join(u1.hint("shuffle_hash"), "w1").join(u2.hint("shuffle_hash"), "w2")
     c12, c1, c2 = F.col("c12").cast("double"), F.col("c1").cast("double"), F.col("c2").cast("double")
     p, p1, p2 = c2 / n, c12 / c1, (c2 - c12) / (n - c1)
     llr = -2 * (_ll(c12, c1, p) + _ll(c2 - c12, n - c1, p) - _ll(c12, c1, p1) - _ll(c2 - c12, n - c1, p2))
@@ -142,13 +144,14 @@ def merged_phrase_counts(df: DataFrame, cls: str, words: str, pairs: DataFrame,
     So of a run of overlapping accepted pairs every second one is taken, from the
     first. Only positions with an accepted pair are dealt by row, for that rule;
     all other words stay a partial aggregate: word counts, less the words that
-    phrases took, plus the phrases."""
+    phrases took, plus the phrases. The accepted pairs are the hashed side where
+    they meet the positions, so the positions are not sorted."""
     counts = class_words(df, cls, words)
     arr = F.col(words)
     grams = F.arrays_zip(arr.alias("w1"), F.slice(arr, 2, F.greatest(F.size(arr), F.lit(1))).alias("w2"))
     placed = df.withColumn("_row", F.monotonically_increasing_id()).select(cls, "_row", F.posexplode_outer(grams).alias("_at", "_p"))
     placed = placed.where(F.col("_p.w2").isNotNull()).select(cls, "_row", "_at", F.col("_p.w1").alias("w1"), F.col("_p.w2").alias("w2"))
-    hits = placed.join(pairs.select("w1", "w2").distinct(), ["w1", "w2"])
+    hits = placed.join(pairs.select("w1", "w2").distinct().hint("shuffle_hash"), ["w1", "w2"])
     run = F.col("_at") - F.row_number().over(Window.partitionBy("_row").orderBy("_at"))
     nth = F.row_number().over(Window.partitionBy("_row", "_run").orderBy("_at"))
     taken = hits.withColumn("_run", run).withColumn("_nth", nth).where(F.col("_nth") % 2 == 1)
