@@ -702,3 +702,59 @@ def test_stop_words_of_any_kind(spark):
         for stop in (list(words), spark.createDataFrame([(w,) for w in words] + [(None,)], "word string")):
             got = [r["words"] for r in L.add_clean_words(df, "t", stop).collect()]
             assert got == [left, [] if "the" in words else ["the"], [], None]
+
+
+def test_sample_n_moves_no_rows_to_one_task_of_a_class(spark):
+    """Only the places of a class meet in one task; the sampled rows stay spread."""
+    from tessera.operators.ordering import sample_n
+    rows = [(i % 2, i, f"text {i}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "cls int, id long, text string").repartition(8)
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = sample_n(df, "cls", "id", 2000).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert sum(r["count"] for r in got) == 4000 and max(r["count"] for r in got) < 1000
+
+
+def test_sample_n_counts_repeated_and_null_rows(spark):
+    from collections import Counter
+    from tessera.operators.ordering import sample_n
+    rows = [("a", 1, "x")] * 7 + [("a", None, "n")] * 5 + [("a", 1, "y")] * 2 + [(None, i % 3, "z") for i in range(9)] + [("b", 4, None)]
+    df = spark.createDataFrame(rows, "cls string, id long, text string").repartition(3)
+    for n in (1, 3, 6, 8, 100):
+        got = [tuple(r) for r in sample_n(df, "cls", "id", n).collect()]
+        assert Counter(r[0] for r in got) == {"a": min(n, 14), None: min(n, 9), "b": 1}
+        assert not Counter(got) - Counter(rows)
+        assert Counter(got)[("a", None, "n")] == min(n, 5)
+
+
+def _initial_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_collocations_do_not_sort_their_pairs(spark):
+    from tessera.operators import text as L
+    words = spark.createDataFrame([(1, ["a", "b", "a", "b"]), (2, [])], "id long, words array<string>")
+    plan = _initial_plan(L.collocations(words, "id", "words", 0.0))
+    assert plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan
+
+
+def test_phrase_table_cleans_its_texts_once(spark):
+    from tessera.plans import text_jobs as P
+    docs = spark.createDataFrame([("x", 1, "Hot dog &amp; hot dog"), ("x", 2, " "), ("y", 3, None), ("y", 4, "hot dog")], "cls string, id long, text string")
+    out = P.cloud_table(docs, "cls", "id", "text", ["the"], per_class=None, min_llr=1.0)
+    assert "regexp_replace" not in _initial_plan(out)
+    assert sorted((r["cls"], r["word"], r["count"]) for r in out.collect()) == [("x", "hot_dog", 2), ("y", "hot_dog", 1)]
+
+
+def test_bridge_join_query_does_not_hash_its_result(spark, tmp_path):
+    from tessera.catalog.quality import q_bridge_join
+    spark.createDataFrame([(1,), (1,), (2,), (None,)], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(7, "p"), (7, "p"), (7, "q"), (8, None)], "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(1, 7), (1, 7), (2, 8), (None, 7), (3, 8)], "l_orderkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    out = q_bridge_join(spark, str(tmp_path))
+    top = out._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+    assert not top.startswith(("Aggregate", "Deduplicate", "Distinct"))
+    assert sorted(map(tuple, out.collect()), key=str) == [(1, 7, "p"), (1, 7, "q"), (2, 8, None)]
